@@ -142,17 +142,19 @@ _RESERVATION_REJECTED = """SELECT r.* FROM reservation_src r
 WHERE c.client_key IS NULL OR t.trajet_key IS NULL"""
 
 
-def _calendar(days_sql: str) -> str:
-    """Calendar over whole years spanning the dates of ``days_sql`` (column d)."""
+def _calendar(days_sql: str, whole_years: bool = True) -> str:
+    """Calendar spanning the dates of ``days_sql`` (column d), by default
+    widened to whole years."""
+    lo, hi = "min(d)", "max(d)"
+    if whole_years:
+        lo = "CAST(date_trunc('year', min(d)) AS DATE)"
+        hi = "CAST(date_trunc('year', max(d)) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS DATE)"
     return f"""SELECT {dkey('d')} AS date_key, d AS full_date,
   CAST(year(d) AS SMALLINT) AS year, CAST(quarter(d) AS SMALLINT) AS quarter,
   CAST(month(d) AS SMALLINT) AS month, monthname(d) AS month_name,
   CAST(day(d) AS SMALLINT) AS day_of_month, CAST(isodow(d) AS SMALLINT) AS day_of_week,
   dayname(d) AS day_name, isodow(d) IN (6, 7) AS is_weekend
-FROM (SELECT CAST(unnest(generate_series(
-        CAST(date_trunc('year', min(d)) AS DATE),
-        CAST(date_trunc('year', max(d)) + INTERVAL 1 YEAR - INTERVAL 1 DAY AS DATE),
-        INTERVAL 1 DAY)) AS DATE) AS d
+FROM (SELECT CAST(unnest(generate_series({lo}, {hi}, INTERVAL 1 DAY)) AS DATE) AS d
       FROM ({days_sql}))"""
 
 
@@ -316,9 +318,9 @@ FROM (SELECT ville AS raw, {city('ville')} AS clean FROM client_src)"""),
     "t2_dim_gare": with_warehouse("SELECT * FROM dim_gare"),
     "t3_dim_train": with_warehouse("SELECT * FROM dim_train"),
     "k7_insert_if_absent": f"""SELECT n.* FROM ({_calendar(
-        "SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem")}) n
+        "SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem", False)}) n
 WHERE n.date_key NOT IN (SELECT date_key FROM ({_calendar(
-        "SELECT CAST(o_orderdate AS DATE) AS d FROM orders")}))""",
+        "SELECT CAST(o_orderdate AS DATE) AS d FROM orders", False)}))""",
     "u1_upsert": with_warehouse(f"""SELECT client_key, id_client, sexe, ville, statut_compte FROM (
   SELECT e.client_key, coalesce(n.id_client, e.id_client) AS id_client,
     CASE WHEN n.id_client IS NOT NULL THEN n.sexe ELSE e.sexe END AS sexe,

@@ -245,8 +245,9 @@ def t3_dim_train(spark, sf_dir):
 
 
 def k7_insert_if_absent(spark, sf_dir):
-    existing = calendar_spanning(_t(spark, sf_dir, "orders"), "o_orderdate")
-    new = calendar_spanning(_t(spark, sf_dir, "lineitem"), "l_shipdate")
+    # The calendar of the order dates exists; the ship dates run past it.
+    existing = calendar_spanning(_t(spark, sf_dir, "orders"), "o_orderdate", whole_years=False)
+    new = calendar_spanning(_t(spark, sf_dir, "lineitem"), "l_shipdate", whole_years=False)
     return insert_if_absent(existing, new, ["date_key"])
 
 

@@ -1,0 +1,5 @@
+"""Structured Streaming: bounded incremental loads."""
+
+from .incremental import incremental_load
+
+__all__ = ["incremental_load"]
