@@ -190,7 +190,7 @@ def gate(report: DataFrame) -> list[dict]:
     """Collect the (small, one row per rule) report and raise when a rule
     failed, with its measure in the message.  Returns the rows otherwise."""
     rows = [r.asDict() for r in report.collect()]
-    failed = [r for r in rows if not r["passed"]]
+    failed = sorted((r for r in rows if not r["passed"]), key=lambda r: (r["rule"], r["table_name"]))
     if failed:
         lines = [f"{r['rule']} on {r['table_name']}: {r['violations']}/{r['total']}"
                  f" (rate {r['rate']}, tolerance {r['tolerance']})" for r in failed]

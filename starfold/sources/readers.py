@@ -110,9 +110,21 @@ def read_files(spark: SparkSession, paths: Sequence[str], schema: T.StructType,
     return reader.schema(schema).format(fmt).load(list(paths))
 
 
-def malformed(df: DataFrame) -> DataFrame:
-    """Rows of a PERMISSIVE read that did not parse."""
-    return df.filter(F.col(CORRUPT).isNotNull()) if CORRUPT in df.columns else df.limit(0)
+def stage_files(spark: SparkSession, paths: Sequence[str], schema: T.StructType,
+                staging: str, fmt: str = "csv", options: Mapping[str, str] | None = None
+                ) -> DataFrame:
+    """S6 ingest: parse the files once (PERMISSIVE) and save the parsed rows,
+    malformed ones included, as parquet; later steps read the saved copy
+    (Spark refuses to query the corrupt-record column straight from text)."""
+    read_files(spark, paths, schema, fmt, options).write.mode("overwrite").parquet(staging)
+    return spark.read.parquet(staging)
+
+
+def malformed(staged: DataFrame) -> DataFrame:
+    """Rows of a staged PERMISSIVE read that did not parse."""
+    if CORRUPT not in staged.columns:
+        return staged.limit(0)
+    return staged.filter(F.col(CORRUPT).isNotNull())
 
 
 def read_key_map(spark: SparkSession, path: str, natural_key: str, surrogate_key: str
