@@ -108,8 +108,9 @@ def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str
             max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
             broadcast: bool | None = None, known_rows: int | None = None) -> DataFrame:
     """Child rows whose foreign key has no parent row (a null key is an
-    orphan, as in ``LEFT JOIN ... WHERE parent.key IS NULL``)."""
-    p = parent.select(F.col(parent_col).alias("_sf_pk")).distinct()
+    orphan, as in ``LEFT JOIN ... WHERE parent.key IS NULL``).  An anti-join
+    is set-based, so the parent keys need no de-duplication."""
+    p = parent.select(F.col(parent_col).alias("_sf_pk"))
     p = bounded_broadcast(p, max_broadcast_rows, known_rows, broadcast)
     return child.join(p, child[child_col] == F.col("_sf_pk"), "left_anti")
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,86 +101,126 @@ Rule = RowRule | CountMatch | Unique | Domain | ForeignKeyRule | Later | NotEmpt
 
 
 def _row(rule: str, table: str, violations: Column, total: Column, tolerance: float) -> list[Column]:
-    v, t = violations.cast("long"), total.cast("long")
-    r = F.round(F.try_divide(v.cast("double"), t.cast("double")), 6)
-    passed = (v == 0) if tolerance == 0 else F.coalesce(r < F.lit(tolerance), F.lit(True))
-    return [F.lit(rule).alias("rule"), F.lit(table).alias("table_name"), v.alias("violations"),
-            t.alias("total"), r.alias("rate"), F.lit(float(tolerance)).alias("tolerance"),
-            passed.alias("passed")]
-
-
-def _scalars(named: Mapping[str, DataFrame]) -> DataFrame:
-    """One row with one column per name, from one-row aggregates (column
-    ``v``): a union of (name, value) rows folded by one aggregate."""
-    tagged = None
-    for name, df in named.items():
-        part = df.select(F.lit(name).alias("_sf_name"), F.col("v").cast("long").alias("_sf_val"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    return tagged.agg(*[F.max(F.when(F.col("_sf_name") == name, F.col("_sf_val"))).alias(name)
-                        for name in named])
-
-
-def _row_rules(df: DataFrame, table: str, rules: Sequence[RowRule]) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("_sf_total")]
+    """The measured part of a report row; rate and verdict are derived once
+    for the whole report (``_finish``)."""
+    return [F.lit(rule).alias("rule"), F.lit(table).alias("table_name"),
+            violations.cast("long").alias("violations"), total.cast("long").alias("total"),
+            F.lit(float(tolerance)).alias("tolerance")]
+
+
+def _finish(measures: DataFrame) -> DataFrame:
+    v, t, tol = F.col("violations"), F.col("total"), F.col("tolerance")
+    rate = F.round(F.try_divide(v.cast("double"), t.cast("double")), 6)
+    passed = F.when(tol == 0, v == 0).otherwise(F.coalesce(rate < tol, F.lit(True)))
+    return measures.select("rule", "table_name", "violations", "total", rate.alias("rate"),
+                           "tolerance", passed.alias("passed"))
+
+
+def _violation_sql(r: RowRule | Domain) -> str:
+    if isinstance(r, Domain):
+        allowed = ", ".join("'" + str(a).replace("'", "''") + "'" for a in r.allowed)
+        return f"`{r.column}` IS NOT NULL AND NOT (`{r.column}` IN ({allowed}))"
+    return r.violation
+
+
+def _sql_str(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _row_rules(df: DataFrame, table: str, rules: Sequence[RowRule | Domain | NotEmpty]
+               ) -> DataFrame:
+    """All row-level rules of one table from ONE aggregate (one scan),
+    unpivoted with a single ``stack``."""
+    aggs = ["count(1) AS _sf_total"]
+    cells = []
     for i, r in enumerate(rules):
-        aggs.append(F.count_if(F.coalesce(F.expr(r.violation), F.lit(False))).alias(f"_sf_v{i}"))
-    one = df.agg(*aggs)
-    rows = [F.struct(*_row(r.rule, table, F.col(f"_sf_v{i}"), F.col("_sf_total"), r.tolerance))
-            for i, r in enumerate(rules)]
-    return one.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+        if isinstance(r, NotEmpty):
+            v = "CAST(_sf_total = 0 AS BIGINT)"
+        else:
+            aggs.append(f"count_if(coalesce(({_violation_sql(r)}), false)) AS _sf_v{i}")
+            v = f"_sf_v{i}"
+        tol = float(getattr(r, "tolerance", 0.0))
+        cells.append(f"{_sql_str(r.rule)}, {v}, CAST({tol!r} AS DOUBLE)")
+    one = df.agg(*[F.expr(a) for a in aggs])
+    stacked = f"stack({len(rules)}, {', '.join(cells)}) AS (rule, violations, tolerance)"
+    return one.selectExpr(stacked, "_sf_total AS total").selectExpr(
+        "rule", f"{_sql_str(table)} AS table_name", "CAST(violations AS BIGINT) AS violations",
+        "CAST(total AS BIGINT) AS total", "tolerance")
 
 
 def evaluate(tables: Mapping[str, DataFrame], rules: Iterable[Rule],
-             max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """The quality report of ``rules`` over ``tables`` (name -> DataFrame)."""
+             max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+             row_counts: Mapping[str, int] | None = None) -> DataFrame:
+    """The quality report of ``rules`` over ``tables`` (name -> DataFrame).
+
+    ``row_counts`` (e.g. from the load report) are proven table sizes; a
+    parent table of a foreign key is broadcast only when its count is known
+    to be under ``max_broadcast_rows`` (counted once otherwise)."""
     rules = list(rules)
+    row_counts = dict(row_counts or {})
     parts: list[DataFrame] = []
-    by_table: dict[str, list[RowRule]] = {}
+    by_table: dict[str, list] = {}
     for r in rules:
-        if isinstance(r, RowRule):
+        if isinstance(r, (RowRule, Domain, NotEmpty)):
             by_table.setdefault(r.table, []).append(r)
     for table, rs in by_table.items():
         parts.append(_row_rules(tables[table], table, rs))
-    count = lambda name: tables[name].agg(F.count(F.lit(1)).alias("v"))
+    # Totals: each table counted once, however many rules need it.
+    counted: list[str] = []
     for r in rules:
-        if isinstance(r, CountMatch):
-            named = {"t": count(r.table), "s": count(r.source)}
-            if r.rejected:
-                named["x"] = count(r.rejected)
-            sc = _scalars(named)
-            accounted = F.col("t") + (F.col("x") if r.rejected else F.lit(0))
-            parts.append(sc.select(*_row(r.rule, r.table, F.abs(F.col("s") - accounted),
-                                         F.col("s"), r.tolerance)))
-        elif isinstance(r, Unique):
+        names = {CountMatch: lambda r: [r.table, r.source] + ([r.rejected] if r.rejected else []),
+                 ForeignKeyRule: lambda r: [r.table], Later: lambda r: [r.table]}.get(type(r))
+        for n in (names(r) if names else []):
+            if n not in counted:
+                counted.append(n)
+    counts = None
+    if counted:
+        counts = reduce(DataFrame.unionByName, [
+            tables[n].agg(F.count(F.lit(1)).alias("n")).selectExpr(
+                f"{_sql_str(n)} AS _sf_table", "n") for n in counted])
+    pending: list[DataFrame] = []        # measures whose total comes from ``counts``
+    matches = [r for r in rules if isinstance(r, CountMatch)]
+    if matches:
+        wide = counts.agg(*[F.max(F.when(F.col("_sf_table") == n, F.col("n"))).alias(f"c{i}")
+                            for i, n in enumerate(counted)])
+        col = {n: f"c{i}" for i, n in enumerate(counted)}
+        cells = []
+        for r in matches:
+            acc = col[r.table] + (f" + {col[r.rejected]}" if r.rejected else "")
+            cells.append(f"{_sql_str(r.rule)}, {_sql_str(r.table)}, abs({col[r.source]} - ({acc})),"
+                         f" {col[r.source]}, CAST({float(r.tolerance)!r} AS DOUBLE)")
+        parts.append(wide.selectExpr(
+            f"stack({len(matches)}, {', '.join(cells)}) AS "
+            "(rule, table_name, violations, total, tolerance)").selectExpr(
+            "rule", "table_name", "CAST(violations AS BIGINT) AS violations",
+            "CAST(total AS BIGINT) AS total", "tolerance"))
+    for r in rules:
+        if isinstance(r, Unique):
             u = uniqueness(tables[r.table], list(r.key))
             parts.append(u.select(*_row(r.rule, r.table, F.col("extra_rows"), F.col("total"),
                                         r.tolerance)))
-        elif isinstance(r, Domain):
-            c = F.col(r.column)
-            bad = c.isNotNull() & ~c.isin(list(r.allowed))
-            a = tables[r.table].agg(F.count_if(bad).alias("v"), F.count(F.lit(1)).alias("t"))
-            parts.append(a.select(*_row(r.rule, r.table, F.col("v"), F.col("t"), r.tolerance)))
         elif isinstance(r, ForeignKeyRule):
             child = tables[r.table].select(r.column)
+            if r.parent not in row_counts and r.broadcast is None:
+                row_counts[r.parent] = tables[r.parent].count()
             o = orphans(child, r.column, tables[r.parent], r.parent_column,
-                        max_broadcast_rows, r.broadcast)
-            sc = _scalars({"v": o.agg(F.count(F.lit(1)).alias("v")), "t": count(r.table)})
-            parts.append(sc.select(*_row(r.rule, r.table, F.col("v"), F.col("t"), r.tolerance)))
+                        max_broadcast_rows, r.broadcast, row_counts.get(r.parent))
+            pending.append(o.agg(*_row(r.rule, r.table, F.count(F.lit(1)), F.lit(None),
+                                       r.tolerance)))
         elif isinstance(r, Later):
             child = tables[r.table].select(r.on, F.col(r.column).alias("_sf_c"))
             parent = tables[r.parent].select(r.on, F.col(r.parent_column).alias("_sf_p"))
-            v = (child.join(parent, r.on).filter(F.col("_sf_c") > F.col("_sf_p"))
-                 .agg(F.count(F.lit(1)).alias("v")))
-            sc = _scalars({"v": v, "t": count(r.table)})
-            parts.append(sc.select(*_row(r.rule, r.table, F.col("v"), F.col("t"), r.tolerance)))
-        elif isinstance(r, NotEmpty):
-            a = count(r.table)
-            parts.append(a.select(*_row(r.rule, r.table, (F.col("v") == 0).cast("long"),
-                                        F.col("v"), 0.0)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            hits = child.join(parent, r.on).filter(F.col("_sf_c") > F.col("_sf_p"))
+            pending.append(hits.agg(*_row(r.rule, r.table, F.count(F.lit(1)), F.lit(None),
+                                          r.tolerance)))
+    if pending:
+        # a few rows joined to one count per table: both sides are tiny
+        p = reduce(DataFrame.unionByName, pending)
+        p = (p.join(F.broadcast(counts), p["table_name"] == counts["_sf_table"], "left")
+             .select("rule", "table_name", "violations",
+                     F.col("n").cast("long").alias("total"), "tolerance"))
+        parts.append(p)
+    return _finish(reduce(DataFrame.unionByName, parts))
 
 
 class QualityGateError(ValueError):
