@@ -12,7 +12,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,18 +33,28 @@ def with_load_ts(df: DataFrame, ts: str | Column | None = None, name: str = "loa
 
 def write_table(df: DataFrame, path: str, contract: T.StructType | Sequence[str] | None = None,
                 mode: str = "append", partition_by: Sequence[str] = (),
-                fmt: str = "parquet") -> int:
+                fmt: str = "parquet", checks: Mapping[str, str] | None = None,
+                measures: dict | None = None) -> int:
     """K1: write the contract's columns and return the number of rows written,
-    measured while writing."""
+    measured while writing.  ``checks`` (name -> SQL violation predicate) are
+    counted by the same observation, so validating a load costs no second
+    scan; their counts land in ``measures``."""
     if contract is not None:
         df = project(df, contract)
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    for i, pred in enumerate((checks or {}).values()):
+        metrics.append(F.expr(f"count_if(coalesce(({pred}), false))").alias(f"c{i}"))
+    observed = df.observe(obs, *metrics)
     w = observed.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
-    return int(obs.get.get("rows", 0))
+    got = obs.get
+    if measures is not None:
+        for i, name in enumerate((checks or {}).keys()):
+            measures[name] = int(got.get(f"c{i}", 0) or 0)
+    return int(got.get("rows", 0))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -76,13 +86,28 @@ def swap_in(spark: SparkSession, staging: str, target: str) -> None:
         fs.delete(old, True)
 
 
+class PublishRefused(ValueError):
+    pass
+
+
 def publish(df: DataFrame, target: str, contract: T.StructType | None = None,
             partition_by: Sequence[str] = (), staging_root: str | None = None,
-            validate=None) -> int:
-    """K2/K3: full, retry-safe replacement of a table.  ``validate(staged_df)``
-    may raise to stop the publication (the staged files stay for inspection)."""
+            validate=None, checks: Mapping[str, str] | None = None) -> int:
+    """K2/K3: full, retry-safe replacement of a table.
+
+    The table is written to a staging folder; ``checks`` (name -> violation
+    predicate) are counted during that write, and any violation stops the
+    publication, as does ``validate(staged_df)`` raising.  The target is only
+    replaced when the staged copy is complete and clean; the refused staging
+    folder stays for inspection."""
     staging = f"{staging_root or target + '.__staging'}/{uuid.uuid4().hex[:12]}"
-    rows = write_table(df, staging, contract, mode="overwrite", partition_by=partition_by)
+    measures: dict[str, int] = {}
+    rows = write_table(df, staging, contract, mode="overwrite", partition_by=partition_by,
+                       checks=checks, measures=measures)
+    bad = {k: v for k, v in measures.items() if v}
+    if bad:
+        detail = "; ".join(f"{k}: {v}/{rows}" for k, v in sorted(bad.items()))
+        raise PublishRefused(f"not published, staged at {staging}: {detail}")
     if validate is not None:
         validate(df.sparkSession.read.parquet(staging))
     swap_in(df.sparkSession, staging, target)

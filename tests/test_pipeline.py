@@ -97,7 +97,8 @@ def test_fail_mode_refuses_to_publish_a_null_date(spark, tmp_path):
     src = adapter.source_tables(spark, SF001)
     src["trajet"] = src["trajet"].withColumn(
         "date_depart", F.when(F.col("id_trajet") == 1, F.lit(None)).otherwise(F.col("date_depart")))
-    with pytest.raises(quality.QualityGateError, match="d13_not_null:date_key"):
+    from starfold.sources.writers import PublishRefused
+    with pytest.raises(PublishRefused, match="d13_not_null:date_key: 1/1415"):
         pipeline.run(spark, src, LoadConfig(target=str(tmp_path), gate="off"))
     assert not os.path.exists(f"{tmp_path}/fact_trajet")
 
