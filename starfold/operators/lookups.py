@@ -47,13 +47,17 @@ class Lookup:
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       known_rows: int | None = None, force: bool | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven under ``max_rows``."""
-    if force is False:
-        return df
+    """Broadcast ``df`` only when its row count is proven under ``max_rows``.
+
+    Otherwise the side is hinted for a shuffled sort-merge join, so neither a
+    file-size estimate nor a session default can broadcast a side that grows
+    with the data (AQE still splits skewed partitions of that join)."""
     if force is True:
         return F.broadcast(df)
+    if force is False:
+        return df.hint("shuffle_merge")
     rows = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if rows <= max_rows else df
+    return F.broadcast(df) if rows <= max_rows else df.hint("shuffle_merge")
 
 
 def _attach(fact: DataFrame, lk: Lookup, i: int, max_rows: int) -> DataFrame:
