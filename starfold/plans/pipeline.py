@@ -14,6 +14,7 @@ re-runs reservations, whose foreign key points at trip keys.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from dataclasses import dataclass, field
 
@@ -22,7 +23,9 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.calendar import calendar_dimension, calendar_spanning, insert_if_absent
-from ..sources.writers import path_exists, publish, write_table
+from pyspark.sql import types as T
+
+from ..sources.writers import path_exists, publish, with_load_ts, write_table
 from . import dims, facts, quality
 
 CONSTRAINT_MODES = ("fail", "quarantine")
@@ -35,7 +38,10 @@ class LoadConfig:
     constraints: str = "fail"                    # fail | quarantine
     gate: str = "full"                           # full | basic | report | off
     max_broadcast_rows: int = 2_000_000
+    load_ts: bool = True                         # K5: add load_ts (one value per run)
     report: list[dict] = field(default_factory=list)
+    run_ts: str = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc)
+                        .strftime("%Y-%m-%d %H:%M:%S"))
 
     def path(self, table: str) -> str:
         return f"{self.target.rstrip('/')}/{table}"
@@ -64,12 +70,22 @@ def _quarantine(df: DataFrame, spec: schemas.TableSpec) -> DataFrame:
                                            lambda x: x.isNotNull()))
 
 
+def _contract(spec: schemas.TableSpec, cfg: LoadConfig):
+    if not cfg.load_ts:
+        return spec.schema
+    return T.StructType(spec.schema.fields + [T.StructField("load_ts", T.TimestampType())])
+
+
+def _stamp(df: DataFrame, cfg: LoadConfig) -> DataFrame:
+    return with_load_ts(df, cfg.run_ts) if cfg.load_ts else df
+
+
 def load_dimension(spark: SparkSession, source: DataFrame, name: str, cfg: LoadConfig) -> int:
     t0 = time.time()
     spec = schemas.WAREHOUSE[name]
     build = {"dim_client": dims.dim_client, "dim_gare": dims.dim_gare,
              "dim_train": dims.dim_train}[name]
-    rows = publish(build(source), cfg.path(name), spec.schema,
+    rows = publish(_stamp(build(source), cfg), cfg.path(name), _contract(spec, cfg),
                    checks=_checks(spec) if cfg.constraints == "fail" else None)
     _log(cfg, name, rows, t0)
     return rows
@@ -109,7 +125,7 @@ def _rows(cfg: LoadConfig, name: str) -> int | None:
 
 def _load_fact(spark, name, ok, bad, cfg, t0):
     spec = schemas.WAREHOUSE[name]
-    rows = publish(ok, cfg.path(name), spec.schema,
+    rows = publish(_stamp(ok, cfg), cfg.path(name), _contract(spec, cfg),
                    checks=_checks(spec) if cfg.constraints == "fail" else None)
     rejected = publish(bad, cfg.path(name + "_rejected"))
     _log(cfg, name, rows, t0, rejected)
@@ -140,6 +156,13 @@ def load_fact_reservation(spark: SparkSession, reservation: DataFrame, cfg: Load
     return _load_fact(spark, "fact_reservation", ok, bad, cfg, t0)
 
 
+def reload_trips(spark: SparkSession, sources: dict[str, DataFrame], cfg: LoadConfig) -> None:
+    """K3: a retry of the trip load.  Trip keys may move, and reservations
+    point at trip keys, so reservations are rebuilt with them."""
+    load_fact_trajet(spark, sources["trajet"], cfg)
+    load_fact_reservation(spark, sources["reservation"], cfg)
+
+
 def _finish(ok, bad, source, spec, cfg):
     """In quarantine mode, constraint violations join the rejects before the
     accepted rows are numbered."""

@@ -67,17 +67,25 @@ def test_rerun_gives_identical_tables(loaded, tmp_path):
     cfg = LoadConfig(target=str(tmp_path), gate="off")
     pipeline.run(spark, src, cfg)
     for name in schemas.LOAD_ORDER:
-        a = spark.read.parquet(f"{target}/{name}")
-        b = spark.read.parquet(f"{tmp_path}/{name}")
+        a = spark.read.parquet(f"{target}/{name}").drop("load_ts")
+        b = spark.read.parquet(f"{tmp_path}/{name}").drop("load_ts")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
 
 
-def test_step_rerun_replaces_its_table(loaded):
+def test_load_ts_is_one_value_per_run(loaded):
+    spark, target, *_ = loaded
+    ft = spark.read.parquet(f"{target}/fact_trajet")
+    assert ft.columns[-1] == "load_ts"
+    assert ft.select(F.count_distinct("load_ts")).first()[0] == 1
+
+
+def test_step_rerun_replaces_its_table_and_cascades(loaded):
     spark, target, src, _ = loaded
     cfg = LoadConfig(target=target, gate="off")
-    cfg.report = [{"table_name": n, "rows": None} for n in ("dim_train", "dim_gare")]
-    assert pipeline.load_fact_trajet(spark, src["trajet"], cfg) == TRIPS_OK
+    pipeline.reload_trips(spark, src, cfg)
     assert spark.read.parquet(f"{target}/fact_trajet").count() == TRIPS_OK
+    assert spark.read.parquet(f"{target}/fact_reservation").count() == RES_OK
+    assert [r["table_name"] for r in cfg.report] == ["fact_trajet", "fact_reservation"]
 
 
 def test_quarantine_mode_moves_constraint_violations(spark, tmp_path):
