@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # About 64 MB of (long, long) pairs in a broadcast hash relation.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
@@ -52,19 +53,44 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     Otherwise the side is hinted for a shuffled sort-merge join, so neither a
     file-size estimate nor a session default can broadcast a side that grows
     with the data (AQE still splits skewed partitions of that join)."""
-    if force is True:
+    if should_broadcast(df, max_rows, known_rows, force):
         return F.broadcast(df)
-    if force is False:
-        return df.hint("shuffle_merge")
+    return df.hint("shuffle_merge")
+
+
+def should_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                     known_rows: int | None = None, force: bool | None = None) -> bool:
+    if force is not None:
+        return force
     rows = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if rows <= max_rows else df.hint("shuffle_merge")
+    return rows <= max_rows
+
+
+def _spread_nulls(fact: DataFrame, column: str, nk: str, flag: str) -> DataFrame | None:
+    """Join key columns for a shuffled lookup: a null key cannot match, so it
+    is replaced by a hash of the row (and flagged) to spread null rows over
+    all partitions instead of sending them to one task."""
+    dtype = fact.schema[column].dataType
+    if not isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
+                              T.StringType)):
+        return None
+    salt = F.xxhash64(*[F.col(c) for c in fact.columns]).cast(dtype)
+    return fact.withColumns({nk: F.coalesce(F.col(column), salt),
+                             flag: F.col(column).isNull()})
 
 
 def _attach(fact: DataFrame, lk: Lookup, i: int, max_rows: int) -> DataFrame:
-    nk = f"_sf_nk{i}"
+    nk, flag = f"_sf_nk{i}", f"_sf_null{i}"
     m = lk.key_map.select(F.col(lk.natural_key).alias(nk), F.col(lk.surrogate_key).alias(lk.out))
-    m = bounded_broadcast(m, max_rows, lk.known_rows, lk.broadcast)
-    return fact.join(m, fact[lk.fact_column] == F.col(nk), "left").drop(nk)
+    if should_broadcast(m, max_rows, lk.known_rows, lk.broadcast):
+        return fact.join(F.broadcast(m), fact[lk.fact_column] == F.col(nk), "left").drop(nk)
+    m = m.hint("shuffle_merge")
+    spread = _spread_nulls(fact, lk.fact_column, f"_sf_fk{i}", f"_sf_fnull{i}")
+    if spread is None:
+        return fact.join(m, fact[lk.fact_column] == F.col(nk), "left").drop(nk)
+    m = m.withColumn(flag, F.lit(False))
+    cond = (spread[f"_sf_fk{i}"] == m[nk]) & (spread[f"_sf_fnull{i}"] == m[flag])
+    return spread.join(m, cond, "left").drop(nk, flag, f"_sf_fk{i}", f"_sf_fnull{i}")
 
 
 def resolve_with_reasons(fact: DataFrame, lookups: Sequence[Lookup],
@@ -115,8 +141,15 @@ def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str
     orphan, as in ``LEFT JOIN ... WHERE parent.key IS NULL``).  An anti-join
     is set-based, so the parent keys need no de-duplication."""
     p = parent.select(F.col(parent_col).alias("_sf_pk"))
-    p = bounded_broadcast(p, max_broadcast_rows, known_rows, broadcast)
-    return child.join(p, child[child_col] == F.col("_sf_pk"), "left_anti")
+    if should_broadcast(p, max_broadcast_rows, known_rows, broadcast):
+        return child.join(F.broadcast(p), child[child_col] == F.col("_sf_pk"), "left_anti")
+    p = p.hint("shuffle_merge")
+    spread = _spread_nulls(child, child_col, "_sf_ck", "_sf_cnull")
+    if spread is None:
+        return child.join(p, child[child_col] == F.col("_sf_pk"), "left_anti")
+    p = p.withColumn("_sf_pnull", F.lit(False))
+    cond = (spread["_sf_ck"] == p["_sf_pk"]) & (spread["_sf_cnull"] == p["_sf_pnull"])
+    return spread.join(p, cond, "left_anti").drop("_sf_ck", "_sf_cnull")
 
 
 def temporal_violations(left: DataFrame, right: DataFrame, on: str | Sequence[str],

@@ -3,6 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from starfold.operators.lookups import (FkCheck, Lookup, fk_audit, orphans, resolve_keys,
+                                        resolve_with_reasons,
                                         split_resolved, temporal_violations)
 from starfold.plans import facts
 
@@ -103,3 +104,21 @@ def test_fk_audit(spark):
               "p": spark.createDataFrame([(1,)], "id int")}
     rows = fk_audit(tables, [FkCheck("c", "p", "p", "id")]).collect()
     assert rows[0].orphans == 2
+
+
+def test_null_keys_spread_in_shuffled_lookup(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        fact = spark.range(0, 3000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 100).alias("k"),
+            F.col("id").alias("v"))
+        m = spark.range(0, 50).select(F.col("id").alias("nk"), (F.col("id") * 10).alias("sk"))
+        r = resolve_with_reasons(fact, [Lookup("x", m, "nk", "sk", "k", broadcast=False)])
+        assert r.filter(F.size("reject_reasons") == 0).count() == 1000
+        per_task = (r.filter(F.col("k").isNull()).groupBy(F.spark_partition_id()).count()
+                    .collect())
+        assert len(per_task) > 1 and max(x[1] for x in per_task) < 1000
+        o = orphans(fact, "k", m, "nk", broadcast=False)
+        assert o.count() == 2000 and o.columns == ["k", "v"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
