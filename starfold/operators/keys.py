@@ -10,8 +10,12 @@ putting the table in one partition:
 3. a bucket holding more than ``max_bucket_rows`` rows is split again with a
    shift ``fan_bits`` smaller, down to the exact key value, so no bucket -- and
    no window task -- is larger than the bound, even when one key range holds a
-   third of the table.  A bucket path is an array, compared lexicographically,
-   which keeps the bucket order equal to the key order;
+   third of the table.  A bucket still heavy at an exact leading value (a hot
+   value of a non-unique leading column) is split further on the next
+   integral, date or timestamp order column, and so on.  A bucket path is an
+   array, compared lexicographically, which keeps the bucket order equal to
+   the key order.  Only when the remaining order columns cannot be bucketed
+   (text, floating point) is a heavy bucket ranked in one task;
 4. a running sum over the (small, bounded) bucket-count table gives each
    bucket's offset; it is broadcast when its row count is under the limit;
 5. ``row_number`` partitioned by bucket, ordered by the full tuple, plus the
@@ -55,12 +59,15 @@ def assign_dense_key(df: DataFrame, order_cols: Sequence[str], key_col: str,
                      start: int = 1, *, max_bucket_rows: int = 1 << 22,
                      top_bits: int = 20, fan_bits: int = 10,
                      single_task_rows: int = 1 << 20,
-                     max_broadcast_rows: int = 1 << 22) -> DataFrame:
+                     max_broadcast_rows: int = 1 << 22,
+                     report: dict | None = None) -> DataFrame:
     """Add ``key_col`` = start, start+1, ... in ``order_cols`` order.
 
     The tuple should be unique (run the uniqueness rule first): equal tuples
     get distinct but arbitrary numbers.  The first column must be integral,
-    date or timestamp; the others may be of any orderable type.
+    date or timestamp; the others may be of any orderable type.  ``report``,
+    when given, receives the bucket count, the refinement depth and the
+    largest bucket (the largest window task).
     """
     order_cols = list(order_cols)
     if not order_cols:
@@ -74,32 +81,61 @@ def assign_dense_key(df: DataFrame, order_cols: Sequence[str], key_col: str,
     if st["n"] == 0:
         return df.withColumn(key_col, F.lit(None).cast("long"))
     if st["n"] <= single_task_rows:
+        if report is not None:
+            report.update({"buckets": 1, "depth": 0, "largest_bucket": st["n"]})
         # Proven small: one ordered window is cheaper than the bucket passes.
         w = Window.orderBy(*order)
         return df.withColumn(key_col, F.row_number().over(w).cast("long") + F.lit(start - 1))
 
     ensure_checkpoint_dir(spark)
-    lo, hi = st["lo"], st["hi"]
-    span = (hi - lo) if lo is not None else 0
-    s0 = max(0, span.bit_length() - top_bits)
-    shifts = list(range(s0, -1, -fan_bits))
-    if shifts[-1] != 0:
-        shifts.append(0)
-    rel = lead - F.lit(lo if lo is not None else 0)
-
-    def component(shift: int) -> Column:
+    # Refinement levels: (relative key column, shift).  The leading column is
+    # cut from coarse to exact; when a bucket is still heavy at an exact
+    # value (a hot leading value), the next integral order column continues.
+    levels: list[tuple[Column, int]] = []
+    next_col = [0]
+
+    def add_levels(lo, hi, expr: Column, first: bool) -> None:
+        span = (hi - lo) if lo is not None else 0
+        top = max(0, span.bit_length() - (top_bits if first else fan_bits))
+        shifts = list(range(top, -1, -fan_bits))
+        if shifts[-1] != 0:
+            shifts.append(0)
+        rel = expr - F.lit(lo if lo is not None else 0)
+        levels.extend((rel, sh) for sh in shifts)
+
+    def extend() -> bool:
+        """Add the levels of the next order column that can be bucketed."""
+        while next_col[0] < len(order_cols):
+            name = order_cols[next_col[0]]
+            next_col[0] += 1
+            try:
+                expr = _lead_as_long(df, name)
+            except TypeError:
+                return False      # ranked within the heavy bucket (see module doc)
+            b = df.agg(F.min(expr).alias("lo"), F.max(expr).alias("hi")).first()
+            add_levels(b["lo"], b["hi"], expr, first=False)
+            return True
+        return False
+
+    add_levels(st["lo"], st["hi"], lead, first=True)
+    next_col[0] = 1
+
+    def component(level: int) -> Column:
+        rel, shift = levels[level]
         # Null keys sort first, as in ORDER BY ... ASC NULLS FIRST.
         return F.coalesce(F.shiftright(rel, shift), F.lit(-1).cast("long"))
 
-    data = df.withColumn(_PATH, F.array(component(shifts[0])))
+    data = df.withColumn(_PATH, F.array(component(0)))
     counts = (data.groupBy(_PATH).agg(F.count(F.lit(1)).alias(_N))
               .checkpoint(eager=True))
     finished: list[DataFrame] = []
     depth = 0
-    while depth + 1 < len(shifts):
+    while True:
         heavy = counts.filter(F.col(_N) > max_bucket_rows).select(_PATH)
         if heavy.isEmpty():
             break
+        if depth + 1 >= len(levels) and not extend():
+            break
         finished.append(counts.filter(F.col(_N) <= max_bucket_rows))
         depth += 1
         # Each heavy bucket holds more than max_bucket_rows rows, so the heavy
@@ -107,8 +143,7 @@ def assign_dense_key(df: DataFrame, order_cols: Sequence[str], key_col: str,
         flagged = F.broadcast(heavy.withColumn(_HEAVY, F.lit(True)))
         data = (data.join(flagged, _PATH, "left")
                 .withColumn(_PATH, F.when(F.col(_HEAVY),
-                                          F.concat(F.col(_PATH),
-                                                   F.array(component(shifts[depth]))))
+                                          F.concat(F.col(_PATH), F.array(component(depth))))
                             .otherwise(F.col(_PATH)))
                 .drop(_HEAVY))
         counts = (data.filter(F.size(_PATH) == depth + 1)
@@ -125,6 +160,9 @@ def assign_dense_key(df: DataFrame, order_cols: Sequence[str], key_col: str,
     offsets = (all_counts.withColumn(_OFF, F.sum(_N).over(running) - F.col(_N))
                .select(_PATH, _OFF).checkpoint(eager=True))
     n_buckets = offsets.count()
+    if report is not None:
+        report.update({"buckets": n_buckets, "depth": depth,
+                       "largest_bucket": all_counts.agg(F.max(_N)).first()[0]})
     offsets_side = F.broadcast(offsets) if n_buckets <= max_broadcast_rows else offsets
 
     w = Window.partitionBy(_PATH).orderBy(*order)
