@@ -44,19 +44,33 @@ def reservation_lookups(dim_client_map: DataFrame, fact_trajet_map: DataFrame,
     ]
 
 
-def _fact(source: DataFrame, date_col: str, lookups: list[Lookup], spec: schemas.TableSpec,
-          with_keys: bool, max_broadcast_rows: int, key_start: int = 1
-          ) -> tuple[DataFrame, DataFrame]:
+def resolve(source: DataFrame, date_col: str, lookups: list[Lookup],
+            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """G4 + J8: every source row with its date key, its surrogate keys and
+    the lookups that failed -- one plan for accepted and rejected rows."""
     staged = source.withColumn("date_key", date_key(date_col))
-    resolved = resolve_with_reasons(staged, lookups, max_broadcast_rows)
+    return resolve_with_reasons(staged, lookups, max_broadcast_rows)
+
+
+def split(resolved: DataFrame, source_columns: list[str], spec: schemas.TableSpec,
+          with_keys: bool = True, key_start: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(accepted rows in the contract, numbered after rejection; rejected
+    rows with their source columns and reasons)."""
     ok = project(accepted(resolved), spec.without(spec.surrogate_key))
     if with_keys:
         ok = project(assign_dense_key(ok, list(spec.natural_key), spec.surrogate_key,
                                       start=key_start), spec.schema)
-    bad = rejected(resolved).select(*source.columns, REASONS)
+    bad = rejected(resolved).select(*source_columns, REASONS)
     return ok, bad
 
 
+def _fact(source: DataFrame, date_col: str, lookups: list[Lookup], spec: schemas.TableSpec,
+          with_keys: bool, max_broadcast_rows: int, key_start: int = 1
+          ) -> tuple[DataFrame, DataFrame]:
+    resolved = resolve(source, date_col, lookups, max_broadcast_rows)
+    return split(resolved, source.columns, spec, with_keys, key_start)
+
+
 def fact_trajet(trajet: DataFrame, dim_train_map: DataFrame, dim_gare_map: DataFrame,
                 with_keys: bool = True, train_rows: int | None = None,
                 gare_rows: int | None = None,

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,8 @@ from .. import schemas
 from ..operators.calendar import calendar_dimension, calendar_spanning, insert_if_absent
 from pyspark.sql import types as T
 
-from ..sources.writers import path_exists, publish, with_load_ts, write_table
+from ..operators.lookups import REASONS
+from ..sources.writers import path_exists, publish, remove, with_load_ts, write_table
 from . import dims, facts, quality
 
 CONSTRAINT_MODES = ("fail", "quarantine")
@@ -61,7 +63,6 @@ def _checks(spec: schemas.TableSpec) -> dict[str, str]:
 
 def _quarantine(df: DataFrame, spec: schemas.TableSpec) -> DataFrame:
     """Constraint violations of the non-key columns as extra reject reasons."""
-    from ..operators.lookups import REASONS
     extra = [F.when(F.col(c).isNull(), F.lit(f"not_null:{c}"))
              for c in spec.not_null if c != spec.surrogate_key and c in df.columns]
     extra += [F.when(~F.coalesce(F.expr(ck.predicate), F.lit(True)), F.lit(f"check:{ck.name}"))
@@ -123,11 +124,31 @@ def _rows(cfg: LoadConfig, name: str) -> int | None:
     return None
 
 
-def _load_fact(spark, name, ok, bad, cfg, t0):
+def _load_fact(spark: SparkSession, name: str, source: DataFrame, date_col: str,
+               lookups, cfg: LoadConfig, t0: float) -> int:
+    """Resolve once, stage, number, publish.
+
+    The resolution (all lookups, including the shuffled fact-to-fact join) is
+    computed ONCE and written to a work folder partitioned by accepted /
+    rejected.  Key numbering then reads that parquet: its statistics and
+    bucket-count passes read only the key column, and the join is never
+    recomputed.  The work folder also cuts the lineage of the step."""
     spec = schemas.WAREHOUSE[name]
+    work = cfg.path(f"_work/{name}_{uuid.uuid4().hex[:12]}")
+    resolved = facts.resolve(source, date_col, lookups, cfg.max_broadcast_rows)
+    write_table(resolved.withColumn("sf_accepted", (F.size(REASONS) == 0).cast("int")), work,
+                mode="overwrite", partition_by=["sf_accepted"])
+    staged = spark.read.parquet(work)
+    part = F.col("sf_accepted") == 1     # partition column: each side reads its folder
+    ok, _ = facts.split(staged.filter(part).drop("sf_accepted"), source.columns, spec,
+                        with_keys=cfg.constraints == "fail")
+    _, bad = facts.split(staged.filter(~part).drop("sf_accepted"), source.columns, spec,
+                         with_keys=False)
+    ok, bad = _finish(ok, bad, source, spec, cfg)
     rows = publish(_stamp(ok, cfg), cfg.path(name), _contract(spec, cfg),
                    checks=_checks(spec) if cfg.constraints == "fail" else None)
     rejected = publish(bad, cfg.path(name + "_rejected"))
+    remove(spark, work)
     _log(cfg, name, rows, t0, rejected)
     return rows
 
@@ -136,24 +157,20 @@ def load_fact_trajet(spark: SparkSession, trajet: DataFrame, cfg: LoadConfig) ->
     """J4 over the published dimensions, then publication of accepted and
     rejected trips."""
     t0 = time.time()
-    ok, bad = facts.fact_trajet(
-        trajet, _key_map(spark, cfg, "dim_train"), _key_map(spark, cfg, "dim_gare"),
-        with_keys=cfg.constraints == "fail", train_rows=_rows(cfg, "dim_train"),
-        gare_rows=_rows(cfg, "dim_gare"), max_broadcast_rows=cfg.max_broadcast_rows)
-    ok, bad = _finish(ok, bad, trajet, schemas.FACT_TRAJET, cfg)
-    return _load_fact(spark, "fact_trajet", ok, bad, cfg, t0)
+    lookups = facts.trip_lookups(_key_map(spark, cfg, "dim_train"),
+                                 _key_map(spark, cfg, "dim_gare"),
+                                 _rows(cfg, "dim_train"), _rows(cfg, "dim_gare"))
+    return _load_fact(spark, "fact_trajet", trajet, "date_depart", lookups, cfg, t0)
 
 
 def load_fact_reservation(spark: SparkSession, reservation: DataFrame, cfg: LoadConfig) -> int:
     """J5 over the published client dimension and trip fact."""
     t0 = time.time()
-    trip_map = _key_map(spark, cfg, "fact_trajet")
-    ok, bad = facts.fact_reservation(
-        reservation, _key_map(spark, cfg, "dim_client"), trip_map,
-        with_keys=cfg.constraints == "fail", client_rows=_rows(cfg, "dim_client"),
-        max_broadcast_rows=cfg.max_broadcast_rows)
-    ok, bad = _finish(ok, bad, reservation, schemas.FACT_RESERVATION, cfg)
-    return _load_fact(spark, "fact_reservation", ok, bad, cfg, t0)
+    lookups = facts.reservation_lookups(_key_map(spark, cfg, "dim_client"),
+                                        _key_map(spark, cfg, "fact_trajet"),
+                                        _rows(cfg, "dim_client"))
+    return _load_fact(spark, "fact_reservation", reservation, "date_reservation", lookups,
+                      cfg, t0)
 
 
 def reload_trips(spark: SparkSession, sources: dict[str, DataFrame], cfg: LoadConfig) -> None:
@@ -170,7 +187,6 @@ def _finish(ok, bad, source, spec, cfg):
         return ok, bad
     from ..operators.contract import project
     from ..operators.keys import assign_dense_key
-    from ..operators.lookups import REASONS
     marked = _quarantine(ok.withColumn(REASONS, F.array().cast("array<string>")), spec)
     good = marked.filter(F.size(REASONS) == 0).drop(REASONS)
     good = project(assign_dense_key(good, list(spec.natural_key), spec.surrogate_key),

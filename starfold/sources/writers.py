@@ -68,6 +68,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a work folder once its step is published."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def swap_in(spark: SparkSession, staging: str, target: str) -> None:
     """Replace ``target`` by ``staging``: the old table is moved aside, the new
     one renamed in, and the old one deleted only after the rename worked."""
