@@ -58,12 +58,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, creating a scratch one only when unset
-    (local runs and tests)."""
+    """Return the checkpoint folder the cluster names.  Only a local-mode
+    session (tests, a laptop) without one gets a scratch folder; on a cluster
+    a machine-local folder would not survive the loss of an executor, so an
+    unset ``spark.checkpoint.dir`` is an error there."""
     current = checkpoint_dir(spark)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                           "(HDFS, S3, ...) for lineage cuts")
     local = tempfile.mkdtemp(prefix="starfold-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
