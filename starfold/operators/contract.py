@@ -39,3 +39,22 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 def derive(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     """Add or replace several columns in one projection."""
     return df.withColumns(dict(columns))
+
+
+def cast_with_reasons(df: DataFrame, contract: T.StructType, reasons: str = "reject_reasons",
+                      keep: Sequence[str] = ()) -> DataFrame:
+    """F9 feeding J8: cast every contract column with ``try_cast``; a value
+    that was present but does not fit the type becomes null and adds
+    ``cast:<column>`` to the row's reasons (instead of failing the job, as a
+    plain cast does under ANSI mode).  ``keep`` columns pass through."""
+    cols, flags = [], []
+    for f in contract.fields:
+        src = F.col(f.name) if f.name in df.columns else F.lit(None)
+        typed = src.try_cast(f.dataType)
+        cols.append(typed.alias(f.name))
+        if f.name in df.columns:
+            flags.append(F.when(src.isNotNull() & typed.isNull(), F.lit(f"cast:{f.name}")))
+    prior = F.col(reasons) if reasons in df.columns else F.array().cast("array<string>")
+    found = F.filter(F.array(*flags), lambda x: x.isNotNull()) if flags else \
+        F.array().cast("array<string>")
+    return df.select(*cols, *keep, F.concat(prior, found).alias(reasons))

@@ -1,12 +1,12 @@
 """Sources and sinks: parquet / CSV / TSV / JDBC readers and writers."""
 
 from .readers import (jdbc_options, malformed, order_key, read_files, read_jdbc,
-                      read_key_map, read_table, stage_files, with_batches)
+                      read_key_map, read_table, stage_files, with_batches, ingest_files)
 from .writers import (count_null_markers, path_exists, publish, read_tsv, swap_in,
                       with_load_ts, write_table, write_tsv)
 
 __all__ = [
-    "count_null_markers", "jdbc_options", "malformed", "order_key", "path_exists", "publish",
+    "count_null_markers", "ingest_files", "jdbc_options", "malformed", "order_key", "path_exists", "publish",
     "read_files", "read_jdbc", "read_key_map", "read_table", "read_tsv", "stage_files",
     "swap_in",
     "with_batches", "with_load_ts", "write_table", "write_tsv",

@@ -132,3 +132,37 @@ def read_key_map(spark: SparkSession, path: str, natural_key: str, surrogate_key
     """The two key columns of a loaded table; column pruning reads only
     those two columns from the files."""
     return spark.read.parquet(path).select(natural_key, surrogate_key)
+
+
+def ingest_files(spark: SparkSession, paths: Sequence[str], spec: schemas.TableSpec,
+                 staging: str, fmt: str = "csv", options: Mapping[str, str] | None = None
+                 ) -> tuple[DataFrame, dict]:
+    """All files of one source table (e.g. one per year) parsed in ONE
+    scan as text, saved once, then typed with ``try_cast``.  Returns the typed
+    rows (with ``reject_reasons``: malformed line, failed casts) and a report:
+    rows, malformed rows, rows with a failed cast, and natural keys seen more
+    than once across the files (ids must be unique over all years)."""
+    from ..operators.contract import cast_with_reasons
+    from ..operators.profile import uniqueness
+
+    text = T.StructType([T.StructField(f.name, T.StringType(), True)
+                         for f in spec.schema.fields])
+    staged = stage_files(spark, paths, text, staging, fmt, options)
+    bad_line = F.col(CORRUPT).isNotNull()
+    # A malformed line's fields are unreliable: keep its raw text only.
+    marked = staged.select(
+        *[F.when(bad_line, F.lit(None)).otherwise(F.col(f.name)).alias(f.name)
+          for f in text.fields],
+        F.col(CORRUPT),
+        F.when(bad_line, F.array(F.lit("malformed")))
+        .otherwise(F.array().cast("array<string>")).alias("reject_reasons"))
+    typed = cast_with_reasons(marked, spec.schema, keep=[CORRUPT])
+    agg = typed.agg(F.count(F.lit(1)).alias("rows"),
+                    F.count_if(F.array_contains("reject_reasons", "malformed")).alias("malformed"),
+                    F.count_if(F.exists("reject_reasons", lambda r: r.startswith("cast:")))
+                    .alias("cast_failures")).first()
+    dup = uniqueness(typed.filter(F.size("reject_reasons") == 0),
+                     list(spec.natural_key)).first()
+    report = {"rows": agg["rows"], "malformed": agg["malformed"],
+              "cast_failures": agg["cast_failures"], "duplicate_keys": dup["duplicated_keys"]}
+    return typed, report

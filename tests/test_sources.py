@@ -106,3 +106,23 @@ def test_read_table_with_catalog_schema(spark):
 def test_load_ts(spark):
     df = with_load_ts(spark.range(2), "2024-01-01 00:00:00")
     assert df.select(F.count_distinct("load_ts")).first()[0] == 1
+
+
+def test_yearly_files_ingest_types_rejects_and_duplicates(spark, scratch):
+    from starfold.sources import ingest_files
+    body = {2021: "1,10,1,1,2021-01-03,08:00:00,09:00:00,120,OK\n"
+                  "2,10,1,2,2021-02-03,08:00:00,09:00:00,abc,OK\n",
+            2022: "3,11,2,1,2022-05-06,10:00:00,11:30:00,90,OK\n"
+                  "1,11,2,1,2022-05-07,10:00:00,11:30:00,90,OK\n",
+            2023: "4,12,1,2,not-a-date,07:00:00,08:00:00,50,OK\n\"unclosed,1\n"}
+    paths = []
+    for year, text in body.items():
+        p = os.path.join(scratch, f"TRAJET_{year}.csv")
+        open(p, "w").write(text)
+        paths.append(p)
+    typed, rep = ingest_files(spark, paths, schemas.TRAJET, os.path.join(scratch, "stg"))
+    assert rep == {"rows": 6, "malformed": 1, "cast_failures": 2, "duplicate_keys": 1}
+    reasons = {r.id_trajet: list(r.reject_reasons) for r in typed.collect()
+               if r.id_trajet is not None}
+    assert reasons[2] == ["cast:distance_km"] and reasons[4] == ["cast:date_depart"]
+    assert typed.schema["date_depart"].dataType == T.DateType()
