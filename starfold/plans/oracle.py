@@ -354,6 +354,15 @@ SELECT CAST(mx + row_number() OVER (ORDER BY id_client) AS INTEGER) AS client_ke
     "e1_fact_reservation": with_warehouse("SELECT * FROM fact_reservation"),
 }
 
+ORACLE["g1_date_series"] = """SELECT CAST(unnest(generate_series(CAST(min(o_orderdate) AS DATE),
+  CAST(max(o_orderdate) AS DATE), INTERVAL 1 DAY)) AS DATE) AS full_date FROM orders"""
+ORACLE["s2_batches"] = with_warehouse(
+    "SELECT id_trajet, CAST((row_number() OVER (ORDER BY id_trajet) - 1) // 1000 AS BIGINT)"
+    " AS batch FROM trajet_src")
+ORACLE["s7_key_map"] = with_warehouse("SELECT id_train, train_key FROM dim_train")
+ORACLE["e3_batch_keys"] = """SELECT CAST(year(o_orderdate) AS INTEGER) AS batch, o_orderkey,
+  CAST(row_number() OVER (ORDER BY year(o_orderdate), o_orderkey) AS BIGINT) AS order_sk
+FROM orders"""
 ORACLE["a6_rates"] = report_sql([
     quality.RowRule("d5_null_service_year", "dim_gare", "annee_mise_en_service IS NULL", 0.05),
     quality.RowRule("d6_total_vs_price", "fact_reservation",

@@ -13,12 +13,13 @@ from .. import schemas
 from ..functions.dates import date_key
 from ..functions.predicates import is_all_lower, is_all_upper
 from ..functions.text import label_to_bool, normalize_city, normalize_sex, strip_ws
-from ..operators.calendar import calendar_spanning, insert_if_absent
+from ..operators.calendar import calendar_spanning, date_series_between, insert_if_absent
 from ..operators.keys import assign_dense_key, upsert_type1
 from ..operators.lookups import (FkCheck, Lookup, REASONS, fk_audit, orphans,
                                  resolve_keys, temporal_violations)
 from ..operators.profile import (batch_ranges, duplicate_keys, outside_domain,
                                  rule_counts, uniqueness)
+from ..sources.readers import with_batches
 from . import adapter, dims, facts, quality, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +88,31 @@ def g4_date_key(spark, sf_dir):
     return o.select("o_orderkey", date_key("o_orderdate").alias("date_key"))
 
 
+def g1_date_series(spark, sf_dir):
+    o = _t(spark, sf_dir, "orders").agg(F.min("o_orderdate").alias("lo"),
+                                        F.max("o_orderdate").alias("hi"))
+    return date_series_between(o, "lo", "hi")
+
+
+def s2_batches(spark, sf_dir):
+    """Batches of 1,000 trips in key order, as paging through ORDER BY would
+    cut them."""
+    return with_batches(_src(spark, sf_dir)["trajet"], "trajet", 1000).select(
+        "id_trajet", "batch")
+
+
+def s7_key_map(spark, sf_dir):
+    return dims.key_map(dims.dim_train(_src(spark, sf_dir)["train"]), schemas.DIM_TRAIN)
+
+
+def e3_batch_keys(spark, sf_dir):
+    """Keys of an incremental load by yearly batches: batch n continues from
+    the largest key of the batches before it, i.e. the dense rank by
+    (batch, natural key)."""
+    o = _t(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("batch"), "o_orderkey")
+    return assign_dense_key(o, ["batch", "o_orderkey"], "order_sk")
+
+
 # --------------------------------------------------------------------- joins
 def _customer_map(spark, sf_dir):
     c = _t(spark, sf_dir, "customer").select("c_custkey")
@@ -287,6 +313,10 @@ QUERIES: dict[str, Query] = {
     "g3_dense_key": g3_dense_key,
     "g3_dense_key_lineitem": g3_dense_key_lineitem,
     "g4_date_key": g4_date_key,
+    "g1_date_series": g1_date_series,
+    "s2_batches": s2_batches,
+    "s7_key_map": s7_key_map,
+    "e3_batch_keys": e3_batch_keys,
     "j1_resolve": j1_resolve,
     "j2_role_playing": j2_role_playing,
     "j3_fact_to_fact": j3_fact_to_fact,
