@@ -71,10 +71,18 @@ def _spread_nulls(fact: DataFrame, column: str, nk: str, flag: str) -> DataFrame
     is replaced by a hash of the row (and flagged) to spread null rows over
     all partitions instead of sending them to one task."""
     dtype = fact.schema[column].dataType
-    if not isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
-                              T.StringType)):
+    cols = [F.col(c) for c in fact.columns]
+    if isinstance(dtype, T.LongType):
+        salt = F.xxhash64(*cols)
+    elif isinstance(dtype, T.IntegerType):
+        salt = F.hash(*cols)
+    elif isinstance(dtype, (T.ShortType, T.ByteType)):
+        width = 1 << (15 if isinstance(dtype, T.ShortType) else 7)
+        salt = F.pmod(F.hash(*cols), F.lit(width)).cast(dtype)
+    elif isinstance(dtype, T.StringType):
+        salt = F.xxhash64(*cols).cast("string")
+    else:
         return None
-    salt = F.xxhash64(*[F.col(c) for c in fact.columns]).cast(dtype)
     return fact.withColumns({nk: F.coalesce(F.col(column), salt),
                              flag: F.col(column).isNull()})
 
