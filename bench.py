@@ -122,9 +122,14 @@ def main():
               flush=True)
     sf = re.search(r"sf([0-9.]+)", SF_DIR)
     value = round(sum(v for k, v in times.items() if k in headline), 3)
+    extra = {}
+    if "e1_load" in times:
+        src_rows = sum(df.count() for df in adapter.source_tables(spark, SF_DIR).values())
+        extra = {"e1_source_rows": src_rows,
+                 "e1_rows_per_sec": round(src_rows / times["e1_load"], 1)}
     print(json.dumps({"metric": "headline_median_sum", "value": value, "unit": "sec",
                       "queries": times, "sf": float(sf.group(1)) if sf else SF_DIR,
-                      "cpus": CPUS, "repeat": REPEAT}))
+                      "cpus": CPUS, "repeat": REPEAT, **extra}))
     spark.stop()
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,7 @@ class LoadConfig:
     gate: str = "full"                           # full | basic | report | off
     max_broadcast_rows: int = 2_000_000
     load_ts: bool = True                         # K5: add load_ts (one value per run)
+    parallel_steps: int = 4                      # independent steps run as concurrent jobs
     report: list[dict] = field(default_factory=list)
     run_ts: str = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc)
                         .strftime("%Y-%m-%d %H:%M:%S"))
@@ -216,9 +218,15 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], cfg: LoadConfig) ->
     """The whole load in dependency order, then the quality gate.
     Returns the load report (table, rows, rejected, seconds); the quality
     report is written next to the tables as ``_quality``."""
-    for name, src in (("dim_client", "client"), ("dim_gare", "gare"), ("dim_train", "train")):
-        load_dimension(spark, sources[src], name, cfg)
-    load_calendar(spark, sources, cfg)
+    # The dimensions and the calendar do not depend on each other: they run
+    # as concurrent Spark jobs (the scheduler shares the executors).
+    with ThreadPoolExecutor(max_workers=cfg.parallel_steps) as pool:
+        steps = [pool.submit(load_dimension, spark, sources[src], name, cfg)
+                 for name, src in (("dim_client", "client"), ("dim_gare", "gare"),
+                                   ("dim_train", "train"))]
+        steps.append(pool.submit(load_calendar, spark, sources, cfg))
+        for step in steps:
+            step.result()
     load_fact_trajet(spark, sources["trajet"], cfg)
     load_fact_reservation(spark, sources["reservation"], cfg)
     if cfg.gate != "off":
