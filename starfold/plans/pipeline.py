@@ -205,7 +205,8 @@ def quality_report(spark: SparkSession, cfg: LoadConfig, sources: dict[str, Data
     for name in ("dim_date",) + schemas.LOAD_ORDER:
         tables[name] = spark.read.parquet(cfg.path(name))
     for name in ("fact_trajet", "fact_reservation"):
-        tables[name + "_rejected"] = spark.read.parquet(cfg.path(name + "_rejected"))
+        if path_exists(spark, cfg.path(name + "_rejected")):
+            tables[name + "_rejected"] = spark.read.parquet(cfg.path(name + "_rejected"))
     # Rows written by this run are exact table sizes, except for the calendar,
     # which may have been appended to (it is counted instead).
     counts = {r["table_name"]: r["rows"] for r in cfg.report
@@ -214,6 +215,26 @@ def quality_report(spark: SparkSession, cfg: LoadConfig, sources: dict[str, Data
                             cfg.max_broadcast_rows, row_counts=counts)
 
 
+def purge(spark: SparkSession, cfg: LoadConfig) -> None:
+    """K2: empty the warehouse before a full reload -- facts first, then the
+    dimensions, with their rejects; the calendar is kept."""
+    for name in reversed(schemas.LOAD_ORDER):
+        for path in (cfg.path(name), cfg.path(name + "_rejected")):
+            remove(spark, path)
+
+
+def quality_check(spark: SparkSession, cfg: LoadConfig,
+                  sources: dict[str, DataFrame] | None = None, rules=None) -> list[dict]:
+    """E2's closing step, runnable alone on the published tables: evaluate
+    the rules (by default the closing checks: negative amounts, client
+    orphans, empty facts), write the report next to the tables, and raise
+    when a rule failed."""
+    rules = quality.gate_rules() if rules is None else rules
+    report = quality_report(spark, cfg, sources or {}, rules)
+    write_table(report, cfg.path("_quality"), mode="overwrite")
+    return quality.gate(spark.read.parquet(cfg.path("_quality")))
+
+
 def run(spark: SparkSession, sources: dict[str, DataFrame], cfg: LoadConfig) -> DataFrame:
     """The whole load in dependency order, then the quality gate.
     Returns the load report (table, rows, rejected, seconds); the quality

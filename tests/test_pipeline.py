@@ -144,3 +144,22 @@ def test_incremental_batches_equal_full_load(loaded, tmp_path):
     # batch key ranges do not overlap
     from starfold.operators.profile import batch_ranges
     assert batch_ranges(inc, "batch_id", "trajet_key").filter("overlaps_earlier").count() == 0
+
+
+def test_closing_quality_check_alone_and_purge(loaded, tmp_path):
+    spark, target, src, _ = loaded
+    cfg = LoadConfig(target=target)
+    rows = pipeline.quality_check(spark, cfg)       # the three closing checks pass
+    assert {r["rule"] for r in rows} == {"d7_negative_amount", "d11_orphan_client",
+                                         "d12_not_empty"}
+    # an empty reservation fact fails the closing check
+    other = LoadConfig(target=str(tmp_path))
+    pipeline.run(spark, src, LoadConfig(target=str(tmp_path), gate="off"))
+    empty = spark.read.parquet(f"{tmp_path}/fact_reservation").limit(0)
+    from starfold.sources.writers import publish
+    publish(empty, f"{tmp_path}/fact_reservation")
+    with pytest.raises(quality.QualityGateError, match="d12_not_empty on fact_reservation: 1/0"):
+        pipeline.quality_check(spark, other)
+    pipeline.purge(spark, other)
+    assert not os.path.exists(f"{tmp_path}/fact_trajet")
+    assert os.path.exists(f"{tmp_path}/dim_date")
