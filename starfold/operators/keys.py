@@ -48,9 +48,15 @@ def _lead_as_long(df: DataFrame, name: str) -> Column:
         return c.cast("long")
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("long")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")) if isinstance(dtype, T.TimestampNTZType) \
-            else F.unix_micros(c)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(dtype, T.TimestampNTZType):
+        # Wall-clock seconds, free of any time zone (a zone's daylight-saving
+        # gap would make a cast to an instant non-monotonic).  Buckets only
+        # need a monotonic value; rows within a second are ordered by the
+        # window itself.
+        return (F.unix_date(F.to_date(c)).cast("long") * 86400 + F.hour(c) * 3600
+                + F.minute(c) * 60 + F.second(c))
     raise TypeError(f"leading key column {name!r} must be integral, date or timestamp, "
                     f"not {dtype.simpleString()}")
 

@@ -161,10 +161,12 @@ def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str
 
 
 def temporal_violations(left: DataFrame, right: DataFrame, on: str | Sequence[str],
-                        later: Column) -> DataFrame:
+                        later: Column, broadcast_right: bool = False) -> DataFrame:
     """Inner equi-join with a residual inequality, e.g.
     ``reservation.date_key > trip.date_key``; Catalyst folds the inequality
-    into the join condition."""
+    into the join condition.  Both sides are facts, so the join is a
+    sort-merge join unless the caller proved the right side small."""
+    right = F.broadcast(right) if broadcast_right else right.hint("shuffle_merge")
     return left.join(right, on, "inner").filter(later)
 
 

@@ -209,7 +209,9 @@ def evaluate(tables: Mapping[str, DataFrame], rules: Iterable[Rule],
                                        r.tolerance)))
         elif isinstance(r, Later):
             child = tables[r.table].select(r.on, F.col(r.column).alias("_sf_c"))
-            parent = tables[r.parent].select(r.on, F.col(r.parent_column).alias("_sf_p"))
+            # fact-to-fact: the parent grows with the data, never broadcast it
+            parent = (tables[r.parent].select(r.on, F.col(r.parent_column).alias("_sf_p"))
+                      .hint("shuffle_merge"))
             hits = child.join(parent, r.on).filter(F.col("_sf_c") > F.col("_sf_p"))
             pending.append(hits.agg(*_row(r.rule, r.table, F.count(F.lit(1)), F.lit(None),
                                           r.tolerance)))

@@ -102,3 +102,19 @@ def test_hot_leading_value_continues_on_next_column(spark):
     assert (bad, n) == (0, 60000)
     # no window task above the bound, reached by splitting on the 2nd column
     assert rep["largest_bucket"] <= 2000 and rep["depth"] >= 1
+
+
+def test_timestamp_ntz_leading_column_across_a_dst_gap(spark):
+    # Wall-clock times around a spring-forward gap in a zone with DST.
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        import datetime as dt
+        base = dt.datetime(2024, 3, 31, 1, 0, 0)
+        df = spark.createDataFrame([(base + dt.timedelta(seconds=30 * i),) for i in range(400)],
+                                   "t timestamp_ntz")
+        got = assign_dense_key(df, ["t"], "k", single_task_rows=0, top_bits=3,
+                               max_bucket_rows=40)
+        bad, n = _diff(got, _global_rank(df, ["t"]), ["t"])
+        assert (bad, n) == (0, 400)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
