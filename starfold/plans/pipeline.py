@@ -27,7 +27,7 @@ from .. import schemas
 from ..operators.calendar import calendar_dimension, calendar_spanning, insert_if_absent
 from pyspark.sql import types as T
 
-from ..operators.lookups import REASONS
+from ..operators.lookups import REASONS, Lookup
 from ..sources.writers import path_exists, publish, remove, with_load_ts, write_table
 from . import dims, facts, quality
 
@@ -43,6 +43,7 @@ class LoadConfig:
     max_broadcast_rows: int = 2_000_000
     load_ts: bool = True                         # K5: add load_ts (one value per run)
     parallel_steps: int = 4                      # independent steps run as concurrent jobs
+    strict_calendar: bool = False                # reject fact dates outside dim_date
     report: list[dict] = field(default_factory=list)
     run_ts: str = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc)
                         .strftime("%Y-%m-%d %H:%M:%S"))
@@ -137,6 +138,14 @@ def _load_fact(spark: SparkSession, name: str, source: DataFrame, date_col: str,
     recomputed.  The work folder also cuts the lineage of the step."""
     spec = schemas.WAREHOUSE[name]
     work = cfg.path(f"_work/{name}_{uuid.uuid4().hex[:12]}")
+    if cfg.strict_calendar:
+        # The calendar as one more lookup: a date outside it is a reject
+        # reason.  By default such rows are kept and reported by the date
+        # foreign-key rule, as the reference accepts them.
+        cal = spark.read.parquet(cfg.path("dim_date")).select(
+            F.col("date_key").alias("_sf_cal_key"), F.lit(True).alias("_sf_in_calendar"))
+        lookups = list(lookups) + [Lookup("date", cal, "_sf_cal_key", "_sf_in_calendar",
+                                          "date_key")]
     resolved = facts.resolve(source, date_col, lookups, cfg.max_broadcast_rows)
     write_table(resolved.withColumn("sf_accepted", (F.size(REASONS) == 0).cast("int")), work,
                 mode="overwrite", partition_by=["sf_accepted"])

@@ -163,3 +163,30 @@ def test_closing_quality_check_alone_and_purge(loaded, tmp_path):
     pipeline.purge(spark, other)
     assert not os.path.exists(f"{tmp_path}/fact_trajet")
     assert os.path.exists(f"{tmp_path}/dim_date")
+
+
+def _with_out_of_calendar_trip(spark):
+    src = adapter.source_tables(spark, SF001)
+    src["trajet"] = src["trajet"].withColumn(
+        "date_depart", F.when(F.col("id_trajet") == 1, F.lit("2030-01-01").cast("date"))
+        .otherwise(F.col("date_depart")))
+    return src
+
+
+def test_out_of_calendar_date_is_kept_and_reported(spark, tmp_path):
+    src = _with_out_of_calendar_trip(spark)
+    cfg = LoadConfig(target=str(tmp_path), gate="report", calendar=("1995-01-01", "2001-12-31"))
+    pipeline.run(spark, src, cfg)
+    assert spark.read.parquet(f"{tmp_path}/fact_trajet").count() == TRIPS_OK
+    rep = {(r.rule, r.table_name): r for r in spark.read.parquet(f"{tmp_path}/_quality").collect()}
+    assert rep[("d16_fk:date_key", "fact_trajet")].violations == 1
+
+
+def test_strict_calendar_rejects_out_of_calendar_date(spark, tmp_path):
+    src = _with_out_of_calendar_trip(spark)
+    cfg = LoadConfig(target=str(tmp_path), gate="off", calendar=("1995-01-01", "2001-12-31"),
+                     strict_calendar=True)
+    pipeline.run(spark, src, cfg)
+    assert spark.read.parquet(f"{tmp_path}/fact_trajet").count() == TRIPS_OK - 1
+    hit = spark.read.parquet(f"{tmp_path}/fact_trajet_rejected").filter("id_trajet = 1").first()
+    assert list(hit.reject_reasons) == ["date"]
