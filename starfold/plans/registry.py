@@ -144,12 +144,19 @@ def j3_fact_to_fact(spark, sf_dir):
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "order_sk")
 
 
+def _trips(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    dm = warehouse.dimensions(s)
+    return s, dm, warehouse.trips(s, dm)
+
+
 def j4_fact_trajet(spark, sf_dir):
-    return warehouse.from_test_tables(spark, sf_dir)["fact_trajet"]
+    return _trips(spark, sf_dir)[2]["fact_trajet"]
 
 
 def j5_fact_reservation(spark, sf_dir):
-    return warehouse.from_test_tables(spark, sf_dir)["fact_reservation"]
+    s, dm, tr = _trips(spark, sf_dir)
+    return warehouse.reservations(s, dm, tr)["fact_reservation"]
 
 
 def j6_orphans(spark, sf_dir):
@@ -166,7 +173,7 @@ def j7_temporal(spark, sf_dir):
 
 
 def j8_rejects(spark, sf_dir):
-    rej = warehouse.from_test_tables(spark, sf_dir)["fact_trajet_rejected"]
+    rej = _trips(spark, sf_dir)[2]["fact_trajet_rejected"]
     return rej.select("id_trajet", "id_train", "id_gare_arrivee",
                       F.array_join(REASONS, ",").alias("reasons"))
 

@@ -12,26 +12,61 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.calendar import calendar_spanning
+from ..session import materialize as _materialize
 from . import adapter, dims, facts
 
 
-def build(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Dimensions, facts (accepted and rejected) and the calendar, lazily."""
-    dc = dims.dim_client(sources["client"])
-    dg = dims.dim_gare(sources["gare"])
-    dt_ = dims.dim_train(sources["train"])
-    ft, ft_rej = facts.fact_trajet(sources["trajet"], dims.key_map(dt_, schemas.DIM_TRAIN),
-                                   dims.key_map(dg, schemas.DIM_GARE))
-    fr, fr_rej = facts.fact_reservation(sources["reservation"],
-                                        dims.key_map(dc, schemas.DIM_CLIENT),
-                                        ft.select("id_trajet", "trajet_key"))
+def _keeper(materialize: bool):
+    return (lambda df, name: _materialize(df, name)) if materialize else (lambda df, name: df)
+
+
+def dimensions(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Dimensions, lazily: they are small, and each is read by one lookup."""
+    return {"dim_client": dims.dim_client(sources["client"]),
+            "dim_gare": dims.dim_gare(sources["gare"]),
+            "dim_train": dims.dim_train(sources["train"])}
+
+
+def trips(sources: dict[str, DataFrame], dm: dict[str, DataFrame], materialize: bool = True
+          ) -> dict[str, DataFrame]:
+    """Trip fact and its rejects from ONE resolution (kept once)."""
+    keep = _keeper(materialize)
+    resolved = keep(facts.resolve(sources["trajet"], "date_depart", facts.trip_lookups(
+        dims.key_map(dm["dim_train"], schemas.DIM_TRAIN),
+        dims.key_map(dm["dim_gare"], schemas.DIM_GARE))), "trajet_resolved")
+    ok, bad = facts.split(resolved, sources["trajet"].columns, schemas.FACT_TRAJET)
+    return {"fact_trajet": ok, "fact_trajet_rejected": bad}
+
+
+def reservations(sources: dict[str, DataFrame], dm: dict[str, DataFrame],
+                 tr: dict[str, DataFrame], materialize: bool = True) -> dict[str, DataFrame]:
+    keep = _keeper(materialize)
+    resolved = keep(facts.resolve(sources["reservation"], "date_reservation",
+                                  facts.reservation_lookups(
+                                      dims.key_map(dm["dim_client"], schemas.DIM_CLIENT),
+                                      tr["fact_trajet"].select("id_trajet", "trajet_key"))),
+                    "reservation_resolved")
+    ok, bad = facts.split(resolved, sources["reservation"].columns, schemas.FACT_RESERVATION)
+    return {"fact_reservation": ok, "fact_reservation_rejected": bad}
+
+
+def build(sources: dict[str, DataFrame], materialize: bool = True) -> dict[str, DataFrame]:
+    """Dimensions, facts (accepted and rejected) and the calendar.
+
+    With ``materialize`` each fact's resolution (its lookups, including the
+    shuffled fact-to-fact join) is computed once and written as parquet under
+    the shared checkpoint folder; numbering, rejects and quality rules scan
+    it instead of recomputing the joins."""
+    dm = dimensions(sources)
+    tr = trips(sources, dm, materialize)
+    rs = reservations(sources, dm, tr, materialize)
     days = (sources["trajet"].select(F.col("date_depart").alias("d"))
             .unionByName(sources["reservation"].select(F.col("date_reservation").alias("d"))))
-    dd = calendar_spanning(days, "d")
     out = dict(sources)
-    out.update({"dim_date": dd, "dim_client": dc, "dim_gare": dg, "dim_train": dt_,
-                "fact_trajet": ft, "fact_trajet_rejected": ft_rej,
-                "fact_reservation": fr, "fact_reservation_rejected": fr_rej})
+    out.update(dm)
+    out.update(tr)
+    out.update(rs)
+    out["dim_date"] = calendar_spanning(days, "d")
     return out
 
 

@@ -4,8 +4,9 @@ folder used to cut lineage."""
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the library assumes.  AQE re-plans joins and
 # partition counts at run time and splits skewed join partitions; the session
@@ -72,3 +73,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="starfold-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    read it back: a lineage cut that, unlike ``checkpoint()``, keeps columnar
+    storage, so later scans prune columns and push filters."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/starfold-{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
