@@ -6,7 +6,8 @@ micro-batches and stops.  ``foreachBatch`` writes each micro-batch to its own
 folder ``batch_id=<n>`` with overwrite, so replaying a batch after a failure
 rewrites the same folder instead of appending twice.  Surrogate keys of batch
 ``n`` continue from the maximum key of batches ``< n`` only, so a replay gives
-the same numbers.  The streaming checkpoint records which files each batch
+the same numbers; that maximum comes from a one-row sidecar per batch
+(``_batches/batch_id=<n>``), so finding it never scans the loaded data.  The streaming checkpoint records which files each batch
 took.
 """
 
@@ -24,11 +25,18 @@ from ..sources.writers import path_exists, write_table
 BatchTransform = Callable[[DataFrame, int], tuple[DataFrame, DataFrame]]
 
 
-def _max_key_before(spark: SparkSession, target: str, key: str, batch_id: int) -> int:
-    if not path_exists(spark, target):
+META = "_batches"
+META_SCHEMA = "batch_id long, rows long, first_key long, last_key long"
+
+
+def _max_key_before(spark: SparkSession, target: str, batch_id: int) -> int:
+    """Largest key of the batches before ``batch_id``, from the one-row
+    sidecar each batch writes (never a scan of the loaded data)."""
+    meta = f"{target}/{META}"
+    if not path_exists(spark, meta):
         return 0
-    done = spark.read.parquet(target).filter(F.col("batch_id") < batch_id)
-    return int(done.agg(F.max(key)).first()[0] or 0)
+    done = spark.read.parquet(meta).filter(F.col("batch_id") < batch_id)
+    return int(done.agg(F.max("last_key")).first()[0] or 0)
 
 
 def incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType,
@@ -40,14 +48,17 @@ def incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType,
     progress: list[dict] = []
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        start = _max_key_before(spark, target, key, batch_id) + 1
+        start = _max_key_before(spark, target, batch_id) + 1
         ok, bad = transform(batch, start)
         rows = write_table(ok, f"{target}/batch_id={batch_id}", mode="overwrite")
         rej = 0
         if rejected_target is not None:
             rej = write_table(bad, f"{rejected_target}/batch_id={batch_id}", mode="overwrite")
+        last = start + rows - 1 if rows else start - 1
+        spark.createDataFrame([(batch_id, rows, start, last)], META_SCHEMA).write.mode(
+            "overwrite").parquet(f"{target}/{META}/batch_id={batch_id}")
         progress.append({"batch_id": batch_id, "rows": rows, "rejected": rej,
-                         "first_key": start, "last_key": start + rows - 1})
+                         "first_key": start, "last_key": last})
 
     stream = (spark.readStream.schema(schema).format(fmt)
               .option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir))

@@ -135,6 +135,8 @@ def test_incremental_batches_equal_full_load(loaded, tmp_path):
                                 "trajet_key", str(tmp_path / "ckpt"),
                                 rejected_target=str(tmp_path / "inc_rej"))
     assert len(progress) == 3
+    meta = spark.read.parquet(f"{out}/_batches").orderBy("batch_id").collect()
+    assert [m.last_key for m in meta] == [p["last_key"] for p in progress]
     inc = spark.read.parquet(out)
     full = spark.read.parquet(f"{target}/fact_trajet")
     assert inc.count() == TRIPS_OK
