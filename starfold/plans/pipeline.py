@@ -220,6 +220,8 @@ def quality_report(spark: SparkSession, cfg: LoadConfig, sources: dict[str, Data
     # which may have been appended to (it is counted instead).
     counts = {r["table_name"]: r["rows"] for r in cfg.report
               if r.get("rows") is not None and r["table_name"] != "dim_date"}
+    counts.update({r["table_name"] + "_rejected": r["rejected"] for r in cfg.report
+                   if r.get("rejected") is not None})
     return quality.evaluate(tables, rules if rules is not None else quality.warehouse_rules(),
                             cfg.max_broadcast_rows, row_counts=counts)
 

@@ -153,11 +153,14 @@ def evaluate(tables: Mapping[str, DataFrame], rules: Iterable[Rule],
              row_counts: Mapping[str, int] | None = None) -> DataFrame:
     """The quality report of ``rules`` over ``tables`` (name -> DataFrame).
 
-    ``row_counts`` (e.g. from the load report) are proven table sizes; a
-    parent table of a foreign key is broadcast only when its count is known
-    to be under ``max_broadcast_rows`` (counted once otherwise)."""
+    ``row_counts`` are exact table sizes measured when the tables were
+    written (the load report): they stand in for the totals of
+    reconciliation and foreign-key rules, and they bound the broadcast of a
+    foreign key's parent, which is broadcast only when known to be under
+    ``max_broadcast_rows`` (counted once otherwise)."""
     rules = list(rules)
-    row_counts = dict(row_counts or {})
+    exact_counts = dict(row_counts or {})
+    row_counts = dict(exact_counts)
     parts: list[DataFrame] = []
     by_table: dict[str, list] = {}
     for r in rules:
@@ -175,9 +178,13 @@ def evaluate(tables: Mapping[str, DataFrame], rules: Iterable[Rule],
                 counted.append(n)
     counts = None
     if counted:
-        counts = reduce(DataFrame.unionByName, [
-            tables[n].agg(F.count(F.lit(1)).alias("n")).selectExpr(
-                f"{_sql_str(n)} AS _sf_table", "n") for n in counted])
+        def total(n: str) -> DataFrame:
+            if n in exact_counts:       # measured when the table was written
+                return tables[n].sparkSession.range(1).selectExpr(
+                    f"{_sql_str(n)} AS _sf_table", f"CAST({int(exact_counts[n])} AS BIGINT) AS n")
+            return tables[n].agg(F.count(F.lit(1)).alias("n")).selectExpr(
+                f"{_sql_str(n)} AS _sf_table", "n")
+        counts = reduce(DataFrame.unionByName, [total(n) for n in counted])
     pending: list[DataFrame] = []        # measures whose total comes from ``counts``
     matches = [r for r in rules if isinstance(r, CountMatch)]
     if matches:
