@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 _PATH, _N, _OFF, _HEAVY = "_sf_path", "_sf_n", "_sf_off", "_sf_heavy"
 
@@ -218,8 +218,9 @@ def upsert_type1(existing: DataFrame, incoming: DataFrame, natural_key: str,
         *[F.when(F.col("_sf_in_new"), F.col(f"_sf_new_{c}")).otherwise(F.col(c)).alias(c)
           for c in value_cols],
     )
-    ensure_checkpoint_dir(existing.sparkSession)
-    picked = picked.checkpoint(eager=True)   # one join, read by both branches
+    # One join, read by both branches and by the key passes: written once as
+    # parquet in the shared checkpoint folder.
+    picked = materialize(picked, "upsert")
     max_key = existing.agg(F.max(surrogate_key)).first()[0] or 0
     kept = picked.filter(F.col(surrogate_key).isNotNull())
     fresh = assign_dense_key(picked.filter(F.col(surrogate_key).isNull()).drop(surrogate_key),
