@@ -12,11 +12,13 @@ from ..operators.contract import project
 from ..operators.keys import assign_dense_key
 
 
-def _keyed(df: DataFrame, spec: schemas.TableSpec, with_keys: bool) -> DataFrame:
+def _keyed(df: DataFrame, spec: schemas.TableSpec, with_keys: bool,
+           key_options: dict | None = None) -> DataFrame:
     cleaned = project(df, spec.without(spec.surrogate_key))
     if not with_keys:
         return cleaned
-    keyed = assign_dense_key(cleaned, list(spec.natural_key), spec.surrogate_key)
+    keyed = assign_dense_key(cleaned, list(spec.natural_key), spec.surrogate_key,
+                             **(key_options or {}))
     return project(keyed, spec.schema)
 
 
@@ -41,16 +43,19 @@ def clean_train(train: DataFrame) -> DataFrame:
                               "ville_arrivee_base": normalize_city("ville_arrivee")})
 
 
-def dim_client(client: DataFrame, with_keys: bool = True) -> DataFrame:
-    return _keyed(clean_client(client), schemas.DIM_CLIENT, with_keys)
+def dim_client(client: DataFrame, with_keys: bool = True, key_options: dict | None = None
+            ) -> DataFrame:
+    return _keyed(clean_client(client), schemas.DIM_CLIENT, with_keys, key_options)
 
 
-def dim_gare(gare: DataFrame, with_keys: bool = True) -> DataFrame:
-    return _keyed(clean_gare(gare), schemas.DIM_GARE, with_keys)
+def dim_gare(gare: DataFrame, with_keys: bool = True, key_options: dict | None = None
+            ) -> DataFrame:
+    return _keyed(clean_gare(gare), schemas.DIM_GARE, with_keys, key_options)
 
 
-def dim_train(train: DataFrame, with_keys: bool = True) -> DataFrame:
-    return _keyed(clean_train(train), schemas.DIM_TRAIN, with_keys)
+def dim_train(train: DataFrame, with_keys: bool = True, key_options: dict | None = None
+            ) -> DataFrame:
+    return _keyed(clean_train(train), schemas.DIM_TRAIN, with_keys, key_options)
 
 
 def key_map(dim: DataFrame, spec: schemas.TableSpec) -> DataFrame:

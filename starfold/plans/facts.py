@@ -53,13 +53,15 @@ def resolve(source: DataFrame, date_col: str, lookups: list[Lookup],
 
 
 def split(resolved: DataFrame, source_columns: list[str], spec: schemas.TableSpec,
-          with_keys: bool = True, key_start: int = 1) -> tuple[DataFrame, DataFrame]:
+          with_keys: bool = True, key_start: int = 1, key_options: dict | None = None
+          ) -> tuple[DataFrame, DataFrame]:
     """(accepted rows in the contract, numbered after rejection; rejected
-    rows with their source columns and reasons)."""
+    rows with their source columns and reasons).  ``key_options`` go to
+    ``assign_dense_key`` (bucket sizes)."""
     ok = project(accepted(resolved), spec.without(spec.surrogate_key))
     if with_keys:
         ok = project(assign_dense_key(ok, list(spec.natural_key), spec.surrogate_key,
-                                      start=key_start), spec.schema)
+                                      start=key_start, **(key_options or {})), spec.schema)
     bad = rejected(resolved).select(*source_columns, REASONS)
     return ok, bad
 

@@ -44,6 +44,7 @@ class LoadConfig:
     load_ts: bool = True                         # K5: add load_ts (one value per run)
     parallel_steps: int = 4                      # independent steps run as concurrent jobs
     strict_calendar: bool = False                # reject fact dates outside dim_date
+    key_options: dict = field(default_factory=dict)  # assign_dense_key bucket settings
     report: list[dict] = field(default_factory=list)
     run_ts: str = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc)
                         .strftime("%Y-%m-%d %H:%M:%S"))
@@ -89,7 +90,8 @@ def load_dimension(spark: SparkSession, source: DataFrame, name: str, cfg: LoadC
     spec = schemas.WAREHOUSE[name]
     build = {"dim_client": dims.dim_client, "dim_gare": dims.dim_gare,
              "dim_train": dims.dim_train}[name]
-    rows = publish(_stamp(build(source), cfg), cfg.path(name), _contract(spec, cfg),
+    rows = publish(_stamp(build(source, key_options=cfg.key_options), cfg), cfg.path(name),
+                   _contract(spec, cfg),
                    checks=_checks(spec) if cfg.constraints == "fail" else None)
     _log(cfg, name, rows, t0)
     return rows
@@ -152,7 +154,7 @@ def _load_fact(spark: SparkSession, name: str, source: DataFrame, date_col: str,
     staged = spark.read.parquet(work)
     part = F.col("sf_accepted") == 1     # partition column: each side reads its folder
     ok, _ = facts.split(staged.filter(part).drop("sf_accepted"), source.columns, spec,
-                        with_keys=cfg.constraints == "fail")
+                        with_keys=cfg.constraints == "fail", key_options=cfg.key_options)
     _, bad = facts.split(staged.filter(~part).drop("sf_accepted"), source.columns, spec,
                          with_keys=False)
     ok, bad = _finish(ok, bad, source, spec, cfg)
@@ -200,8 +202,8 @@ def _finish(ok, bad, source, spec, cfg):
     from ..operators.keys import assign_dense_key
     marked = _quarantine(ok.withColumn(REASONS, F.array().cast("array<string>")), spec)
     good = marked.filter(F.size(REASONS) == 0).drop(REASONS)
-    good = project(assign_dense_key(good, list(spec.natural_key), spec.surrogate_key),
-                   spec.schema)
+    good = project(assign_dense_key(good, list(spec.natural_key), spec.surrogate_key,
+                                    **cfg.key_options), spec.schema)
     # Quarantined rows are reported with their natural key and reasons.
     worse = marked.filter(F.size(REASONS) > 0).select(spec.natural_key[0], REASONS)
     bad = bad.select(spec.natural_key[0], REASONS).unionByName(worse)
