@@ -22,20 +22,34 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Coalesce small shuffle partitions to the advisory size, not to the
+    # number of cores (the setting Spark recommends for clusters).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
+def shuffle_partitions_for(shuffle_bytes: int, partition_bytes: int = 256 << 20) -> int:
+    """Initial shuffle partition count for the largest expected shuffle: the
+    Spark default of 200 would put ~500 GB in each reducer of a 100 TB
+    shuffle.  AQE coalesces smaller stages down to the advisory size."""
+    return max(200, -(-shuffle_bytes // partition_bytes))
+
+
 def build_session(master: str | None = None, app_name: str = "starfold",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  expected_shuffle_bytes: int | None = None) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
-    On a cluster leave ``master`` unset and let spark-submit decide.  The
-    checkpoint folder is only set when the cluster has not named one.
+    On a cluster leave ``master`` unset and let spark-submit decide, and give
+    ``expected_shuffle_bytes`` (the largest fact) or ``shuffle_partitions``.
+    The checkpoint folder is only set when the cluster has not named one.
     """
+    if shuffle_partitions is None and expected_shuffle_bytes:
+        shuffle_partitions = shuffle_partitions_for(expected_shuffle_bytes)
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
