@@ -22,9 +22,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Coalesce small shuffle partitions to the advisory size, not to the
-    # number of cores (the setting Spark recommends for clusters).
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -55,6 +52,12 @@ def build_session(master: str | None = None, app_name: str = "starfold",
         builder = builder.master(master)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
+    if master is None or not master.startswith("local"):
+        # On a cluster, coalesce small shuffle partitions to the advisory
+        # size rather than to the core count (Spark's advice for clusters);
+        # locally, keeping all cores busy matters more.
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.parallelismFirst",
+                                 "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
