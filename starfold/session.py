@@ -68,11 +68,10 @@ def build_session(master: str | None = None, app_name: str = "starfold",
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``."""
+    """The checkpoint folder in use (Spark adds a random sub-folder to the
+    one named in ``spark.checkpoint.dir``)."""
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if jdir.isDefined():
-        return jdir.get()
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+    return jdir.get() if jdir.isDefined() else None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -82,14 +81,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     unset ``spark.checkpoint.dir`` is an error there."""
     current = checkpoint_dir(spark)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        spark.sparkContext.setCheckpointDir(named)
+    elif not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
                            "(HDFS, S3, ...) for lineage cuts")
-    local = tempfile.mkdtemp(prefix="starfold-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    else:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starfold-ckpt-"))
+    return checkpoint_dir(spark)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
