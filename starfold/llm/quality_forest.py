@@ -2,7 +2,7 @@
 
 ``rule_statistics`` counts, for every whole text, what the base rules and the
 forest look at.  ``fit_forest`` grows isolation trees (random feature, random
-cut, subsamples of ``psi`` rows) on a bounded sample of rows labelled good, and
+cut, subsamples of ``psi`` rows) on a bounded sample of the labelled rows, and
 ``calibrate`` scores *every* labelled row and takes the lowest threshold at
 which no more than ``max_good_loss`` of the good rows are lost.  A document is
 kept if it passes the base rules and its score is not above the threshold.
@@ -27,7 +27,7 @@ from ..session import materialize
 from . import ragged
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-MORE = ["n_upper", "n_marks", "n_digits", "n_lines", "n_distinct_words"]
+MORE = ["n_upper", "n_marks", "n_digits", "n_lines"]
 STATS = BASE + MORE
 
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -58,9 +58,6 @@ def count_rules(buf: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
         out[name] = ragged.per_doc(table[buf], off)
 
     first, code = ragged.factorize(buf, s, e)
-    in_doc, _ = _pairs(code, doc, n)
-    _, at = np.unique(in_doc, return_index=True)
-    out["n_distinct_words"] = np.bincount(doc[at], minlength=n)
 
     covered = np.zeros(len(s) + 2, dtype=np.int64)
     if len(s) > 2:
@@ -105,19 +102,28 @@ def base_failed(n_words, n_repeat_words):
     return (n_words < 50) | (100 * n_repeat_words > 50 * n_words)
 
 
+# How far each statistic may go before it counts: the forest sees the excess,
+# so that ordinary documents are one point that no random cut can isolate.
+LIMITS = {"symbols_per_word": 0.1, "marks_per_word": 0.1, "upper_share": 0.3,
+          "digit_share": 0.2, "dup_lines": 0.6, "repeat_words": 0.5, "long_words": 10.0,
+          "short_words": -3.0}
+
+
 def features(stat: dict[str, np.ndarray]) -> np.ndarray:
+    """The excess of each rule statistic over its limit, 0 within it."""
     w = np.maximum(stat["n_words"], 1).astype(np.float64)
     c = np.maximum(stat["word_chars"], 1).astype(np.float64)
-    return np.stack([
-        c / w,
-        stat["n_symbols"] / c,
-        stat["n_dup_lines"] / np.maximum(stat["n_lines"], 1),
-        stat["n_repeat_words"] / w,
-        stat["n_upper"] / c,
-        stat["n_marks"] / c,
-        stat["n_digits"] / c,
-        np.log1p(stat["n_distinct_words"]) / np.log1p(w),
-    ], axis=1)
+    value = {
+        "symbols_per_word": stat["n_symbols"] / w,
+        "marks_per_word": stat["n_marks"] / w,
+        "upper_share": stat["n_upper"] / c,
+        "digit_share": stat["n_digits"] / c,
+        "dup_lines": stat["n_dup_lines"] / np.maximum(stat["n_lines"], 1),
+        "repeat_words": stat["n_repeat_words"] / w,
+        "long_words": c / w,
+        "short_words": -c / w,
+    }
+    return np.stack([np.maximum(value[k] - limit, 0.0) for k, limit in LIMITS.items()], axis=1)
 
 
 def _mean_path(n: np.ndarray | float) -> np.ndarray:
@@ -211,25 +217,24 @@ def _scored(stats: DataFrame, model: QualityModel, names: list[str]) -> DataFram
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(score, pa.float64()), pa.array(good, pa.bool_())],
                 [*b.schema.names, "score", "kept"])
-    return stats.mapInArrow(run, schema)
+    return ragged.map_batches(stats, run, schema)
 
 
 def fit_quality_model(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                       quality_col: str = "quality", sample_rows: int = 25_600,
                       max_good_loss: float = 0.005, trees: int = 100,
                       psi: int = 256) -> QualityModel:
-    """Fit on at most ``sample_rows`` labelled good rows (the lowest hashes of
-    their ids), calibrate on all labelled rows that pass the base rules."""
+    """Fit on at most ``sample_rows`` labelled rows (the lowest hashes of their
+    ids), calibrate on all labelled rows that pass the base rules."""
     lab = (labels.filter(F.col(id_col).isNotNull() & F.col(quality_col).isNotNull())
            .groupBy(F.col(id_col).alias("_lab_id")).agg(F.min(quality_col).alias("_lab_q")))
     known = (stats.join(lab, stats[id_col] == lab["_lab_id"])
              .filter(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
              .select("_lab_id", "_lab_q", *STATS))
     known = materialize(known, "quality-labelled")
-    sample = (known.filter("_lab_q = 1")
-              .orderBy(F.xxhash64("_lab_id"), "_lab_id", *STATS).limit(sample_rows)
+    sample = (known.orderBy(F.xxhash64("_lab_id"), "_lab_id", *STATS).limit(sample_rows)
               .select(*STATS).toArrow())
-    if sample.num_rows < 2:
+    if sample.num_rows < 2 or known.filter("_lab_q = 1").isEmpty():
         return QualityModel(None)
     stat = {c: sample.column(c).to_numpy() for c in STATS}
     model = QualityModel(fit_forest(features(stat), trees, psi), float(SCORE_BINS))

@@ -7,6 +7,7 @@ of at most ``PIECE_BYTES`` (or one document), so that memory stays bounded.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,6 +17,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 PIECE_BYTES = 2 << 20
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def map_batches(df: DataFrame, fn, schema) -> DataFrame:
+    """``mapInArrow`` with this package on the workers' path, for a session
+    started elsewhere (a cluster gets it with --py-files or an install)."""
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    return df.mapInArrow(fn, schema)
+
+
+def map_groups(grouped, spark, fn, schema) -> DataFrame:
+    """``applyInArrow``, likewise."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    return grouped.applyInArrow(fn, schema)
 
 _WS = np.zeros(256, dtype=bool)
 _WS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -98,7 +113,7 @@ def map_text(df: DataFrame, text_col: str, fields: list[T.StructField],
 
     # The text travels last, so a kept column of any name cannot hide it.
     sent = df.select(*[df[c] for c in keep], df[text_col].alias("_text_sent"))
-    return sent.mapInArrow(run, schema)
+    return map_batches(sent, run, schema)
 
 
 def doc_of(offsets: np.ndarray, at: np.ndarray) -> np.ndarray:
