@@ -117,8 +117,8 @@ def map_text(df: DataFrame, text_col: str, fields: list[T.StructField],
 
 
 def doc_of(offsets: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The document that holds each byte position."""
-    return np.searchsorted(offsets, at, side="right") - 1
+    """The document that holds each byte position (positions ascend)."""
+    return np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(at, offsets)))
 
 
 def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import corpus_pipeline
 
 from .quality_forest import op10_quality_forest
+from .token_counts import op5_token_counts
 
 QUERIES = {
+    "op5_token_counts": op5_token_counts,
     "op10_quality_forest": op10_quality_forest,
     "pipeline": corpus_pipeline.run,
 }

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from . import ragged
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def char_classes() -> np.ndarray:
@@ -58,12 +58,15 @@ def _byte_symbols() -> list[str]:
 
 @dataclass
 class BpeTables:
-    """Arrays of one byte-level BPE file: sorted pair keys with rank and merged
-    symbol, the symbol of each byte, special strings, and character classes."""
+    """Arrays of one byte-level BPE file: pairs with rank and merged symbol, the
+    symbol of each byte, special strings, and character classes.
 
-    keys: np.ndarray
-    rank: np.ndarray
-    merged: np.ndarray
+    Pairs lie in layers of ``2 ** SLOT_BITS`` slots: the n-th pair that falls
+    into a slot lies in the n-th layer, -1 marks a free place."""
+
+    keys: list[np.ndarray]
+    rank: list[np.ndarray]
+    merged: list[np.ndarray]
     byte_symbol: np.ndarray
     specials: list[bytes]
     classes: np.ndarray
@@ -71,6 +74,27 @@ class BpeTables:
 
 
 NONE = np.int32(2**31 - 1)
+SLOT_BITS = 19
+
+
+def _slot(key: np.ndarray) -> np.ndarray:
+    return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def look_up(key: np.ndarray, t: BpeTables) -> tuple[np.ndarray, np.ndarray]:
+    """Rank and merged symbol of each pair, NONE where there is no merge."""
+    rank = np.full(len(key), NONE, dtype=np.int32)
+    new = np.zeros(len(key), dtype=np.int32)
+    at, slot = np.arange(len(key)), _slot(key)
+    for keys, ranks, merged in zip(t.keys, t.rank, t.merged):
+        held = keys[slot]
+        hit = held == key[at]
+        rank[at[hit]] = ranks[slot[hit]]
+        new[at[hit]] = merged[slot[hit]]
+        on = (held >= 0) & ~hit
+        at, slot = at[on], slot[on]
+    return rank, new
 
 
 def load_tables(path: str) -> BpeTables:
@@ -85,8 +109,17 @@ def load_tables(path: str) -> BpeTables:
     pairs = [m if isinstance(m, list) else m.split(" ", 1) for m in spec["model"]["merges"]]
     key = np.array([vocab[a] * size + vocab[b] for a, b in pairs], dtype=np.int64)
     new = np.array([vocab[a + b] for a, b in pairs], dtype=np.int32)
-    order = np.argsort(key, kind="stable")
-    return BpeTables(key[order], order.astype(np.int32), new[order],
+    layers = []
+    todo, slot = np.arange(len(key)), _slot(key)
+    while len(todo):
+        _, first = np.unique(slot[todo], return_index=True)
+        put = todo[first]
+        layer = [np.full(1 << SLOT_BITS, -1, dtype=np.int64),
+                 np.zeros(1 << SLOT_BITS, np.int32), np.zeros(1 << SLOT_BITS, np.int32)]
+        layer[0][slot[put]], layer[1][slot[put]], layer[2][slot[put]] = key[put], put, new[put]
+        layers.append(layer)
+        todo = np.setdiff1d(todo, put)
+    return BpeTables(*[list(x) for x in zip(*layers)],
                      np.array([vocab[c] for c in _byte_symbols()], dtype=np.int32),
                      [t["content"].encode() for t in spec.get("added_tokens", [])],
                      char_classes(), size)
@@ -161,17 +194,20 @@ def merge_counts(symbols: np.ndarray, lengths: np.ndarray, t: BpeTables) -> np.n
     """Surviving symbols of each sequence of the ragged array."""
     out = np.array(lengths, dtype=np.int64)
     alive = np.flatnonzero(lengths > 1)
-    seq = np.repeat(np.arange(len(lengths)), lengths)
-    sym = symbols[np.isin(seq, alive)] if len(alive) < len(lengths) else symbols
+    sym = symbols[np.repeat(lengths > 1, lengths)]
     ids, n = alive, lengths[alive]
+
+    def pairs(at: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and merged symbol of the pairs that begin at these places."""
+        key = sym[at].astype(np.int64) * t.size + sym[np.minimum(at + 1, len(sym) - 1)]
+        key[tail] = -2
+        return look_up(key, t)
+
+    if len(ids):
+        every = np.arange(len(sym))
+        rank, new = pairs(every, np.cumsum(n) - 1)
     while len(ids):
         head = np.cumsum(n) - n
-        tail = head + n - 1
-        key = np.empty(len(sym), dtype=np.int64)
-        key[:-1] = sym[:-1].astype(np.int64) * t.size + sym[1:]
-        key[tail] = -1
-        pos = np.minimum(np.searchsorted(t.keys, key), len(t.keys) - 1)
-        rank = np.where(t.keys[pos] == key, t.rank[pos], NONE)
         low = np.minimum.reduceat(rank, head)
         go = low != NONE
         out[ids[~go]] = n[~go]
@@ -179,22 +215,32 @@ def merge_counts(symbols: np.ndarray, lengths: np.ndarray, t: BpeTables) -> np.n
             break
         mine = (rank == np.repeat(low, n)) & (rank != NONE)
         # Equal pairs can overlap only in a run of one symbol: every other one.
-        run = mine.copy()
-        run[1:] &= ~mine[:-1]
         where = np.flatnonzero(mine)
-        first = np.flatnonzero(run)
-        nth = where - first[np.searchsorted(first, where, side="right") - 1]
-        where = where[nth % 2 == 0]
-        sym = sym.copy()
-        sym[where] = t.merged[pos[where]]
+        fresh = np.ones(len(where), dtype=bool)
+        fresh[1:] = where[1:] != where[:-1] + 1
+        if not fresh.all():
+            run = np.cumsum(fresh) - 1
+            where = where[(where - where[fresh][run]) % 2 == 0]
+        sym[where] = new[where]
         stay = np.repeat(go, n)
         stay[where + 1] = False
-        gone = np.bincount(np.searchsorted(head, where, side="right") - 1, minlength=len(n))
-        sym, ids, n = sym[stay], ids[go], (n - gone)[go]
+        taken = np.zeros(len(sym) + 1, dtype=np.int64)
+        np.cumsum(stay, out=taken[1:])
+        n = (taken[head + n] - taken[head])[go]
+        at = taken[where]
+        sym, rank, new, ids = sym[stay], rank[stay], new[stay], ids[go]
         out[ids] = n
+        # Only the merged symbol's own pair and the one before it are new.
+        first = np.zeros(len(sym) + 1, dtype=bool)
+        first[np.cumsum(n) - n] = True
+        first[-1] = True
+        before = at[~first[at]] - 1
+        at = np.concatenate([at, before])
+        rank[at], new[at] = pairs(at, first[at + 1])
         more = n > 1
         if not more.all():
-            sym, ids, n = sym[np.repeat(more, n)], ids[more], n[more]
+            some = np.repeat(more, n)
+            sym, rank, new, ids, n = sym[some], rank[some], new[some], ids[more], n[more]
     return out
 
 
