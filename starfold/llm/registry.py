@@ -10,11 +10,13 @@ from .label_sharding import op1_label_sharding
 from .quality_forest import op10_quality_forest
 from .source_mix import OP8_SQL, op8_source_mix
 from .token_counts import op5_token_counts
+from .window_packing import op7_window_packing
 
 QUERIES = {
     "op1_label_sharding": op1_label_sharding,
     "op3_host_reputation": op3_host_reputation,
     "op5_token_counts": op5_token_counts,
+    "op7_window_packing": op7_window_packing,
     "op8_source_mix": op8_source_mix,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_forest": op10_quality_forest,
@@ -24,6 +26,7 @@ QUERIES = {
 # Twins that DuckDB can run; the other queries are tested against brute force.
 ORACLE: dict[str, str] = {
     "op3_host_reputation": OP3_SQL,
+    "op7_window_packing": op7_window_packing,
     "op8_source_mix": OP8_SQL,
     "op9_exact_dedup": OP9_SQL,
 }
