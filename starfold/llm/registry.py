@@ -7,6 +7,7 @@ import corpus_pipeline
 from .chunk_dedup import OP9_SQL, op9_exact_dedup
 from .host_reputation import OP3_SQL, op3_host_reputation
 from .label_sharding import op1_label_sharding
+from .pseudo_likelihood import op6_pseudo_likelihood
 from .quality_forest import op10_quality_forest
 from .source_mix import OP8_SQL, op8_source_mix
 from .token_counts import op5_token_counts
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_label_sharding": op1_label_sharding,
     "op3_host_reputation": op3_host_reputation,
     "op5_token_counts": op5_token_counts,
+    "op6_pseudo_likelihood": op6_pseudo_likelihood,
     "op7_window_packing": op7_window_packing,
     "op8_source_mix": op8_source_mix,
     "op9_exact_dedup": op9_exact_dedup,
@@ -26,6 +28,7 @@ QUERIES = {
 # Twins that DuckDB can run; the other queries are tested against brute force.
 ORACLE: dict[str, str] = {
     "op3_host_reputation": OP3_SQL,
+    "op6_pseudo_likelihood": op6_pseudo_likelihood,
     "op7_window_packing": op7_window_packing,
     "op8_source_mix": OP8_SQL,
     "op9_exact_dedup": OP9_SQL,
