@@ -6,6 +6,7 @@ import corpus_pipeline
 
 from .chunk_dedup import OP9_SQL, op9_exact_dedup
 from .host_reputation import OP3_SQL, op3_host_reputation
+from .jaccard_join import op4_jaccard_join
 from .label_sharding import op1_label_sharding
 from .pseudo_likelihood import op6_pseudo_likelihood
 from .quality_forest import op10_quality_forest
@@ -16,6 +17,7 @@ from .window_packing import op7_window_packing
 QUERIES = {
     "op1_label_sharding": op1_label_sharding,
     "op3_host_reputation": op3_host_reputation,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_token_counts": op5_token_counts,
     "op6_pseudo_likelihood": op6_pseudo_likelihood,
     "op7_window_packing": op7_window_packing,
