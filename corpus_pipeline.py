@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starfold.llm import quality_forest
+from starfold.llm import chunk_dedup, jaccard_join, quality_forest, source_mix, window_packing
 from starfold.session import ensure_checkpoint_dir, materialize
 
 
@@ -13,8 +13,29 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_forest.keep_good(docs, labels)
 
 
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return chunk_dedup.drop_copies(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.keep_one(docs)
+
+
+def source_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return source_mix.take_mix(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return window_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("exact dedup", exact_dedup),
+    ("n-gram Jaccard join", near_duplicates),
+    ("mixing to target weights", source_weights),
+    ("packing", packing),
 ]
 
 # Trained scores, tokenizers and packing order are not expressible in SQL; the

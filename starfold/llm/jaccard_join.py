@@ -371,9 +371,10 @@ class Join:
         groups = groups.join(label, groups["sid"] == label["node"], "left").select(
             "sid", "id", F.coalesce("label", "sid").alias("label"))
         least = groups.groupBy("label").agg(F.min("id").alias("component_id"))
-        own = groups.join(least, "label").select(F.col("sid").alias("_sid"), "component_id")
+        own = groups.join(least, "label").select(F.col("sid").alias("_sid"), "component_id",
+                                                 "label")
         out = sets.join(own, sets["sid"] == own["_sid"], "left")
-        return out.select("id", F.col("n").alias("n_shingles"), "sid",
+        return out.select("id", "at", F.col("n").alias("n_shingles"), "sid", "label",
                           F.when(F.col("sid").isNull(), F.col("id"))
                           .otherwise(F.col("component_id")).alias("component_id"))
 
@@ -382,19 +383,26 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        width: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
     """One row per row: id, n_shingles, sid (equal for equal sets) and
     component_id, the smallest id that links lead to."""
-    return (Join(docs, id_col, text_col, width, *similarity).run()
+    return (Join(docs, id_col, text_col, width, *similarity).run().drop("at", "label")
             .withColumnRenamed("id", id_col))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             **options) -> DataFrame:
-    """One document of each component stays: the row with its smallest id (of
-    rows that share it, the one with the smallest set digest)."""
-    found = jaccard_components(docs, id_col, text_col, **options)
-    found = found.select(F.col(id_col).alias("_id"), "sid", "component_id")
-    drop = stored(found.filter("sid IS NOT NULL AND _id <> component_id").select("_id").distinct(),
-                  "dropped")
-    return docs.join(drop, docs[id_col] == drop["_id"], "left_anti").select(*docs.columns)
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+             similarity: tuple[int, int] = (80, 100)) -> DataFrame:
+    """The rows of ``docs`` without those that are linked to a better one: of
+    each component the row with the smallest id stays (null ids last; of rows
+    that share the id, the smallest text hash).  Rows that agree in id and text
+    stand or fall together; documents without shingles stay."""
+    found = Join(docs, id_col, text_col, width, *similarity).run()
+    found = stored(found.filter("label IS NOT NULL").select("id", "at", "label"), "found")
+    best = (found.groupBy(F.col("label").alias("_label"))
+            .agg(F.min(F.struct(F.col("id").isNull(), "id", "at")).alias("_best")))
+    is_best = (F.col("id").eqNullSafe(F.col("_best.id")) & (F.col("at") == F.col("_best.at")))
+    drop = (found.join(best, found["label"] == best["_label"]).filter(~is_best)
+            .select(F.col("id").alias("_id"), F.col("at").alias("_at")).distinct())
+    drop = stored(drop, "dropped")
+    return docs.join(drop, docs[id_col].eqNullSafe(drop["_id"])
+                     & (F.xxhash64(docs[text_col]) == drop["_at"]), "left_anti")
 
 
 def op4_jaccard_join(spark, sf_dir: str) -> DataFrame:
