@@ -11,11 +11,13 @@ from .label_sharding import op1_label_sharding
 from .pseudo_likelihood import op6_pseudo_likelihood
 from .quality_forest import op10_quality_forest
 from .source_mix import OP8_SQL, op8_source_mix
+from .suffix_dedup import op2_suffix_dedup
 from .token_counts import op5_token_counts
 from .window_packing import op7_window_packing
 
 QUERIES = {
     "op1_label_sharding": op1_label_sharding,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_host_reputation": op3_host_reputation,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_token_counts": op5_token_counts,
@@ -29,6 +31,7 @@ QUERIES = {
 
 # Twins that DuckDB can run; the other queries are tested against brute force.
 ORACLE: dict[str, str] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_host_reputation": OP3_SQL,
     "op6_pseudo_likelihood": op6_pseudo_likelihood,
     "op7_window_packing": op7_window_packing,
