@@ -91,10 +91,14 @@ def map_text(df: DataFrame, text_col: str, fields: list[T.StructField],
              fn: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]],
              keep: list[str] | None = None, limit: int = PIECE_BYTES) -> DataFrame:
     """``keep`` columns of every row (all, if not given) plus ``fields``,
-    computed by ``fn(bytes, offsets)`` from the whole texts."""
-    keep = list(df.columns) if keep is None else list(keep)
-    schema = T.StructType([df.schema[c] for c in keep] + fields)
+    computed by ``fn(bytes, offsets)`` from the whole texts.  A kept column of
+    a computed one's name gives way to it."""
     names = [f.name for f in fields]
+    keep = [c for c in (df.columns if keep is None else keep) if c not in names]
+    schema = T.StructType([df.schema[c] for c in keep] + fields)
+    sent_name = "_text"
+    while sent_name in keep:
+        sent_name += "_"
 
     def run(batches):
         for b in batches:
@@ -111,8 +115,7 @@ def map_text(df: DataFrame, text_col: str, fields: list[T.StructField],
             yield pa.RecordBatch.from_arrays(
                 cols + [pa.array(np.concatenate(got[n])) for n in names], keep + names)
 
-    # The text travels last, so a kept column of any name cannot hide it.
-    sent = df.select(*[df[c] for c in keep], df[text_col].alias("_text_sent"))
+    sent = df.select(*[df[c] for c in keep], df[text_col].alias(sent_name))
     return map_batches(sent, run, schema)
 
 

@@ -130,7 +130,8 @@ def repeated(common: np.ndarray, far: np.ndarray, near: np.ndarray, left: np.nda
     """marks[i, o]: the string that starts ``o`` bytes before suffix i also
     starts earlier.  The suffixes are sorted, ``common`` are their common
     prefixes, ``left`` the bytes before them backwards, ``order`` ranks their
-    places in the corpus, and o runs from ``near`` to ``far``."""
+    places in the corpus (one place, one rank), and o runs from ``near`` to
+    ``far``."""
     m = len(common)
     marks = np.zeros((m, reach), dtype=bool)
     by_place = np.argsort(order, kind="stable")
@@ -143,10 +144,9 @@ def repeated(common: np.ndarray, far: np.ndarray, near: np.ndarray, left: np.nda
         run = np.cumsum(common < length - o).astype(np.uint64)[rows]
         key = ragged.mix(run) if not o else ragged.mix(ragged.mix(run) + sums[rows, o - 1])
         by_key = np.argsort(key, kind="stable")
-        again = np.zeros(len(rows), dtype=bool)
-        k = key[by_key]
-        again[1:] = k[1:] == k[:-1]
-        marks[rows[by_key[again]], o] = True
+        first, size = _starts(key[by_key])
+        place = order[rows[by_key]]
+        marks[rows[by_key[place > np.repeat(place[first], size)]], o] = True
     return marks
 
 
@@ -251,9 +251,13 @@ def decode_run(raw: bytes, width: int, reach: int):
 
 
 def _place_order(meta: dict[str, np.ndarray]) -> np.ndarray:
+    """The rank of each place in the corpus: by id, document, place in it."""
     order = np.lexsort((meta["place"], meta["doc"], meta["id"]))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = np.logical_or.reduce([meta[c][order[1:]] != meta[c][order[:-1]]
+                                    for c in ("id", "doc", "place")])
     rank = np.empty(len(order), dtype=np.int64)
-    rank[order] = np.arange(len(order))
+    rank[order] = np.cumsum(new)
     return rank
 
 
@@ -323,7 +327,7 @@ class SuffixDedup:
         found = ragged.map_groups(rows.groupBy("bucket"), self.spark, twice,
                                   "doc long, place long")
         return stored(found, "places").groupBy("doc").agg(
-            F.collect_list("place").alias("places"))
+            F.collect_set("place").alias("places"))
 
     def ranges(self) -> DataFrame:
         """(id, doc, start, stop): the bytes that go."""
@@ -357,8 +361,9 @@ class SuffixDedup:
                     left = _window(part, a - 1, a - lo, reach, -1)
                     meta = {"id": ids[rows[txt]], "doc": doc[rows[txt]],
                             "place": a - o[txt] + base, "far": a - lo, "near": a - hi}
-                    marks = repeated(_common(right), meta["far"], meta["near"], left,
-                                     _place_order(meta), length, reach)
+                    place = _place_order(meta)
+                    marks = repeated(_common(right), meta["far"], meta["near"], left, place,
+                                     length, reach)
                     row, start, stop = _ranges(marks, meta["place"], length)
                     d = meta["doc"][row]
                     yield _sent(np.abs(d % buckets), [None] * len(row), meta["id"][row], d,
@@ -367,6 +372,9 @@ class SuffixDedup:
                     k = np.arange(reach)
                     open_ = ((k >= meta["near"][:, None]) & (k <= meta["far"][:, None])
                              & ~marks).any(axis=1)
+                    once = np.zeros(len(a), dtype=bool)      # of repeated rows, one
+                    once[np.unique(place, return_index=True)[1]] = True
+                    open_ &= once
                     home = (h % np.uint64(buckets)).astype(np.int64)
                     go = np.flatnonzero(open_)
                     go = go[np.argsort(home[go], kind="stable")]
@@ -408,7 +416,8 @@ class SuffixDedup:
         schema = T.StructType([self.docs.schema["own_id"]]).add("n_bytes", "long").add(
             "n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
         if keep_text:
-            schema = schema.add("kept", "binary").add("spans", "array<struct<start:long,stop:long>>")
+            span = T.StructType().add("start", "long").add("stop", "long")
+            schema = schema.add("kept", "binary").add("spans", T.ArrayType(span))
 
         def cut(batches):
             for b in batches:
