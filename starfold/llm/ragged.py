@@ -16,14 +16,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def map_batches(df: DataFrame, fn, schema) -> DataFrame:
     """``mapInArrow`` with this package on the workers' path, for a session
-    started elsewhere (a cluster gets it with --py-files or an install)."""
-    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    started elsewhere (a cluster gets it with --py-files or an install), and
+    with batches bounded in bytes: texts differ much in length."""
+    spark = df.sparkSession
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 

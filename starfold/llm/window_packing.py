@@ -20,6 +20,7 @@ Sequence numbers are unique, not gapless; offsets in a sequence are gapless.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 
@@ -42,6 +43,8 @@ class WordEncoder:
     """Ids of texts, with a bounded cache of the distinct words' ids."""
 
     def __init__(self, path: str):
+        # One task, one thread: Spark deals out the cores.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.clear()

@@ -53,7 +53,10 @@ def test_groups_stay_together_and_a_huge_one_is_split(spark):
     for r in got:
         where[r.text_crc32].add(r.shard)
     whole = sum(len(where[zlib.crc32(f"group {g}".encode())]) == 1 for g in range(40))
-    assert whole >= 30 and len(where[zlib.crc32(b"all the same")]) < 8
+    assert whole >= 30
+    # The group that is larger than a shard's quota is denser than by chance.
+    largest = Counter(r.shard for r in got if r.text_crc32 == zlib.crc32(b"all the same"))
+    assert max(largest.values()) >= 90
 
 
 # -- URL filters -----------------------------------------------------------------------
