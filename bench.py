@@ -72,9 +72,8 @@ def main():
     def j3_fact_to_fact():
         run_df(registry.j3_fact_to_fact(spark, SF_DIR))
 
-    def g3_bucketed_lineitem():
-        run_df(assign_dense_key(t("lineitem"), order, "k", single_task_rows=0,
-                                max_bucket_rows=1 << 16))
+    def g3_dense_key_lineitem():
+        run_df(assign_dense_key(t("lineitem"), order, "k"))
 
     def g3_global_window_lineitem():
         from pyspark.sql import Window
@@ -97,7 +96,7 @@ def main():
     headline = {
         "e1_load": e1_load,
         "j3_fact_to_fact": j3_fact_to_fact,
-        "g3_bucketed_lineitem": g3_bucketed_lineitem,
+        "g3_dense_key_lineitem": g3_dense_key_lineitem,
         "a2_rules_one_pass": a2_rules_one_pass,
         "j5_fact_reservation": j5_fact_reservation,
     }

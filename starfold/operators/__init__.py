@@ -4,14 +4,14 @@ from .calendar import (calendar_dimension, calendar_from_dates, calendar_spannin
                        date_series, date_series_between, insert_if_absent)
 from .contract import cast_with_reasons, conform, derive, project, rename
 from .keys import assign_dense_key, latest_per_key, upsert_type1
-from .lookups import (FkCheck, Lookup, accepted, bounded_broadcast, fk_audit, orphans,
+from .lookups import (FkCheck, Lookup, accepted, fk_audit, orphans,
                       rejected, resolve_keys, resolve_with_reasons, split_resolved,
                       temporal_violations)
 from .profile import (batch_ranges, count_rows, distinct_values, duplicate_keys,
                       outside_domain, rate, rule_counts, uniqueness)
 
 __all__ = [
-    "FkCheck", "Lookup", "accepted", "assign_dense_key", "cast_with_reasons", "batch_ranges", "bounded_broadcast",
+    "FkCheck", "Lookup", "accepted", "assign_dense_key", "cast_with_reasons", "batch_ranges", 
     "calendar_dimension", "calendar_from_dates", "calendar_spanning", "conform",
     "count_rows", "date_series", "date_series_between", "derive", "distinct_values",
     "duplicate_keys", "fk_audit", "insert_if_absent", "latest_per_key", "orphans",

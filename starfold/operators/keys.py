@@ -2,180 +2,59 @@
 
 ``assign_dense_key`` numbers rows 1, 2, 3... in the order of a key tuple, the
 same numbers a global ``row_number() OVER (ORDER BY ...)`` gives, without
-putting the table in one partition:
-
-1. one aggregate gives min, max and count of the leading key column;
-2. rows are bucketed by ``(lead - min) >> shift`` with at most ``2**top_bits``
-   top buckets; buckets are counted (a partial aggregate, tiny output);
-3. a bucket holding more than ``max_bucket_rows`` rows is split again with a
-   shift ``fan_bits`` smaller, down to the exact key value, so no bucket -- and
-   no window task -- is larger than the bound, even when one key range holds a
-   third of the table.  A bucket still heavy at an exact leading value (a hot
-   value of a non-unique leading column) is split further on the next
-   integral, date or timestamp order column, and so on.  A bucket path is an
-   array, compared lexicographically, which keeps the bucket order equal to
-   the key order.  Only when the remaining order columns cannot be bucketed
-   (text, floating point) is a heavy bucket ranked in one task;
-4. a running sum over the (small, bounded) bucket-count table gives each
-   bucket's offset; it is broadcast when its row count is under the limit;
-5. ``row_number`` partitioned by bucket, ordered by the full tuple, plus the
-   offset, is the key.
-
-Intermediate count tables are checkpointed to the shared checkpoint folder, so
-recomputation after a lost executor gives the same numbers.  Numbers depend on
-the key order only, never on partitioning.
+putting the table in one partition, and in the same way at every size:
+
+1. the rows are range-partitioned and sorted by the whole tuple, nulls first
+   (one shuffle), and stored in the shared checkpoint folder together with the
+   partition and the place in it at which each row was written;
+2. the rows of each stored partition are counted: one number per partition;
+3. a running sum over these few numbers is each partition's offset, and
+   offset + place is the key.
+
+Any orderable type works, alone or in a tuple.  A task holds one range of the
+whole tuple, so a hot leading value is split on the columns that follow; only
+equal tuples stay together.  The place is stored, not recomputed, so a lost
+executor cannot change a number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..session import ensure_checkpoint_dir, materialize
-
-_PATH, _N, _OFF, _HEAVY = "_sf_path", "_sf_n", "_sf_off", "_sf_heavy"
-
-
-def _lead_as_long(df: DataFrame, name: str) -> Column:
-    dtype = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return c.cast("long")
-    if isinstance(dtype, T.DecimalType) and dtype.scale == 0 and dtype.precision <= 18:
-        return c.cast("long")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("long")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c)
-    if isinstance(dtype, T.TimestampNTZType):
-        # Wall-clock seconds, free of any time zone (a zone's daylight-saving
-        # gap would make a cast to an instant non-monotonic).  Buckets only
-        # need a monotonic value; rows within a second are ordered by the
-        # window itself.
-        return (F.unix_date(F.to_date(c)).cast("long") * 86400 + F.hour(c) * 3600
-                + F.minute(c) * 60 + F.second(c))
-    raise TypeError(f"leading key column {name!r} must be integral, date or timestamp, "
-                    f"not {dtype.simpleString()}")
+
+from ..session import materialize
+
+_AT, _PART, _OFF = "_sf_at", "_sf_part", "_sf_off"
+# ``monotonically_increasing_id`` holds the partition above these bits and the
+# place in it below.
+_PLACE_BITS = 33
 
 
 def assign_dense_key(df: DataFrame, order_cols: Sequence[str], key_col: str,
-                     start: int = 1, *, max_bucket_rows: int = 1 << 22,
-                     top_bits: int = 20, fan_bits: int = 10,
-                     single_task_rows: int = 1 << 20,
-                     max_broadcast_rows: int = 1 << 22,
-                     report: dict | None = None) -> DataFrame:
+                     start: int = 1) -> DataFrame:
     """Add ``key_col`` = start, start+1, ... in ``order_cols`` order.
 
     The tuple should be unique (run the uniqueness rule first): equal tuples
-    get distinct but arbitrary numbers.  The first column must be integral,
-    date or timestamp; the others may be of any orderable type.  ``report``,
-    when given, receives the bucket count, the refinement depth and the
-    largest bucket (the largest window task).
-    """
+    get distinct but arbitrary numbers."""
     order_cols = list(order_cols)
     if not order_cols:
         raise ValueError("order_cols is empty")
-    spark = df.sparkSession
-    lead = _lead_as_long(df, order_cols[0])
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-
-    st = df.agg(F.min(lead).alias("lo"), F.max(lead).alias("hi"),
-                F.count(F.lit(1)).alias("n")).first()
-    if st["n"] == 0:
-        return df.withColumn(key_col, F.lit(None).cast("long"))
-    if st["n"] <= single_task_rows:
-        if report is not None:
-            report.update({"buckets": 1, "depth": 0, "largest_bucket": st["n"]})
-        # Proven small: one ordered window is cheaper than the bucket passes.
-        w = Window.orderBy(*order)
-        return df.withColumn(key_col, F.row_number().over(w).cast("long") + F.lit(start - 1))
-
-    ensure_checkpoint_dir(spark)
-    # Refinement levels: (relative key column, shift).  The leading column is
-    # cut from coarse to exact; when a bucket is still heavy at an exact
-    # value (a hot leading value), the next integral order column continues.
-    levels: list[tuple[Column, int]] = []
-    next_col = [0]
-
-    def add_levels(lo, hi, expr: Column, first: bool) -> None:
-        span = (hi - lo) if lo is not None else 0
-        top = max(0, span.bit_length() - (top_bits if first else fan_bits))
-        shifts = list(range(top, -1, -fan_bits))
-        if shifts[-1] != 0:
-            shifts.append(0)
-        rel = expr - F.lit(lo if lo is not None else 0)
-        levels.extend((rel, sh) for sh in shifts)
-
-    def extend() -> bool:
-        """Add the levels of the next order column that can be bucketed."""
-        while next_col[0] < len(order_cols):
-            name = order_cols[next_col[0]]
-            next_col[0] += 1
-            try:
-                expr = _lead_as_long(df, name)
-            except TypeError:
-                return False      # ranked within the heavy bucket (see module doc)
-            b = df.agg(F.min(expr).alias("lo"), F.max(expr).alias("hi")).first()
-            add_levels(b["lo"], b["hi"], expr, first=False)
-            return True
-        return False
-
-    add_levels(st["lo"], st["hi"], lead, first=True)
-    next_col[0] = 1
-
-    def component(level: int) -> Column:
-        rel, shift = levels[level]
-        # Null keys sort first, as in ORDER BY ... ASC NULLS FIRST.
-        return F.coalesce(F.shiftright(rel, shift), F.lit(-1).cast("long"))
-
-    data = df.withColumn(_PATH, F.array(component(0)))
-    counts = (data.groupBy(_PATH).agg(F.count(F.lit(1)).alias(_N))
-              .checkpoint(eager=True))
-    finished: list[DataFrame] = []
-    depth = 0
-    while True:
-        heavy = counts.filter(F.col(_N) > max_bucket_rows).select(_PATH)
-        if heavy.isEmpty():
-            break
-        if depth + 1 >= len(levels) and not extend():
-            break
-        finished.append(counts.filter(F.col(_N) <= max_bucket_rows))
-        depth += 1
-        # Each heavy bucket holds more than max_bucket_rows rows, so the heavy
-        # table has at most n / max_bucket_rows rows: safe to broadcast.
-        flagged = F.broadcast(heavy.withColumn(_HEAVY, F.lit(True)))
-        data = (data.join(flagged, _PATH, "left")
-                .withColumn(_PATH, F.when(F.col(_HEAVY),
-                                          F.concat(F.col(_PATH), F.array(component(depth))))
-                            .otherwise(F.col(_PATH)))
-                .drop(_HEAVY))
-        counts = (data.filter(F.size(_PATH) == depth + 1)
-                  .groupBy(_PATH).agg(F.count(F.lit(1)).alias(_N))
-                  .checkpoint(eager=True))
-    finished.append(counts)
-
-    all_counts = finished[0]
-    for extra in finished[1:]:
-        all_counts = all_counts.unionByName(extra)
-    # Bucket table: at most 2**top_bits top buckets plus the splits of heavy
-    # ones; a single ordered window over it is bounded.
-    running = Window.orderBy(_PATH).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = (all_counts.withColumn(_OFF, F.sum(_N).over(running) - F.col(_N))
-               .select(_PATH, _OFF).checkpoint(eager=True))
-    n_buckets = offsets.count()
-    if report is not None:
-        report.update({"buckets": n_buckets, "depth": depth,
-                       "largest_bucket": all_counts.agg(F.max(_N)).first()[0]})
-    offsets_side = F.broadcast(offsets) if n_buckets <= max_broadcast_rows else offsets
-
-    w = Window.partitionBy(_PATH).orderBy(*order)
-    return (data.withColumn("_sf_rn", F.row_number().over(w))
-            .join(offsets_side, _PATH)
-            .withColumn(key_col, (F.col(_OFF) + F.col("_sf_rn") + F.lit(start - 1)).cast("long"))
-            .drop(_PATH, _OFF, "_sf_rn"))
+    stored = materialize(df.orderBy(*order).withColumn(_AT, F.monotonically_increasing_id()),
+                         "ordered")
+    part = F.shiftright(_AT, _PLACE_BITS)
+    # One row per stored partition, so the driver sums them up.
+    counts = sorted((r[0], r[1]) for r in stored.groupBy(part).count().collect())
+    offsets, total = [], start
+    for p, n in counts:
+        offsets.append((p, total))
+        total += n
+    offsets = df.sparkSession.createDataFrame(offsets, f"{_PART} long, {_OFF} long")
+    key = F.col(_OFF) + F.col(_AT).bitwiseAND((1 << _PLACE_BITS) - 1)
+    return (stored.join(F.broadcast(offsets), part == F.col(_PART))
+            .withColumn(key_col, key).drop(_AT, _PART, _OFF))
 
 
 def latest_per_key(df: DataFrame, key_cols: Sequence[str], version_col: str) -> DataFrame:
@@ -207,6 +86,9 @@ def upsert_type1(existing: DataFrame, incoming: DataFrame, natural_key: str,
     value_cols = [c for c in existing.columns if c not in (natural_key, surrogate_key)]
     if version_col is not None:
         incoming = latest_per_key(incoming, [natural_key], version_col)
+    elif not incoming.groupBy(natural_key).count().filter("count > 1").isEmpty():
+        raise ValueError(f"several incoming rows share {natural_key!r}: name a version column "
+                         "that tells which one is the latest")
     new = incoming.select(F.col(natural_key).alias("_sf_nk"),
                           *[F.col(c).alias(f"_sf_new_{c}") for c in value_cols],
                           F.lit(True).alias("_sf_in_new"))

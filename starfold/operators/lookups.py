@@ -1,10 +1,11 @@
 """Natural-key -> surrogate-key resolution (J1-J3), rejects with reasons (J8),
 orphans (J6), temporal fact join (J7) and the foreign-key audit (J9).
 
-Join strategy: a key map is broadcast only after its row count is known to be
-under a limit (given by the caller -- e.g. from the load report -- or counted
-once); beyond it, and always for fact-to-fact maps, the join is a shuffled
-sort-merge join whose skewed partitions AQE splits at run time.
+Join strategy: a lookup is planned as a shuffled join, and AQE makes it a
+broadcast join when the key map's measured bytes are below the session's
+``spark.sql.adaptive.autoBroadcastJoinThreshold``; nothing is counted while a
+plan is built.  Fact-to-fact maps, which grow with the facts, are hinted to stay
+shuffled; AQE splits their skewed partitions.
 """
 
 from __future__ import annotations
@@ -16,8 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# About 64 MB of (long, long) pairs in a broadcast hash relation.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 REASONS = "reject_reasons"
 
 
@@ -28,8 +27,8 @@ class Lookup:
     ``key_map`` holds ``natural_key`` and ``surrogate_key``; the fact column
     ``fact_column`` is matched with plain ``=`` (a null never matches).  The
     resolved key is named ``output`` (defaults to ``surrogate_key``), which is
-    how one map plays several roles.  ``broadcast``: True / False forces the
-    strategy, None decides by row count.
+    how one map plays several roles.  ``broadcast``: True for a map of proven
+    size, False to stay shuffled, None to leave it to AQE's measured bytes.
     """
 
     name: str
@@ -39,31 +38,18 @@ class Lookup:
     fact_column: str
     output: str | None = None
     broadcast: bool | None = None
-    known_rows: int | None = None
 
     @property
     def out(self) -> str:
         return self.output or self.surrogate_key
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      known_rows: int | None = None, force: bool | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven under ``max_rows``.
-
-    Otherwise the side is hinted for a shuffled sort-merge join, so neither a
-    file-size estimate nor a session default can broadcast a side that grows
-    with the data (AQE still splits skewed partitions of that join)."""
-    if should_broadcast(df, max_rows, known_rows, force):
-        return F.broadcast(df)
-    return df.hint("shuffle_merge")
-
-
-def should_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                     known_rows: int | None = None, force: bool | None = None) -> bool:
-    if force is not None:
-        return force
-    rows = known_rows if known_rows is not None else df.count()
-    return rows <= max_rows
+def placed(df: DataFrame, broadcast: bool | None = None) -> DataFrame:
+    """The lookup side of a join: broadcast if it was proven small, hinted to
+    stay shuffled if it grows with the facts, else left to AQE."""
+    if broadcast is None:
+        return df
+    return F.broadcast(df) if broadcast else df.hint("shuffle_merge")
 
 
 def _spread_nulls(fact: DataFrame, column: str, nk: str, flag: str) -> DataFrame | None:
@@ -87,27 +73,26 @@ def _spread_nulls(fact: DataFrame, column: str, nk: str, flag: str) -> DataFrame
                              flag: F.col(column).isNull()})
 
 
-def _attach(fact: DataFrame, lk: Lookup, i: int, max_rows: int) -> DataFrame:
+def _attach(fact: DataFrame, lk: Lookup, i: int) -> DataFrame:
     nk, flag = f"_sf_nk{i}", f"_sf_null{i}"
     m = lk.key_map.select(F.col(lk.natural_key).alias(nk), F.col(lk.surrogate_key).alias(lk.out))
-    if should_broadcast(m, max_rows, lk.known_rows, lk.broadcast):
+    if lk.broadcast:
         return fact.join(F.broadcast(m), fact[lk.fact_column] == F.col(nk), "left").drop(nk)
-    m = m.hint("shuffle_merge")
     spread = _spread_nulls(fact, lk.fact_column, f"_sf_fk{i}", f"_sf_fnull{i}")
     if spread is None:
+        m = placed(m, lk.broadcast)
         return fact.join(m, fact[lk.fact_column] == F.col(nk), "left").drop(nk)
-    m = m.withColumn(flag, F.lit(False))
+    m = placed(m.withColumn(flag, F.lit(False)), lk.broadcast)
     cond = (spread[f"_sf_fk{i}"] == m[nk]) & (spread[f"_sf_fnull{i}"] == m[flag])
     return spread.join(m, cond, "left").drop(nk, flag, f"_sf_fk{i}", f"_sf_fnull{i}")
 
 
-def resolve_with_reasons(fact: DataFrame, lookups: Sequence[Lookup],
-                         max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def resolve_with_reasons(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """One pass of left joins; every row gets its surrogate keys and the
     array of lookups that did not resolve (empty = accepted)."""
     out = fact
     for i, lk in enumerate(lookups):
-        out = _attach(out, lk, i, max_broadcast_rows)
+        out = _attach(out, lk, i)
     flags = [F.when(F.col(lk.out).isNull(), F.lit(lk.name)) for lk in lookups]
     return out.withColumn(REASONS, F.filter(F.array(*flags), lambda x: x.isNotNull()))
 
@@ -120,13 +105,12 @@ def rejected(resolved: DataFrame) -> DataFrame:
     return resolved.filter(F.size(REASONS) > 0)
 
 
-def resolve_keys(fact: DataFrame, lookups: Sequence[Lookup],
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def resolve_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """Inner-join semantics -- unresolved rows vanish.  Written as
     left joins + a not-null filter, which Catalyst turns into inner joins."""
     out = fact
     for i, lk in enumerate(lookups):
-        out = _attach(out, lk, i, max_broadcast_rows)
+        out = _attach(out, lk, i)
     cond = None
     for lk in lookups:
         c = F.col(lk.out).isNotNull()
@@ -134,30 +118,22 @@ def resolve_keys(fact: DataFrame, lookups: Sequence[Lookup],
     return out.filter(cond) if cond is not None else out
 
 
-def split_resolved(fact: DataFrame, lookups: Sequence[Lookup],
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
-                   ) -> tuple[DataFrame, DataFrame]:
+def split_resolved(fact: DataFrame, lookups: Sequence[Lookup]) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) from one resolution plan."""
-    r = resolve_with_reasons(fact, lookups, max_broadcast_rows)
+    r = resolve_with_reasons(fact, lookups)
     return accepted(r), rejected(r)
 
 
 def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str,
-            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-            broadcast: bool | None = None, known_rows: int | None = None) -> DataFrame:
+            broadcast: bool | None = None) -> DataFrame:
     """Child rows whose foreign key has no parent row (a null key is an
-    orphan, as in ``LEFT JOIN ... WHERE parent.key IS NULL``).  An anti-join
-    is set-based, so the parent keys need no de-duplication."""
-    p = parent.select(F.col(parent_col).alias("_sf_pk"))
-    if should_broadcast(p, max_broadcast_rows, known_rows, broadcast):
-        return child.join(F.broadcast(p), child[child_col] == F.col("_sf_pk"), "left_anti")
-    p = p.hint("shuffle_merge")
-    spread = _spread_nulls(child, child_col, "_sf_ck", "_sf_cnull")
-    if spread is None:
-        return child.join(p, child[child_col] == F.col("_sf_pk"), "left_anti")
-    p = p.withColumn("_sf_pnull", F.lit(False))
-    cond = (spread["_sf_ck"] == p["_sf_pk"]) & (spread["_sf_cnull"] == p["_sf_pnull"])
-    return spread.join(p, cond, "left_anti").drop("_sf_ck", "_sf_cnull")
+    orphan, as in ``LEFT JOIN ... WHERE parent.key IS NULL``).  Rows with a
+    null key are orphans without being joined, so they never meet in one task;
+    an anti-join is set-based, so the parent keys need no de-duplication."""
+    p = placed(parent.select(F.col(parent_col).alias("_sf_pk")), broadcast)
+    known = child.filter(F.col(child_col).isNotNull())
+    lost = known.join(p, known[child_col] == F.col("_sf_pk"), "left_anti")
+    return lost.unionByName(child.filter(F.col(child_col).isNull()))
 
 
 def temporal_violations(left: DataFrame, right: DataFrame, on: str | Sequence[str],
@@ -179,14 +155,14 @@ class FkCheck:
     broadcast: bool | None = None
 
 
-def fk_audit(tables: dict[str, DataFrame], checks: Sequence[FkCheck],
-             max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def fk_audit(tables: dict[str, DataFrame], checks: Sequence[FkCheck]) -> DataFrame:
     """One anti-join per foreign key, unioned into one report
-    (child_table, child_column, parent_table, parent_column, orphans)."""
+    (child_table, child_column, parent_table, parent_column, orphans).  Null
+    keys are counted, not joined."""
     parts = []
     for c in checks:
         o = orphans(tables[c.child_table].select(c.child_column), c.child_column,
-                    tables[c.parent_table], c.parent_column, max_broadcast_rows, c.broadcast)
+                    tables[c.parent_table], c.parent_column, c.broadcast)
         parts.append(o.agg(F.count(F.lit(1)).cast("long").alias("orphans")).select(
             F.lit(c.child_table).alias("child_table"), F.lit(c.child_column).alias("child_column"),
             F.lit(c.parent_table).alias("parent_table"),

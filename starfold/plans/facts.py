@@ -14,83 +14,67 @@ from .. import schemas
 from ..functions.dates import date_key
 from ..operators.contract import project
 from ..operators.keys import assign_dense_key
-from ..operators.lookups import (DEFAULT_MAX_BROADCAST_ROWS, REASONS, Lookup,
-                                 accepted, rejected, resolve_with_reasons)
+from ..operators.lookups import REASONS, Lookup, accepted, rejected, resolve_with_reasons
 
 
-def trip_lookups(dim_train_map: DataFrame, dim_gare_map: DataFrame,
-                 train_rows: int | None = None, gare_rows: int | None = None) -> list[Lookup]:
+def trip_lookups(dim_train_map: DataFrame, dim_gare_map: DataFrame) -> list[Lookup]:
     # The station map plays two roles (departure, arrival); the second join
     # reuses the first broadcast exchange.
     return [
-        Lookup("train", dim_train_map, "id_train", "train_key", "id_train",
-               known_rows=train_rows),
+        Lookup("train", dim_train_map, "id_train", "train_key", "id_train"),
         Lookup("gare_depart", dim_gare_map, "id_gare", "gare_key", "id_gare_depart",
-               output="gare_depart_key", known_rows=gare_rows),
+               output="gare_depart_key"),
         Lookup("gare_arrivee", dim_gare_map, "id_gare", "gare_key", "id_gare_arrivee",
-               output="gare_arrivee_key", known_rows=gare_rows),
+               output="gare_arrivee_key"),
     ]
 
 
-def reservation_lookups(dim_client_map: DataFrame, fact_trajet_map: DataFrame,
-                        client_rows: int | None = None) -> list[Lookup]:
+def reservation_lookups(dim_client_map: DataFrame, fact_trajet_map: DataFrame) -> list[Lookup]:
     # Fact-to-fact: the trip map grows with the facts, so it is never
     # broadcast; a shuffled join with AQE skew splitting handles hot trips.
     return [
-        Lookup("client", dim_client_map, "id_client", "client_key", "id_client",
-               known_rows=client_rows),
+        Lookup("client", dim_client_map, "id_client", "client_key", "id_client"),
         Lookup("trajet", fact_trajet_map, "id_trajet", "trajet_key", "id_trajet",
                broadcast=False),
     ]
 
 
-def resolve(source: DataFrame, date_col: str, lookups: list[Lookup],
-            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def resolve(source: DataFrame, date_col: str, lookups: list[Lookup]) -> DataFrame:
     """G4 + J8: every source row with its date key, its surrogate keys and
     the lookups that failed -- one plan for accepted and rejected rows."""
     staged = source.withColumn("date_key", date_key(date_col))
-    return resolve_with_reasons(staged, lookups, max_broadcast_rows)
+    return resolve_with_reasons(staged, lookups)
 
 
 def split(resolved: DataFrame, source_columns: list[str], spec: schemas.TableSpec,
-          with_keys: bool = True, key_start: int = 1, key_options: dict | None = None
-          ) -> tuple[DataFrame, DataFrame]:
+          with_keys: bool = True, key_start: int = 1) -> tuple[DataFrame, DataFrame]:
     """(accepted rows in the contract, numbered after rejection; rejected
-    rows with their source columns and reasons).  ``key_options`` go to
-    ``assign_dense_key`` (bucket sizes)."""
+    rows with their source columns and reasons)."""
     ok = project(accepted(resolved), spec.without(spec.surrogate_key))
     if with_keys:
         ok = project(assign_dense_key(ok, list(spec.natural_key), spec.surrogate_key,
-                                      start=key_start, **(key_options or {})), spec.schema)
+                                      start=key_start), spec.schema)
     bad = rejected(resolved).select(*source_columns, REASONS)
     return ok, bad
 
 
 def _fact(source: DataFrame, date_col: str, lookups: list[Lookup], spec: schemas.TableSpec,
-          with_keys: bool, max_broadcast_rows: int, key_start: int = 1
-          ) -> tuple[DataFrame, DataFrame]:
-    resolved = resolve(source, date_col, lookups, max_broadcast_rows)
+          with_keys: bool, key_start: int = 1) -> tuple[DataFrame, DataFrame]:
+    resolved = resolve(source, date_col, lookups)
     return split(resolved, source.columns, spec, with_keys, key_start)
 
 
 def fact_trajet(trajet: DataFrame, dim_train_map: DataFrame, dim_gare_map: DataFrame,
-                with_keys: bool = True, train_rows: int | None = None,
-                gare_rows: int | None = None,
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, key_start: int = 1
-                ) -> tuple[DataFrame, DataFrame]:
+                with_keys: bool = True, key_start: int = 1) -> tuple[DataFrame, DataFrame]:
     """J4 = G4 + J1 + J2 + P1 (+ G3)."""
-    lookups = trip_lookups(dim_train_map, dim_gare_map, train_rows, gare_rows)
-    return _fact(trajet, "date_depart", lookups, schemas.FACT_TRAJET, with_keys,
-                 max_broadcast_rows, key_start)
+    lookups = trip_lookups(dim_train_map, dim_gare_map)
+    return _fact(trajet, "date_depart", lookups, schemas.FACT_TRAJET, with_keys, key_start)
 
 
 def fact_reservation(reservation: DataFrame, dim_client_map: DataFrame,
-                     fact_trajet_map: DataFrame, with_keys: bool = True,
-                     client_rows: int | None = None,
-                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, key_start: int = 1
-                     ) -> tuple[DataFrame, DataFrame]:
+                     fact_trajet_map: DataFrame, with_keys: bool = True, key_start: int = 1) -> tuple[DataFrame, DataFrame]:
     """J5 = G4 + J1 + J3 + P1 (+ G3).  A rejected trip takes its reservations
     with it, since its id is absent from the trip map."""
-    lookups = reservation_lookups(dim_client_map, fact_trajet_map, client_rows)
+    lookups = reservation_lookups(dim_client_map, fact_trajet_map)
     return _fact(reservation, "date_reservation", lookups, schemas.FACT_RESERVATION,
-                 with_keys, max_broadcast_rows, key_start)
+                 with_keys, key_start)

@@ -248,6 +248,10 @@ ORACLE: dict[str, str] = {
     "g3_dense_key_lineitem": f"SELECT line_sk, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM"
                              f" (SELECT *, CAST(row_number() OVER (ORDER BY {LINEITEM_ORDER})"
                              f" AS BIGINT) AS line_sk FROM lineitem)",
+    "g3_text_key": "SELECT c_name, c_custkey, CAST(row_number() OVER (ORDER BY c_name, c_custkey)"
+                   " AS BIGINT) AS name_sk FROM customer",
+    "g3_timestamp_key": "SELECT event_id, CAST(row_number() OVER (ORDER BY ts, event_id)"
+                        " AS BIGINT) AS event_sk FROM events",
     "g4_date_key": f"SELECT o_orderkey, {dkey('o_orderdate')} AS date_key FROM orders",
     "j1_resolve": f"""SELECT o.o_orderkey, {dkey('o.o_orderdate')} AS date_key, c.client_key
 FROM orders o JOIN (SELECT c_custkey, CAST(row_number() OVER (ORDER BY c_custkey) AS BIGINT)
@@ -275,11 +279,18 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE o.o_orderdate
                              ("trajet", "id_gare_depart", "gare", "id_gare"),
                              ("trajet", "id_gare_arrivee", "gare", "id_gare"),
                              ("reservation", "id_client", "client", "id_client"),
-                             ("reservation", "id_trajet", "trajet", "id_trajet")])),
+                             ("reservation", "id_trajet", "trajet", "id_trajet")]
+        ) + "".join(
+        f"\nUNION ALL\nSELECT '{c}', 'date_key', 'dim_date', 'date_key', CAST(count(*) AS BIGINT)"
+        f" FROM {c}_src x WHERE CAST({d} AS DATE) BETWEEN"
+        f" (SELECT min(CAST(date_depart AS DATE)) FROM trajet_src) AND"
+        f" (SELECT max(CAST(date_depart AS DATE)) FROM trajet_src) IS NOT TRUE"
+        for c, d in [("trajet", "date_depart"), ("reservation", "date_reservation")])),
     "a1_count": "\nUNION ALL\n".join(
         f"SELECT '{n}' AS table_name, CAST(count(*) AS BIGINT) AS total FROM {n}"
         for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-                  "events")),
+                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
+                  "conversations")),
     "a2_rules_one_pass": """SELECT CAST(count(*) AS BIGINT) AS total,
   CAST(count(*) FILTER (WHERE l_quantity <= 0) AS BIGINT) AS qty_not_positive,
   CAST(count(*) FILTER (WHERE l_extendedprice < 0) AS BIGINT) AS price_negative,
@@ -370,3 +381,4 @@ ORACLE["a6_rates"] = report_sql([
     quality.Later("d10_reservation_after_trip", "fact_reservation", "fact_trajet", "trajet_key",
                   "date_key", "date_key", 0.05)])
 ORACLE["d_report"] = report_sql(quality.warehouse_rules())
+ORACLE["e2_report"] = ORACLE["d_report"]

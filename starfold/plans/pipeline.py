@@ -1,11 +1,10 @@
 """The whole load (E1) and the gated, step-wise load.
 
 Order: dimensions -> calendar -> trips -> reservations -> quality report ->
-gate.  Each table is written to a staging folder, checked, then swapped in;
-the next step reads the published table back, so lineage is cut at every
-table and a lost executor only recomputes the current step.  Row counts come
-from ``Observation``s of the writes and serve as proven bounds for the
-broadcast decisions of the next step.
+gate.  A run writes all its tables to a folder of its own and checks them there
+before the first is moved into place; the next step reads the stored table back,
+so lineage is cut at every table and a lost executor only recomputes the current
+step.  Row counts come from ``Observation``s of the writes.
 
 Every step is a function that runs alone from the stored tables, and is
 idempotent: re-running a step replaces its table.  Re-running trips also
@@ -18,7 +17,7 @@ import datetime as dt
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +26,12 @@ from .. import schemas
 from ..operators.calendar import calendar_dimension, calendar_spanning, insert_if_absent
 from pyspark.sql import types as T
 
+from ..operators.contract import project
+from ..operators.keys import assign_dense_key
 from ..operators.lookups import REASONS, Lookup
-from ..sources.writers import path_exists, publish, remove, with_load_ts, write_table
+from ..session import materialize
+from ..sources.writers import (PublishRefused, path_exists, publish, remove, swap_in, with_load_ts,
+                               write_table)
 from . import dims, facts, quality
 
 CONSTRAINT_MODES = ("fail", "quarantine")
@@ -40,14 +43,12 @@ class LoadConfig:
     calendar: tuple[str, str] | None = None      # None: whole years spanning the facts
     constraints: str = "fail"                    # fail | quarantine
     gate: str = "full"                           # full | basic | report | off
-    max_broadcast_rows: int = 2_000_000
     load_ts: bool = True                         # K5: add load_ts (one value per run)
     parallel_steps: int = 4                      # independent steps run as concurrent jobs
     strict_calendar: bool = False                # reject fact dates outside dim_date
-    key_options: dict = field(default_factory=dict)  # assign_dense_key bucket settings
     report: list[dict] = field(default_factory=list)
     run_ts: str = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc)
-                        .strftime("%Y-%m-%d %H:%M:%S"))
+                        .isoformat(timespec="seconds"))
 
     def path(self, table: str) -> str:
         return f"{self.target.rstrip('/')}/{table}"
@@ -66,15 +67,36 @@ def _checks(spec: schemas.TableSpec) -> dict[str, str]:
 
 
 def _quarantine(df: DataFrame, spec: schemas.TableSpec) -> DataFrame:
-    """Constraint violations of the non-key columns as extra reject reasons."""
-    extra = [F.when(F.col(c).isNull(), F.lit(f"not_null:{c}"))
-             for c in spec.not_null if c != spec.surrogate_key and c in df.columns]
-    extra += [F.when(~F.coalesce(F.expr(ck.predicate), F.lit(True)), F.lit(f"check:{ck.name}"))
-              for ck in spec.checks]
+    """Every declared rule a row breaks (NOT NULL, CHECK, VARCHAR) as one more
+    reject reason."""
+    extra = [F.when(F.coalesce(F.expr(r.violation), F.lit(False)), F.lit(r.rule.split("_", 1)[1]))
+             for r in quality.constraint_rules(spec) if isinstance(r, quality.RowRule)
+             and not r.rule.endswith(f":{spec.surrogate_key}")]
     return df.withColumn(REASONS, F.filter(F.concat(F.col(REASONS), F.array(*extra)),
                                            lambda x: x.isNotNull()))
 
 
+def _surplus(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(one row per key, the least; the surplus rows).  ``min`` combines before
+    the shuffle; null keys are no duplicates (NOT NULL is a rule of its own)."""
+    cols = df.columns
+    first = (df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_sf_k"))
+             .agg(F.min(F.struct(*cols)).alias("_sf_r")).select("_sf_r.*"))
+    first = first.unionByName(df.filter(F.col(key).isNull()))
+    return first, df.exceptAll(first)
+
+
+def _refuse_duplicates(spec: schemas.TableSpec):
+    """UNIQUE of the declared keys, checked on the staged copy of a table."""
+    def check(staged: DataFrame) -> None:
+        keys = [list(spec.natural_key)] + ([["full_date"]] if spec.name == "dim_date" else [])
+        for key in keys:
+            worst = staged.groupBy(*key).count().agg(F.max("count")).first()[0]
+            if worst and worst > 1:
+                raise PublishRefused(f"{spec.name}: {key} is not unique")
+    return check
+
+
 def _contract(spec: schemas.TableSpec, cfg: LoadConfig):
     if not cfg.load_ts:
         return spec.schema
@@ -90,10 +112,23 @@ def load_dimension(spark: SparkSession, source: DataFrame, name: str, cfg: LoadC
     spec = schemas.WAREHOUSE[name]
     build = {"dim_client": dims.dim_client, "dim_gare": dims.dim_gare,
              "dim_train": dims.dim_train}[name]
-    rows = publish(_stamp(build(source, key_options=cfg.key_options), cfg), cfg.path(name),
-                   _contract(spec, cfg),
-                   checks=_checks(spec) if cfg.constraints == "fail" else None)
-    _log(cfg, name, rows, t0)
+    strict = cfg.constraints == "fail"
+    if strict:
+        rows = publish(_stamp(build(source), cfg), cfg.path(name), _contract(spec, cfg),
+                       checks=_checks(spec), validate=_refuse_duplicates(spec))
+        _log(cfg, name, rows, t0)
+        return rows
+    plain = build(source, with_keys=False)
+    none = F.array().cast("array<string>")
+    marked = materialize(_quarantine(plain.withColumn(REASONS, none), spec), name)
+    good, extra = _surplus(marked.filter(F.size(REASONS) == 0).drop(REASONS),
+                           spec.natural_key[0])
+    bad = marked.filter(F.size(REASONS) > 0).unionByName(
+        extra.withColumn(REASONS, F.array(F.lit(f"unique:{spec.natural_key[0]}"))))
+    keyed = project(assign_dense_key(good, list(spec.natural_key), spec.surrogate_key), spec.schema)
+    rows = publish(_stamp(keyed, cfg), cfg.path(name), _contract(spec, cfg))
+    rejected = publish(bad, cfg.path(name + "_rejected"))
+    _log(cfg, name, rows, t0, rejected)
     return rows
 
 
@@ -113,6 +148,7 @@ def load_calendar(spark: SparkSession, sources: dict[str, DataFrame], cfg: LoadC
                             schemas.DIM_DATE.schema, mode="append")
     else:
         added = publish(new, target, schemas.DIM_DATE.schema)
+    _refuse_duplicates(schemas.DIM_DATE)(spark.read.parquet(target))
     _log(cfg, "dim_date", added, t0)
     return added
 
@@ -122,13 +158,6 @@ def _key_map(spark: SparkSession, cfg: LoadConfig, name: str) -> DataFrame:
     return spark.read.parquet(cfg.path(name)).select(spec.natural_key[0], spec.surrogate_key)
 
 
-def _rows(cfg: LoadConfig, name: str) -> int | None:
-    for r in reversed(cfg.report):
-        if r["table_name"] == name:
-            return r["rows"]
-    return None
-
-
 def _load_fact(spark: SparkSession, name: str, source: DataFrame, date_col: str,
                lookups, cfg: LoadConfig, t0: float) -> int:
     """Resolve once, stage, number, publish.
@@ -148,18 +177,19 @@ def _load_fact(spark: SparkSession, name: str, source: DataFrame, date_col: str,
             F.col("date_key").alias("_sf_cal_key"), F.lit(True).alias("_sf_in_calendar"))
         lookups = list(lookups) + [Lookup("date", cal, "_sf_cal_key", "_sf_in_calendar",
                                           "date_key")]
-    resolved = facts.resolve(source, date_col, lookups, cfg.max_broadcast_rows)
+    resolved = facts.resolve(source, date_col, lookups)
     write_table(resolved.withColumn("sf_accepted", (F.size(REASONS) == 0).cast("int")), work,
                 mode="overwrite", partition_by=["sf_accepted"])
     staged = spark.read.parquet(work)
     part = F.col("sf_accepted") == 1     # partition column: each side reads its folder
     ok, _ = facts.split(staged.filter(part).drop("sf_accepted"), source.columns, spec,
-                        with_keys=cfg.constraints == "fail", key_options=cfg.key_options)
+                        with_keys=cfg.constraints == "fail")
     _, bad = facts.split(staged.filter(~part).drop("sf_accepted"), source.columns, spec,
                          with_keys=False)
     ok, bad = _finish(ok, bad, source, spec, cfg)
     rows = publish(_stamp(ok, cfg), cfg.path(name), _contract(spec, cfg),
-                   checks=_checks(spec) if cfg.constraints == "fail" else None)
+                   checks=_checks(spec) if cfg.constraints == "fail" else None,
+                   validate=_refuse_duplicates(spec))
     rejected = publish(bad, cfg.path(name + "_rejected"))
     remove(spark, work)
     _log(cfg, name, rows, t0, rejected)
@@ -171,8 +201,7 @@ def load_fact_trajet(spark: SparkSession, trajet: DataFrame, cfg: LoadConfig) ->
     rejected trips."""
     t0 = time.time()
     lookups = facts.trip_lookups(_key_map(spark, cfg, "dim_train"),
-                                 _key_map(spark, cfg, "dim_gare"),
-                                 _rows(cfg, "dim_train"), _rows(cfg, "dim_gare"))
+                                 _key_map(spark, cfg, "dim_gare"))
     return _load_fact(spark, "fact_trajet", trajet, "date_depart", lookups, cfg, t0)
 
 
@@ -180,8 +209,7 @@ def load_fact_reservation(spark: SparkSession, reservation: DataFrame, cfg: Load
     """J5 over the published client dimension and trip fact."""
     t0 = time.time()
     lookups = facts.reservation_lookups(_key_map(spark, cfg, "dim_client"),
-                                        _key_map(spark, cfg, "fact_trajet"),
-                                        _rows(cfg, "dim_client"))
+                                        _key_map(spark, cfg, "fact_trajet"))
     return _load_fact(spark, "fact_reservation", reservation, "date_reservation", lookups,
                       cfg, t0)
 
@@ -198,16 +226,16 @@ def _finish(ok, bad, source, spec, cfg):
     accepted rows are numbered."""
     if cfg.constraints != "quarantine":
         return ok, bad
-    from ..operators.contract import project
-    from ..operators.keys import assign_dense_key
-    marked = _quarantine(ok.withColumn(REASONS, F.array().cast("array<string>")), spec)
-    good = marked.filter(F.size(REASONS) == 0).drop(REASONS)
-    good = project(assign_dense_key(good, list(spec.natural_key), spec.surrogate_key,
-                                    **cfg.key_options), spec.schema)
-    # Quarantined rows are reported with their natural key and reasons.
-    worse = marked.filter(F.size(REASONS) > 0).select(spec.natural_key[0], REASONS)
-    bad = bad.select(spec.natural_key[0], REASONS).unionByName(worse)
-    return good, bad
+    none = F.array().cast("array<string>")
+    marked = materialize(_quarantine(ok.withColumn(REASONS, none), spec), spec.name)
+    good, extra = _surplus(marked.filter(F.size(REASONS) == 0).drop(REASONS),
+                           spec.natural_key[0])
+    good = project(assign_dense_key(good, list(spec.natural_key), spec.surrogate_key),
+                   spec.schema)
+    # Quarantined rows keep what they brought, resolved keys included.
+    extra = extra.withColumn(REASONS, F.array(F.lit(f"unique:{spec.natural_key[0]}")))
+    worse = marked.filter(F.size(REASONS) > 0).unionByName(extra)
+    return good, bad.unionByName(worse, allowMissingColumns=True)
 
 
 def quality_report(spark: SparkSession, cfg: LoadConfig, sources: dict[str, DataFrame],
@@ -218,14 +246,7 @@ def quality_report(spark: SparkSession, cfg: LoadConfig, sources: dict[str, Data
     for name in ("fact_trajet", "fact_reservation"):
         if path_exists(spark, cfg.path(name + "_rejected")):
             tables[name + "_rejected"] = spark.read.parquet(cfg.path(name + "_rejected"))
-    # Rows written by this run are exact table sizes, except for the calendar,
-    # which may have been appended to (it is counted instead).
-    counts = {r["table_name"]: r["rows"] for r in cfg.report
-              if r.get("rows") is not None and r["table_name"] != "dim_date"}
-    counts.update({r["table_name"] + "_rejected": r["rejected"] for r in cfg.report
-                   if r.get("rejected") is not None})
-    return quality.evaluate(tables, rules if rules is not None else quality.warehouse_rules(),
-                            cfg.max_broadcast_rows, row_counts=counts)
+    return quality.evaluate(tables, rules if rules is not None else quality.warehouse_rules())
 
 
 def purge(spark: SparkSession, cfg: LoadConfig) -> None:
@@ -250,8 +271,35 @@ def quality_check(spark: SparkSession, cfg: LoadConfig,
 
 def run(spark: SparkSession, sources: dict[str, DataFrame], cfg: LoadConfig) -> DataFrame:
     """The whole load in dependency order, then the quality gate.
+
+    All tables of a run are staged in a folder of their own, and the
+    constraints, the uniqueness of the keys and the gate are checked there.
+    Only then are the tables moved into place, one after another, by renames
+    alone; a refused step or a failed gate leaves the previous warehouse whole.
     Returns the load report (table, rows, rejected, seconds); the quality
     report is written next to the tables as ``_quality``."""
+    staged = replace(cfg, target=cfg.path(f"_runs/{uuid.uuid4().hex[:12]}"))
+    try:
+        _build(spark, sources, cfg, staged)
+    except BaseException:
+        remove(spark, staged.target)
+        raise
+    # The calendar and the dimensions first: a table in place never points at
+    # keys that are not there yet.
+    names = ("dim_date",) + schemas.LOAD_ORDER
+    for name in [*names, *[n + "_rejected" for n in names], "_quality"]:
+        if path_exists(spark, staged.path(name)):
+            swap_in(spark, staged.path(name), cfg.path(name))
+    remove(spark, staged.target)
+    return spark.createDataFrame(cfg.report,
+                                 "table_name string, rows long, rejected long, seconds double")
+
+
+def _build(spark: SparkSession, sources: dict[str, DataFrame], published: LoadConfig,
+           cfg: LoadConfig) -> None:
+    """All steps of a run, on the staged tables."""
+    if path_exists(spark, published.path("dim_date")):
+        write_table(spark.read.parquet(published.path("dim_date")), cfg.path("dim_date"))
     # The dimensions and the calendar do not depend on each other: they run
     # as concurrent Spark jobs (the scheduler shares the executors).
     with ThreadPoolExecutor(max_workers=cfg.parallel_steps) as pool:
@@ -269,5 +317,3 @@ def run(spark: SparkSession, sources: dict[str, DataFrame], cfg: LoadConfig) ->
         write_table(report, cfg.path("_quality"), mode="overwrite")
         if cfg.gate != "report":
             quality.gate(spark.read.parquet(cfg.path("_quality")))
-    return spark.createDataFrame(cfg.report,
-                                 "table_name string, rows long, rejected long, seconds double")

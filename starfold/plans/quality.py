@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.lookups import DEFAULT_MAX_BROADCAST_ROWS, orphans
+from ..operators.lookups import orphans
 from ..operators.profile import uniqueness
 
 REPORT_COLUMNS = ("rule", "table_name", "violations", "total", "rate", "tolerance", "passed")
@@ -148,19 +148,11 @@ def _row_rules(df: DataFrame, table: str, rules: Sequence[RowRule | Domain | Not
         "CAST(total AS BIGINT) AS total", "tolerance")
 
 
-def evaluate(tables: Mapping[str, DataFrame], rules: Iterable[Rule],
-             max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-             row_counts: Mapping[str, int] | None = None) -> DataFrame:
+def evaluate(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFrame:
     """The quality report of ``rules`` over ``tables`` (name -> DataFrame).
-
-    ``row_counts`` are exact table sizes measured when the tables were
-    written (the load report): they stand in for the totals of
-    reconciliation and foreign-key rules, and they bound the broadcast of a
-    foreign key's parent, which is broadcast only when known to be under
-    ``max_broadcast_rows`` (counted once otherwise)."""
+    Totals are counted on the tables themselves (for stored tables, from the
+    Parquet footers), and building the report starts no job."""
     rules = list(rules)
-    exact_counts = dict(row_counts or {})
-    row_counts = dict(exact_counts)
     parts: list[DataFrame] = []
     by_table: dict[str, list] = {}
     for r in rules:
@@ -179,9 +171,6 @@ def evaluate(tables: Mapping[str, DataFrame], rules: Iterable[Rule],
     counts = None
     if counted:
         def total(n: str) -> DataFrame:
-            if n in exact_counts:       # measured when the table was written
-                return tables[n].sparkSession.range(1).selectExpr(
-                    f"{_sql_str(n)} AS _sf_table", f"CAST({int(exact_counts[n])} AS BIGINT) AS n")
             return tables[n].agg(F.count(F.lit(1)).alias("n")).selectExpr(
                 f"{_sql_str(n)} AS _sf_table", "n")
         counts = reduce(DataFrame.unionByName, [total(n) for n in counted])
@@ -208,10 +197,7 @@ def evaluate(tables: Mapping[str, DataFrame], rules: Iterable[Rule],
                                         r.tolerance)))
         elif isinstance(r, ForeignKeyRule):
             child = tables[r.table].select(r.column)
-            if r.parent not in row_counts and r.broadcast is None:
-                row_counts[r.parent] = tables[r.parent].count()
-            o = orphans(child, r.column, tables[r.parent], r.parent_column,
-                        max_broadcast_rows, r.broadcast, row_counts.get(r.parent))
+            o = orphans(child, r.column, tables[r.parent], r.parent_column, r.broadcast)
             pending.append(o.agg(*_row(r.rule, r.table, F.count(F.lit(1)), F.lit(None),
                                        r.tolerance)))
         elif isinstance(r, Later):

@@ -4,6 +4,7 @@ column is aliased to the name its SQL twin in ``oracle.py`` uses."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +17,16 @@ from ..functions.text import label_to_bool, normalize_city, normalize_sex, strip
 from ..operators.calendar import calendar_spanning, date_series_between, insert_if_absent
 from ..operators.keys import assign_dense_key, upsert_type1
 from ..operators.lookups import (FkCheck, Lookup, REASONS, fk_audit, orphans,
-                                 resolve_keys, temporal_violations)
+                                 rejected, resolve_keys, temporal_violations)
 from ..operators.profile import (batch_ranges, duplicate_keys, outside_domain,
                                  rule_counts, uniqueness)
 from ..sources.readers import with_batches
-from . import adapter, dims, facts, quality, warehouse
+from ..session import ensure_checkpoint_dir
+from . import adapter, dims, facts, pipeline, quality, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
-TPC_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +86,16 @@ def g3_dense_key_lineitem(spark, sf_dir):
         "line_sk", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+def g3_text_key(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer").select("c_name", "c_custkey")
+    return assign_dense_key(c, ["c_name", "c_custkey"], "name_sk")
+
+
+def g3_timestamp_key(spark, sf_dir):
+    e = _t(spark, sf_dir, "events").select("ts", "event_id")
+    return assign_dense_key(e, ["ts", "event_id"], "event_sk").select("event_id", "event_sk")
+
+
 def g4_date_key(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
     return o.select("o_orderkey", date_key("o_orderdate").alias("date_key"))
@@ -173,8 +186,13 @@ def j7_temporal(spark, sf_dir):
 
 
 def j8_rejects(spark, sf_dir):
-    rej = _trips(spark, sf_dir)[2]["fact_trajet_rejected"]
-    return rej.select("id_trajet", "id_train", "id_gare_arrivee",
+    # Resolve and filter: nothing is stored and no fact is numbered.
+    s = _src(spark, sf_dir)
+    dm = warehouse.dimensions(s)
+    resolved = facts.resolve(s["trajet"], "date_depart", facts.trip_lookups(
+        dims.key_map(dm["dim_train"], schemas.DIM_TRAIN),
+        dims.key_map(dm["dim_gare"], schemas.DIM_GARE)))
+    return rejected(resolved).select("id_trajet", "id_train", "id_gare_arrivee",
                       F.array_join(REASONS, ",").alias("reasons"))
 
 
@@ -184,15 +202,22 @@ def j9_fk_audit(spark, sf_dir):
               FkCheck("trajet", "id_gare_depart", "gare", "id_gare"),
               FkCheck("trajet", "id_gare_arrivee", "gare", "id_gare"),
               FkCheck("reservation", "id_client", "client", "id_client"),
-              FkCheck("reservation", "id_trajet", "trajet", "id_trajet", broadcast=False)]
-    return fk_audit(s, checks)
+              FkCheck("reservation", "id_trajet", "trajet", "id_trajet", broadcast=False),
+              FkCheck("trajet", "date_key", "dim_date", "date_key"),
+              FkCheck("reservation", "date_key", "dim_date", "date_key")]
+    # The calendar of the trips, to the day: earlier bookings fall outside it.
+    days = calendar_spanning(s["trajet"], "date_depart", whole_years=False)
+    return fk_audit({**s, "dim_date": days,
+                     "trajet": s["trajet"].withColumn("date_key", date_key("date_depart")),
+                     "reservation": s["reservation"].withColumn(
+                         "date_key", date_key("date_reservation"))}, checks)
 
 
 # -------------------------------------------------------------- aggregations
 def a1_count(spark, sf_dir):
     parts = [_t(spark, sf_dir, n).agg(F.lit(n).alias("table_name"),
                                       F.count(F.lit(1)).cast("long").alias("total"))
-             for n in TPC_TABLES]
+             for n in TABLES]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -302,12 +327,25 @@ def u1_upsert(spark, sf_dir):
     return out.select("client_key", "id_client", "sexe", "ville", "statut_compte")
 
 
+def _loaded(spark, sf_dir, table):
+    """One load (E1) into a fresh folder below the checkpoint folder, and one
+    of its tables read back."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/load-{uuid.uuid4().hex[:12]}"
+    cfg = pipeline.LoadConfig(target=base, gate="report", load_ts=False)
+    pipeline.run(spark, _src(spark, sf_dir), cfg)
+    return spark.read.parquet(cfg.path(table))
+
+
 def e1_fact_trajet(spark, sf_dir):
-    return j4_fact_trajet(spark, sf_dir)
+    return _loaded(spark, sf_dir, "fact_trajet")
 
 
 def e1_fact_reservation(spark, sf_dir):
-    return j5_fact_reservation(spark, sf_dir)
+    return _loaded(spark, sf_dir, "fact_reservation")
+
+
+def e2_report(spark, sf_dir):
+    return _loaded(spark, sf_dir, "_quality")
 
 
 QUERIES: dict[str, Query] = {
@@ -319,6 +357,8 @@ QUERIES: dict[str, Query] = {
     "g2_calendar": g2_calendar,
     "g3_dense_key": g3_dense_key,
     "g3_dense_key_lineitem": g3_dense_key_lineitem,
+    "g3_text_key": g3_text_key,
+    "g3_timestamp_key": g3_timestamp_key,
     "g4_date_key": g4_date_key,
     "g1_date_series": g1_date_series,
     "s2_batches": s2_batches,
@@ -350,4 +390,5 @@ QUERIES: dict[str, Query] = {
     "u1_upsert": u1_upsert,
     "e1_fact_trajet": e1_fact_trajet,
     "e1_fact_reservation": e1_fact_reservation,
+    "e2_report": e2_report,
 }

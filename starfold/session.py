@@ -11,10 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings every job of the library assumes.  AQE re-plans joins and
 # partition counts at run time and splits skewed join partitions; the session
 # time zone is pinned so that date arithmetic matches SQL engines that use
-# naive timestamps.  Broadcasts chosen from file-size estimates are off: a
-# side is broadcast either explicitly, after its row count was checked
-# (``operators.lookups.bounded_broadcast``), or by AQE from the measured size
-# of a finished shuffle.
+# naive timestamps.  Broadcasts chosen from file-size estimates are off: AQE
+# chooses them from the measured size of a finished shuffle.
 DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",

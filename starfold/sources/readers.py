@@ -82,6 +82,9 @@ def jdbc_options(url: str, table: str, *, schema: str = "raw", user: str | None
     if password is not None:
         opts["password"] = password
     if partition_column is not None:
+        # S3: ranges need a declared order key, as batches do.
+        if partition_column not in order_key(table):
+            raise ValueError(f"{partition_column!r} is not the ordering key of {table!r}")
         if None in (lower_bound, upper_bound, num_partitions):
             raise ValueError("a partitioned JDBC read needs lower_bound, upper_bound "
                              "and num_partitions")

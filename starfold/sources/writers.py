@@ -25,7 +25,8 @@ NULL_MARKER = "\\N"
 
 def with_load_ts(df: DataFrame, ts: str | Column | None = None, name: str = "load_ts"
                  ) -> DataFrame:
-    """K5: the load time on every row (one value for the whole run)."""
+    """K5: the load time on every row (one value for the whole run).  Text with
+    an offset (``...+00:00``) is the same instant in every session zone."""
     value = F.current_timestamp() if ts is None else (
         ts if isinstance(ts, Column) else F.lit(ts).cast("timestamp"))
     return df.withColumn(name, value)
@@ -158,8 +159,9 @@ def _write_csv(df: DataFrame, path: str, mode: str, opts: dict[str, str]) -> int
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """K4 reader, the exact inverse of ``write_tsv``."""
+    """K4 reader, the exact inverse of ``write_tsv``: quoted text may hold line
+    breaks, so a file is read by one task (the writer bounds its size)."""
     return (spark.read.schema(schema)
             .options(sep="\t", nullValue=NULL_MARKER, header="false", quote='"', escape='"',
-                     mode="FAILFAST")
+                     multiLine="true", mode="FAILFAST")
             .csv(path))

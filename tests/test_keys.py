@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -14,35 +15,28 @@ def _diff(got, expected_df, key_cols):
     return j.filter(F.col("k") != F.col("expected")).count(), j.count()
 
 
-def test_small_path_equals_global_row_number(spark):
+def test_dense_key_equals_global_row_number(spark):
     o = spark.read.parquet(f"{SF01}/orders.parquet").select("o_orderkey")
     got = assign_dense_key(o, ["o_orderkey"], "k")
     bad, n = _diff(got, _global_rank(o, ["o_orderkey"]), ["o_orderkey"])
     assert (bad, n) == (0, 15000)
 
 
-def test_bucketed_path_equals_global_row_number(spark):
+def test_keys_are_gapless(spark):
     o = spark.read.parquet(f"{SF01}/orders.parquet").select("o_orderkey")
-    got = assign_dense_key(o, ["o_orderkey"], "k", single_task_rows=0, top_bits=6,
-                           max_bucket_rows=100_000)
-    bad, n = _diff(got, _global_rank(o, ["o_orderkey"]), ["o_orderkey"])
-    assert (bad, n) == (0, 15000)
+    got = assign_dense_key(o, ["o_orderkey"], "k")
     assert got.agg(F.min("k"), F.max("k"), F.count_distinct("k")).first() == (1, 15000, 15000)
 
 
-def test_hot_range_is_split_and_still_dense(spark):
-    # A third of the keys squeezed into a tiny range next to a wide sparse
-    # range: the hot top bucket must be split, and the numbering stay exact.
+def test_hot_range_is_still_dense(spark):
+    # A third of the keys squeezed into a tiny range next to a wide sparse one.
     o = spark.read.parquet(f"{SF01}/orders.parquet").select("o_orderkey")
     skewed = o.select(F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderkey"))
                       .otherwise(F.col("o_orderkey") * 1_000_003 + 10_000_000)
                       .alias("key"))
-    rep = {}
-    got = assign_dense_key(skewed, ["key"], "k", single_task_rows=0, top_bits=4, fan_bits=3,
-                           max_bucket_rows=1000, report=rep)
+    got = assign_dense_key(skewed, ["key"], "k")
     bad, n = _diff(got, _global_rank(skewed, ["key"]), ["key"])
     assert (bad, n) == (0, 15000)
-    assert rep["largest_bucket"] <= 1000 and rep["depth"] >= 1
 
 
 def test_composite_order_and_start(spark):
@@ -50,8 +44,7 @@ def test_composite_order_and_start(spark):
     cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
             "l_shipdate"]
-    got = assign_dense_key(li, cols, "k", start=101, single_task_rows=0, top_bits=5,
-                           max_bucket_rows=20_000)
+    got = assign_dense_key(li, cols, "k", start=101)
     exp = _global_rank(li, cols).withColumn("expected", F.col("expected") + 100)
     bad, n = _diff(got, exp, cols)
     assert (bad, n) == (0, 60000)
@@ -60,8 +53,7 @@ def test_composite_order_and_start(spark):
 def test_date_leading_column(spark):
     days = spark.range(0, 500).select(F.date_add(F.lit("2020-01-01").cast("date"),
                                                  F.col("id").cast("int")).alias("d"))
-    got = assign_dense_key(days, ["d"], "k", single_task_rows=0, top_bits=3,
-                           max_bucket_rows=50)
+    got = assign_dense_key(days, ["d"], "k")
     bad, n = _diff(got, _global_rank(days, ["d"]), ["d"])
     assert (bad, n) == (0, 500)
 
@@ -89,19 +81,15 @@ def test_upsert_type1(spark):
 
 def test_hot_leading_value_continues_on_next_column(spark):
     # The leading column holds two values, each with half of the rows: the
-    # exact-value buckets are still heavy and must be split on l_partkey.
+    # ranges must be cut on l_partkey.
     li = spark.read.parquet(f"{SF01}/lineitem.parquet").withColumn(
         "lead", F.col("l_orderkey") % 2)
     cols = ["lead", "l_partkey", "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
             "l_shipdate"]
-    rep = {}
-    got = assign_dense_key(li, cols, "k", single_task_rows=0, top_bits=4, fan_bits=4,
-                           max_bucket_rows=2000, report=rep)
+    got = assign_dense_key(li, cols, "k")
     bad, n = _diff(got, _global_rank(li, cols), cols)
     assert (bad, n) == (0, 60000)
-    # no window task above the bound, reached by splitting on the 2nd column
-    assert rep["largest_bucket"] <= 2000 and rep["depth"] >= 1
 
 
 def test_timestamp_ntz_leading_column_across_a_dst_gap(spark):
@@ -112,9 +100,49 @@ def test_timestamp_ntz_leading_column_across_a_dst_gap(spark):
         base = dt.datetime(2024, 3, 31, 1, 0, 0)
         df = spark.createDataFrame([(base + dt.timedelta(seconds=30 * i),) for i in range(400)],
                                    "t timestamp_ntz")
-        got = assign_dense_key(df, ["t"], "k", single_task_rows=0, top_bits=3,
-                               max_bucket_rows=40)
+        got = assign_dense_key(df, ["t"], "k")
         bad, n = _diff(got, _global_rank(df, ["t"]), ["t"])
         assert (bad, n) == (0, 400)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def _check(spark, df, cols):
+    got = assign_dense_key(df, cols, "k")
+    order = [F.col(c).asc_nulls_first() for c in cols]
+    exp = df.withColumn("e", F.row_number().over(Window.orderBy(*order)))
+    pairs = [got[c].eqNullSafe(exp[c]) for c in cols]
+    cond = pairs[0]
+    for p in pairs[1:]:
+        cond = cond & p
+    j = got.join(exp, cond)
+    assert j.count() == df.count() and j.filter("k <> e").count() == 0
+
+
+def test_many_rows_in_one_second(spark):
+    import datetime as dt
+    base = dt.datetime(2024, 3, 31, 1, 0, 0)
+    rows = [(base + dt.timedelta(microseconds=(i * 7919) % 1000), i % 5) for i in range(1000)]
+    _check(spark, spark.createDataFrame(rows, "t timestamp_ntz, b int").distinct(), ["t", "b"])
+
+
+def test_keys_at_both_ends_of_the_long_range(spark):
+    rows = [(v,) for v in (-2**63, -2**63 + 1, -1, 0, 1, 2**63 - 2, 2**63 - 1, None)]
+    _check(spark, spark.createDataFrame(rows, "k0 long"), ["k0"])
+
+
+def test_text_double_and_decimal_keys(spark):
+    df = spark.range(0, 600).select(
+        F.concat(F.lit("né"), (F.col("id") * 7919 % 50).cast("string")).alias("s"),
+        F.when(F.col("id") % 11 != 0, F.col("id") / 7).alias("d"),
+        (F.col("id") * 31 % 600).cast("decimal(20,2)").alias("m"))
+    _check(spark, df, ["s", "d", "m"])
+
+
+def test_upsert_without_a_version_refuses_duplicates(spark):
+    old = spark.createDataFrame([(1, 10, "x")], "sk int, nk int, v string")
+    new = spark.createDataFrame([(10, "a"), (10, "b")], "nk int, v string")
+    with pytest.raises(ValueError, match="version column"):
+        upsert_type1(old, new, "nk", "sk")
+    one = upsert_type1(old, new.limit(1), "nk", "sk").collect()
+    assert [(r.sk, r.nk) for r in one] == [(1, 10)]

@@ -1,4 +1,4 @@
-"""Property checks (hypothesis): the bucketed dense key is the global rank."""
+"""Property checks (hypothesis): the dense key is the global rank."""
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -13,16 +13,12 @@ keys = st.lists(st.one_of(st.integers(-50, 50), st.integers(-10**15, 10**15)),
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(values=keys, top_bits=st.integers(1, 8), fan_bits=st.integers(1, 5),
-       max_rows=st.integers(2, 60), start=st.integers(1, 1000))
-def test_dense_key_equals_global_rank(spark, values, top_bits, fan_bits, max_rows, start):
+@given(values=keys, start=st.integers(1, 1000))
+def test_dense_key_equals_global_rank(spark, values, start):
     df = spark.createDataFrame([(v,) for v in values], "k long")
-    rep = {}
-    got = assign_dense_key(df, ["k"], "sk", start=start, single_task_rows=0, top_bits=top_bits,
-                           fan_bits=fan_bits, max_bucket_rows=max_rows, report=rep)
+    got = assign_dense_key(df, ["k"], "sk", start=start)
     expected = {v: i + start for i, v in enumerate(sorted(values))}
     assert {r.k: r.sk for r in got.collect()} == expected
-    assert rep["largest_bucket"] <= max_rows
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -41,6 +37,6 @@ def test_accepted_plus_rejected_is_input(spark, fact_keys, map_keys, broadcast):
 
 def test_window_reference_agrees_on_ties_free_input(spark):
     df = spark.range(0, 500).select((F.col("id") * 7919 % 1000).alias("k")).distinct()
-    got = assign_dense_key(df, ["k"], "sk", single_task_rows=0, top_bits=3, max_bucket_rows=40)
+    got = assign_dense_key(df, ["k"], "sk")
     exp = df.withColumn("e", F.row_number().over(Window.orderBy("k")))
     assert got.join(exp, "k").filter("sk != e").count() == 0

@@ -46,8 +46,7 @@ def main(sf_dir: str) -> None:
                              [Lookup("order", omap, "o_orderkey", "order_sk", "l_orderkey",
                                      broadcast=False)]))
     out["G3 dense key, bucketed path (no single-partition exchange on the data)"] = plan(
-        assign_dense_key(orders.select("o_orderkey"), ["o_orderkey"], "order_sk",
-                         single_task_rows=0, top_bits=8))
+        assign_dense_key(orders.select("o_orderkey"), ["o_orderkey"], "order_sk"))
     out["D13-D15 row rules of one table: one aggregate, one stack"] = plan(
         quality.evaluate({"t": lineitem}, [
             quality.RowRule("qty", "t", "l_quantity <= 0"),
