@@ -11,10 +11,10 @@ from .text import (
     strip_ws,
     title_case,
 )
-from .predicates import abs_diff_exceeds, is_all_lower, is_all_upper, null_rate_expr
+from .predicates import is_all_lower, is_all_upper
 
 __all__ = [
-    "abs_diff_exceeds", "date_key", "date_parts", "first_letter", "is_all_lower",
+    "date_key", "date_parts", "first_letter", "is_all_lower",
     "is_all_upper", "label_to_bool", "map_with_fallback", "normalize_city",
-    "normalize_sex", "null_rate_expr", "strip_ws", "title_case", "to_date_col",
+    "normalize_sex", "strip_ws", "title_case", "to_date_col",
 ]

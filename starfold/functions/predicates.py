@@ -17,13 +17,3 @@ def is_all_upper(c: Column | str) -> Column:
 
 def is_all_lower(c: Column | str) -> Column:
     return (_col(c) == F.lower(_col(c))) & (F.length(_col(c)) > 1)
-
-
-def abs_diff_exceeds(actual: Column | str, expected: Column, tolerance: float) -> Column:
-    """|actual - expected| > tolerance, on exact decimals."""
-    return F.abs(_col(actual) - expected) > F.lit(tolerance)
-
-
-def null_rate_expr(c: Column | str) -> Column:
-    """Share of nulls; null on an empty input instead of a division error."""
-    return F.try_divide(F.count_if(_col(c).isNull()), F.count(F.lit(1)))

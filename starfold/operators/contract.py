@@ -31,16 +31,6 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
     return df.select(*cols)
 
 
-def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    """P2."""
-    return df.withColumnsRenamed(dict(mapping))
-
-
-def derive(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
-    """Add or replace several columns in one projection."""
-    return df.withColumns(dict(columns))
-
-
 def cast_with_reasons(df: DataFrame, contract: T.StructType, reasons: str = "reject_reasons",
                       keep: Sequence[str] = ()) -> DataFrame:
     """F9 feeding J8: cast every contract column with ``try_cast``; a value

@@ -30,6 +30,7 @@ from ..operators.contract import project
 from ..operators.keys import assign_dense_key
 from ..operators.lookups import REASONS, Lookup
 from ..session import materialize
+from ..sources.readers import read_key_map
 from ..sources.writers import (PublishRefused, path_exists, publish, remove, swap_in, with_load_ts,
                                write_table)
 from . import dims, facts, quality
@@ -155,7 +156,7 @@ def load_calendar(spark: SparkSession, sources: dict[str, DataFrame], cfg: LoadC
 
 def _key_map(spark: SparkSession, cfg: LoadConfig, name: str) -> DataFrame:
     spec = schemas.WAREHOUSE[name]
-    return spark.read.parquet(cfg.path(name)).select(spec.natural_key[0], spec.surrogate_key)
+    return read_key_map(spark, cfg.path(name), spec.natural_key[0], spec.surrogate_key)
 
 
 def _load_fact(spark: SparkSession, name: str, source: DataFrame, date_col: str,

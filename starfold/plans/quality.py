@@ -235,6 +235,7 @@ def gate(report: DataFrame) -> list[dict]:
 
 
 # ------------------------------------------------------------ rule catalogue
+# The predicates and tolerances below.
 def constraint_rules(spec: schemas.TableSpec) -> list[Rule]:
     """Rules implied by a table's declaration: NOT NULL (D13), CHECK (D14),
     VARCHAR length (D15), natural and surrogate key uniqueness (D2), foreign

@@ -18,7 +18,7 @@ from ..operators.calendar import calendar_spanning, date_series_between, insert_
 from ..operators.keys import assign_dense_key, upsert_type1
 from ..operators.lookups import (FkCheck, Lookup, REASONS, fk_audit, orphans,
                                  rejected, resolve_keys, temporal_violations)
-from ..operators.profile import (batch_ranges, duplicate_keys, outside_domain,
+from ..operators.profile import (batch_ranges, distinct_values, duplicate_keys, outside_domain,
                                  rule_counts, uniqueness)
 from ..sources.readers import with_batches
 from ..session import ensure_checkpoint_dir
@@ -245,7 +245,7 @@ def a3_unique(spark, sf_dir):
 
 def a4_distinct(spark, sf_dir):
     dc = dims.dim_client(_src(spark, sf_dir)["client"], with_keys=False)
-    return dc.filter(F.col("sexe").isNotNull()).select("sexe").distinct()
+    return distinct_values(dc.filter(F.col("sexe").isNotNull()), "sexe")
 
 
 def a5_batches(spark, sf_dir):

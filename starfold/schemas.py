@@ -60,6 +60,7 @@ def DEC(p: int, s: int) -> T.DecimalType:
 
 
 # ---------------------------------------------------------------- source model
+# Column names, types, lengths, keys and checks of the two models.
 CLIENT = TableSpec(
     "client",
     _s(("id_client", I), ("nom", S), ("prenom", S), ("date_naissance", D), ("sexe", S),
