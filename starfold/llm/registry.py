@@ -31,10 +31,7 @@ QUERIES = {
 
 # Twins that DuckDB can run; the other queries are tested against brute force.
 ORACLE: dict[str, str] = {
-    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_host_reputation": OP3_SQL,
-    "op6_pseudo_likelihood": op6_pseudo_likelihood,
-    "op7_window_packing": op7_window_packing,
     "op8_source_mix": OP8_SQL,
     "op9_exact_dedup": OP9_SQL,
 }
