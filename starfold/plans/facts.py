@@ -15,6 +15,7 @@ from ..functions.dates import date_key
 from ..operators.contract import project
 from ..operators.keys import assign_dense_key
 from ..operators.lookups import REASONS, Lookup, accepted, rejected, resolve_with_reasons
+from ..session import materialize
 
 
 def trip_lookups(dim_train_map: DataFrame, dim_gare_map: DataFrame) -> list[Lookup]:
@@ -60,7 +61,8 @@ def split(resolved: DataFrame, source_columns: list[str], spec: schemas.TableSpe
 
 def _fact(source: DataFrame, date_col: str, lookups: list[Lookup], spec: schemas.TableSpec,
           with_keys: bool, key_start: int = 1) -> tuple[DataFrame, DataFrame]:
-    resolved = resolve(source, date_col, lookups)
+    # Stored once: accepted, rejected and the key passes read the same copy.
+    resolved = materialize(resolve(source, date_col, lookups), spec.name)
     return split(resolved, source.columns, spec, with_keys, key_start)
 
 

@@ -148,7 +148,8 @@ def write_tsv(df: DataFrame, path: str, columns: Sequence[str] | None = None,
             raise ValueError(f"{n} rows hold the text {NULL_MARKER!r}, which would read back "
                              "as null")
     opts = {"sep": "\t", "nullValue": NULL_MARKER, "header": "false", "quote": '"',
-            "escape": '"', "quoteAll": "false"}
+            "escape": '"', "quoteAll": "false", "ignoreLeadingWhiteSpace": "false",
+            "ignoreTrailingWhiteSpace": "false"}
     return _write_csv(df, path, mode, opts)
 
 

@@ -8,6 +8,7 @@ from conftest import SF001
 from starfold import schemas
 from starfold.plans import adapter, facts, pipeline, quality
 from starfold.plans.pipeline import LoadConfig
+from starfold.sources.writers import PublishRefused
 from starfold.streaming import incremental_load
 
 # Expected counts at sf0.001 (FIXTURES.md section 3).
@@ -203,3 +204,57 @@ def test_keys_of_the_warehouse_are_the_global_ranks(loaded):
         rank = F.row_number().over(Window.orderBy(*spec.natural_key))
         bad = df.withColumn("e", rank).filter(F.col(spec.surrogate_key) != F.col("e"))
         assert df.count() and bad.count() == 0, name
+
+
+def _contents(spark, target):
+    return {n: sorted(map(str, spark.read.parquet(f"{target}/{n}").drop("load_ts").collect()))
+            for n in ("dim_date",) + schemas.LOAD_ORDER}
+
+
+@pytest.mark.parametrize("fault", ["trip", "gate", "dimension"])
+def test_a_refused_run_leaves_the_previous_version_whole(loaded, tmp_path, fault):
+    spark, target, src, _ = loaded
+    first = LoadConfig(target=str(tmp_path), gate="off")
+    pipeline.run(spark, src, first)
+    before = _contents(spark, tmp_path)
+    bad, gate = dict(src), "off"
+    # Client keys shift, so that old facts beside new dimensions would be wrong.
+    bad["client"] = src["client"].filter("id_client > 3")
+    if fault == "trip":
+        bad["trajet"] = src["trajet"].withColumn("date_depart", F.lit(None).cast("date"))
+    elif fault == "dimension":
+        bad["gare"] = src["gare"].unionByName(src["gare"].limit(1))
+    else:
+        gate = "full"
+    with pytest.raises((PublishRefused, quality.QualityGateError)):
+        pipeline.run(spark, bad, LoadConfig(target=str(tmp_path), gate=gate))
+    assert _contents(spark, tmp_path) == before
+    assert not os.path.exists(f"{tmp_path}/_runs") or not os.listdir(f"{tmp_path}/_runs")
+
+
+def test_duplicate_natural_keys_are_refused_or_quarantined(loaded, tmp_path):
+    spark, _, src, _ = loaded
+    bad = dict(src)
+    again = src["client"].filter("id_client <= 5").withColumn("ville", F.lit("zz"))
+    bad["client"] = src["client"].unionByName(again)
+    with pytest.raises(PublishRefused, match="dim_client: .* is not unique"):
+        pipeline.run(spark, bad, LoadConfig(target=str(tmp_path), gate="off"))
+    assert not os.path.exists(f"{tmp_path}/dim_client")
+    pipeline.run(spark, bad, LoadConfig(target=str(tmp_path), gate="off",
+                                        constraints="quarantine"))
+    assert spark.read.parquet(f"{tmp_path}/fact_reservation").count() == RES_OK
+    rej = spark.read.parquet(f"{tmp_path}/dim_client_rejected").collect()
+    surplus = src["client"].filter("id_client <= 5").count()
+    assert len(rej) == surplus and all(list(r.reject_reasons) == ["unique:id_client"] for r in rej)
+
+
+def test_quarantine_covers_dimensions_and_lengths(loaded, tmp_path):
+    spark, _, src, _ = loaded
+    bad = dict(src)
+    bad["client"] = src["client"].withColumn(
+        "nom", F.when(F.col("id_client") == 2, F.lit("x" * 60)).otherwise(F.col("nom")))
+    pipeline.run(spark, bad, LoadConfig(target=str(tmp_path), gate="off",
+                                        constraints="quarantine"))
+    rej = spark.read.parquet(f"{tmp_path}/dim_client_rejected").collect()
+    assert [(r.id_client, list(r.reject_reasons)) for r in rej] == [(2, ["length:nom"])]
+    assert spark.read.parquet(f"{tmp_path}/dim_client").filter("length(nom) > 50").count() == 0

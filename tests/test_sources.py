@@ -15,10 +15,10 @@ SCHEMA = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("s",
 
 def test_tsv_round_trip_keeps_null_empty_quote_backslash_tab(spark, scratch):
     rows = [(1, None), (2, ""), (3, 'say "hi"'), (4, "back\\slash"), (5, "tab\there"),
-            (6, "plain")]
+            (6, "plain"), (7, "two\nlines\nand more"), (8, "a\n")]
     df = spark.createDataFrame(rows, SCHEMA)
     path = os.path.join(scratch, "t")
-    assert write_tsv(df, path) == 6
+    assert write_tsv(df, path) == 8
     back = sorted(tuple(r) for r in read_tsv(spark, path, SCHEMA).collect())
     assert back == sorted(rows)
     text = "".join(open(os.path.join(path, f)).read() for f in os.listdir(path)
@@ -108,6 +108,16 @@ def test_load_ts(spark):
     assert df.select(F.count_distinct("load_ts")).first()[0] == 1
 
 
+def test_load_ts_is_an_instant_in_any_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = with_load_ts(spark.range(1), "2024-01-01T00:00:00+00:00").select(
+            F.unix_seconds("load_ts")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == 1704067200
+
+
 def test_yearly_files_ingest_types_rejects_and_duplicates(spark, scratch):
     from starfold.sources import ingest_files
     body = {2021: "1,10,1,1,2021-01-03,08:00:00,09:00:00,120,OK\n"
