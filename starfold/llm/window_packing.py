@@ -23,6 +23,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,42 +34,95 @@ from pyspark.sql import types as T
 from ..session import materialize
 from . import ragged
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
 BLOCK_BYTES = 1 << 20
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 SEQUENCE_BITS = 32
 
 
+class _Numbered(dict):
+    """Numbers its keys in the order in which they are first asked for."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
 class WordEncoder:
-    """Ids of texts, with a bounded cache of the distinct words' ids."""
+    """Ids of texts, with a bounded cache of the distinct words' ids.
+
+    New words are encoded together, a special token between them: what lies
+    between two special tokens is encoded as if it were alone."""
 
     def __init__(self, path: str):
         # One task, one thread: Spark deals out the cores.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        plain = [(i, t.content) for i, t in sorted(self.tok.get_added_tokens_decoder().items())
+                 if not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        self.between = plain[0] if plain else None
         self.clear()
 
     def clear(self) -> None:
-        self.cache: dict[bytes, int] = {}
+        self.cache = _Numbered()
         self.ids = np.zeros(1 << 16, dtype=np.uint32)
         self.start = np.zeros(1 << 14, dtype=np.int64)
-        self.used = 0
-
-    def _learn(self, new: list[bytes]) -> None:
-        got = self.tok.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        base = len(self.cache)
-        lists = [e.ids for e in got]
-        n = np.array([len(x) for x in lists], dtype=np.int64)
-        while base + len(new) + 1 > len(self.start):
+        self.used = self.known = 0
+
+    def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids, one after another, and how many each has."""
+        if self.between is None or any("<" in w for w in words):
+            lists = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+            return (np.array([i for x in lists for i in x], dtype=np.uint32),
+                    np.array([len(x) for x in lists], dtype=np.int64))
+        mark, text = self.between
+        joined = self.tok.encode_batch_fast([text.join(words)], add_special_tokens=False)[0]
+        ids = np.array(joined.ids, dtype=np.uint32)
+        cut = np.flatnonzero(ids == mark)
+        ends = np.append(cut, len(ids))
+        return np.delete(ids, cut), np.diff(np.append(-1, ends)) - 1
+
+    def _learn(self) -> None:
+        new, self.cache.new = self.cache.new, []
+        words = [w.decode() for w in new]
+        # Words that may hold a special string are encoded one by one.
+        odd = np.array(["<" in w for w in words], dtype=bool)
+        order = np.argsort(odd, kind="stable")
+        n_plain = int((~odd).sum())
+        groups = [order[i:min(i + 4096, n_plain)] for i in range(0, n_plain, 4096)]
+        groups += [order[n_plain:]] if odd.any() else []
+        while self.known + len(new) > len(self.start) // 2:
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-        while self.used + int(n.sum()) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used:self.used + int(n.sum())] = [i for x in lists for i in x]
-        self.start[base:base + len(new)] = self.used + np.cumsum(n) - n
-        self.used += int(n.sum())
-        self.start[base + len(new)] = self.used
-        self.cache.update(zip(new, range(base, base + len(new))))
+        for g in groups:
+            ids, n = self._ids_of([words[k] for k in g])
+            while self.used + len(ids) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.ids[self.used:self.used + len(ids)] = ids
+            at = 2 * (self.known + g)
+            self.start[at] = self.used + np.cumsum(n) - n
+            self.start[at + 1] = n
+            self.used += len(ids)
+        self.known += len(new)
+
+    def encode_many(self, texts: list[bytes]) -> list[np.ndarray]:
+        if len(self.cache) > CACHE_WORDS:
+            self.clear()
+        parts = [t.split() for t in texts]
+        count = np.array([len(p) for p in parts], dtype=np.int64)
+        at = np.fromiter(map(self.cache.__getitem__, chain.from_iterable(parts)), dtype=np.int64,
+                         count=int(count.sum()))
+        if self.cache.new:
+            self._learn()
+        n = self.start[2 * at + 1]
+        ids = ragged.gather(self.ids, self.start[2 * at], n)
+        ends = np.append(0, np.cumsum(n))[np.cumsum(count)]
+        return np.split(ids, ends[:-1]) if len(texts) else []
 
     def encode(self, text: bytes) -> np.ndarray:
         """The whole text's ids, block by block: cuts are at ASCII white space."""
@@ -77,22 +131,29 @@ class WordEncoder:
             cut = _SPACE.search(text, at + BLOCK_BYTES)
             if cut is None:
                 break
-            out.append(self._encode(text[at:cut.start()]))
+            out += self.encode_many([text[at:cut.start()]])
             at = cut.end()
-        out.append(self._encode(text[at:]))
-        return np.concatenate(out) if len(out) > 1 else out[0]
+        return np.concatenate(out + self.encode_many([text[at:]]))
 
-    def _encode(self, text: bytes) -> np.ndarray:
-        if len(self.cache) > CACHE_WORDS:
-            self.clear()
-        parts = text.split()
-        cache = self.cache
-        new = list(dict.fromkeys(w for w in parts if w not in cache))
-        if new:
-            self._learn(new)
-            cache = self.cache
-        at = np.fromiter(map(cache.__getitem__, parts), dtype=np.int64, count=len(parts))
-        return ragged.gather(self.ids, self.start[at], self.start[at + 1] - self.start[at])
+    def encode_batch(self, buf: np.ndarray, off: np.ndarray):
+        """The ids of each text of a batch, worked on in pieces."""
+        for i, j in ragged.pieces(off, BLOCK_BYTES):
+            raw = buf[off[i]:off[j]].tobytes()
+            if j == i + 1:
+                yield self.encode(raw)
+            else:
+                o = (off[i:j + 1] - off[i]).tolist()
+                yield from self.encode_many([raw[a:b] for a, b in zip(o, o[1:])])
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder_for(path: str) -> WordEncoder:
+    """The worker's encoder: its cache outlives a task."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 class OpenWindows:
@@ -171,7 +232,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     arrow = _arrow_schema(schema)
 
     def first_pass(batches):
-        encoder = WordEncoder(tokenizer_path)
+        encoder = encoder_for(tokenizer_path)
         windows, task, made = OpenWindows(size, open_windows), 0, 0
         for b in batches:
             if not b.num_rows:
@@ -179,9 +240,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             task = b.column(2)[0].as_py()
             buf, off = ragged.text_buffer(b.column(1))
             ids = b.column(0).to_pylist()
-            raw = buf.tobytes()
-            for k, row in enumerate(ids):
-                own = np.append(encoder.encode(raw[off[k]:off[k + 1]]), np.uint32(end_id))
+            for row, own in zip(ids, encoder.encode_batch(buf, off)):
+                own = np.append(own, np.uint32(end_id))
                 windows.add(row, 0, own, len(own))
                 if len(windows.full) >= 64:
                     full = windows.take_full()
