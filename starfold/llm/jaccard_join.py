@@ -41,10 +41,10 @@ from .shingle_sets import shingle_sets
 from .store import stored
 
 COUNT_SHARE = 0.3
-MIN_FREQUENT = 16
+MIN_FREQUENT = 4
 MAX_FREQUENT = 1 << 20
-ROWS_PER_BUCKET = 400_000
-PAIR_BLOCK = 1 << 20
+ROWS_PER_BUCKET = 200_000
+PAIR_BLOCK = 1 << 17
 SUBSET, LIST = 0, 1
 
 

@@ -7,6 +7,8 @@ of at most ``PIECE_BYTES`` (or one document), so that memory stays bounded.
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import os
 from collections.abc import Callable, Iterator
 
@@ -28,13 +30,40 @@ def map_batches(df: DataFrame, fn, schema) -> DataFrame:
     spark = df.sparkSession
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+    return df.mapInArrow(run, schema)
 
 
 def map_groups(grouped, spark, fn, schema) -> DataFrame:
     """``applyInArrow``, likewise."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
-    return grouped.applyInArrow(fn, schema)
+    if "key" in inspect.signature(fn).parameters:
+        def run(key, table):
+            try:
+                return fn(key, table)
+            finally:
+                give_back()
+    else:
+        def run(table):
+            try:
+                return fn(table)
+            finally:
+                give_back()
+    return grouped.applyInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system: Python workers outlive their tasks,
+    and what one stage needed must not stay with the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 _WS = np.zeros(256, dtype=bool)
 _WS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
