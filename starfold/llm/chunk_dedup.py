@@ -78,10 +78,12 @@ def _groups(rec: DataFrame, id_col: str, recipe: str, row: str) -> DataFrame:
     and ``count`` combine before the shuffle, so a hot group stays cheap."""
     first = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"),
                            F.col(row).alias("row"))).alias("_first")
-    return (rec.groupBy(F.col(recipe).alias("_recipe"))
-            .agg(first, F.count(F.lit(1)).alias("group_size"))
-            .select("_recipe", F.col("_first.id").alias("keep_id"),
-                    F.col("_first.row").alias("_keep_row"), "group_size"))
+    # Stored, so that AQE can split a hot group where it is joined back.
+    return materialize(
+        rec.groupBy(F.col(recipe).alias("_recipe"))
+        .agg(first, F.count(F.lit(1)).alias("group_size"))
+        .select("_recipe", F.col("_first.id").alias("keep_id"),
+                F.col("_first.row").alias("_keep_row"), "group_size"), "groups")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -45,7 +45,9 @@ def propagate(nodes: DataFrame, n_shards: int, rounds: int = 4) -> DataFrame:
     hashed = F.pmod(F.xxhash64("row"), F.lit(n_shards)).cast("int")
     state = materialize(nodes.withColumn("shard", hashed), "shards")
     linked = state.filter("key IS NOT NULL")
-    groups = linked.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    # What is joined back by key is stored first, so that AQE can split a hot key.
+    groups = materialize(linked.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"),
+                         "groups")
     linked = materialize(linked.join(groups, "key").select("row", "key", "m", "shard"), "linked")
     for r in range(rounds):
         load = {s: c for s, c in linked.groupBy("shard").count().collect()}
@@ -59,6 +61,7 @@ def propagate(nodes: DataFrame, n_shards: int, rounds: int = 4) -> DataFrame:
                 .groupBy("key").agg(F.max(F.struct("pull", (-F.col("shard")).alias("minus")))
                                    .alias("b"))
                 .select(F.col("key").alias("_k"), (-F.col("b.minus")).alias("wish")))
+        best = materialize(best, "votes")
         asked = linked.join(best, linked["key"] == best["_k"]).drop("_k")
         asked = materialize(asked, "wishes")
         moves = asked.filter("wish <> shard").groupBy("shard", "wish").count().collect()
