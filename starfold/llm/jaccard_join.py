@@ -2,7 +2,8 @@
 
 1. Every text becomes its set of word shingles; equal sets are one *set* from
    here on, named by a verified 64-bit digest.
-2. Order: all shingles have one global order, frequent ones last, else by hash.
+2. Order: all shingles have one global order: the frequent ones last, by the
+   power of two of their count, and by hash within.
    Two sets with Jaccard similarity t share their k first common shingles
    within their prefixes of n - ceil(t n) + k shingles.
 3. Small sets enumerate the 2-subsets of their prefix (k = 2); large sets, and
@@ -40,7 +41,7 @@ from .graph import components
 from .shingle_sets import shingle_sets
 from .store import stored
 
-COUNT_SHARE = 0.3
+COUNT_SHARE = 0.6
 MIN_FREQUENT = 4
 MAX_FREQUENT = 1 << 20
 ROWS_PER_BUCKET = 200_000
@@ -65,10 +66,12 @@ def _need(n, num: int, den: int):
 
 
 class Order:
-    """The global shingle order."""
+    """The global shingle order: by the power of two of a frequent shingle's
+    count (the others come first), then by hash."""
 
-    def __init__(self, frequent: np.ndarray):
-        self.frequent = np.sort(frequent)
+    def __init__(self, frequent: np.ndarray, power: np.ndarray):
+        order = np.argsort(frequent)
+        self.frequent, self.power = frequent[order], power[order].astype(np.int8)
 
     def prefixes(self, h: np.ndarray, n: np.ndarray, length: np.ndarray
                  ) -> tuple[np.ndarray, np.ndarray]:
@@ -77,7 +80,7 @@ class Order:
         doc = np.repeat(np.arange(len(n)), n)
         if len(self.frequent):
             at = np.minimum(np.searchsorted(self.frequent, h), len(self.frequent) - 1)
-            late = self.frequent[at] == h
+            late = np.where(self.frequent[at] == h, self.power[at], 0)
             order = np.lexsort((h, late, doc))
             h = h[order]
         rank = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
@@ -267,9 +270,10 @@ class Join:
         while sum(k for b, (k, _) in hist.items() if b >= bits) > MAX_FREQUENT:
             bits += 1
         rare = sum(s for b, (_, s) in hist.items() if b < bits)
-        many = counts.filter(F.col("c") >= (1 << bits)).select("key").toArrow()
+        many = counts.filter(F.col("c") >= (1 << bits)).select(
+            "key", F.floor(F.log2("c")).alias("power")).toArrow()
         frequent = many.column("key").to_numpy().view(np.uint64)
-        return Order(frequent), rare
+        return Order(frequent, many.column("power").to_numpy()), rare
 
     def boundary(self, shingles: int, rare: float) -> int:
         """The largest size at which a set's subsets are fewer than what its
