@@ -2,13 +2,16 @@
 
 ``rule_statistics`` counts, for every whole text, what the base rules and the
 forest look at.  ``fit_forest`` grows isolation trees (random feature, random
-cut, subsamples of ``psi`` rows) on a bounded sample of the labelled rows, and
-``calibrate`` scores *every* labelled row and takes the lowest threshold at
-which no more than ``max_good_loss`` of the good rows are lost.  A document is
-kept if it passes the base rules and its score is not above the threshold.
+cut, subsamples of ``psi`` rows) on the ratios of a bounded sample of the rows
+labelled good.  Cuts are drawn beyond the range of the sample too, in every
+statistic, so that what no label shows, or what never varies among good rows, is
+isolated early.  ``fit_quality_model`` scores *every* labelled row and takes the
+lowest threshold at which no more than ``max_good_loss`` of the good rows are
+lost.  A document is kept if it passes the base rules and its score is not above
+the threshold.
 
 Defined results: a null or empty text has no words and fails the base rule; no
-labels (or none that is good) means no threshold, and base rules alone decide;
+labels (or fewer than two good ones) means no threshold, and base rules alone decide;
 repeated rows are judged alike; labels repeated for a document count once, with
 the lowest quality; null labels and null ids are no labels.
 """
@@ -102,28 +105,31 @@ def base_failed(n_words, n_repeat_words):
     return (n_words < 50) | (100 * n_repeat_words > 50 * n_words)
 
 
-# How far each statistic may go before it counts: the forest sees the excess,
-# so that ordinary documents are one point that no random cut can isolate.
-LIMITS = {"symbols_per_word": 0.1, "marks_per_word": 0.1, "upper_share": 0.3,
-          "digit_share": 0.2, "dup_lines": 0.6, "repeat_words": 0.5, "long_words": 10.0,
-          "short_words": -3.0}
-
-
 def features(stat: dict[str, np.ndarray]) -> np.ndarray:
-    """The excess of each rule statistic over its limit, 0 within it."""
+    """The ratios that the forest cuts."""
     w = np.maximum(stat["n_words"], 1).astype(np.float64)
     c = np.maximum(stat["word_chars"], 1).astype(np.float64)
-    value = {
-        "symbols_per_word": stat["n_symbols"] / w,
-        "marks_per_word": stat["n_marks"] / w,
-        "upper_share": stat["n_upper"] / c,
-        "digit_share": stat["n_digits"] / c,
-        "dup_lines": stat["n_dup_lines"] / np.maximum(stat["n_lines"], 1),
-        "repeat_words": stat["n_repeat_words"] / w,
-        "long_words": c / w,
-        "short_words": -c / w,
-    }
-    return np.stack([np.maximum(value[k] - limit, 0.0) for k, limit in LIMITS.items()], axis=1)
+    return np.stack([
+        stat["n_symbols"] / w,
+        stat["n_marks"] / w,
+        stat["n_upper"] / c,
+        stat["n_digits"] / c,
+        stat["n_dup_lines"] / np.maximum(stat["n_lines"], 1),
+        stat["n_repeat_words"] / w,
+        c / w,
+    ], axis=1)
+
+
+# A ratio that hardly varies among the good rows is measured in this unit.
+LEAST_SPREAD = 0.02
+# How far beyond a part's rows a cut may fall, in spreads of the good rows.
+MARGIN = 4.0
+
+
+def spread(x: np.ndarray) -> np.ndarray:
+    """The range of the middle 99 % of each ratio, ``LEAST_SPREAD`` at least."""
+    lo, hi = np.quantile(x, [0.005, 0.995], axis=0)
+    return np.maximum(hi - lo, LEAST_SPREAD)
 
 
 def _mean_path(n: np.ndarray | float) -> np.ndarray:
@@ -156,7 +162,9 @@ class Forest:
 
 
 def fit_forest(x: np.ndarray, trees: int = 100, psi: int = 256, depth: int = 10,
-               seed: int = 10) -> Forest:
+               seed: int = 10, margin: float = 0.0) -> Forest:
+    """With a ``margin``, cuts are drawn from the range of a part's rows widened
+    by it on both sides, and so in columns too where these rows are equal."""
     rng = np.random.default_rng(seed)
     inner = 2 ** depth - 1
     feature = np.zeros((trees, inner), dtype=np.int64)
@@ -167,15 +175,16 @@ def fit_forest(x: np.ndarray, trees: int = 100, psi: int = 256, depth: int = 10,
         todo = [(0, 0, x[rng.choice(len(x), take, replace=False)])]
         while todo:
             node, d, part = todo.pop()
-            spread = np.flatnonzero(part.max(axis=0) > part.min(axis=0)) if len(part) > 1 else []
-            if d == depth or not len(spread):
+            low, high = part.min(axis=0, initial=np.inf), part.max(axis=0, initial=-np.inf)
+            wide = np.flatnonzero(high + margin > low - margin) if len(part) > 1 else []
+            if d == depth or not len(wide):
                 at = node
                 for _ in range(depth - d):
                     at = 2 * at + 1
                 path[t, at - inner] = d + _mean_path(len(part))
                 continue
-            f = rng.choice(spread)
-            lo, hi = part[:, f].min(), part[:, f].max()
+            f = rng.choice(wide)
+            lo, hi = low[f] - margin, high[f] + margin
             c = rng.uniform(lo, hi)
             c = c if c > lo else hi
             feature[t, node], cut[t, node] = f, c
@@ -189,17 +198,18 @@ SCORE_BINS = 2000
 
 @dataclass
 class QualityModel:
-    """A forest and the highest score that is kept; without a forest the
-    method rejects nothing."""
+    """A forest over ratios divided by ``unit``, and the highest score that is
+    kept; without a forest the method rejects nothing."""
 
     forest: Forest | None
     threshold: float = 1.0
+    unit: np.ndarray | float = 1.0
 
     def verdict(self, stat: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         n = len(stat["n_words"])
         if self.forest is None:
             return np.zeros(n), np.ones(n, dtype=bool)
-        score = self.forest.score(features(stat))
+        score = self.forest.score(features(stat) / self.unit)
         return score, np.floor(score * SCORE_BINS) <= self.threshold
 
 
@@ -224,20 +234,22 @@ def fit_quality_model(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id
                       quality_col: str = "quality", sample_rows: int = 25_600,
                       max_good_loss: float = 0.005, trees: int = 100,
                       psi: int = 256) -> QualityModel:
-    """Fit on at most ``sample_rows`` labelled rows (the lowest hashes of their
-    ids), calibrate on all labelled rows that pass the base rules."""
+    """Fit on at most ``sample_rows`` rows labelled good (the lowest hashes of
+    their ids), calibrate on all labelled rows that pass the base rules."""
     lab = (labels.filter(F.col(id_col).isNotNull() & F.col(quality_col).isNotNull())
            .groupBy(F.col(id_col).alias("_lab_id")).agg(F.min(quality_col).alias("_lab_q")))
     known = (stats.join(lab, stats[id_col] == lab["_lab_id"])
              .filter(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
              .select("_lab_id", "_lab_q", *STATS))
     known = materialize(known, "quality-labelled")
-    sample = (known.orderBy(F.xxhash64("_lab_id"), "_lab_id", *STATS).limit(sample_rows)
+    sample = (known.filter("_lab_q = 1").orderBy(F.xxhash64("_lab_id"), "_lab_id", *STATS).limit(sample_rows)
               .select(*STATS).toArrow())
-    if sample.num_rows < 2 or known.filter("_lab_q = 1").isEmpty():
+    if sample.num_rows < 2:
         return QualityModel(None)
     stat = {c: sample.column(c).to_numpy() for c in STATS}
-    model = QualityModel(fit_forest(features(stat), trees, psi), float(SCORE_BINS))
+    x = features(stat)
+    unit = spread(x)
+    model = QualityModel(fit_forest(x / unit, trees, psi, margin=MARGIN), float(SCORE_BINS), unit)
     # A histogram of the scores of every labelled row: SCORE_BINS rows per class.
     hist = (_scored(known, model, STATS)
             .groupBy("_lab_q", F.floor(F.col("score") * SCORE_BINS).alias("bin")).count().collect())

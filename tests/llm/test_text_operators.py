@@ -178,6 +178,32 @@ def test_bad_documents_go_and_good_ones_stay(spark):
     assert good.filter("kept").count() >= 0.99 * good.count()
 
 
+def test_junk_of_a_kind_absent_from_the_labels_goes(spark):
+    """Rows are judged by the labels' good rows, not by limits set by hand."""
+    rnd = random.Random(3)
+    words = [w for r in spark.read.parquet(f"{SF01}/documents.parquet").join(
+        spark.read.parquet(f"{SF01}/labels.parquet").filter("quality = 1"), "doc_id")
+        .select("text").orderBy("doc_id").limit(20).collect() for w in odd.WORD.findall(r.text)]
+
+    def some(change, n=200):
+        return " ".join(change(w) for w in rnd.sample(words, n))
+    junk = {
+        "upper case": some(str.upper),
+        # Inside each of two limits (0.2 and 0.3), but no good row has either.
+        "digits and upper case": some(lambda w: "".join(
+            rnd.choices([c.lower(), c.upper(), "7"], [0.53, 0.29, 0.18])[0] for c in w)),
+        "marks": some(lambda w: w + "!?"),
+        "long words": some(lambda w: w * 3),
+        "repeated line": "\n".join([some(str, 60)] + [some(str, 6)] * 9),
+    }
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
+    more = spark.createDataFrame([(-1 - k, t) for k, t in enumerate(junk.values())], docs.schema)
+    rows = quality_forest.judge(docs.unionByName(more), spark.read.parquet(
+        f"{SF01}/labels.parquet")).filter("doc_id < 0").collect()
+    kept = {list(junk)[-1 - r.doc_id] for r in rows if r.kept or r.base_failed}
+    assert len(rows) == len(junk) and not kept
+
+
 def test_keep_good_agrees_with_judge(spark):
     docs, lab = odd.documents(spark), odd.labels(spark)
     out = quality_forest.keep_good(docs, lab)
