@@ -19,8 +19,8 @@
 5. Every pair is verified on the whole sets.
 
 The frequency order is a matter of speed only: any order gives the same
-result.  The frequent shingles (at most ``MAX_FREQUENT``, found by counting the
-lower ``COUNT_SHARE`` of the hash space over all texts) travel to the tasks.
+result.  The frequent shingles (at most ``MAX_FREQUENT``, found by counting all
+shingles of all texts) travel to the tasks.
 
 Defined results: a null, empty or blank text has no shingles and links with
 nothing; equal texts, repeated rows included, are linked; null ids are never a
@@ -41,7 +41,6 @@ from .graph import components
 from .shingle_sets import shingle_sets
 from .store import stored
 
-COUNT_SHARE = 0.6
 MIN_FREQUENT = 4
 MAX_FREQUENT = 1 << 20
 ROWS_PER_BUCKET = 200_000
@@ -255,10 +254,9 @@ class Join:
 
     def order(self) -> tuple[Order, float]:
         """The frequent shingles and the mean number of others in a list."""
-        top = np.uint64(int(COUNT_SHARE * 2**64))
 
         def count(h, n, b, i, j):
-            u, c = np.unique(h[h < top], return_counts=True)
+            u, c = np.unique(h, return_counts=True)
             return pa.table({"key": pa.array(u.view(np.int64)), "c": pa.array(c.astype(np.int32))})
         counts = (self._map(self.docs.select("text"), count, "key long, c int")
                   .groupBy("key").agg(F.sum("c").alias("c")).filter("c > 1"))
@@ -278,7 +276,7 @@ class Join:
     def boundary(self, shingles: int, rare: float) -> int:
         """The largest size at which a set's subsets are fewer than what its
         lists hold: own entries plus the others met there."""
-        others = rare / max(1.0, shingles * COUNT_SHARE)
+        others = rare / max(1.0, shingles)
         size = 1
         for n in range(2, 512):
             p = n - _need(n, self.num, self.den) + 1

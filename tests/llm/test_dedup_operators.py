@@ -5,6 +5,7 @@ import os
 import random
 import re
 import sys
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
@@ -96,6 +97,13 @@ def run_components(df):
                   for r in jaccard_join.jaccard_components(df).collect())
 
 
+def test_every_frequent_shingle_is_counted(spark):
+    docs = odd.documents(spark)
+    order, _ = jaccard_join.Join(docs, "doc_id", "text", 5, 80, 100).order()
+    count = Counter(x for r in docs.collect() for x in shingles(r.text))
+    assert len(order.frequent) == sum(c >= jaccard_join.MIN_FREQUENT for c in count.values()) > 0
+
+
 def test_components_match_brute_force(spark):
     docs = odd.documents(spark)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
