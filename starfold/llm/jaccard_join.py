@@ -15,7 +15,11 @@
    is one component.  Only sets of *different* components are paired after
    that; a pair must share as many prefix shingles as its sizes demand.  So
    the pairs inside a group of copies are never listed, and no link between
-   components is lost.
+   components is lost.  A list that may be long, because its shingles are in
+   ``1 << HOT_POWER`` texts or more, is never brought together: its sets are
+   cut by size class and salt into blocks of about ``BLOCK``, and each pair of
+   blocks is a *cell* of its own.  A pair leaves its cell only if the places of
+   the shared shingle and the parity bitmaps of the two sets allow for t.
 5. Every pair is verified on the whole sets.
 
 The frequency order is a matter of speed only: any order gives the same
@@ -45,7 +49,11 @@ MIN_FREQUENT = 4
 MAX_FREQUENT = 1 << 20
 ROWS_PER_BUCKET = 200_000
 PAIR_BLOCK = 1 << 17
-SUBSET, LIST = 0, 1
+HOT_POWER = 10
+BLOCK = 1024
+# The kind of an entry, and the bit that marks one of a list that may be long.
+SUBSET, LIST, HOT = 0, 1, 2
+BITMAP = [f"bits{k}" for k in range(8)]
 
 
 def _digests(h: np.ndarray, n: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,6 +67,23 @@ def _digests(h: np.ndarray, n: np.ndarray, seed: int) -> tuple[np.ndarray, np.nd
     return out[0], out[1]
 
 
+def _bitmaps(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Parity bitmaps of the sets: two of them differ in no more bits than the
+    sets in members."""
+    bits = 64 * len(BITMAP)
+    at = (ragged.mix(h ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(np.repeat(np.arange(len(n)), n) * bits + at, minlength=len(n) * bits) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(n), bits), axis=1).view(np.uint64)
+
+
+def size_classes(largest: int, num: int, den: int) -> np.ndarray:
+    """The least size of each class; linked sets are at most one class apart."""
+    least = [1]
+    while least[-1] <= largest:
+        least.append(least[-1] * den // num + 1)
+    return np.array(least)
+
+
 def _need(n, num: int, den: int):
     """ceil(t * n): what a partner must share with a set of n at least."""
     return -(-num * n // den)
@@ -73,52 +98,60 @@ class Order:
         self.frequent, self.power = frequent[order], power[order].astype(np.int8)
 
     def prefixes(self, h: np.ndarray, n: np.ndarray, length: np.ndarray
-                 ) -> tuple[np.ndarray, np.ndarray]:
-        """(hashes, set number) of the first ``length`` shingles of each set,
-        in order."""
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(hashes, set number, place, power) of the first ``length`` shingles
+        of each set, in order."""
         doc = np.repeat(np.arange(len(n)), n)
+        late = np.zeros(len(h), dtype=np.int8)
         if len(self.frequent):
             at = np.minimum(np.searchsorted(self.frequent, h), len(self.frequent) - 1)
             late = np.where(self.frequent[at] == h, self.power[at], 0)
             order = np.lexsort((h, late, doc))
-            h = h[order]
+            h, late = h[order], late[order]
         rank = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
         inside = rank < np.repeat(length, n)
-        return h[inside], doc[inside]
+        return h[inside], doc[inside], rank[inside], late[inside]
 
 
-def _entries(h, n, sid, order: Order, boundary: int, num: int, den: int) -> pa.Table:
-    """Keys under which the sets are found: (kind, key, sid, n)."""
+def _entries(h, n, sid, order: Order, boundary: int, num: int, den: int,
+             hot: int) -> pa.Table:
+    """Keys under which the sets are found: (kind, key, sid, n, pos).  From
+    power ``hot`` on, a key's list may be long."""
     first = np.unique(sid, return_index=True)[1]       # copies within the piece
     keep = np.zeros(len(sid), dtype=bool)
     keep[first] = True
     keep &= n > 1                                      # a single shingle links with equal sets only
     h, sid, n = h[np.repeat(keep, n)], sid[keep], n[keep]
     need = _need(n, num, den)
-    kinds, keys, rows = [], [], []
+    kinds, keys, rows, places = [], [], [], []
     listed = n >= _need(boundary, num, den)
-    ph, pd = order.prefixes(h, n, np.where(listed, n - need + 1, 0))
-    kinds.append(np.full(len(ph), LIST, np.int8))
+    ph, pd, place, power = order.prefixes(h, n, np.where(listed, n - need + 1, 0))
+    kinds.append(np.where(power >= hot, LIST + HOT, LIST).astype(np.int8))
+    places.append(place)
     keys.append(ph)
     rows.append(pd)
     small = (n <= boundary) & (need > 1)
-    sh, sd = order.prefixes(h, n, np.where(small, np.minimum(n - need + 2, n), 0))
+    sh, sd, _, power = order.prefixes(h, n, np.where(small, np.minimum(n - need + 2, n), 0))
     size = np.bincount(sd, minlength=len(n)) if len(sd) else np.zeros(len(n), np.int64)
     start = np.cumsum(size) - size
     for width in np.unique(size[size > 1]):
         which = np.flatnonzero(size == width)
         block = sh[start[which][:, None] + np.arange(width)]
+        many = power[start[which][:, None] + np.arange(width)] >= hot
         for i in range(width - 1):
             for j in range(i + 1, width):
                 lo = np.minimum(block[:, i], block[:, j])
                 hi = np.maximum(block[:, i], block[:, j])
-                kinds.append(np.full(len(which), SUBSET, np.int8))
+                kinds.append(np.where(many[:, i] & many[:, j], SUBSET + HOT, SUBSET)
+                             .astype(np.int8))
+                places.append(np.zeros(len(which), np.int64))
                 keys.append(ragged.mix(ragged.mix(lo) + hi))
                 rows.append(which)
     at = np.concatenate(rows)
     return pa.table({"kind": pa.array(np.concatenate(kinds)),
                      "key": pa.array(np.concatenate(keys).view(np.int64)),
-                     "sid": pa.array(sid[at]), "n": pa.array(n[at].astype(np.int32))})
+                     "sid": pa.array(sid[at]), "n": pa.array(n[at].astype(np.int32)),
+                     "pos": pa.array(np.concatenate(places).astype(np.int32))})
 
 
 def _runs(*cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,55 +165,97 @@ def _runs(*cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _lists_with_leader(table: pa.Table) -> pa.Table:
-    """Of one bucket: the lists with two sets or more, and each one's leader."""
-    kind, key, sid, n = (table.column(c).to_numpy() for c in ("kind", "key", "sid", "n"))
+    """Of one bucket: the lists with two sets or more, and each one's leader.
+    Of a list that may be long a bucket has a part; it stays, without leader."""
+    kind, key, sid, n, pos = (table.column(c).to_numpy() for c in ("kind", "key", "sid", "n", "pos"))
     order = np.lexsort((sid, key, kind))
-    kind, key, sid, n = kind[order], key[order], sid[order], n[order]
+    kind, key, sid, n, pos = kind[order], key[order], sid[order], n[order], pos[order]
     at, _ = _runs(kind, key, sid)
-    kind, key, sid, n = kind[at], key[at], sid[at], n[at]
+    kind, key, sid, n, pos = kind[at], key[at], sid[at], n[at], pos[at]
     at, length = _runs(kind, key)
-    many = np.repeat(length > 1, length)
+    part = kind >= HOT
+    many = np.repeat(length > 1, length) | part
     lead = np.repeat(at, length)
     return pa.table({"kind": kind[many], "key": key[many], "sid": sid[many], "n": n[many],
-                     "lead": sid[lead][many], "lead_n": n[lead][many]})
-
-
-_LISTS = "kind byte, key long, sid long, n int, lead long, lead_n int"
+                     "pos": pos[many],
+                     "lead": pa.array(sid[lead][many], mask=part[many]),
+                     "lead_n": pa.array(n[lead][many], mask=part[many])})
+
+
+def _mixed(table: pa.Table, least: np.ndarray) -> pa.Table:
+    """Of one bucket: the lists with sets of different components, and the parts
+    of lists that may be long; with the class of each set's size."""
+    kind, key, label = (table.column(c).to_numpy() for c in ("kind", "key", "label"))
+    order = np.lexsort((key, kind))
+    at, length = _runs(kind[order], key[order])
+    keep = kind[order] >= HOT
+    if len(at):
+        label = label[order]
+        keep |= np.repeat(np.minimum.reduceat(label, at) != np.maximum.reduceat(label, at), length)
+    out = table.select([*_ENTRIES_COLUMNS, "label"]).take(pa.array(order[keep]))
+    size = np.searchsorted(least, out.column("n").to_numpy(), side="right") - 1
+    return out.append_column("size", pa.array(size.astype(np.int32)))
+
+
+_ENTRIES = "kind byte, key long, sid long, n int, pos int"
+_LISTS = _ENTRIES + ", lead long, lead_n int"
+_MIXED = _ENTRIES + ", label long, size int"
 _PAIRS = "a long, b long, n_a int, n_b int, kind byte, shared int"
-
-
-def _apart(table: pa.Table, num: int, den: int, boundary: int) -> pa.Table:
-    """Of one bucket: pairs of sets of different components that share a key,
-    with the number of keys they share.  In a list, sets are ordered by size,
-    and each is paired with those from its own size to size / t."""
-    kind, key, sid, n, label = (table.column(c).to_numpy()
-                                for c in ("kind", "key", "sid", "n", "label"))
-    order = np.lexsort((sid, n, key, kind))
-    kind, key, sid, n, label = kind[order], key[order], sid[order], n[order], label[order]
-    at, length = _runs(kind, key)
-    got: list[np.ndarray] = []
-
-    def flush(parts: list[np.ndarray]) -> np.ndarray:
-        rows = np.concatenate(parts) if parts else np.zeros((0, 6), np.int64)
-        if not len(rows):
-            return rows
-        order = np.lexsort((rows[:, 4], rows[:, 1], rows[:, 0]))
-        rows = rows[order]
-        s, _ = _runs(rows[:, 0], rows[:, 1], rows[:, 4])
-        shared = np.add.reduceat(rows[:, 5], s)
-        rows = rows[s]
-        rows[:, 5] = shared
-        return rows
-
-    # Position of the last partner each set may have, list by list.
+_ENTRIES_COLUMNS = ["kind", "key", "sid", "n", "pos"]
+_CELL = ["kind", "key", "level", "x", "y"]
+
+
+def _apart(batches, num: int, den: int, boundary: int):
+    """Pairs of sets of different components that share a key, with the number
+    of keys they share, as they are found.  The rows come cell by cell, by size
+    within; each set is paired with those from its own size to size / t, and on
+    the other side if the cell has two (``side`` is 0 or 1)."""
+    held: list[np.ndarray] = []
+    rest = None
+    for b in batches:
+        table = pa.Table.from_batches([b])
+        if rest is not None:
+            table = pa.concat_tables([rest, table]).combine_chunks()
+        start, _ = _runs(*(table.column(c).to_numpy() for c in _CELL))
+        if len(start) < 2:
+            rest = table
+            continue
+        rest = table.slice(start[-1])
+        yield from _cells(table.slice(0, start[-1]), num, den, boundary, held)
+    if rest is not None:
+        yield from _cells(rest, num, den, boundary, held)
+    if held:
+        yield from _merged(held).to_batches()
+
+
+def _merged(parts: list[np.ndarray]) -> pa.Table:
+    """The parts as one table, equal pairs once."""
+    rows = np.concatenate(parts)
+    rows = rows[np.lexsort((rows[:, 4], rows[:, 1], rows[:, 0]))]
+    at, _ = _runs(rows[:, 0], rows[:, 1], rows[:, 4])
+    shared = np.add.reduceat(rows[:, 5], at) if len(at) else rows[:, 5]
+    rows = rows[at]
+    return pa.table({"a": rows[:, 0], "b": rows[:, 1], "n_a": pa.array(rows[:, 2], pa.int32()),
+                     "n_b": pa.array(rows[:, 3], pa.int32()),
+                     "kind": pa.array(rows[:, 4], pa.int8()),
+                     "shared": pa.array(shared, pa.int32())})
+
+
+def _cells(table: pa.Table, num: int, den: int, boundary: int, held: list[np.ndarray]):
+    """Pairs of whole cells; what is not yielded yet stays in ``held``."""
+    sid, n, pos, label, side = (table.column(c).to_numpy()
+                                for c in ("sid", "n", "pos", "label", "side"))
+    n, pos = n.astype(np.int64), pos.astype(np.int64)
+    kind = table.column("kind").to_numpy() & ~np.int8(HOT)
+    bits = np.stack([table.column(c).to_numpy() for c in BITMAP], axis=1).view(np.uint64)
+    at, length = _runs(*(table.column(c).to_numpy() for c in _CELL))
+    # Position of the last partner each set may have, cell by cell.
     group = np.repeat(np.arange(len(at)), length)
-    wide = int(n.max()) * den // num + 1 if len(n) else 1
-    place = group.astype(np.int64) * (wide + 1) + n
-    last = np.searchsorted(place, group.astype(np.int64) * (wide + 1)
-                           + np.minimum(n.astype(np.int64) * den // num, wide), side="right")
-    mixed = np.minimum.reduceat(label, at) != np.maximum.reduceat(label, at) if len(at) else []
-    count = np.where(np.repeat(mixed, length), last - np.arange(len(n)) - 1, 0) if len(at) else []
-    held, i = 0, 0
+    wide = int(n.max()) * den // num + 1
+    last = np.searchsorted(group * (wide + 1) + n, group * (wide + 1)
+                           + np.minimum(n * den // num, wide), side="right")
+    count = last - np.arange(len(n)) - 1
+    i = 0
     while i < len(n):
         j = i + 1
         total = int(count[i])
@@ -193,22 +268,31 @@ def _apart(table: pa.Table, num: int, den: int, boundary: int) -> pa.Table:
             right = left + 1 + step
             # Two small sets meet in their subsets, not in the lists.
             ok = (label[left] != label[right]) & ((kind[left] == SUBSET) | (n[right] > boundary))
+            ok &= (side[left] < 0) | (side[left] != side[right])
+            left, right = left[ok], right[ok]
+            # No more is common than lies before, and from, the shared shingle;
+            # and the bitmaps differ in no more bits than the sets in members.
+            common = -(-num * (n[left] + n[right]) // (num + den))
+            ok = (np.minimum(pos[left], pos[right])
+                  + np.minimum(n[left] - pos[left], n[right] - pos[right])) >= common
+            ok &= (np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int64)
+                   <= n[left] + n[right] - 2 * common)
             left, right = left[ok], right[ok]
-            swap = sid[left] > sid[right]
-            a, b = np.where(swap, right, left), np.where(swap, left, right)
-            rows = np.stack([sid[a], sid[b], n[a].astype(np.int64), n[b].astype(np.int64),
-                             kind[a].astype(np.int64), np.ones(len(a), np.int64)], axis=1)
-            got.append(rows)
-            held += len(rows)
-            if held > 2 * PAIR_BLOCK:
-                got = [flush(got)]
-                held = len(got[0])
+            if len(left):
+                swap = sid[left] > sid[right]
+                a, b = np.where(swap, right, left), np.where(swap, left, right)
+                held.append(np.stack([sid[a], sid[b], n[a], n[b], kind[a].astype(np.int64),
+                                      np.ones(len(a), np.int64)], axis=1))
+            if sum(map(len, held)) > 2 * PAIR_BLOCK:
+                yield from _merged(held).to_batches()
+                held.clear()
         i = j
-    rows = flush(got)
-    return pa.table({"a": rows[:, 0], "b": rows[:, 1], "n_a": pa.array(rows[:, 2], pa.int32()),
-                     "n_b": pa.array(rows[:, 3], pa.int32()),
-                     "kind": pa.array(rows[:, 4], pa.int8()),
-                     "shared": pa.array(rows[:, 5], pa.int32())})
+
+
+def _bucket(buckets: int):
+    """A short list goes to one bucket, one that may be long to all of them."""
+    key = F.when(F.col("kind") < HOT, F.col("key")).otherwise(F.xxhash64("key", "sid"))
+    return F.pmod(key, F.lit(buckets))
 
 
 class Join:
@@ -239,11 +323,15 @@ class Join:
             def digest(h, n, b, i, j, seed=seed):
                 one, two = _digests(h, n, seed)
                 none = n == 0
+                bits = _bitmaps(h, n)
                 return pa.table({"id": b.column(0).slice(i, j - i),
                                  "at": b.column(1).slice(i, j - i), "n": pa.array(n),
-                                 "sid": pa.array(one, mask=none), "check": pa.array(two)})
+                                 "sid": pa.array(one, mask=none), "check": pa.array(two),
+                                 **{c: pa.array(bits[:, k].view(np.int64)) for k, c in enumerate(BITMAP)}})
             schema = (T.StructType([self.docs.schema["id"]]).add("at", "long").add("n", "long")
                       .add("sid", "long").add("check", "long"))
+            for c in BITMAP:
+                schema = schema.add(c, "long")
             got = stored(self._map(self.docs, digest, schema), "sets")
             twice = got.filter("sid IS NOT NULL").groupBy("sid").agg(
                 F.min("check").alias("lo"), F.max("check").alias("hi")).filter("lo <> hi")
@@ -286,16 +374,63 @@ class Join:
         return size
 
     def lists(self, order: Order, boundary: int, shingles: int) -> DataFrame:
-        num, den, seed = self.num, self.den, self.seed
+        num, den, seed, hot = self.num, self.den, self.seed, HOT_POWER
         shared = self.spark.sparkContext.broadcast(order)
         buckets = max(16, int(shingles * (1 - num / den) * 1.2) // ROWS_PER_BUCKET)
 
         def entries(h, n, b, i, j):
             sid, _ = _digests(h, n, seed)
-            return _entries(h, n, sid, shared.value, boundary, num, den)
-        rows = self._map(self.docs.select("text"), entries, "kind byte, key long, sid long, n int")
-        grouped = rows.withColumn("bucket", F.pmod("key", F.lit(buckets))).groupBy("bucket")
-        return stored(ragged.map_groups(grouped, self.spark, _lists_with_leader, _LISTS), "lists")
+            return _entries(h, n, sid, shared.value, boundary, num, den, hot)
+        rows = self._map(self.docs.select("text"), entries, _ENTRIES)
+        grouped = rows.withColumn("bucket", _bucket(buckets)).groupBy("bucket")
+        lists = stored(ragged.map_groups(grouped, self.spark, _lists_with_leader, _LISTS), "lists")
+        hot = lists.filter(F.col("kind") >= HOT).drop("lead", "lead_n")
+        heads = stored(hot.groupBy("kind", "key").agg(F.min(F.struct("sid", "n")).alias("_lead")),
+                       "heads")
+        hot = hot.join(heads, ["kind", "key"]).withColumn("lead", F.col("_lead.sid")).withColumn(
+            "lead_n", F.col("_lead.n")).drop("_lead")
+        return lists.filter(F.col("kind") < HOT).unionByName(hot)
+
+    def cells(self, lists: DataFrame, label: DataFrame, sets: DataFrame, shingles: int
+              ) -> DataFrame:
+        """The sets of lists with different components, cell by cell: a short
+        list is one cell, a long one has a cell for each pair of blocks."""
+        known = lists.join(label, lists["sid"] == label["node"], "left").select(
+            "kind", "key", "sid", "n", "pos", F.coalesce("label", "sid").alias("label"))
+        buckets = max(16, int(shingles * (1 - self.num / self.den) * 0.3) // ROWS_PER_BUCKET)
+        least = size_classes(sets.agg(F.max("n")).first()[0] or 0, self.num, self.den)
+
+        def mixed(table):
+            return _mixed(table, least)
+        grouped = known.withColumn("bucket", _bucket(buckets)).groupBy("bucket")
+        rows = stored(ragged.map_groups(grouped, self.spark, mixed, _MIXED), "mixed")
+        bits = (sets.join(rows.select("sid").distinct(), "sid", "left_semi")
+                .groupBy("sid").agg(*[F.min(c).alias(c) for c in BITMAP]))
+        rows = rows.join(bits, "sid")
+        hot = rows.filter(F.col("kind") >= HOT)
+        blocks = stored(hot.groupBy("kind", "key").agg(
+            F.min("label").alias("_lo"), F.max("label").alias("_hi"),
+            F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_salts"))
+            .filter("_lo <> _hi").drop("_lo", "_hi"), "blocks")
+        salt = F.pmod(F.xxhash64("sid"), F.col("_salts")).cast("int")
+        hot = hot.join(blocks, ["kind", "key"]).withColumn("_salt", salt)
+        own, other, level = F.col("_salt"), F.sequence(F.lit(0), F.col("_salts") - 1), 2 * F.col(
+            "size")
+
+        def cell(level, x, y, side):
+            return F.struct(level.alias("level"), x.alias("x"), y.alias("y"),
+                            side.cast("int").alias("side"))
+        hot = hot.withColumn("_cell", F.explode(F.concat(
+            F.transform(other, lambda k: cell(level, F.least(own, k), F.greatest(own, k), F.when(
+                own == k, -1).when(own < k, 0).otherwise(1))),
+            F.transform(other, lambda k: cell(level + 1, own, k, F.lit(0))),
+            F.transform(other, lambda k: cell(level - 1, k, own, F.lit(1))))))
+        columns = [*_ENTRIES_COLUMNS, "label", *BITMAP]
+        hot = hot.select(*columns, "_cell.level", "_cell.x", "_cell.y", "_cell.side")
+        none = F.lit(0)
+        return rows.filter(F.col("kind") < HOT).select(
+            *columns, none.alias("level"), none.alias("x"), none.alias("y"),
+            F.lit(-1).alias("side")).unionByName(hot)
 
     def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs (a, b) that link, judged on their whole sets."""
@@ -352,14 +487,12 @@ class Join:
                        .distinct(), "stars")
         links = self.verified(stars, sets)
         label = components(links)
-        known = lists.join(label, lists["sid"] == label["node"], "left").select(
-            "kind", "key", "sid", "n", F.coalesce("label", "sid").alias("label"))
-        buckets = max(16, int(shingles * (1 - num / den) * 0.3) // ROWS_PER_BUCKET)
 
-        def apart(table):
-            return _apart(table, num, den, boundary)
-        grouped = known.withColumn("bucket", F.pmod("key", F.lit(buckets))).groupBy("bucket")
-        pairs = ragged.map_groups(grouped, self.spark, apart, _PAIRS)
+        def apart(batches):
+            return _apart(batches, num, den, boundary)
+        cells = self.cells(lists, label, sets, shingles)
+        pairs = ragged.map_batches(cells.repartition(*_CELL).sortWithinPartitions(*_CELL, "n", "sid"),
+                                   apart, _PAIRS)
         # Of the common shingles at most need - 1 lie behind the prefix of the
         # set whose prefix ends first; the rest must be among the shared ones.
         total = F.ceil((F.col("n_a") + F.col("n_b")) * num / (num + den))

@@ -104,6 +104,44 @@ def test_every_frequent_shingle_is_counted(spark):
     assert len(order.frequent) == sum(c >= jaccard_join.MIN_FREQUENT for c in count.values()) > 0
 
 
+def test_long_lists_in_cells_give_the_same_components(spark, monkeypatch):
+    rnd = random.Random(4)
+    passage = [f"p{i}" for i in range(40)]
+    rows = []
+    for i in range(150):
+        # A template with own words in one block: similarity on both sides of 0.8.
+        own, at = rnd.choice([2, 3, 4, 5, 8, 20]), rnd.randint(0, 20)
+        w = passage[:at] + [f"w{rnd.randint(0, 3)}" for _ in range(own)] + passage[at + own:]
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_components(rows)
+    assert len({r[2] for r in want}) > 2 and run_components(docs) == want
+    monkeypatch.setattr(jaccard_join, "HOT_POWER", 2)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+    largest = []
+    plain = jaccard_join.Join.cells
+
+    def cells(self, *args):
+        out = plain(self, *args)
+        largest.append(out.groupBy(*jaccard_join._CELL).count().agg({"count": "max"}).first()[0])
+        return out
+    monkeypatch.setattr(jaccard_join.Join, "cells", cells)
+    assert run_components(docs) == want and largest[0] < 40
+
+
+def test_bitmaps_and_classes_never_part_what_links():
+    rnd = np.random.default_rng(1)
+    for n in (3, 40, 700):
+        h = np.sort(rnd.integers(0, 1 << 62, n + n // 4, dtype=np.uint64))
+        a, b = h[:n], h[n // 8:n + n // 8]
+        bits = jaccard_join._bitmaps(np.concatenate([a, b]), np.array([len(a), len(b)]))
+        assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= len(np.setxor1d(a, b))
+    least = jaccard_join.size_classes(5000, 80, 100)
+    n = np.arange(1, 4000)
+    size = np.searchsorted(least, n, side="right")
+    assert (np.searchsorted(least, n * 100 // 80, side="right") - size <= 1).all()
+
+
 def test_components_match_brute_force(spark):
     docs = odd.documents(spark)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
