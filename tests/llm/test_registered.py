@@ -14,8 +14,8 @@ import oracle_check  # noqa: E402
 from starfold.llm import registry  # noqa: E402
 
 
-def test_ten_operators_and_the_pipeline():
-    assert len(registry.QUERIES) == 11 and set(registry.ORACLE) <= set(registry.QUERIES)
+def test_thirteen_operators_and_the_pipeline():
+    assert len(registry.QUERIES) == 14 and set(registry.ORACLE) <= set(registry.QUERIES)
     assert all(isinstance(sql, str) for sql in registry.ORACLE.values())
 
 
