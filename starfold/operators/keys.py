@@ -26,12 +26,22 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-_AT, _PART, _OFF = "_sf_at", "_sf_part", "_sf_off"
+AT, PART, _OFF = "_sf_at", "_sf_part", "_sf_off"
 # ``monotonically_increasing_id`` holds the partition above these bits and the
 # place in it below.
 _PLACE_BITS = 33
 
 
+def in_order(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:
+    """``df`` stored in the order of a tuple, nulls first, dealt to tasks by its
+    ranges: with the stored partition (``PART``, ascending) and the place in it
+    (``AT``, ascending inside a partition)."""
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    stored = materialize(df.orderBy(*order).withColumn(AT, F.monotonically_increasing_id()),
+                         "ordered")
+    return stored.withColumn(PART, F.shiftright(AT, _PLACE_BITS))
+
+
 def assign_dense_key(df: DataFrame, order_cols: Sequence[str], key_col: str,
                      start: int = 1) -> DataFrame:
     """Add ``key_col`` = start, start+1, ... in ``order_cols`` order.
@@ -41,20 +51,38 @@ def assign_dense_key(df: DataFrame, order_cols: Sequence[str], key_col: str,
     order_cols = list(order_cols)
     if not order_cols:
         raise ValueError("order_cols is empty")
-    order = [F.col(c).asc_nulls_first() for c in order_cols]
-    stored = materialize(df.orderBy(*order).withColumn(_AT, F.monotonically_increasing_id()),
-                         "ordered")
-    part = F.shiftright(_AT, _PLACE_BITS)
+    stored = in_order(df, order_cols)
     # One row per stored partition, so the driver sums them up.
-    counts = sorted((r[0], r[1]) for r in stored.groupBy(part).count().collect())
+    counts = sorted((r[0], r[1]) for r in stored.groupBy(PART).count().collect())
     offsets, total = [], start
     for p, n in counts:
         offsets.append((p, total))
         total += n
-    offsets = df.sparkSession.createDataFrame(offsets, f"{_PART} long, {_OFF} long")
-    key = F.col(_OFF) + F.col(_AT).bitwiseAND((1 << _PLACE_BITS) - 1)
-    return (stored.join(F.broadcast(offsets), part == F.col(_PART))
-            .withColumn(key_col, key).drop(_AT, _PART, _OFF))
+    offsets = df.sparkSession.createDataFrame(offsets, f"{PART} long, {_OFF} long")
+    key = F.col(_OFF) + F.col(AT).bitwiseAND((1 << _PLACE_BITS) - 1)
+    return stored.join(F.broadcast(offsets), PART).withColumn(key_col, key).drop(AT, PART, _OFF)
+
+
+def mark_repeats(df: DataFrame, key_cols: Sequence[str], flag: str) -> DataFrame:
+    """``df`` (stored once) with ``flag``: the row is not the first of its key, the
+    least row by content, ties by the stored place.  Rows with a null in the key
+    repeat nothing, as in SQL's UNIQUE.
+
+    Only keys are shuffled to find the repeated ones, which are few; the rows of
+    these alone are compared, by an aggregate that combines before its shuffle, so
+    a key holding a third of the rows meets in no task."""
+    key_cols = list(key_cols)
+    stored = materialize(df.withColumn(AT, F.monotonically_increasing_id()), "numbered")
+    known = stored.dropna(subset=key_cols)
+    again = known.groupBy(*key_cols).count().filter("count > 1").select(*key_cols)
+    rest = [c for c in df.columns if c not in key_cols]
+    first = (known.join(again, key_cols).groupBy(*key_cols)
+             .agg(F.min(F.struct(*rest, AT))[AT].alias(_OFF)))
+    # The first rows are stored: few, so that AQE plans by what they measure.
+    first = materialize(first, "first-rows")
+    out = stored.join(first, key_cols, "left").withColumn(
+        flag, F.coalesce(F.col(_OFF) != F.col(AT), F.lit(False)))
+    return out.select(*df.columns, flag)
 
 
 def latest_per_key(df: DataFrame, key_cols: Sequence[str], version_col: str) -> DataFrame:

@@ -52,7 +52,7 @@ def placed(df: DataFrame, broadcast: bool | None = None) -> DataFrame:
     return F.broadcast(df) if broadcast else df.hint("shuffle_merge")
 
 
-def _spread_nulls(fact: DataFrame, column: str, nk: str, flag: str) -> DataFrame | None:
+def spread_nulls(fact: DataFrame, column: str, nk: str, flag: str) -> DataFrame | None:
     """Join key columns for a shuffled lookup: a null key cannot match, so it
     is replaced by a hash of the row (and flagged) to spread null rows over
     all partitions instead of sending them to one task."""
@@ -78,7 +78,7 @@ def _attach(fact: DataFrame, lk: Lookup, i: int) -> DataFrame:
     m = lk.key_map.select(F.col(lk.natural_key).alias(nk), F.col(lk.surrogate_key).alias(lk.out))
     if lk.broadcast:
         return fact.join(F.broadcast(m), fact[lk.fact_column] == F.col(nk), "left").drop(nk)
-    spread = _spread_nulls(fact, lk.fact_column, f"_sf_fk{i}", f"_sf_fnull{i}")
+    spread = spread_nulls(fact, lk.fact_column, f"_sf_fk{i}", f"_sf_fnull{i}")
     if spread is None:
         m = placed(m, lk.broadcast)
         return fact.join(m, fact[lk.fact_column] == F.col(nk), "left").drop(nk)
@@ -152,22 +152,21 @@ class FkCheck:
     child_column: str
     parent_table: str
     parent_column: str
-    broadcast: bool | None = None
 
 
 def fk_audit(tables: dict[str, DataFrame], checks: Sequence[FkCheck]) -> DataFrame:
-    """One anti-join per foreign key, unioned into one report
-    (child_table, child_column, parent_table, parent_column, orphans).  Null
-    keys are counted, not joined."""
-    parts = []
-    for c in checks:
-        o = orphans(tables[c.child_table].select(c.child_column), c.child_column,
-                    tables[c.parent_table], c.parent_column, c.broadcast)
-        parts.append(o.agg(F.count(F.lit(1)).cast("long").alias("orphans")).select(
-            F.lit(c.child_table).alias("child_table"), F.lit(c.child_column).alias("child_column"),
-            F.lit(c.parent_table).alias("parent_table"),
-            F.lit(c.parent_column).alias("parent_column"), "orphans"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """All foreign keys in one report (child_table, child_column, parent_table,
+    parent_column, orphans): one scan per table and one shuffle for all of them."""
+    from .key_measures import KeyMeasures
+    keys = KeyMeasures()
+    rows = [(c.child_table, c.child_column, c.parent_table, c.parent_column,
+             *keys.orphans(c.child_table, c.child_column, c.parent_table, c.parent_column))
+            for c in checks]
+    measured = keys.measure(tables)
+    asked = measured.sparkSession.createDataFrame(
+        rows, "child_table string, child_column string, parent_table string, "
+              "parent_column string, domain int, slot int")
+    # One row per check on either side.
+    return (asked.join(F.broadcast(measured), ["domain", "slot"], "left")
+            .select("child_table", "child_column", "parent_table", "parent_column",
+                    F.coalesce("violations", F.lit(0)).cast("long").alias("orphans")))

@@ -9,6 +9,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keys import AT, PART, in_order
+
 
 def count_rows(df: DataFrame) -> DataFrame:
     """A1: one row, ``total``."""
@@ -62,18 +64,36 @@ def outside_domain(df: DataFrame, col: str, allowed: Iterable, keep_null: bool =
     return df.filter(bad).groupBy(col).agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
+def running_max_before(df: DataFrame, order_col: str, value_col: str, out: str) -> DataFrame:
+    """``out``: the greatest ``value_col`` of the rows before each in ``order_col``
+    order (null for the first), in two levels: inside each range of rows, and over the
+    greatest values of the ranges before it, one number per range."""
+    stored = in_order(df, [order_col])
+    tops = stored.groupBy(PART).agg(F.max(value_col).alias("top")).collect()
+    # One row per stored partition, so the driver keeps the running maximum.
+    best, before = None, []
+    for part, top in sorted((r[0], r[1]) for r in tops):
+        before.append((part, best))
+        best = top if best is None or (top is not None and top > best) else best
+    kind = df.schema[value_col].dataType.simpleString()
+    offsets = df.sparkSession.createDataFrame(before, f"{PART} long, _sf_top {kind}")
+    earlier = (Window.partitionBy(PART).orderBy(AT)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    return (stored.join(F.broadcast(offsets), PART)
+            .withColumn(out, F.greatest(F.max(value_col).over(earlier), "_sf_top"))
+            .drop(PART, AT, "_sf_top"))
+
+
 def batch_ranges(df: DataFrame, batch_col: str, key_col: str) -> DataFrame:
     """A5: min, max and count of the key per batch, and whether a batch's
     range reaches back into an earlier batch (its min is not above the running
-    max of the batches before it).  The per-batch table is small (one row per
-    batch), so its ordered window is cheap."""
+    max of the batches before it)."""
     per = df.groupBy(batch_col).agg(F.min(key_col).alias("min_key"),
                                     F.max(key_col).alias("max_key"),
                                     F.count(F.lit(1)).cast("long").alias("n"))
-    earlier = Window.orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -1)
-    prev_max = F.max("max_key").over(earlier)
-    return per.withColumn("overlaps_earlier",
-                          F.coalesce(F.col("min_key") <= prev_max, F.lit(False)))
+    ranged = running_max_before(per, batch_col, "max_key", "_sf_before")
+    return ranged.withColumn("overlaps_earlier", F.coalesce(
+        F.col("min_key") <= F.col("_sf_before"), F.lit(False))).drop("_sf_before")
 
 
 def rate(numerator: Column, denominator: Column) -> Column:

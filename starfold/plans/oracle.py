@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 from .. import schemas
-from . import quality
 
 # ------------------------------------------------------------------ helpers
 
@@ -169,9 +168,6 @@ _CTES = {
     "fact_reservation": _FACT_RESERVATION, "fact_reservation_rejected": _RESERVATION_REJECTED,
     "dim_date": _DIM_DATE,
 }
-# Names of the warehouse CTEs as the Spark side names its tables.
-_TABLE_CTE = {"client": "client_src", "gare": "gare_src", "train": "train_src",
-              "trajet": "trajet_src", "reservation": "reservation_src"}
 
 
 def with_warehouse(body: str) -> str:
@@ -180,53 +176,126 @@ def with_warehouse(body: str) -> str:
 
 
 # ------------------------------------------------------------ quality rules
-def _spark_expr_to_sql(expr: str) -> str:
-    return expr.replace("`", '"')
-
-
-def _row(rule: str, table: str, v: str, t: str, tol: float) -> str:
-    rate = f"round(CAST({v} AS DOUBLE) / nullif(CAST({t} AS DOUBLE), 0), 6)"
-    passed = f"({v}) = 0" if tol == 0 else f"coalesce({rate} < {tol!r}, true)"
-    return (f"SELECT '{rule}' AS rule, '{table}' AS table_name, CAST({v} AS BIGINT) AS violations,"
-            f" CAST({t} AS BIGINT) AS total, {rate} AS rate, CAST({float(tol)!r} AS DOUBLE)"
-            f" AS tolerance, {passed} AS passed")
-
-
-def rule_sql(r) -> str:
-    tbl = lambda n: _TABLE_CTE.get(n, n)
-    cnt = lambda n: f"(SELECT count(*) FROM {tbl(n)})"
-    if isinstance(r, quality.RowRule):
-        v = f"(SELECT count(*) FILTER (WHERE coalesce({_spark_expr_to_sql(r.violation)}, false))" \
-            f" FROM {tbl(r.table)})"
-        return _row(r.rule, r.table, v, cnt(r.table), r.tolerance)
-    if isinstance(r, quality.CountMatch):
-        acc = cnt(r.table) + (f" + {cnt(r.rejected)}" if r.rejected else "")
-        return _row(r.rule, r.table, f"abs({cnt(r.source)} - ({acc}))", cnt(r.source), r.tolerance)
-    if isinstance(r, quality.Unique):
-        k = ", ".join(r.key)
-        inner = f"(SELECT count(*) AS c FROM {tbl(r.table)} GROUP BY {k})"
-        return _row(r.rule, r.table, f"(SELECT coalesce(sum(c - 1), 0) FROM {inner})",
-                    f"(SELECT coalesce(sum(c), 0) FROM {inner})", r.tolerance)
-    if isinstance(r, quality.Domain):
-        allowed = ", ".join(f"'{a}'" for a in r.allowed)
-        v = (f"(SELECT count(*) FROM {tbl(r.table)} WHERE {r.column} IS NOT NULL"
-             f" AND {r.column} NOT IN ({allowed}))")
-        return _row(r.rule, r.table, v, cnt(r.table), r.tolerance)
-    if isinstance(r, quality.ForeignKeyRule):
-        v = (f"(SELECT count(*) FROM {tbl(r.table)} c WHERE NOT EXISTS (SELECT 1 FROM"
-             f" {tbl(r.parent)} p WHERE p.{r.parent_column} = c.{r.column}))")
-        return _row(r.rule, r.table, v, cnt(r.table), r.tolerance)
-    if isinstance(r, quality.Later):
-        v = (f"(SELECT count(*) FROM {tbl(r.table)} c JOIN {tbl(r.parent)} p"
-             f" ON c.{r.on} = p.{r.on} WHERE c.{r.column} > p.{r.parent_column})")
-        return _row(r.rule, r.table, v, cnt(r.table), r.tolerance)
-    if isinstance(r, quality.NotEmpty):
-        return _row(r.rule, r.table, f"CAST({cnt(r.table)} = 0 AS BIGINT)", cnt(r.table), 0.0)
-    raise TypeError(r)
-
-
-def report_sql(rules) -> str:
-    return with_warehouse("\nUNION ALL\n".join(rule_sql(r) for r in rules))
+# Fixed values, written down a second time on purpose (from the declared tables and the
+# quality tests), so that a rule missing or wrong on the Spark side shows.
+_KEYS = {
+    "dim_date": ("date_key", "full_date"), "dim_client": ("id_client", "client_key"),
+    "dim_gare": ("id_gare", "gare_key"), "dim_train": ("id_train", "train_key"),
+    "fact_trajet": ("id_trajet", "trajet_key"),
+    "fact_reservation": ("id_reservation", "reservation_key"),
+}
+_REQUIRED = {
+    "dim_date": "date_key full_date year quarter month month_name day_of_month day_of_week "
+                "day_name is_weekend",
+    "dim_client": "client_key id_client",
+    "dim_gare": "gare_key id_gare nom_gare",
+    "dim_train": "train_key id_train code_train",
+    "fact_trajet": "trajet_key id_trajet date_key train_key gare_depart_key gare_arrivee_key",
+    "fact_reservation": "reservation_key id_reservation date_key client_key trajet_key "
+                        "prix_unitaire nb_passagers montant_total",
+}
+_LENGTHS = {
+    "dim_date": {"month_name": 10, "day_name": 10},
+    "dim_client": {"nom": 50, "prenom": 50, "sexe": 1, "type_client": 30, "ville": 50,
+                   "code_postal": 10, "pays": 50, "email": 100, "telephone": 20,
+                   "statut_compte": 20},
+    "dim_gare": {"nom_gare": 60, "ville": 50, "region": 50, "pays": 50, "type_gare": 30,
+                 "taille_gare": 20, "categorie_strategique": 30},
+    "dim_train": {"code_train": 20, "type_train": 20, "ville_depart_base": 50,
+                  "ville_arrivee_base": 50, "statut_train": 20, "energie": 20},
+    "fact_trajet": {"statut_circulation": 20},
+    "fact_reservation": {"tarif_type": 20, "classe_reservee": 10, "canal_vente": 20,
+                         "mode_paiement": 30, "statut_reservation": 20},
+}
+_CHECKS = {
+    ("fact_trajet", "distance_km_not_negative"): "distance_km < 0",
+    ("fact_reservation", "prix_unitaire_not_negative"): "prix_unitaire < 0",
+    ("fact_reservation", "nb_passagers_positive"): "nb_passagers < 1",
+    ("fact_reservation", "montant_total_not_negative"): "montant_total < 0",
+}
+_REFERENCES = (
+    ("fact_trajet", "date_key", "dim_date", "date_key"),
+    ("fact_trajet", "train_key", "dim_train", "train_key"),
+    ("fact_trajet", "gare_depart_key", "dim_gare", "gare_key"),
+    ("fact_trajet", "gare_arrivee_key", "dim_gare", "gare_key"),
+    ("fact_reservation", "date_key", "dim_date", "date_key"),
+    ("fact_reservation", "client_key", "dim_client", "client_key"),
+    ("fact_reservation", "trajet_key", "fact_trajet", "trajet_key"),
+)
+_ROW_RULES = (
+    ("d3_domain:sexe", "dim_client", "sexe <> 'H' AND sexe <> 'F'", 0.0),
+    ("d4_city_all_upper", "dim_client", "ville = upper(ville) AND length(ville) > 1", 0.0),
+    ("d4_city_all_lower", "dim_client", "ville = lower(ville) AND length(ville) > 1", 0.0),
+    ("d5_null_service_year", "dim_gare", "annee_mise_en_service IS NULL", 0.05),
+    ("d6_total_vs_price", "fact_reservation",
+     "abs(montant_total - prix_unitaire * nb_passagers) > 0.01", 0.2),
+    ("d7_negative_amount", "fact_reservation", "montant_total < 0 OR prix_unitaire < 0", 0.0),
+    ("d8_passengers_positive", "fact_reservation", "nb_passagers <= 0", 0.0),
+    ("d9_distance_not_negative", "fact_trajet", "distance_km < 0", 0.0),
+)
+
+
+def _line(rule: str, table: str, v: str, tol: float = 0.0, total: str | None = None) -> str:
+    total = total or f"(SELECT count(*) FROM {table})"
+    rate = "round(CAST(v AS DOUBLE) / nullif(CAST(t AS DOUBLE), 0), 6)"
+    passed = "v = 0" if tol == 0 else f"coalesce({rate} < {tol!r}, true)"
+    return (f"SELECT '{rule}' AS rule, '{table}' AS table_name, CAST(v AS BIGINT) AS violations,"
+            f" CAST(t AS BIGINT) AS total, {rate} AS rate, CAST({tol!r} AS DOUBLE) AS tolerance,"
+            f" {passed} AS passed FROM (SELECT {v} AS v, {total} AS t)")
+
+
+def _where(table: str, bad: str) -> str:
+    return f"(SELECT count(*) FROM {table} WHERE {bad})"
+
+
+def _orphans(child: str, col: str, parent: str, parent_col: str) -> str:
+    return (f"(SELECT count(*) FROM {child} c WHERE NOT EXISTS (SELECT 1 FROM {parent} p"
+            f" WHERE p.{parent_col} = c.{col}))")
+
+
+def report_lines() -> dict[tuple[str, str], str]:
+    """(rule, table) -> one row of the report."""
+    out = {}
+
+    def add(rule, table, v, tol=0.0, total=None):
+        out[rule, table] = _line(rule, table, v, tol, total)
+    for dw, src in (("dim_client", "client_src"), ("dim_gare", "gare_src"),
+                    ("dim_train", "train_src"), ("fact_trajet", "trajet_src"),
+                    ("fact_reservation", "reservation_src")):
+        kept = f"(SELECT count(*) FROM {dw})"
+        if dw.startswith("fact_"):
+            kept += f" + (SELECT count(*) FROM {dw}_rejected)"
+        source = f"(SELECT count(*) FROM {src})"
+        add("d1_count_match", dw, f"abs({source} - ({kept}))", 0.0, source)
+    for rule, table, bad, tol in _ROW_RULES:
+        add(rule, table, _where(table, bad), tol)
+    add("d10_reservation_after_trip", "fact_reservation",
+        "(SELECT count(*) FROM fact_reservation r JOIN fact_trajet t ON r.trajet_key = t.trajet_key"
+        " WHERE r.date_key > t.date_key)", 0.05)
+    add("d11_orphan_client", "fact_reservation",
+        _orphans("fact_reservation", "client_key", "dim_client", "client_key"))
+    add("d11_orphan_train", "fact_trajet",
+        _orphans("fact_trajet", "train_key", "dim_train", "train_key"))
+    for table in ("fact_trajet", "fact_reservation"):
+        add("d12_not_empty", table, f"CAST((SELECT count(*) FROM {table}) = 0 AS INTEGER)")
+    for table, keys in _KEYS.items():
+        for c in _REQUIRED[table].split():
+            add(f"d13_not_null:{c}", table, _where(table, f"{c} IS NULL"))
+        for c, n in _LENGTHS[table].items():
+            add(f"d15_length:{c}", table, _where(table, f"length({c}) > {n}"))
+        for c in keys:
+            add(f"d2_unique:{c}", table,
+                f"(SELECT count(*) - count(DISTINCT {c}) FROM {table} WHERE {c} IS NOT NULL)")
+    for (table, name), bad in _CHECKS.items():
+        add(f"d14_check:{name}", table, _where(table, bad))
+    for child, col, parent, parent_col in _REFERENCES:
+        add(f"d16_fk:{col}", child, _orphans(child, col, parent, parent_col))
+    return out
+
+
+def report_sql(names: tuple[str, ...] | None = None) -> str:
+    return with_warehouse("\nUNION ALL\n".join(
+        sql for (rule, _), sql in report_lines().items() if names is None or rule in names))
 
 
 # ------------------------------------------------------------------ queries
@@ -374,11 +443,42 @@ ORACLE["s7_key_map"] = with_warehouse("SELECT id_train, train_key FROM dim_train
 ORACLE["e3_batch_keys"] = """SELECT CAST(year(o_orderdate) AS INTEGER) AS batch, o_orderkey,
   CAST(row_number() OVER (ORDER BY year(o_orderdate), o_orderkey) AS BIGINT) AS order_sk
 FROM orders"""
-ORACLE["a6_rates"] = report_sql([
-    quality.RowRule("d5_null_service_year", "dim_gare", "annee_mise_en_service IS NULL", 0.05),
-    quality.RowRule("d6_total_vs_price", "fact_reservation",
-                    "abs(montant_total - prix_unitaire * nb_passagers) > 0.01", 0.20),
-    quality.Later("d10_reservation_after_trip", "fact_reservation", "fact_trajet", "trajet_key",
-                  "date_key", "date_key", 0.05)])
-ORACLE["d_report"] = report_sql(quality.warehouse_rules())
+_STREAM = """periods AS (SELECT *, CASE WHEN year(date_depart) < 1997 THEN 0
+    WHEN year(date_depart) < 1999 THEN 1 ELSE 2 END AS period FROM trajet_src),
+arrivals AS (SELECT * EXCLUDE (period), period AS batch_id, '' AS again FROM periods
+  UNION ALL SELECT * EXCLUDE (period) REPLACE (distance_km + 1000 AS distance_km), 1,
+    'loaded:id_trajet' FROM periods WHERE period = 0 AND id_trajet % 20 = 0
+  UNION ALL SELECT * EXCLUDE (period) REPLACE (distance_km + 2000 AS distance_km), 2,
+    'loaded:id_trajet' FROM periods WHERE period = 0 AND id_trajet % 30 = 0
+  UNION ALL SELECT * EXCLUDE (period) REPLACE (distance_km + 3000 AS distance_km), 2,
+    'unique:id_trajet' FROM periods WHERE period = 2 AND id_trajet % 40 = 0),
+judged AS (SELECT t.*, tr.train_key, CASE WHEN tr.train_key IS NULL OR gd.gare_key IS NULL
+      OR ga.gare_key IS NULL THEN concat_ws(',', CASE WHEN tr.train_key IS NULL THEN 'train' END,
+      CASE WHEN gd.gare_key IS NULL THEN 'gare_depart' END,
+      CASE WHEN ga.gare_key IS NULL THEN 'gare_arrivee' END) ELSE again END AS reasons
+  FROM arrivals t LEFT JOIN dim_train tr ON t.id_train = tr.id_train
+    LEFT JOIN dim_gare gd ON t.id_gare_depart = gd.id_gare
+    LEFT JOIN dim_gare ga ON t.id_gare_arrivee = ga.id_gare),
+streamed AS (SELECT CAST(batch_id AS INTEGER) AS batch_id, CASE WHEN reasons = '' THEN CAST(
+      row_number() OVER (PARTITION BY reasons = '' ORDER BY batch_id, id_trajet) AS BIGINT) END
+      AS trajet_key, id_trajet, CAST(strftime(date_depart, '%Y%m%d') AS INTEGER) AS date_key,
+    CASE WHEN reasons = '' THEN train_key END AS train_key, distance_km, reasons FROM judged)"""
+
+
+def _streamed(body: str) -> str:
+    ctes = ",\n".join(f"{k} AS ({v})" for k, v in _CTES.items())
+    return f"WITH {ctes},\n{_STREAM}\n{body}"
+
+
+ORACLE["e3_incremental"] = _streamed("SELECT * FROM streamed")
+ORACLE["k6_stream_report"] = _streamed("""SELECT CAST(batch_id AS BIGINT) AS batch_id,
+  CAST(count(trajet_key) AS BIGINT) AS rows, CAST(count(*) - count(trajet_key) AS BIGINT)
+    AS rejected, CAST(count(*) FILTER (WHERE reasons IN ('loaded:id_trajet', 'unique:id_trajet'))
+    AS BIGINT) AS repeated, min(trajet_key) AS first_key, max(trajet_key) AS last_key
+FROM streamed GROUP BY batch_id""")
+ORACLE["a6_rates"] = report_sql(("d5_null_service_year", "d6_total_vs_price",
+                                "d10_reservation_after_trip"))
+ORACLE["d_report"] = report_sql()
 ORACLE["e2_report"] = ORACLE["d_report"]
+ORACLE["o1_period"] = with_warehouse("SELECT * FROM fact_trajet WHERE date_key BETWEEN 19970215"
+                                     " AND 19990110")

@@ -4,10 +4,15 @@ Every rule yields one report row::
 
     rule, table_name, violations, total, rate, tolerance, passed
 
-Row rules (predicates on one table) of the same table are counted in ONE
-aggregate, so a table costs one scan for all of them; uniqueness costs one
-shuffle on the key; foreign keys one anti-join each.  ``passed`` is
-``violations == 0`` for a zero tolerance, ``rate < tolerance`` otherwise.
+The rules are compiled into few passes:
+
+* row rules (predicates) of a table into ONE aggregate, which also counts the table;
+* uniqueness and foreign keys of all tables into one scan per table and one shuffle
+  (``operators.key_measures``), a key that several rules ask for measured once;
+* rules that compare columns of a child and a parent row into ONE left join per pair,
+  which also gives the orphans of that foreign key.
+
+``passed`` is ``violations == 0`` for a zero tolerance, ``rate < tolerance`` otherwise.
 """
 
 from __future__ import annotations
@@ -20,8 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.lookups import orphans
-from ..operators.profile import uniqueness
+from ..operators.key_measures import KeyMeasures
+from ..operators.lookups import spread_nulls
 
 REPORT_COLUMNS = ("rule", "table_name", "violations", "total", "rate", "tolerance", "passed")
 
@@ -73,7 +78,6 @@ class ForeignKeyRule:
     column: str
     parent: str
     parent_column: str
-    broadcast: bool | None = None
     tolerance: float = 0.0
 
 
@@ -100,14 +104,6 @@ class NotEmpty:
 Rule = RowRule | CountMatch | Unique | Domain | ForeignKeyRule | Later | NotEmpty
 
 
-def _row(rule: str, table: str, violations: Column, total: Column, tolerance: float) -> list[Column]:
-    """The measured part of a report row; rate and verdict are derived once
-    for the whole report (``_finish``)."""
-    return [F.lit(rule).alias("rule"), F.lit(table).alias("table_name"),
-            violations.cast("long").alias("violations"), total.cast("long").alias("total"),
-            F.lit(float(tolerance)).alias("tolerance")]
-
-
 def _finish(measures: DataFrame) -> DataFrame:
     v, t, tol = F.col("violations"), F.col("total"), F.col("tolerance")
     rate = F.round(F.try_divide(v.cast("double"), t.cast("double")), 6)
@@ -127,95 +123,116 @@ def _sql_str(x: str) -> str:
     return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _row_rules(df: DataFrame, table: str, rules: Sequence[RowRule | Domain | NotEmpty]
-               ) -> DataFrame:
-    """All row-level rules of one table from ONE aggregate (one scan),
-    unpivoted with a single ``stack``."""
-    aggs = ["count(1) AS _sf_total"]
-    cells = []
-    for i, r in enumerate(rules):
+def _row_pass(df: DataFrame, table: str, rules: Sequence[tuple[int, Rule]]) -> DataFrame:
+    """All row-level rules of one table and its row count from ONE aggregate,
+    unpivoted with a single ``stack``: ``place, measure``."""
+    aggs, cells = ["count(1) AS _sf_total"], [f"{_sql_str(_rows(table))}, _sf_total"]
+    for i, r in rules:
         if isinstance(r, NotEmpty):
-            v = "CAST(_sf_total = 0 AS BIGINT)"
+            cells.append(f"'{_rule(i)}', CAST(_sf_total = 0 AS BIGINT)")
         else:
             aggs.append(f"count_if(coalesce(({_violation_sql(r)}), false)) AS _sf_v{i}")
-            v = f"_sf_v{i}"
-        tol = float(getattr(r, "tolerance", 0.0))
-        cells.append(f"{_sql_str(r.rule)}, {v}, CAST({tol!r} AS DOUBLE)")
-    one = df.agg(*[F.expr(a) for a in aggs])
-    stacked = f"stack({len(rules)}, {', '.join(cells)}) AS (rule, violations, tolerance)"
-    return one.selectExpr(stacked, "_sf_total AS total").selectExpr(
-        "rule", f"{_sql_str(table)} AS table_name", "CAST(violations AS BIGINT) AS violations",
-        "CAST(total AS BIGINT) AS total", "tolerance")
+            cells.append(f"'{_rule(i)}', _sf_v{i}")
+    return df.agg(*[F.expr(a) for a in aggs]).selectExpr(
+        f"stack({len(cells)}, {', '.join(cells)}) AS (place, measure)")
+
+
+# Places of the measures a report is put together from.
+def _rows(table: str) -> str:
+    return f"rows:{table}"
+
+
+def _rule(i: int) -> str:
+    return f"rule:{i}"
+
+
+def _key(domain, slot) -> str:
+    return f"key:{domain}:{slot}"
+
+
+def _pair_pass(tables: Mapping[str, DataFrame], child: str, parent: str, on: str, on_parent: str,
+               rules: Sequence[tuple[int, Rule]]) -> DataFrame:
+    """All rules on one pair of tables from one left join: ``place, measure``."""
+    later = [r for _, r in rules if isinstance(r, Later)]
+    c = tables[child].select(F.col(on).alias("_sf_on"),
+                             *[F.col(r.column).alias(f"_sf_c{i}") for i, r in enumerate(later)])
+    p = tables[parent].select(F.col(on_parent).alias("_sf_pk"), F.lit(False).alias("_sf_pnull"),
+                              *[F.col(r.parent_column).alias(f"_sf_p{i}")
+                                for i, r in enumerate(later)])
+    # A null key matches nothing: such rows are dealt to all tasks.
+    spread = spread_nulls(c, "_sf_on", "_sf_key", "_sf_null")
+    if spread is None:
+        cond = c["_sf_on"] == p["_sf_pk"]
+    else:
+        c = spread
+        cond = (c["_sf_key"] == p["_sf_pk"]) & (c["_sf_null"] == p["_sf_pnull"])
+    # The parent grows with the data, so it stays shuffled; AQE splits hot keys.
+    joined = c.join(p.hint("shuffle_merge"), cond, "left")
+    aggs, cells, n = [], [], 0
+    for i, r in rules:
+        if isinstance(r, Later):
+            aggs.append(F.count_if(F.coalesce(F.col(f"_sf_c{n}") > F.col(f"_sf_p{n}"),
+                                              F.lit(False))).alias(f"_sf_v{i}"))
+            n += 1
+        else:
+            aggs.append(F.count_if(F.col("_sf_pk").isNull()).alias(f"_sf_v{i}"))
+        cells.append(f"'{_rule(i)}', _sf_v{i}")
+    return joined.agg(*aggs).selectExpr(f"stack({len(cells)}, {', '.join(cells)}) AS "
+                                        "(place, measure)")
 
 
 def evaluate(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> DataFrame:
     """The quality report of ``rules`` over ``tables`` (name -> DataFrame).
-    Totals are counted on the tables themselves (for stored tables, from the
-    Parquet footers), and building the report starts no job."""
+    Building the report starts no job."""
     rules = list(rules)
-    parts: list[DataFrame] = []
-    by_table: dict[str, list] = {}
-    for r in rules:
+    numbered = list(enumerate(rules))
+    # The tables whose rows are counted, each once, and their row rules.
+    by_table: dict[str, list[tuple[int, Rule]]] = {}
+    for i, r in numbered:
+        names = [r.table] + ([r.source] + ([r.rejected] if r.rejected else [])
+                             if isinstance(r, CountMatch) else [])
+        for name in names:
+            by_table.setdefault(name, [])
         if isinstance(r, (RowRule, Domain, NotEmpty)):
-            by_table.setdefault(r.table, []).append(r)
-    for table, rs in by_table.items():
-        parts.append(_row_rules(tables[table], table, rs))
-    # Totals: each table counted once, however many rules need it.
-    counted: list[str] = []
-    for r in rules:
-        names = {CountMatch: lambda r: [r.table, r.source] + ([r.rejected] if r.rejected else []),
-                 ForeignKeyRule: lambda r: [r.table], Later: lambda r: [r.table]}.get(type(r))
-        for n in (names(r) if names else []):
-            if n not in counted:
-                counted.append(n)
-    counts = None
-    if counted:
-        def total(n: str) -> DataFrame:
-            return tables[n].agg(F.count(F.lit(1)).alias("n")).selectExpr(
-                f"{_sql_str(n)} AS _sf_table", "n")
-        counts = reduce(DataFrame.unionByName, [total(n) for n in counted])
-    pending: list[DataFrame] = []        # measures whose total comes from ``counts``
-    matches = [r for r in rules if isinstance(r, CountMatch)]
-    if matches:
-        wide = counts.agg(*[F.max(F.when(F.col("_sf_table") == n, F.col("n"))).alias(f"c{i}")
-                            for i, n in enumerate(counted)])
-        col = {n: f"c{i}" for i, n in enumerate(counted)}
-        cells = []
-        for r in matches:
-            acc = col[r.table] + (f" + {col[r.rejected]}" if r.rejected else "")
-            cells.append(f"{_sql_str(r.rule)}, {_sql_str(r.table)}, abs({col[r.source]} - ({acc})),"
-                         f" {col[r.source]}, CAST({float(r.tolerance)!r} AS DOUBLE)")
-        parts.append(wide.selectExpr(
-            f"stack({len(matches)}, {', '.join(cells)}) AS "
-            "(rule, table_name, violations, total, tolerance)").selectExpr(
-            "rule", "table_name", "CAST(violations AS BIGINT) AS violations",
-            "CAST(total AS BIGINT) AS total", "tolerance"))
-    for r in rules:
+            by_table[r.table].append((i, r))
+    found = [_row_pass(tables[t], t, rs) for t, rs in by_table.items()]
+    # Pairs that are joined anyway answer their foreign keys too.
+    pairs: dict[tuple[str, str, str, str], list[tuple[int, Rule]]] = {}
+    for i, r in numbered:
+        if isinstance(r, Later):
+            pairs.setdefault((r.table, r.parent, r.on, r.on), []).append((i, r))
+    keys, places = KeyMeasures(), {}
+    for i, r in numbered:
         if isinstance(r, Unique):
-            u = uniqueness(tables[r.table], list(r.key))
-            parts.append(u.select(*_row(r.rule, r.table, F.col("extra_rows"), F.col("total"),
-                                        r.tolerance)))
+            places[i] = _key(*keys.unique(r.table, r.key))
         elif isinstance(r, ForeignKeyRule):
-            child = tables[r.table].select(r.column)
-            o = orphans(child, r.column, tables[r.parent], r.parent_column, r.broadcast)
-            pending.append(o.agg(*_row(r.rule, r.table, F.count(F.lit(1)), F.lit(None),
-                                       r.tolerance)))
-        elif isinstance(r, Later):
-            child = tables[r.table].select(r.on, F.col(r.column).alias("_sf_c"))
-            # fact-to-fact: the parent grows with the data, never broadcast it
-            parent = (tables[r.parent].select(r.on, F.col(r.parent_column).alias("_sf_p"))
-                      .hint("shuffle_merge"))
-            hits = child.join(parent, r.on).filter(F.col("_sf_c") > F.col("_sf_p"))
-            pending.append(hits.agg(*_row(r.rule, r.table, F.count(F.lit(1)), F.lit(None),
-                                          r.tolerance)))
-    if pending:
-        # a few rows joined to one count per table: both sides are tiny
-        p = reduce(DataFrame.unionByName, pending)
-        p = (p.join(F.broadcast(counts), p["table_name"] == counts["_sf_table"], "left")
-             .select("rule", "table_name", "violations",
-                     F.col("n").cast("long").alias("total"), "tolerance"))
-        parts.append(p)
-    return _finish(reduce(DataFrame.unionByName, parts))
+            pair = (r.table, r.parent, r.column, r.parent_column)
+            if pair in pairs:
+                pairs[pair].append((i, r))
+            else:
+                places[i] = _key(*keys.orphans(r.table, r.column, r.parent, r.parent_column))
+    found += [_pair_pass(tables, *pair, rs) for pair, rs in pairs.items()]
+    if places:
+        found.append(keys.measure(tables).selectExpr(
+            "concat('key:', domain, ':', slot) AS place", "violations AS measure"))
+    # A few rows for each rule and table: one map, from which every line is read.
+    one = reduce(DataFrame.unionByName, found).agg(
+        F.map_from_entries(F.collect_list(F.struct("place", "measure"))).alias("_sf_m"))
+
+    def at(place: str) -> Column:
+        return F.coalesce(F.try_element_at("_sf_m", F.lit(place)), F.lit(0))
+    lines = []
+    for i, r in numbered:
+        violations, total = at(places.get(i, _rule(i))), at(_rows(r.table))
+        if isinstance(r, CountMatch):
+            total = at(_rows(r.source))
+            kept = at(_rows(r.table)) + (at(_rows(r.rejected)) if r.rejected else F.lit(0))
+            violations = F.abs(total - kept)
+        lines.append(F.struct(F.lit(r.rule).alias("rule"), F.lit(r.table).alias("table_name"),
+                              violations.cast("long").alias("violations"),
+                              total.cast("long").alias("total"),
+                              F.lit(float(getattr(r, "tolerance", 0.0))).alias("tolerance")))
+    return _finish(one.select(F.explode(F.array(*lines)).alias("_sf")).select("_sf.*"))
 
 
 class QualityGateError(ValueError):
@@ -250,12 +267,13 @@ def constraint_rules(spec: schemas.TableSpec) -> list[Rule]:
         out.append(RowRule(f"d15_length:{c}", t, f"length(`{c}`) > {n}"))
     if spec.natural_key:
         out.append(Unique("d2_unique:" + ",".join(spec.natural_key), t, spec.natural_key))
+    for c in spec.unique:
+        out.append(Unique(f"d2_unique:{c}", t, (c,)))
     if spec.surrogate_key:
         out.append(Unique(f"d2_unique:{spec.surrogate_key}", t, (spec.surrogate_key,)))
     for fk in spec.foreign_keys:
         out.append(ForeignKeyRule(f"d16_fk:{fk.column}", t, fk.column, fk.parent,
-                                  fk.parent_column,
-                                  broadcast=False if fk.parent.startswith("fact_") else None))
+                                  fk.parent_column))
     return out
 
 

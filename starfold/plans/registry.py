@@ -22,6 +22,7 @@ from ..operators.profile import (batch_ranges, distinct_values, duplicate_keys,
                                  rule_counts, uniqueness)
 from ..sources.readers import with_batches
 from ..session import ensure_checkpoint_dir
+from ..streaming import incremental_load, load_report
 from . import adapter, dims, facts, pipeline, quality, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +127,56 @@ def e3_batch_keys(spark, sf_dir):
     return assign_dense_key(o, ["batch", "o_orderkey"], "order_sk")
 
 
+# Fixed values of the incremental query: which trips come in which batch, and which
+# come again: (batch, period, key modulo, kilometres added).
+PERIOD_ENDS = (1997, 1999)
+REPEATS = ((1, 0, 20, 1000), (2, 0, 30, 2000), (2, 2, 40, 3000))
+
+
+def _incremental(spark, sf_dir) -> str:
+    """Three files of trips, one picked up by each run of the stream, with trips of
+    earlier files and of the same file coming again; the folder that was loaded."""
+    s = _src(spark, sf_dir)
+    dm = warehouse.dimensions(s)
+    lookups = facts.trip_lookups(dims.key_map(dm["dim_train"], schemas.DIM_TRAIN),
+                                 dims.key_map(dm["dim_gare"], schemas.DIM_GARE))
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+    year = F.year("date_depart")
+    first, second = PERIOD_ENDS
+    period = F.when(year < first, 0).when(year < second, 1).otherwise(2)
+    t = s["trajet"].withColumn("_period", period)
+    for batch in range(3):
+        rows = t.filter(F.col("_period") == batch)
+        for to, of, modulo, more in REPEATS:
+            if to == batch:
+                again = t.filter((F.col("_period") == of) & (F.col("id_trajet") % modulo == 0))
+                rows = rows.unionByName(again.withColumn("distance_km",
+                                                         F.col("distance_km") + more))
+        rows.drop("_period").write.mode("append").parquet(f"{base}/landing")
+        incremental_load(
+            spark, f"{base}/landing", schemas.TRAJET.schema,
+            lambda b: facts.resolve(b, "date_depart", lookups), f"{base}/loaded", "trajet_key",
+            f"{base}/checkpoint", max_files_per_trigger=100_000,
+            rejected_target=f"{base}/rejected", spec=schemas.FACT_TRAJET, index_fan_in=2)
+    return base
+
+
+def e3_incremental(spark, sf_dir):
+    base = _incremental(spark, sf_dir)
+    ok = spark.read.parquet(f"{base}/loaded").select(
+        "batch_id", "trajet_key", "id_trajet", "date_key", "train_key", "distance_km",
+        F.lit("").alias("reasons"))
+    bad = spark.read.parquet(f"{base}/rejected").select(
+        "batch_id", F.lit(None).cast("long").alias("trajet_key"), "id_trajet",
+        date_key("date_depart").alias("date_key"), F.lit(None).cast("int").alias("train_key"),
+        "distance_km", F.array_join(REASONS, ",").alias("reasons"))
+    return ok.unionByName(bad)
+
+
+def k6_stream_report(spark, sf_dir):
+    return load_report(spark, f"{_incremental(spark, sf_dir)}/loaded")
+
+
 # --------------------------------------------------------------------- joins
 def _customer_map(spark, sf_dir):
     c = _t(spark, sf_dir, "customer").select("c_custkey")
@@ -202,7 +253,7 @@ def j9_fk_audit(spark, sf_dir):
               FkCheck("trajet", "id_gare_depart", "gare", "id_gare"),
               FkCheck("trajet", "id_gare_arrivee", "gare", "id_gare"),
               FkCheck("reservation", "id_client", "client", "id_client"),
-              FkCheck("reservation", "id_trajet", "trajet", "id_trajet", broadcast=False),
+              FkCheck("reservation", "id_trajet", "trajet", "id_trajet"),
               FkCheck("trajet", "date_key", "dim_date", "date_key"),
               FkCheck("reservation", "date_key", "dim_date", "date_key")]
     # The calendar of the trips, to the day: earlier bookings fall outside it.
@@ -255,12 +306,8 @@ def a5_batches(spark, sf_dir):
 
 def a6_rates(spark, sf_dir):
     wh = warehouse.from_test_tables(spark, sf_dir)
-    rules = [quality.RowRule("d5_null_service_year", "dim_gare",
-                             "annee_mise_en_service IS NULL", 0.05),
-             quality.RowRule("d6_total_vs_price", "fact_reservation",
-                             "abs(montant_total - prix_unitaire * nb_passagers) > 0.01", 0.20),
-             quality.Later("d10_reservation_after_trip", "fact_reservation", "fact_trajet",
-                           "trajet_key", "date_key", "date_key", 0.05)]
+    names = ("d5_null_service_year", "d6_total_vs_price", "d10_reservation_after_trip")
+    rules = [r for r in quality.warehouse_rules() if r.rule in names]
     return quality.evaluate(wh, rules)
 
 
@@ -327,13 +374,17 @@ def u1_upsert(spark, sf_dir):
     return out.select("client_key", "id_client", "sexe", "ville", "statut_compte")
 
 
-def _loaded(spark, sf_dir, table):
-    """One load (E1) into a fresh folder below the checkpoint folder, and one
-    of its tables read back."""
+def _load(spark, sf_dir) -> str:
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/load-{uuid.uuid4().hex[:12]}"
     cfg = pipeline.LoadConfig(target=base, gate="report", load_ts=False)
     pipeline.run(spark, _src(spark, sf_dir), cfg)
-    return spark.read.parquet(cfg.path(table))
+    return base
+
+
+def _loaded(spark, sf_dir, table):
+    """One load (E1) into a fresh folder below the checkpoint folder, and one of
+    its tables read back through the version it committed."""
+    return pipeline.read_table(spark, _load(spark, sf_dir), table)
 
 
 def e1_fact_trajet(spark, sf_dir):
@@ -348,6 +399,11 @@ def e2_report(spark, sf_dir):
     return _loaded(spark, sf_dir, "_quality")
 
 
+def o1_period(spark, sf_dir):
+    """Trips of some months from the published fact: one folder a year is read."""
+    return pipeline.read_period(spark, _load(spark, sf_dir), "fact_trajet", 19970215, 19990110)
+
+
 QUERIES: dict[str, Query] = {
     "f1_title_case": f1_title_case,
     "f2_map_fallback": f2_map_fallback,
@@ -364,6 +420,8 @@ QUERIES: dict[str, Query] = {
     "s2_batches": s2_batches,
     "s7_key_map": s7_key_map,
     "e3_batch_keys": e3_batch_keys,
+    "e3_incremental": e3_incremental,
+    "k6_stream_report": k6_stream_report,
     "j1_resolve": j1_resolve,
     "j2_role_playing": j2_role_playing,
     "j3_fact_to_fact": j3_fact_to_fact,
@@ -391,4 +449,5 @@ QUERIES: dict[str, Query] = {
     "e1_fact_trajet": e1_fact_trajet,
     "e1_fact_reservation": e1_fact_reservation,
     "e2_report": e2_report,
+    "o1_period": o1_period,
 }

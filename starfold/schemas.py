@@ -34,6 +34,7 @@ class TableSpec:
     natural_key: tuple[str, ...] = ()
     surrogate_key: str | None = None
     foreign_keys: tuple[ForeignKey, ...] = ()
+    unique: tuple[str, ...] = ()          # columns unique beside the two keys
     not_null: tuple[str, ...] = ()
     checks: tuple[Check, ...] = ()
     varchar: dict[str, int] = field(default_factory=dict)
@@ -110,6 +111,7 @@ DIM_DATE = TableSpec(
        ("month_name", S), ("day_of_month", H), ("day_of_week", H), ("day_name", S),
        ("is_weekend", B)),
     natural_key=("date_key",),
+    unique=("full_date",),
     not_null=("date_key", "full_date", "year", "quarter", "month", "month_name",
               "day_of_month", "day_of_week", "day_name", "is_weekend"),
     varchar={"month_name": 10, "day_name": 10},

@@ -5,6 +5,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -91,6 +94,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return checkpoint_dir(spark)
 
 
+_stored: ContextVar[list[str] | None] = ContextVar("starfold_stored", default=None)
+
+
+@contextmanager
+def temporaries(spark: SparkSession) -> Iterator[None]:
+    """What ``materialize`` stores inside the block is removed at its end: for a
+    step that has written its result and needs its copies no more.  Threads
+    started inside take part if they run in a copy of the context."""
+    paths: list[str] = []
+    token = _stored.set(paths)
+    try:
+        yield
+    finally:
+        _stored.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in paths:
+            p = hadoop(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and
     read it back: a lineage cut that, unlike ``checkpoint()``, keeps columnar
@@ -98,5 +121,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/starfold-{name}-{uuid.uuid4().hex[:12]}"
+    if (paths := _stored.get()) is not None:
+        paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -1,5 +1,6 @@
 """Structured Streaming: bounded incremental loads."""
 
-from .incremental import incremental_load
+from .incremental import incremental_load, load_report
+from .key_index import KeyIndex
 
-__all__ = ["incremental_load"]
+__all__ = ["KeyIndex", "incremental_load", "load_report"]

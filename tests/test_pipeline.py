@@ -8,6 +8,8 @@ from conftest import SF001
 from starfold import schemas
 from starfold.plans import adapter, facts, pipeline, quality
 from starfold.plans.pipeline import LoadConfig
+from starfold.plans.pipeline import read_table
+from starfold.sources import versions
 from starfold.sources.writers import PublishRefused
 from starfold.streaming import incremental_load
 
@@ -36,7 +38,7 @@ def test_counts_match_fixtures(loaded):
 
 def test_keys_are_dense_in_natural_key_order(loaded):
     spark, target, *_ = loaded
-    ft = spark.read.parquet(f"{target}/fact_trajet")
+    ft = read_table(spark, str(target), "fact_trajet")
     a = ft.agg(F.min("trajet_key"), F.max("trajet_key"), F.count("*")).first()
     assert tuple(a) == (1, TRIPS_OK, TRIPS_OK)
     rows = ft.orderBy("id_trajet").select("trajet_key").collect()
@@ -45,7 +47,7 @@ def test_keys_are_dense_in_natural_key_order(loaded):
 
 def test_quality_report_measures(loaded):
     spark, target, *_ = loaded
-    rep = {(r.rule, r.table_name): r for r in spark.read.parquet(f"{target}/_quality").collect()}
+    rep = {(r.rule, r.table_name): r for r in read_table(spark, str(target), "_quality").collect()}
     assert rep[("d10_reservation_after_trip", "fact_reservation")].violations == LATE
     assert rep[("d6_total_vs_price", "fact_reservation")].violations == OFF
     assert rep[("d7_negative_amount", "fact_reservation")].violations == 0
@@ -69,14 +71,14 @@ def test_rerun_gives_identical_tables(loaded, tmp_path):
     cfg = LoadConfig(target=str(tmp_path), gate="off")
     pipeline.run(spark, src, cfg)
     for name in schemas.LOAD_ORDER:
-        a = spark.read.parquet(f"{target}/{name}").drop("load_ts")
-        b = spark.read.parquet(f"{tmp_path}/{name}").drop("load_ts")
+        a = read_table(spark, str(target), name).drop("load_ts")
+        b = read_table(spark, str(tmp_path), name).drop("load_ts")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
 
 
 def test_load_ts_is_one_value_per_run(loaded):
     spark, target, *_ = loaded
-    ft = spark.read.parquet(f"{target}/fact_trajet")
+    ft = read_table(spark, str(target), "fact_trajet")
     assert ft.columns[-1] == "load_ts"
     assert ft.select(F.count_distinct("load_ts")).first()[0] == 1
 
@@ -85,8 +87,8 @@ def test_step_rerun_replaces_its_table_and_cascades(loaded):
     spark, target, src, _ = loaded
     cfg = LoadConfig(target=target, gate="off")
     pipeline.reload_trips(spark, src, cfg)
-    assert spark.read.parquet(f"{target}/fact_trajet").count() == TRIPS_OK
-    assert spark.read.parquet(f"{target}/fact_reservation").count() == RES_OK
+    assert read_table(spark, str(target), "fact_trajet").count() == TRIPS_OK
+    assert read_table(spark, str(target), "fact_reservation").count() == RES_OK
     assert [r["table_name"] for r in cfg.report] == ["fact_trajet", "fact_reservation"]
 
 
@@ -97,10 +99,10 @@ def test_quarantine_mode_moves_constraint_violations(spark, tmp_path):
         "date_depart", F.when(F.col("id_trajet") == 1, F.lit(None)).otherwise(F.col("date_depart")))
     cfg = LoadConfig(target=str(tmp_path), gate="off", constraints="quarantine")
     pipeline.run(spark, src, cfg)
-    rej = spark.read.parquet(f"{tmp_path}/fact_trajet_rejected")
+    rej = read_table(spark, str(tmp_path), "fact_trajet_rejected")
     hit = rej.filter("id_trajet = 1").first()
     assert list(hit.reject_reasons) == ["not_null:date_key"]
-    assert spark.read.parquet(f"{tmp_path}/fact_trajet").count() == TRIPS_OK - 1
+    assert read_table(spark, str(tmp_path), "fact_trajet").count() == TRIPS_OK - 1
 
 
 def test_fail_mode_refuses_to_publish_a_null_date(spark, tmp_path):
@@ -110,7 +112,7 @@ def test_fail_mode_refuses_to_publish_a_null_date(spark, tmp_path):
     from starfold.sources.writers import PublishRefused
     with pytest.raises(PublishRefused, match="d13_not_null:date_key: 1/1415"):
         pipeline.run(spark, src, LoadConfig(target=str(tmp_path), gate="off"))
-    assert not os.path.exists(f"{tmp_path}/fact_trajet")
+    assert "fact_trajet" not in versions.current(spark, str(tmp_path)).tables
 
 
 def test_incremental_batches_equal_full_load(loaded, tmp_path):
@@ -126,8 +128,8 @@ def test_incremental_batches_equal_full_load(loaded, tmp_path):
         for f in os.listdir(f"{landing}/part{i}"):
             if f.endswith(".parquet"):
                 os.rename(f"{landing}/part{i}/{f}", f"{landing}/{i}_{f}")
-    train_map = spark.read.parquet(f"{target}/dim_train").select("id_train", "train_key")
-    gare_map = spark.read.parquet(f"{target}/dim_gare").select("id_gare", "gare_key")
+    train_map = read_table(spark, str(target), "dim_train").select("id_train", "train_key")
+    gare_map = read_table(spark, str(target), "dim_gare").select("id_gare", "gare_key")
 
     def transform(batch, start):
         return facts.fact_trajet(batch, train_map, gare_map, key_start=start)
@@ -140,7 +142,7 @@ def test_incremental_batches_equal_full_load(loaded, tmp_path):
     meta = spark.read.parquet(f"{out}/_batches").orderBy("batch_id").collect()
     assert [m.last_key for m in meta] == [p["last_key"] for p in progress]
     inc = spark.read.parquet(out)
-    full = spark.read.parquet(f"{target}/fact_trajet")
+    full = read_table(spark, str(target), "fact_trajet")
     assert inc.count() == TRIPS_OK
     assert inc.select("id_trajet").exceptAll(full.select("id_trajet")).count() == 0
     k = inc.agg(F.min("trajet_key"), F.max("trajet_key"), F.count_distinct("trajet_key")).first()
@@ -159,14 +161,14 @@ def test_closing_quality_check_alone_and_purge(loaded, tmp_path):
     # an empty reservation fact fails the closing check
     other = LoadConfig(target=str(tmp_path))
     pipeline.run(spark, src, LoadConfig(target=str(tmp_path), gate="off"))
-    empty = spark.read.parquet(f"{tmp_path}/fact_reservation").limit(0)
-    from starfold.sources.writers import publish
-    publish(empty, f"{tmp_path}/fact_reservation")
+    run = versions.Run(spark, str(tmp_path))
+    run.write(run.read("fact_reservation").limit(0), "fact_reservation")
+    run.commit()
     with pytest.raises(quality.QualityGateError, match="d12_not_empty on fact_reservation: 1/0"):
         pipeline.quality_check(spark, other)
     pipeline.purge(spark, other)
-    assert not os.path.exists(f"{tmp_path}/fact_trajet")
-    assert os.path.exists(f"{tmp_path}/dim_date")
+    left = versions.current(spark, str(tmp_path)).tables
+    assert "fact_trajet" not in left and "dim_date" in left
 
 
 def _with_out_of_calendar_trip(spark):
@@ -181,8 +183,8 @@ def test_out_of_calendar_date_is_kept_and_reported(spark, tmp_path):
     src = _with_out_of_calendar_trip(spark)
     cfg = LoadConfig(target=str(tmp_path), gate="report", calendar=("1995-01-01", "2001-12-31"))
     pipeline.run(spark, src, cfg)
-    assert spark.read.parquet(f"{tmp_path}/fact_trajet").count() == TRIPS_OK
-    rep = {(r.rule, r.table_name): r for r in spark.read.parquet(f"{tmp_path}/_quality").collect()}
+    assert read_table(spark, str(tmp_path), "fact_trajet").count() == TRIPS_OK
+    rep = {(r.rule, r.table_name): r for r in read_table(spark, str(tmp_path), "_quality").collect()}
     assert rep[("d16_fk:date_key", "fact_trajet")].violations == 1
 
 
@@ -191,8 +193,8 @@ def test_strict_calendar_rejects_out_of_calendar_date(spark, tmp_path):
     cfg = LoadConfig(target=str(tmp_path), gate="off", calendar=("1995-01-01", "2001-12-31"),
                      strict_calendar=True)
     pipeline.run(spark, src, cfg)
-    assert spark.read.parquet(f"{tmp_path}/fact_trajet").count() == TRIPS_OK - 1
-    hit = spark.read.parquet(f"{tmp_path}/fact_trajet_rejected").filter("id_trajet = 1").first()
+    assert read_table(spark, str(tmp_path), "fact_trajet").count() == TRIPS_OK - 1
+    hit = read_table(spark, str(tmp_path), "fact_trajet_rejected").filter("id_trajet = 1").first()
     assert list(hit.reject_reasons) == ["date"]
 
 
@@ -200,14 +202,14 @@ def test_keys_of_the_warehouse_are_the_global_ranks(loaded):
     spark, target, _, _ = loaded
     for name in schemas.LOAD_ORDER:
         spec = schemas.WAREHOUSE[name]
-        df = spark.read.parquet(f"{target}/{name}")
+        df = read_table(spark, str(target), name)
         rank = F.row_number().over(Window.orderBy(*spec.natural_key))
         bad = df.withColumn("e", rank).filter(F.col(spec.surrogate_key) != F.col("e"))
         assert df.count() and bad.count() == 0, name
 
 
 def _contents(spark, target):
-    return {n: sorted(map(str, spark.read.parquet(f"{target}/{n}").drop("load_ts").collect()))
+    return {n: sorted(map(str, read_table(spark, str(target), n).drop("load_ts").collect()))
             for n in ("dim_date",) + schemas.LOAD_ORDER}
 
 
@@ -230,6 +232,7 @@ def test_a_refused_run_leaves_the_previous_version_whole(loaded, tmp_path, fault
         pipeline.run(spark, bad, LoadConfig(target=str(tmp_path), gate=gate))
     assert _contents(spark, tmp_path) == before
     assert not os.path.exists(f"{tmp_path}/_runs") or not os.listdir(f"{tmp_path}/_runs")
+    assert len(os.listdir(f"{tmp_path}/_data")) == 1
 
 
 def test_duplicate_natural_keys_are_refused_or_quarantined(loaded, tmp_path):
@@ -239,11 +242,11 @@ def test_duplicate_natural_keys_are_refused_or_quarantined(loaded, tmp_path):
     bad["client"] = src["client"].unionByName(again)
     with pytest.raises(PublishRefused, match="dim_client: .* is not unique"):
         pipeline.run(spark, bad, LoadConfig(target=str(tmp_path), gate="off"))
-    assert not os.path.exists(f"{tmp_path}/dim_client")
+    assert "dim_client" not in versions.current(spark, str(tmp_path)).tables
     pipeline.run(spark, bad, LoadConfig(target=str(tmp_path), gate="off",
                                         constraints="quarantine"))
-    assert spark.read.parquet(f"{tmp_path}/fact_reservation").count() == RES_OK
-    rej = spark.read.parquet(f"{tmp_path}/dim_client_rejected").collect()
+    assert read_table(spark, str(tmp_path), "fact_reservation").count() == RES_OK
+    rej = read_table(spark, str(tmp_path), "dim_client_rejected").collect()
     surplus = src["client"].filter("id_client <= 5").count()
     assert len(rej) == surplus and all(list(r.reject_reasons) == ["unique:id_client"] for r in rej)
 
@@ -255,6 +258,6 @@ def test_quarantine_covers_dimensions_and_lengths(loaded, tmp_path):
         "nom", F.when(F.col("id_client") == 2, F.lit("x" * 60)).otherwise(F.col("nom")))
     pipeline.run(spark, bad, LoadConfig(target=str(tmp_path), gate="off",
                                         constraints="quarantine"))
-    rej = spark.read.parquet(f"{tmp_path}/dim_client_rejected").collect()
+    rej = read_table(spark, str(tmp_path), "dim_client_rejected").collect()
     assert [(r.id_client, list(r.reject_reasons)) for r in rej] == [(2, ["length:nom"])]
-    assert spark.read.parquet(f"{tmp_path}/dim_client").filter("length(nom) > 50").count() == 0
+    assert read_table(spark, str(tmp_path), "dim_client").filter("length(nom) > 50").count() == 0

@@ -31,7 +31,7 @@ RULES = [
     Unique("d2", "r", ("reservation_key",)),
     Domain("d3", "c", "sexe", ("H", "F")),
     ForeignKeyRule("d11", "r", "client_key", "c", "client_key"),
-    ForeignKeyRule("d16", "r", "date_key", "cal", "date_key", broadcast=False),
+    ForeignKeyRule("d16", "r", "date_key", "cal", "date_key"),
     Later("d10", "r", "t", "trajet_key", "date_key", "date_key", 0.5),
     NotEmpty("d12", "r"),
     CountMatch("d1", "r", "src"),
