@@ -482,3 +482,33 @@ ORACLE["d_report"] = report_sql()
 ORACLE["e2_report"] = ORACLE["d_report"]
 ORACLE["o1_period"] = with_warehouse("SELECT * FROM fact_trajet WHERE date_key BETWEEN 19970215"
                                      " AND 19990110")
+ORACLE["s2_batch_reads"] = "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders"
+ORACLE["s6_ingest"] = with_warehouse("""SELECT
+  CASE WHEN id_trajet % 70 <> 3 THEN id_trajet END AS id_trajet,
+  CASE WHEN id_trajet % 70 <> 3 THEN date_depart END AS date_depart,
+  CASE WHEN id_trajet % 70 <> 3 AND id_trajet % 50 <> 1 THEN distance_km END AS distance_km,
+  CASE WHEN id_trajet % 70 = 3 THEN id_trajet || ',' || id_train END AS broken_line,
+  CASE WHEN id_trajet % 70 = 3 THEN 'malformed' WHEN id_trajet % 50 = 1 THEN 'cast:distance_km'
+    ELSE '' END AS reasons FROM trajet_src""")
+ORACLE["k4_round_trip"] = """SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN ''
+  WHEN 2 THEN text || chr(9) || chr(92) || 'N' || chr(13) || chr(10) || chr(92)
+  WHEN 3 THEN chr(92) || 'N' ELSE text END AS text, lang FROM documents"""
+ORACLE["k5_load_ts"] = "SELECT o_orderkey, '2024-05-01 00:30:00' AS load_ts FROM orders"
+ORACLE["j8_quarantine"] = with_warehouse("""SELECT t.id_trajet, t.distance_km,
+  CASE WHEN tr.train_key IS NULL OR gd.gare_key IS NULL OR ga.gare_key IS NULL THEN
+    concat_ws(',', CASE WHEN tr.train_key IS NULL THEN 'train' END,
+      CASE WHEN gd.gare_key IS NULL THEN 'gare_depart' END,
+      CASE WHEN ga.gare_key IS NULL THEN 'gare_arrivee' END)
+  WHEN t.no_date OR t.distance_km < 0 THEN concat_ws(',',
+      CASE WHEN t.no_date THEN 'not_null:date_key' END,
+      CASE WHEN t.distance_km < 0 THEN 'check:distance_km_not_negative' END)
+  ELSE 'unique:id_trajet' END AS reasons
+FROM (SELECT * REPLACE (CASE WHEN id_trajet % 75 = 3 THEN -1 ELSE distance_km END AS distance_km),
+        id_trajet % 60 = 1 AS no_date, false AS again FROM trajet_src
+      UNION ALL SELECT * REPLACE (CASE WHEN id_trajet % 75 = 3 THEN 4999 ELSE distance_km + 5000
+        END AS distance_km), id_trajet % 60 = 1, true FROM trajet_src WHERE id_trajet % 90 = 2) t
+  LEFT JOIN dim_train tr ON t.id_train = tr.id_train
+  LEFT JOIN dim_gare gd ON t.id_gare_depart = gd.id_gare
+  LEFT JOIN dim_gare ga ON t.id_gare_arrivee = ga.id_gare
+WHERE tr.train_key IS NULL OR gd.gare_key IS NULL OR ga.gare_key IS NULL OR t.no_date
+  OR t.distance_km < 0 OR t.again""")

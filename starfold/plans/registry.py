@@ -20,7 +20,8 @@ from ..operators.lookups import (FkCheck, Lookup, REASONS, fk_audit, orphans,
                                  rejected, resolve_keys, temporal_violations)
 from ..operators.profile import (batch_ranges, distinct_values, duplicate_keys, outside_domain,
                                  rule_counts, uniqueness)
-from ..sources.readers import with_batches
+from ..sources.readers import CORRUPT, ingest_files, read_batches, with_batches
+from ..sources.writers import read_copy, with_load_ts, write_copy
 from ..session import ensure_checkpoint_dir
 from ..streaming import incremental_load, load_report
 from . import adapter, dims, facts, pipeline, quality, warehouse
@@ -115,6 +116,67 @@ def s2_batches(spark, sf_dir):
         "id_trajet", "batch")
 
 
+def s2_batch_reads(spark, sf_dir):
+    """The order lines read batch by batch; together they are the table."""
+    li = _t(spark, sf_dir, "orders")
+    table = schemas.TableSpec("orders", li.schema, natural_key=("o_orderkey",))
+    parts = list(read_batches(li, table, max(1, li.count() // 6)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+def _folder(spark, name) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# Fixed values of the ingest query: keys whose distance is no number, and keys whose
+# line ends after two fields.
+BAD_NUMBER, BAD_LINE = (50, 1), (70, 3)
+
+
+def s6_ingest(spark, sf_dir):
+    """Trips of three periods as CSV files, some lines broken, some values of the wrong
+    kind, in one scan: typed rows, and the lines that are none."""
+    t = _src(spark, sf_dir)["trajet"]
+    base, key = _folder(spark, "csv"), F.col("id_trajet")
+    fields = [F.coalesce(F.col(f.name).cast("string"), F.lit(""))
+              for f in schemas.TRAJET.schema.fields]
+    at = schemas.TRAJET.columns.index("distance_km")
+    fields[at] = F.when(key % BAD_NUMBER[0] == BAD_NUMBER[1], F.concat(F.lit("x"), fields[at])
+                        ).otherwise(fields[at])
+    line = F.when(key % BAD_LINE[0] == BAD_LINE[1], F.concat_ws(",", *fields[:2])).otherwise(
+        F.concat_ws(",", *fields))
+    year = F.year("date_depart")
+    paths = []
+    for i, (lo, hi) in enumerate(((0, 1997), (1997, 1999), (1999, 9999))):
+        paths.append(f"{base}/{i}")
+        t.filter((year >= lo) & (year < hi)).select(line.alias("value")).write.text(paths[-1])
+    typed, _ = ingest_files(spark, paths, schemas.TRAJET, f"{base}/staged")
+    return typed.select("id_trajet", "date_depart", "distance_km",
+                        F.col(CORRUPT).alias("broken_line"),
+                        F.array_join(REASONS, ",").alias("reasons"))
+
+
+def k4_round_trip(spark, sf_dir):
+    """Whole texts with tabs, line breaks, backslashes, nulls and empties, written in
+    the COPY text format and read back."""
+    d, key = _t(spark, sf_dir, "documents"), F.col("doc_id")
+    odd = (F.when(key % 7 == 0, F.lit(None)).when(key % 7 == 1, F.lit(""))
+           .when(key % 7 == 2, F.concat("text", F.lit("\t\\N\r\n\\")))
+           .when(key % 7 == 3, F.lit("\\N")).otherwise(F.col("text")))
+    rows = d.select("doc_id", odd.alias("text"), "lang")
+    path = _folder(spark, "copy")
+    write_copy(rows, path)
+    return read_copy(spark, path, rows.schema)
+
+
+def k5_load_ts(spark, sf_dir):
+    o = with_load_ts(_t(spark, sf_dir, "orders"), "2024-05-01T02:30:00+02:00")
+    return o.select("o_orderkey", F.date_format("load_ts", "yyyy-MM-dd HH:mm:ss").alias("load_ts"))
+
+
 def s7_key_map(spark, sf_dir):
     return dims.key_map(dims.dim_train(_src(spark, sf_dir)["train"]), schemas.DIM_TRAIN)
 
@@ -140,7 +202,7 @@ def _incremental(spark, sf_dir) -> str:
     dm = warehouse.dimensions(s)
     lookups = facts.trip_lookups(dims.key_map(dm["dim_train"], schemas.DIM_TRAIN),
                                  dims.key_map(dm["dim_gare"], schemas.DIM_GARE))
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+    base = _folder(spark, "stream")
     year = F.year("date_depart")
     first, second = PERIOD_ENDS
     period = F.when(year < first, 0).when(year < second, 1).otherwise(2)
@@ -247,6 +309,24 @@ def j8_rejects(spark, sf_dir):
                       F.array_join(REASONS, ",").alias("reasons"))
 
 
+def j8_quarantine(spark, sf_dir):
+    """Trips with dates missing, distances below zero and ids that come again, loaded
+    with ``constraints="quarantine"``: what was set aside, and why."""
+    s = _src(spark, sf_dir)
+    key, far = F.col("id_trajet"), F.col("distance_km")
+    t = s["trajet"].withColumns({
+        "date_depart": F.when(key % 60 == 1, F.lit(None)).otherwise(F.col("date_depart")),
+        "distance_km": F.when(key % 75 == 3, F.lit(-1)).otherwise(far)})
+    again = t.filter(key % 90 == 2).withColumn("distance_km", far + 5000)
+    cfg = pipeline.LoadConfig(target=_folder(spark, "quarantine"), gate="off", load_ts=False,
+                              constraints="quarantine")
+    for name, source in (("dim_gare", "gare"), ("dim_train", "train")):
+        pipeline.load_dimension(spark, s[source], name, cfg)
+    pipeline.load_fact_trajet(spark, t.unionByName(again), cfg)
+    return pipeline.read_table(spark, cfg.target, "fact_trajet_rejected").select(
+        "id_trajet", "distance_km", F.array_join(REASONS, ",").alias("reasons"))
+
+
 def j9_fk_audit(spark, sf_dir):
     s = _src(spark, sf_dir)
     checks = [FkCheck("trajet", "id_train", "train", "id_train"),
@@ -375,7 +455,7 @@ def u1_upsert(spark, sf_dir):
 
 
 def _load(spark, sf_dir) -> str:
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/load-{uuid.uuid4().hex[:12]}"
+    base = _folder(spark, "load")
     cfg = pipeline.LoadConfig(target=base, gate="report", load_ts=False)
     pipeline.run(spark, _src(spark, sf_dir), cfg)
     return base
@@ -418,7 +498,11 @@ QUERIES: dict[str, Query] = {
     "g4_date_key": g4_date_key,
     "g1_date_series": g1_date_series,
     "s2_batches": s2_batches,
+    "s2_batch_reads": s2_batch_reads,
+    "s6_ingest": s6_ingest,
     "s7_key_map": s7_key_map,
+    "k4_round_trip": k4_round_trip,
+    "k5_load_ts": k5_load_ts,
     "e3_batch_keys": e3_batch_keys,
     "e3_incremental": e3_incremental,
     "k6_stream_report": k6_stream_report,
@@ -430,6 +514,7 @@ QUERIES: dict[str, Query] = {
     "j6_orphans": j6_orphans,
     "j7_temporal": j7_temporal,
     "j8_rejects": j8_rejects,
+    "j8_quarantine": j8_quarantine,
     "j9_fk_audit": j9_fk_audit,
     "a1_count": a1_count,
     "a2_rules_one_pass": a2_rules_one_pass,

@@ -8,7 +8,7 @@ needed for a full read: order matters only for numbering, which
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +67,45 @@ def with_batches(df: DataFrame, spec: schemas.TableSpec | str, batch_rows: int,
                              .cast("long")).drop("_sf_rank")
 
 
+_CUTTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def batch_bounds(df: DataFrame, spec: schemas.TableSpec | str, batch_rows: int) -> list:
+    """The keys at which batches of about ``batch_rows`` rows start, the first
+    batch's left out; from quantiles of the leading key column, in one scan of it."""
+    key = order_key(spec)[0]
+    kind = df.schema[key].dataType
+    if not isinstance(kind, _CUTTABLE):
+        raise ValueError(f"the ordering key {key!r} is {kind.simpleString()}: batches are cut at "
+                         "quantiles of numbers, dates or timestamps")
+    if batch_rows < 1:
+        raise ValueError("a batch holds at least one row")
+    n = df.agg(F.count(F.lit(1))).first()[0]
+    batches = -(-n // batch_rows)
+    if batches < 2:
+        return []
+    shares = [i / batches for i in range(1, batches)]
+    cuts = df.agg(F.percentile_approx(key, shares, max(10_000, 10 * batches))).first()[0] or []
+    # Equal cuts are one key with more rows than a batch: it stays whole.
+    return sorted(set(cuts))
+
+
+def read_batches(df: DataFrame, spec: schemas.TableSpec | str, batch_rows: int
+                 ) -> Iterator[DataFrame]:
+    """The table in batches of about ``batch_rows`` rows, in key order.  A batch
+    is a scan with its own key range as pushed filter, so row groups of other ranges
+    are skipped; together the batches are the table, null keys with the first."""
+    key = F.col(order_key(spec)[0])
+    cuts = batch_bounds(df, spec, batch_rows)
+    if not cuts:
+        yield df
+        return
+    yield df.filter((key < F.lit(cuts[0])) | key.isNull())
+    for lo, hi in zip(cuts, cuts[1:]):
+        yield df.filter((key >= F.lit(lo)) & (key < F.lit(hi)))
+    yield df.filter(key >= F.lit(cuts[-1]))
+
+
 def jdbc_options(url: str, table: str, *, schema: str = "raw", user: str | None = None,
                  password: str | None = None, partition_column: str | None = None,
                  lower_bound: int | None = None, upper_bound: int | None = None,

@@ -5,8 +5,10 @@
 * ``publish`` writes to a staging folder first, then swaps it in, so a
   failing load never leaves a half-written table and a table is never
   overwritten while it is being read.
+* ``write_copy`` / ``read_copy``: the text format of PostgreSQL's ``COPY``, one row
+  per line whatever the texts hold, so that files split.
 * ``write_tsv`` / ``read_tsv``: tab-separated text with the ``\\N`` null
-  marker, PostgreSQL ``COPY`` style.
+  marker and quotes, as the reference's export.
 """
 
 from __future__ import annotations
@@ -158,11 +160,63 @@ def count_null_markers(df: DataFrame) -> DataFrame:
     return df.agg(F.count_if(F.coalesce(hit, F.lit(False))).cast("long").alias("marker_rows"))
 
 
+# The escapes of the COPY text format, the backslash itself apart.
+COPY_ESCAPES = (("b", "\b"), ("f", "\f"), ("n", "\n"), ("r", "\r"), ("t", "\t"), ("v", "\v"))
+
+
+def copy_field(value: Column) -> Column:
+    """A value as a field of a COPY line: its text with backslash escapes, a null
+    as ``\\N`` (which no text can be, as its backslash would be doubled)."""
+    text = F.replace(value.cast("string"), F.lit("\\"), F.lit("\\\\"))
+    for letter, char in COPY_ESCAPES:
+        text = F.replace(text, F.lit(char), F.lit("\\" + letter))
+    return F.coalesce(text, F.lit(NULL_MARKER))
+
+
+def copy_value(field: Column) -> Column:
+    """The text of a field again.  Doubled backslashes part the field into runs in
+    which every backslash starts an escape; a letter that is none stands for itself."""
+    def plain(run: Column) -> Column:
+        for letter, char in COPY_ESCAPES:
+            run = F.replace(run, F.lit("\\" + letter), F.lit(char))
+        return F.replace(run, F.lit("\\"), F.lit(""))
+    runs = F.transform(F.split(field, r"\\\\", -1), plain)
+    return F.when(field != NULL_MARKER, F.array_join(runs, "\\"))
+
+
+def write_copy(df: DataFrame, path: str, columns: Sequence[str] | None = None,
+               mode: str = "overwrite", max_rows_per_file: int = 5_000_000) -> int:
+    """K4, splittable: one line per row in the COPY text format; returns the rows."""
+    df = df.select(*(columns or df.columns))
+    line = F.concat_ws("\t", *[copy_field(F.col(c)) for c in df.columns])
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    (df.select(line.alias("value")).observe(obs, F.count(F.lit(1)).alias("rows"))
+     .write.mode(mode).option("lineSep", "\n").option("maxRecordsPerFile", max_rows_per_file)
+     .text(path))
+    return int(obs.get.get("rows", 0))
+
+
+def read_copy(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """K4, the inverse of ``write_copy``: files split at any line.  A line with
+    another number of fields raises, as does a value that is not of its type."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    fields = F.split("value", "\t", -1)
+    wrong = F.concat(F.lit(f"a line has not {len(schema)} fields: "), F.substring("value", 1, 200))
+    # The check stands inside the first column, so that reading it cannot be pruned away.
+    checked = F.when(F.size(fields) == len(schema), fields).otherwise(
+        F.raise_error(wrong).cast("array<string>"))
+    split = lines.select(checked.alias("_sf"))
+    return split.select(*[copy_value(F.col("_sf")[i]).cast(f.dataType).alias(f.name)
+                          for i, f in enumerate(schema.fields)])
+
+
 def write_tsv(df: DataFrame, path: str, columns: Sequence[str] | None = None,
-              mode: str = "overwrite", check_markers: bool = True) -> int:
+              mode: str = "overwrite", check_markers: bool = True,
+              max_rows_per_file: int = 1_000_000) -> int:
     """K4: tab-separated, no header, ``\\N`` for null, quotes only where
     needed, a quote doubled inside quotes.  An empty string stays an empty
-    (quoted) string and reads back as such."""
+    (quoted) string and reads back as such.  Quoted texts may hold line breaks, so a
+    file is read by one task: ``max_rows_per_file`` bounds it."""
     if columns is not None:
         df = df.select(*columns)
     if check_markers:
@@ -172,7 +226,7 @@ def write_tsv(df: DataFrame, path: str, columns: Sequence[str] | None = None,
                              "as null")
     opts = {"sep": "\t", "nullValue": NULL_MARKER, "header": "false", "quote": '"',
             "escape": '"', "quoteAll": "false", "ignoreLeadingWhiteSpace": "false",
-            "ignoreTrailingWhiteSpace": "false"}
+            "ignoreTrailingWhiteSpace": "false", "maxRecordsPerFile": str(max_rows_per_file)}
     return _write_csv(df, path, mode, opts)
 
 
@@ -184,7 +238,8 @@ def _write_csv(df: DataFrame, path: str, mode: str, opts: dict[str, str]) -> int
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """K4 reader, the exact inverse of ``write_tsv``: quoted text may hold line
-    breaks, so a file is read by one task (the writer bounds its size)."""
+    breaks, so a file is read by one task (``write_tsv`` bounds its rows; for files
+    that split, see ``read_copy``)."""
     return (spark.read.schema(schema)
             .options(sep="\t", nullValue=NULL_MARKER, header="false", quote='"', escape='"',
                      multiLine="true", mode="FAILFAST")
