@@ -101,7 +101,8 @@ def latest_per_key(df: DataFrame, key_cols: Sequence[str], version_col: str) ->
 
 
 def upsert_type1(existing: DataFrame, incoming: DataFrame, natural_key: str,
-                 surrogate_key: str, version_col: str | None = None) -> DataFrame:
+                 surrogate_key: str, version_col: str | None = None,
+                 max_key: int | None = None) -> DataFrame:
     """Type-1 dimension upsert.
 
     One row per natural key; when the key is in ``incoming`` its latest row
@@ -109,7 +110,8 @@ def upsert_type1(existing: DataFrame, incoming: DataFrame, natural_key: str,
     Existing surrogate keys are kept; new keys are numbered on from the
     current maximum, in natural-key order.  Columns of the result are those of
     ``existing``; ``incoming`` must hold them all except the surrogate key
-    (plus, optionally, ``version_col``).
+    (plus, optionally, ``version_col``).  ``max_key``: the greatest key in use,
+    where ``existing`` is not the whole table.
     """
     value_cols = [c for c in existing.columns if c not in (natural_key, surrogate_key)]
     if version_col is not None:
@@ -131,7 +133,8 @@ def upsert_type1(existing: DataFrame, incoming: DataFrame, natural_key: str,
     # One join, read by both branches and by the key passes: written once as
     # parquet in the shared checkpoint folder.
     picked = materialize(picked, "upsert")
-    max_key = existing.agg(F.max(surrogate_key)).first()[0] or 0
+    if max_key is None:
+        max_key = existing.agg(F.max(surrogate_key)).first()[0] or 0
     kept = picked.filter(F.col(surrogate_key).isNotNull())
     fresh = assign_dense_key(picked.filter(F.col(surrogate_key).isNull()).drop(surrogate_key),
                              [natural_key], surrogate_key, start=max_key + 1)

@@ -512,3 +512,5 @@ FROM (SELECT * REPLACE (CASE WHEN id_trajet % 75 = 3 THEN -1 ELSE distance_km EN
   LEFT JOIN dim_gare ga ON t.id_gare_arrivee = ga.id_gare
 WHERE tr.train_key IS NULL OR gd.gare_key IS NULL OR ga.gare_key IS NULL OR t.no_date
   OR t.distance_km < 0 OR t.again""")
+ORACLE["u1_copy_on_write"] = ORACLE["u1_upsert"].replace(
+    "ON o.o_custkey = c.id_client)", "ON o.o_custkey = c.id_client WHERE c.id_client < 500)")

@@ -20,7 +20,9 @@ from ..operators.lookups import (FkCheck, Lookup, REASONS, fk_audit, orphans,
                                  rejected, resolve_keys, temporal_violations)
 from ..operators.profile import (batch_ranges, distinct_values, duplicate_keys, outside_domain,
                                  rule_counts, uniqueness)
+from ..sources.parts import create_parts, upsert_parts
 from ..sources.readers import CORRUPT, ingest_files, read_batches, with_batches
+from ..sources.versions import Run
 from ..sources.writers import read_copy, with_load_ts, write_copy
 from ..session import ensure_checkpoint_dir
 from ..streaming import incremental_load, load_report
@@ -436,20 +438,44 @@ def k7_insert_if_absent(spark, sf_dir):
     return insert_if_absent(existing, new, ["date_key"])
 
 
-def u1_upsert(spark, sf_dir):
-    """Type-1 upsert of the client dimension: the accounts with a non-negative
-    balance were loaded first; then every customer's latest order brings its
-    status (new customers are numbered on)."""
+def _status_changes(spark, sf_dir):
+    """The dimension of the accounts with a non-negative balance, and every customer
+    with the status of their orders."""
     s = _src(spark, sf_dir)
-    first = s["client"].filter(F.col("statut_compte") == "Actif")
-    existing = dims.dim_client(first)
+    existing = dims.dim_client(s["client"].filter(F.col("statut_compte") == "Actif"))
     o = _t(spark, sf_dir, "orders")
     latest = (s["client"].join(o.select(F.col("o_custkey").alias("id_client"),
                                         F.col("o_orderdate").alias("_mod"),
                                         F.col("o_orderstatus")), "id_client")
               .withColumn("statut_compte", F.col("o_orderstatus")).drop("o_orderstatus"))
-    incoming = dims.clean_client(latest).select(
+    return existing, dims.clean_client(latest).select(
         *[c for c in existing.columns if c != "client_key"], "_mod")
+
+
+UPSERT_BELOW = 500        # a fixed value: the customers of the partial upsert
+
+
+def u1_copy_on_write(spark, sf_dir):
+    """The same upsert for some customers, on a published dimension in parts: only the
+    parts they fall in are read and written."""
+    existing, incoming = _status_changes(spark, sf_dir)
+    target = _folder(spark, "parts")
+    run = Run(spark, target)
+    create_parts(run, existing, schemas.DIM_CLIENT, max(1, existing.count() // 8))
+    run.commit()
+    run = Run(spark, target)
+    upsert_parts(run, incoming.filter(F.col("id_client") < UPSERT_BELOW), schemas.DIM_CLIENT,
+                 "_mod")
+    run.commit()
+    return pipeline.read_table(spark, target, "dim_client").select(
+        "client_key", "id_client", "sexe", "ville", "statut_compte")
+
+
+def u1_upsert(spark, sf_dir):
+    """Type-1 upsert of the client dimension: the accounts with a non-negative
+    balance were loaded first; then every customer's latest order brings its
+    status (new customers are numbered on)."""
+    existing, incoming = _status_changes(spark, sf_dir)
     out = upsert_type1(existing, incoming, "id_client", "client_key", version_col="_mod")
     return out.select("client_key", "id_client", "sexe", "ville", "statut_compte")
 
@@ -531,6 +557,7 @@ QUERIES: dict[str, Query] = {
     "t3_dim_train": t3_dim_train,
     "k7_insert_if_absent": k7_insert_if_absent,
     "u1_upsert": u1_upsert,
+    "u1_copy_on_write": u1_copy_on_write,
     "e1_fact_trajet": e1_fact_trajet,
     "e1_fact_reservation": e1_fact_reservation,
     "e2_report": e2_report,

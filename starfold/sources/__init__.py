@@ -1,5 +1,6 @@
 """Sources and sinks: parquet / CSV / TSV / JDBC readers and writers."""
 
+from .parts import create_parts, upsert_parts
 from .readers import (batch_bounds, read_batches, jdbc_options, malformed, order_key, read_files, read_jdbc,
                       read_key_map, read_table, stage_files, with_batches, ingest_files)
 from .versions import (ConcurrentCommit, NoSuchTable, Run, Version, commit, current, read_version,
@@ -9,7 +10,7 @@ from .writers import (Layout, count_null_markers, path_exists, publish, read_cop
 
 __all__ = [
     "ConcurrentCommit", "Layout", "NoSuchTable", "Run", "Version", "commit", "current",
-    "batch_bounds", "read_batches", "read_copy", "write_copy", "read_version", "recover", "vacuum", "version_numbers",
+    "create_parts", "upsert_parts", "batch_bounds", "read_batches", "read_copy", "write_copy", "read_version", "recover", "vacuum", "version_numbers",
     "count_null_markers", "ingest_files", "jdbc_options", "malformed", "order_key", "path_exists", "publish",
     "read_files", "read_jdbc", "read_key_map", "read_table", "read_tsv", "stage_files",
     "swap_in",

@@ -19,7 +19,7 @@ def _formatted(df) -> str:
 
 # They load a warehouse or a stream and read a table back: a plain scan.
 READ_BACK = ("e1_fact_trajet", "e1_fact_reservation", "e2_report", "e3_incremental", "o1_period",
-             "k6_stream_report", "j8_quarantine")
+             "k6_stream_report", "j8_quarantine", "u1_copy_on_write")
 
 
 def test_no_python_evaluation_in_any_registered_query(spark):
