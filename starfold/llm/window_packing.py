@@ -11,15 +11,21 @@ padded.  Sequences are padded to ``size``; one of a power of two is left as it i
 
 Tokenisation splits a text at ASCII white space, which the tokenizer's
 normaliser drops, and encodes every distinct word once per worker; the ids of
-the whole text are those of its words in turn.
-
-Defined results: a null or empty text is one piece with the end id alone;
-repeated rows are packed like others; null ids travel; no rows give no rows.
-Sequence numbers are unique, not gapless; offsets in a sequence are gapless.
+the whole text are those of its words in turn.  Where the tokenizer's rules are the
+known ones (``SPLIT``), words are cut further, between ASCII letters, digits and
+marks, and ASCII capitals made small, as the tokenizer itself would do: far fewer
+distinct pieces are left to encode.  The pieces of a block are told apart by their
+hashes and bytes, and only distinct ones are looked up.
+
+Defined results: a null or empty text is one piece with the end id alone; very long
+texts are encoded block by block; repeated rows and ties are packed like others, in
+the order in which they come; null ids travel; no rows give no rows; extra columns are
+ignored.  Sequence numbers are unique, not gapless; offsets in a sequence are gapless.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -35,10 +41,62 @@ from ..session import materialize
 from . import ragged
 
 CACHE_WORDS = 1_000_000
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 2 << 20
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 SEQUENCE_BITS = 32
 
+# The rules of a tokenizer under which words can be cut.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTER, _DIGIT, _MARK = 1, 2, 3
+_CLASS = np.zeros(256, dtype=np.uint8)
+_CLASS[0x21:0x7F] = _MARK
+_CLASS[ord("0"):ord("9") + 1] = _DIGIT
+_CLASS[ord("A"):ord("Z") + 1] = _CLASS[ord("a"):ord("z") + 1] = _LETTER
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[ord("A"):ord("Z") + 1] += 32
+
+
+def cuts_words(path: str) -> bool:
+    """Whether the tokenizer lowers its text and splits it by ``SPLIT``, each part
+    encoded alone: then a border between ASCII letters, digits and marks (apostrophes
+    apart) is always one between parts."""
+    with open(path, encoding="utf-8") as f:
+        rules = json.load(f)
+    steps = (rules.get("normalizer") or {}).get("normalizers", [])
+    parts = (rules.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    kinds = [x["type"] for x in steps]
+    first = parts[0] if parts else {}
+    return (kinds == ["NFC", "Replace", "Lowercase"] and steps[1]["pattern"] == {"Regex": r"\s+"}
+            and first.get("type") == "Split" and first.get("pattern") == {"Regex": SPLIT}
+            and first.get("invert") is True and first.get("behavior") == "Removed"
+            and [x["type"] for x in parts[1:]] == ["ByteLevel"]
+            and not parts[1]["use_regex"] and not parts[1]["add_prefix_space"])
+
+
+def word_pieces(buf: np.ndarray, off: np.ndarray, cut: bool
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends) of the pieces that are encoded alone: words, cut further
+    and in small letters if ``cut``.  Words with an apostrophe stay whole, those that
+    may hold a special string (``<``) as they are."""
+    s, e = ragged.words(buf, off)
+    if not cut or not len(s):
+        return buf, s, e
+    kind = _CLASS[buf]
+    border = np.flatnonzero((kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)) + 1
+
+    def words_with(*chars: str) -> np.ndarray:
+        at = np.flatnonzero(np.isin(buf, [ord(c) for c in chars]))
+        hit = np.zeros(len(s), dtype=bool)
+        hit[np.searchsorted(s, at, side="right") - 1] = True
+        return hit
+    whole = words_with("'", "<")
+    border = border[~whole[np.searchsorted(s, border, side="right") - 1]]
+    # A border of two classes lies inside a word, so it ends one piece and starts one.
+    small = _SMALL[buf]
+    for w in np.flatnonzero(words_with("<")).tolist():
+        small[s[w]:e[w]] = buf[s[w]:e[w]]
+    return small, np.sort(np.append(s, border)), np.sort(np.append(e, border))
+
 
 class _Numbered(dict):
     """Numbers its keys in the order in which they are first asked for."""
@@ -67,6 +125,8 @@ class WordEncoder:
         plain = [(i, t.content) for i, t in sorted(self.tok.get_added_tokens_decoder().items())
                  if not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
         self.between = plain[0] if plain else None
+        self.cut = cuts_words(path)
+        self.model = self.tok.model
         self.clear()
 
     def clear(self) -> None:
@@ -77,6 +137,11 @@ class WordEncoder:
 
     def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The words' ids, one after another, and how many each has."""
+        if self.cut and all(w.isascii() and w.isalpha() for w in words):
+            # Small ASCII letters alone: normaliser and splitter leave them as they are.
+            lists = [[t.id for t in self.model.tokenize(w)] for w in words]
+            return (np.fromiter(chain.from_iterable(lists), dtype=np.uint32),
+                    np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)))
         if self.between is None or any("<" in w for w in words):
             lists = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
             return (np.array([i for x in lists for i in x], dtype=np.uint32),
@@ -91,12 +156,14 @@ class WordEncoder:
     def _learn(self) -> None:
         new, self.cache.new = self.cache.new, []
         words = [w.decode() for w in new]
-        # Words that may hold a special string are encoded one by one.
-        odd = np.array(["<" in w for w in words], dtype=bool)
-        order = np.argsort(odd, kind="stable")
-        n_plain = int((~odd).sum())
-        groups = [order[i:min(i + 4096, n_plain)] for i in range(0, n_plain, 4096)]
-        groups += [order[n_plain:]] if odd.any() else []
+        # Letters alone go to the model; words that may hold a special string are encoded
+        # one by one, all others joined.
+        kind = np.array([0 if w.isascii() and w.isalpha() else 2 if "<" in w else 1
+                         for w in words])
+        groups = []
+        for k in range(3):
+            some = np.flatnonzero(kind == k)
+            groups += [some[i:i + 4096] for i in range(0, len(some), 4096)]
         while self.known + len(new) > len(self.start) // 2:
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
         for g in groups:
@@ -110,40 +177,46 @@ class WordEncoder:
             self.used += len(ids)
         self.known += len(new)
 
-    def encode_many(self, texts: list[bytes]) -> list[np.ndarray]:
+    def encode_block(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some texts, one after another, and where each text's end."""
         if len(self.cache) > CACHE_WORDS:
             self.clear()
-        parts = [t.split() for t in texts]
-        count = np.array([len(p) for p in parts], dtype=np.int64)
-        at = np.fromiter(map(self.cache.__getitem__, chain.from_iterable(parts)), dtype=np.int64,
-                         count=int(count.sum()))
+        text, s, e = word_pieces(buf, off, self.cut)
+        first, code = ragged.factorize(text, s, e)
+        raw = text.tobytes()
+        known = np.fromiter((self.cache[raw[a:b]] for a, b in
+                             zip(s[first].tolist(), e[first].tolist())),
+                            dtype=np.int64, count=len(first))
         if self.cache.new:
             self._learn()
-        n = self.start[2 * at + 1]
-        ids = ragged.gather(self.ids, self.start[2 * at], n)
-        ends = np.append(0, np.cumsum(n))[np.cumsum(count)]
-        return np.split(ids, ends[:-1]) if len(texts) else []
+        n = self.start[2 * known + 1][code]
+        ids = ragged.gather(self.ids, self.start[2 * known][code], n)
+        return ids, np.append(0, np.cumsum(n))[np.searchsorted(s, off[1:])]
 
     def encode(self, text: bytes) -> np.ndarray:
         """The whole text's ids, block by block: cuts are at ASCII white space."""
         out, at = [], 0
-        while len(text) - at > BLOCK_BYTES:
-            cut = _SPACE.search(text, at + BLOCK_BYTES)
-            if cut is None:
-                break
-            out += self.encode_many([text[at:cut.start()]])
-            at = cut.end()
-        return np.concatenate(out + self.encode_many([text[at:]]))
-
-    def encode_batch(self, buf: np.ndarray, off: np.ndarray):
-        """The ids of each text of a batch, worked on in pieces."""
+        while at < len(text):
+            cut = _SPACE.search(text, at + BLOCK_BYTES) if len(text) - at > BLOCK_BYTES else None
+            end = cut.start() if cut else len(text)
+            buf = np.frombuffer(text, dtype=np.uint8, count=end - at, offset=at)
+            out.append(self.encode_block(buf, np.array([0, end - at]))[0])
+            at = end
+        return np.concatenate(out) if out else np.zeros(0, np.uint32)
+
+    def encode_batch(self, buf: np.ndarray, off: np.ndarray, end_id: int):
+        """The ids of each text of a batch with the end id, worked on in pieces."""
+        last = np.uint32(end_id)
         for i, j in ragged.pieces(off, BLOCK_BYTES):
-            raw = buf[off[i]:off[j]].tobytes()
+            own = buf[off[i]:off[j]]
             if j == i + 1:
-                yield self.encode(raw)
-            else:
-                o = (off[i:j + 1] - off[i]).tolist()
-                yield from self.encode_many([raw[a:b] for a, b in zip(o, o[1:])])
+                yield np.append(self.encode(own.tobytes()), last)
+                continue
+            ids, ends = self.encode_block(own, off[i:j + 1] - off[i])
+            ids = np.insert(ids, ends, last)
+            ends = (ends + np.arange(1, len(ends) + 1)).tolist()
+            for a, b in zip([0] + ends, ends):
+                yield ids[a:b]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -240,8 +313,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             task = b.column(2)[0].as_py()
             buf, off = ragged.text_buffer(b.column(1))
             ids = b.column(0).to_pylist()
-            for row, own in zip(ids, encoder.encode_batch(buf, off)):
-                own = np.append(own, np.uint32(end_id))
+            for row, own in zip(ids, encoder.encode_batch(buf, off, end_id)):
                 windows.add(row, 0, own, len(own))
                 if len(windows.full) >= 64:
                     full = windows.take_full()
