@@ -48,9 +48,13 @@ from .store import stored
 MIN_FREQUENT = 4
 MAX_FREQUENT = 1 << 20
 ROWS_PER_BUCKET = 200_000
+COUNT_BLOCK = 1 << 21
+KEYS_PER_BUCKET = 1 << 21
 PAIR_BLOCK = 1 << 17
 HOT_POWER = 10
 BLOCK = 1024
+SMALL_LIST = 64
+LEADERS = 64
 # The kind of an entry, and the bit that marks one of a list that may be long.
 SUBSET, LIST, HOT = 0, 1, 2
 BITMAP = [f"bits{k}" for k in range(8)]
@@ -289,6 +293,35 @@ def _cells(table: pa.Table, num: int, den: int, boundary: int, held: list[np.nda
         i = j
 
 
+def _likest(batch, num: int, den: int, boundary: int) -> pa.Table:
+    """For each set the leader of its list (column ``lead``) that may be linked with
+    it, is of another component, and differs in the fewest bits for their sizes."""
+    one = {c: batch.column(c).to_numpy(zero_copy_only=False)
+           for c in ("kind", "sid", "n", "pos", "label", *BITMAP)}
+    lists = batch.column("lead")
+    length = np.diff(lists.offsets.to_numpy())
+    flat = lists.flatten()
+    two = {c: flat.field(c).to_numpy(zero_copy_only=False)
+           for c in ("sid", "n", "pos", "label", *BITMAP)}
+    row = np.repeat(np.arange(batch.num_rows), length)
+    n, m = one["n"][row].astype(np.int64), two["n"].astype(np.int64)
+    p, q = one["pos"][row].astype(np.int64), two["pos"].astype(np.int64)
+    differ = np.zeros(len(row), np.int64)
+    for c in BITMAP:
+        differ += np.bitwise_count(one[c][row] ^ two[c])
+    common = -(-num * (n + m) // (num + den))
+    ok = (one["label"][row] != two["label"]) & (np.minimum(n, m) * den >= np.maximum(n, m) * num)
+    ok &= ((one["kind"][row] & ~np.int8(HOT)) == SUBSET) | (np.maximum(n, m) > boundary)
+    ok &= np.minimum(p, q) + np.minimum(n - p, m - q) >= common
+    ok &= differ <= n + m - 2 * common
+    at = np.flatnonzero(ok)
+    at = at[np.lexsort((two["sid"][at], differ[at] / (n + m)[at], row[at]))]
+    first, _ = _runs(row[at])
+    at = at[first]
+    a, b = one["sid"][row[at]], two["sid"][at]
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
 def _bucket(buckets: int):
     """A short list goes to one bucket, one that may be long to all of them."""
     key = F.when(F.col("kind") < HOT, F.col("key")).otherwise(F.xxhash64("key", "sid"))
@@ -340,15 +373,56 @@ class Join:
                 return got.drop("check")
             seed += 1
 
-    def order(self) -> tuple[Order, float]:
-        """The frequent shingles and the mean number of others in a list."""
-
-        def count(h, n, b, i, j):
-            u, c = np.unique(h, return_counts=True)
-            return pa.table({"key": pa.array(u.view(np.int64)), "c": pa.array(c.astype(np.int32))})
-        counts = (self._map(self.docs.select("text"), count, "key long, c int")
-                  .groupBy("key").agg(F.sum("c").alias("c")).filter("c > 1"))
-        counts = stored(counts, "counts")
+    def order(self, shingles: int) -> tuple[Order, float]:
+        """The frequent shingles and the mean number of others in a list.
+
+        All shingles of all texts are counted: a task adds up ``COUNT_BLOCK`` of them
+        at a time, so a shingle in every text is one entry a block, and deals ranges
+        of them, as arrays, to buckets of about ``KEYS_PER_BUCKET``."""
+        width, buckets = self.width, max(16, shingles // KEYS_PER_BUCKET)
+        shift = np.uint64(64 - (buckets - 1).bit_length())
+
+        def block(held):
+            """The distinct shingles of some pieces with their counts, one row per
+            bucket: keys ascend, so a bucket is a range of them."""
+            key, c = np.unique(np.concatenate(held), return_counts=True)
+            at, length = _runs(key >> shift)
+            ends = at + length
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((key[at] >> shift).astype(np.int64)),
+                 pa.array([key[a:e].tobytes() for a, e in zip(at, ends)], pa.binary()),
+                 pa.array([c[a:e].astype(np.uint32).tobytes() for a, e in zip(at, ends)],
+                          pa.binary())], ["bucket", "keys", "counts"])
+
+        def count(batches):
+            held, size = [], 0
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                buf, off = ragged.text_buffer(b.column(0))
+                for i, j in ragged.pieces(off):
+                    h, _ = shingle_sets(buf[off[i]:off[j]], off[i:j + 1] - off[i], width)
+                    held.append(h)
+                    size += len(h)
+                    if size >= COUNT_BLOCK:
+                        yield from block(held)
+                        held, size = [], 0
+            if size:
+                yield from block(held)
+
+        def add_up(table):
+            key = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["keys"]])
+            c = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table["counts"]])
+            order = np.argsort(key, kind="stable")
+            key, c = key[order], c[order].astype(np.int64)
+            at, _ = _runs(key)
+            key, c = key[at], np.add.reduceat(c, at)
+            more = c > 1
+            return pa.table({"key": key[more].view(np.int64), "c": c[more]})
+        blocks = ragged.map_batches(self.docs.select("text"), count,
+                                    "bucket long, keys binary, counts binary")
+        counts = stored(ragged.map_groups(blocks.groupBy("bucket"), self.spark, add_up,
+                                          "key long, c long"), "counts")
         hist = {int(r[0]): (int(r[1]), int(r[2])) for r in counts.groupBy(
             F.floor(F.log2("c")).alias("b")).agg(
                 F.count(F.lit(1)), F.sum(F.col("c") * (F.col("c") - 1))).collect()}
@@ -391,6 +465,62 @@ class Join:
             "lead_n", F.col("_lead.n")).drop("_lead")
         return lists.filter(F.col("kind") < HOT).unionByName(hot)
 
+    def merged(self, lists: DataFrame, links: DataFrame, sets: DataFrame, boundary: int
+               ) -> tuple[DataFrame, DataFrame]:
+        """(links, labels) after more leaders.  One leader leaves apart what is like
+        each other but not like it.  While the lists of more than ``SMALL_LIST`` sets
+        still hold many pairs of different components, each set of theirs goes to one
+        of its lists, drawn by hash, and is verified against the likest, by the bitmaps,
+        of up to ``LEADERS`` other sets drawn there: as many comparisons as there are
+        sets.  It ends when the pairs are in proportion to the lists, or a round no
+        longer takes away a tenth of them; what is left is paired exactly afterwards."""
+        label, before, turn = components(links), None, 0
+        long_ = lists.groupBy("kind", "key").count().filter(F.col("count") > SMALL_LIST)
+        rows = stored(lists.join(long_.select("kind", "key"), ["kind", "key"])
+                      .select(*_ENTRIES_COLUMNS), "long-lists")
+        bits = stored(sets.join(rows.select("sid").distinct(), "sid", "left_semi")
+                      .groupBy("sid").agg(*[F.min(c).alias(c) for c in BITMAP]), "bitmaps")
+        num, den = self.num, self.den
+
+        def likest(batches):
+            for b in batches:
+                if b.num_rows:
+                    yield from _likest(b, num, den, boundary).to_batches()
+        while True:
+            known = rows.join(label, rows["sid"] == label["node"], "left").select(
+                *_ENTRIES_COLUMNS, F.coalesce("label", "sid").alias("label"))
+            size = known.groupBy("kind", "key", "label").agg(
+                F.count(F.lit(1)).alias("c")).groupBy("kind", "key").agg(
+                F.sum("c").alias("t"), F.sum(F.col("c") * F.col("c")).alias("s"))
+            open_ = stored(size.filter(F.col("s") < F.col("t") * F.col("t")), "open-lists")
+            held, pairs = open_.agg(F.sum("t"), F.sum((F.col("t") * F.col("t") - F.col("s")) / 2)
+                                    ).first()
+            if held is None or pairs <= SMALL_LIST * held or (
+                    before is not None and pairs > 0.9 * before):
+                return links, label
+            before, turn = pairs, turn + 1
+            drawn = F.xxhash64("sid", "key", F.lit(turn))
+            known = stored(known.join(open_.select("kind", "key"), ["kind", "key"])
+                           .withColumn("drawn", drawn), "open-sets")
+            member = F.struct("drawn", "kind", "key", "sid", "n", "pos", "label")
+            one = known.groupBy("sid").agg(F.min(member).alias("m")).select("m.*")
+            slot = F.pmod(F.xxhash64("sid", F.lit(turn)), F.lit(LEADERS))
+            lead = (known.groupBy("kind", "key", slot.alias("slot"))
+                    .agg(F.min(F.struct("drawn", "sid", "n", "pos", "label")).alias("m"))
+                    .select("kind", "key", "m.*").join(bits, "sid")
+                    # One leader a slot, so a list has LEADERS of them at most.
+                    .groupBy("kind", "key").agg(F.collect_list(F.struct(
+                        "sid", "n", "pos", "label", *BITMAP)).alias("lead")))
+            lead = stored(lead, "leaders")
+            met = stored(one.join(bits, "sid"), "met").join(lead, ["kind", "key"])
+            near = ragged.map_batches(met.select("kind", "sid", "n", "pos", "label", *BITMAP,
+                                                 "lead"), likest, "a long, b long")
+            more = self.verified(stored(near.distinct(), "leader-pairs"), sets)
+            if more.isEmpty():
+                return links, label
+            links = links.unionByName(more)
+            label = components(links)
+
     def cells(self, lists: DataFrame, label: DataFrame, sets: DataFrame, shingles: int
               ) -> DataFrame:
         """The sets of lists with different components, cell by cell: a short
@@ -478,15 +608,14 @@ class Join:
         num, den = self.num, self.den
         sets = self.sets()
         shingles = sets.agg(F.sum("n")).first()[0] or 0
-        order, rare = self.order()
+        order, rare = self.order(shingles)
         boundary = self.boundary(shingles, rare)
         lists = self.lists(order, boundary, shingles)
         fits = ((F.least("n", "lead_n") * den >= F.greatest("n", "lead_n") * num)
                 & (F.col("sid") != F.col("lead")))
         stars = stored(lists.filter(fits).select(F.col("lead").alias("a"), F.col("sid").alias("b"))
                        .distinct(), "stars")
-        links = self.verified(stars, sets)
-        label = components(links)
+        links, label = self.merged(lists, self.verified(stars, sets), sets, boundary)
 
         def apart(batches):
             return _apart(batches, num, den, boundary)

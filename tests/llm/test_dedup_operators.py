@@ -97,11 +97,17 @@ def run_components(df):
                   for r in jaccard_join.jaccard_components(df).collect())
 
 
-def test_every_frequent_shingle_is_counted(spark):
+def test_every_frequent_shingle_is_counted(spark, monkeypatch):
     docs = odd.documents(spark)
-    order, _ = jaccard_join.Join(docs, "doc_id", "text", 5, 80, 100).order()
     count = Counter(x for r in docs.collect() for x in shingles(r.text))
-    assert len(order.frequent) == sum(c >= jaccard_join.MIN_FREQUENT for c in count.values()) > 0
+    for block in (1 << 21, 100):
+        monkeypatch.setattr(jaccard_join, "COUNT_BLOCK", block)
+        order, rare = jaccard_join.Join(docs, "doc_id", "text", 5, 80, 100).order(sum(count.values()))
+        assert len(order.frequent) == sum(c >= jaccard_join.MIN_FREQUENT
+                                          for c in count.values()) > 0
+        assert rare == sum(c * (c - 1) for c in count.values() if c < jaccard_join.MIN_FREQUENT)
+    empty = odd.nothing(spark)
+    assert not len(jaccard_join.Join(empty, "doc_id", "text", 5, 80, 100).order(0)[0].frequent)
 
 
 def test_long_lists_in_cells_give_the_same_components(spark, monkeypatch):
@@ -129,6 +135,40 @@ def test_long_lists_in_cells_give_the_same_components(spark, monkeypatch):
     assert run_components(docs) == want and largest[0] < 40
 
 
+def _template(n, seed=4):
+    """Texts of one template with own words in one block: similarity on both sides
+    of 0.8, one list for all."""
+    rnd = random.Random(seed)
+    passage = [f"p{i}" for i in range(120)]
+    rows = []
+    for i in range(n):
+        own, at = rnd.choice([4, 6, 8, 9, 10, 12]), rnd.randint(0, 100)
+        w = passage[:at] + [f"w{rnd.randint(0, 10 ** 6)}" for _ in range(own)] + passage[at + own:]
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def test_more_leaders_give_the_same_components(spark, monkeypatch):
+    rows = _template(100)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_components(rows)
+    rounds = []
+    monkeypatch.setattr(jaccard_join, "SMALL_LIST", 2)
+    monkeypatch.setattr(jaccard_join, "LEADERS", 8)
+    monkeypatch.setattr(jaccard_join.Join, "verified", _noted(rounds, VERIFIED))
+    assert run_components(docs) == want and len(rounds) > 2
+
+
+def _noted(rounds, plain):
+    def verified(self, pairs, sets):
+        rounds.append(pairs.count())
+        return plain(self, pairs, sets)
+    return verified
+
+
+VERIFIED = jaccard_join.Join.verified
+
+
 def test_bitmaps_and_classes_never_part_what_links():
     rnd = np.random.default_rng(1)
     for n in (3, 40, 700):
