@@ -1,25 +1,34 @@
 """LM scoring by masked pseudo-likelihood (operator 6).
 
 A small network predicts every token from the ``reach`` tokens on both sides:
-the neighbours' vectors, scaled per place, are summed and squashed, and the
-outcome is compared with the target's output vector.  A document's score is the
-sum over its tokens of log p(token | neighbours).
-
-Training covers every document.  Word counts of the whole corpus give the
-noise distribution; then, in each round, every task starts from the common
-weights, trains on its own documents of that round by noise-contrastive
-estimation with per-row step sizes, and sends its weights; they are averaged,
-weighed by tokens, in a tree of ``fan_in``.  What is gathered grows with the
-number of tasks, and no merge sees more than ``fan_in`` parts of one slice.  The
-model itself has a fixed size (``buckets`` words, hashed).
-
-p is normalised over noise draws: with noise q, p(w | h) is
-q(w) exp(s(w, h)) / Z(h), and Z is the mean of exp(s) over ``draws`` fixed draws
-from q.
+the neighbours' vectors, scaled per place, are summed and squashed, and this
+hidden vector gives an exact probability for every word of the corpus, in levels:
+
+    p(word | neighbours) = p(group | hidden) * p(outcome | group, hidden) * share
+
+The ``own_words`` most frequent words are outcomes of their own (share 1).  All
+other words belong to one of ``SHAPES`` outcomes, named by their length and by
+the kind of their bytes, and a word's share of its outcome is its exact count in
+the whole corpus over the outcome's.  A word that the corpus lacks counts once:
+each outcome of a shape keeps one place for it.  Both softmaxes are summed in
+full, so p sums to 1 over the corpus's words and these places.  A document's
+score is the sum over its tokens of log p.
+
+What is gathered grows with the input: every word of the corpus (by a 64-bit hash)
+is counted in a table that stays in Spark.  The words above a count that leaves
+at most ``near_words`` of them travel to the tasks; the tokens of all others are
+joined with the table.  Which words travel changes no score.
+
+Training covers every document once.  In each round every task starts from the
+common weights, trains on its own documents of that round with step sizes per
+row, and sends its weights; they are averaged, weighed by tokens, in a tree of
+``fan_in``.  The weights begin at the unigram distribution.
 
 Defined results: a null or empty text has 0 tokens, log-likelihood 0 and no
 mean; a single word is predicted from the edge alone; repeated rows train and
-score like others; without any token the weights stay as they began.
+score like others; very long texts are scored whole, a piece of work being one
+text at least; without any token the weights stay as they began; columns of the
+input named like computed ones give way to them.
 """
 
 from __future__ import annotations
@@ -28,40 +37,158 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
 from . import ragged
 
-EDGE = 0
+LENGTHS = 16
+SHAPES = 4 * LENGTHS            # kinds of words by lengths
+ABSENT = np.float32(-1e4)       # the bias of a place without an outcome: p = 0
+FIXED = 1 << 20                 # logs of counts are added as whole multiples of 1 / FIXED
+
+_DIGIT = np.zeros(256, dtype=bool)
+_DIGIT[ord("0"):ord("9") + 1] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = True
+
+
+def tokens(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, shape, text) of every word.  A shape is the word's kind (letters
+    only; beyond ASCII; with marks; with digits) and its length in bytes, cut
+    at ``LENGTHS``."""
+    s, e = ragged.words(buf, off)
+    length = np.minimum(e - s, LENGTHS) - 1
+    kind = np.zeros(len(s), dtype=np.int64)
+    for k, has in ((1, buf >= 0x80), (2, _MARK[buf]), (3, _DIGIT[buf])):
+        total = np.zeros(len(buf) + 1, dtype=np.int32)
+        np.cumsum(has, out=total[1:])
+        kind[total[e] > total[s]] = k
+    return ragged.span_hash(buf, s, e), kind * LENGTHS + length, ragged.doc_of(off, s)
+
+
+@dataclass
+class Vocabulary:
+    """The words that travel, by ascending hash: outcome and log of their count
+    (0 for outcomes of their own).  Outcomes: own words by falling count, then
+    shapes; ``log_total`` is the log of a shape's count with its absent word."""
+
+    hashes: np.ndarray
+    outcome: np.ndarray
+    log_count: np.ndarray
+    own: int
+    log_total: np.ndarray
+    first: np.ndarray                   # tokens per outcome
+
+    def find(self, h: np.ndarray, shape: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(outcome, log count, known) of each token."""
+        if not len(self.hashes):
+            return self.own + shape, np.zeros(len(h)), np.zeros(len(h), dtype=bool)
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        known = self.hashes[at] == h
+        return (np.where(known, self.outcome[at], self.own + shape),
+                np.where(known, self.log_count[at], 0.0), known)
+
+    def shares(self, outcome: np.ndarray) -> np.ndarray:
+        """The log of what a word's count is divided by: 0 for own words."""
+        out = np.zeros(len(outcome))
+        rare = outcome >= self.own
+        out[rare] = self.log_total[outcome[rare] - self.own]
+        return out
+
+
+def fixed_log(n: Column) -> Column:
+    return F.round(F.log(n.cast("double")) * F.lit(float(FIXED))).cast("long")
+
+
+def count_words(docs: DataFrame, text_col: str) -> DataFrame:
+    """Every word of the corpus once: word (hash), shape, n.  Counted per batch,
+    combined before the shuffle, stored; nothing of it is cut off."""
+    def run(batches):
+        for b in batches:
+            buf, off = ragged.text_buffer(b.column(0))
+            for i, j in ragged.pieces(off, 4 * ragged.PIECE_BYTES):
+                h, shape, _ = tokens(buf[off[i]:off[j]], off[i:j + 1] - off[i])
+                word, at, n = np.unique(h, return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(word.view(np.int64)), pa.array(shape[at].astype(np.int32)),
+                     pa.array(n.astype(np.int64))], ["word", "shape", "n"])
+    counted = ragged.map_batches(docs.select(docs[text_col].alias("text")), run,
+                                 "word long, shape int, n long")
+    return materialize(counted.groupBy("word").agg(F.min("shape").alias("shape"),
+                                                   F.sum("n").alias("n")), "words")
+
+
+def vocabulary(counts: DataFrame, own_words: int, near_words: int) -> Vocabulary:
+    """The driver sees a histogram of the counts' eighth powers of two, at most
+    ``near_words`` words and one number per shape."""
+    level = F.floor(F.log2(F.col("n").cast("double")) * 8)
+    bins = sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True)
+    least, total = None, 0
+    for b, n in bins:
+        total += n
+        if total > near_words:
+            break
+        least = b
+    near = (counts.filter(level >= least) if least is not None else counts.limit(0)).toArrow()
+    h = near.column("word").to_numpy().view(np.uint64)
+    shape, n = near.column("shape").to_numpy(), near.column("n").to_numpy()
+    by_count = np.lexsort((h, -n))
+    own = by_count[:own_words]
+    outcome = len(own) + shape.astype(np.int64)
+    outcome[own] = np.arange(len(own))
+    log_count = np.round(np.log(n.astype(np.float64)) * FIXED)
+    log_count[own] = 0
+    rare = np.zeros(SHAPES)
+    for s, c in counts.groupBy("shape").agg(F.sum("n")).collect():
+        rare[s] = c
+    np.subtract.at(rare, shape[own], n[own])
+    order = np.argsort(h)
+    return Vocabulary(h[order], outcome[order], log_count[order], len(own),
+                      np.log(rare + 1), np.concatenate([n[own], rare + 1]))
 
 
 @dataclass
 class Net:
-    """Weights: context vectors, output vectors, output bias, place scales."""
+    """Context vectors (the last is the edge of a text), place scales, and the
+    two levels of output vectors and biases: groups of ``size`` outcomes."""
 
     context: np.ndarray
-    output: np.ndarray
-    bias: np.ndarray
     place: np.ndarray
+    group: np.ndarray
+    group_bias: np.ndarray
+    member: np.ndarray                  # groups x size x width
+    member_bias: np.ndarray             # groups x size
 
     @classmethod
-    def fresh(cls, buckets: int, width: int, reach: int, seed: int) -> Net:
-        rng = np.random.default_rng(seed)
-        return cls(rng.normal(0, 0.3, (buckets, width)).astype(np.float32),
-                   rng.normal(0, 0.05, (buckets, width)).astype(np.float32),
-                   np.zeros(buckets, np.float32),
-                   np.ones((2 * reach, width), np.float32))
+    def fresh(cls, first: np.ndarray, width: int, reach: int, seed: int) -> Net:
+        """Weights that give every outcome its share of ``first``."""
+        rng, n = np.random.default_rng(seed), len(first)
+        size = int(np.ceil(np.sqrt(n)))
+        groups = -(-n // size)
+        share = np.zeros(groups * size)
+        share[:n] = first / first.sum()
+        share = share.reshape(groups, size)
+        bias = np.where(share > 0, np.log(np.maximum(share, 1e-300)), ABSENT)
+        return cls(rng.normal(0, 0.3, (n + 1, width)).astype(np.float32),
+                   np.ones((2 * reach, width), np.float32),
+                   rng.normal(0, 0.01, (groups, width)).astype(np.float32),
+                   np.log(share.sum(axis=1)).astype(np.float32),
+                   rng.normal(0, 0.01, (groups, size, width)).astype(np.float32),
+                   bias.astype(np.float32))
+
+    def parts(self) -> list[np.ndarray]:
+        return [self.context, self.place, self.group, self.group_bias, self.member,
+                self.member_bias]
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.context, self.output, self.bias,
-                                                   self.place)])
+        return np.concatenate([x.ravel() for x in self.parts()])
 
     def filled(self, flat: np.ndarray) -> Net:
         out, at = [], 0
-        for x in (self.context, self.output, self.bias, self.place):
+        for x in self.parts():
             out.append(flat[at:at + x.size].reshape(x.shape).astype(np.float32))
             at += x.size
         return Net(*out)
@@ -71,114 +198,105 @@ class Net:
         return vectors, np.tanh(np.einsum("njk,jk->nk", vectors, self.place))
 
 
-def token_ids(buf: np.ndarray, off: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed word ids (1 ..) of all texts and the text of each."""
-    s, e = ragged.words(buf, off)
-    ids = (ragged.span_hash(buf, s, e) % np.uint64(buckets - 1)).astype(np.int64) + 1
-    return ids, ragged.doc_of(off, s)
+def log_softmax(x: np.ndarray) -> np.ndarray:
+    x = x - x.max(axis=1, keepdims=True)
+    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+
+
+def runs(sorted_values: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, start, end) of the runs of equal values."""
+    at = np.flatnonzero(np.append(True, sorted_values[1:] != sorted_values[:-1]))
+    ends = np.append(at[1:], len(sorted_values))
+    return list(zip(sorted_values[at].tolist(), at.tolist(), ends.tolist()))
 
 
-def neighbours(ids: np.ndarray, doc: np.ndarray, reach: int) -> np.ndarray:
-    """The ids at -reach .. -1, 1 .. reach of each token; EDGE outside its text."""
+def neighbours(ids: np.ndarray, doc: np.ndarray, reach: int, edge: int) -> np.ndarray:
+    """The ids at -reach .. -1, 1 .. reach of each token; ``edge`` outside its text."""
     n = len(ids)
-    out = np.full((n, 2 * reach), EDGE, dtype=np.int64)
+    out = np.full((n, 2 * reach), edge, dtype=np.int32)
     for c, d in enumerate([*range(-reach, 0), *range(1, reach + 1)]):
         a, b = max(0, -d), n - max(0, d)
         if a < b:
             same = doc[a:b] == doc[a + d:b + d]
-            out[a:b, c] = np.where(same, ids[a + d:b + d], EDGE)
+            out[a:b, c] = np.where(same, ids[a + d:b + d], edge)
     return out
 
 
-def _step(rows: np.ndarray, grad: np.ndarray, weights: np.ndarray, squares: np.ndarray,
-          rate: float) -> None:
-    """Add the summed gradients of equal rows, with a step size per row."""
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
-    first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    total = np.add.reduceat(grad[order], first, axis=0)
-    at = rows[first]
-    now = squares[at] + (np.einsum("ij,ij->i", total, total) / np.float32(total.shape[1])
-                         if total.ndim > 1 else total ** 2)
-    squares[at] = now
-    scale = np.float32(rate) / np.sqrt(now + np.float32(1))
-    weights[at] += total * (scale[:, None] if total.ndim > 1 else scale)
+def log_outcome(net: Net, ids: np.ndarray, around: np.ndarray, batch: int = 16384) -> np.ndarray:
+    """log p(outcome | neighbours) of each token, normalised over all outcomes."""
+    got, size = np.zeros(len(ids)), net.member.shape[1]
+    for a in range(0, len(ids), batch):
+        t = ids[a:a + batch]
+        order = np.argsort(t // size, kind="stable")
+        t = t[order]
+        _, h = net.hidden(around[a:a + batch][order])
+        g, m = t // size, t % size
+        out = log_softmax(h @ net.group.T + net.group_bias)[np.arange(len(t)), g]
+        for c, i, j in runs(g):
+            part = log_softmax(h[i:j] @ net.member[c].T + net.member_bias[c])
+            out[i:j] += part[np.arange(j - i), m[i:j]]
+        got[a + order] = out
+    return got
 
 
 class Trainer:
-    def __init__(self, net: Net, noise: np.ndarray, seed: int, rate: float = 0.05,
-                 batch: int = 8192, draws: int = 64):
-        self.net, self.rate, self.batch, self.draws = net, rate, batch, draws
-        self.rng = np.random.default_rng(seed)
-        self.cumulative = np.cumsum(noise)
-        self.squares = [np.zeros(len(net.bias), np.float32) for _ in range(3)]
+    """Gradient ascent of the log-likelihood with a step size per row."""
+
+    def __init__(self, net: Net, rate: float = 0.05, batch: int = 8192):
+        self.net, self.rate, self.batch = net, np.float32(rate), batch
+        self.squares = [np.zeros(x.shape[:1] if x.ndim < 3 else x.shape[:2], np.float32)
+                        for x in (net.context, net.group, net.member)]
+        self.bias_squares = [np.zeros_like(x) for x in (net.group_bias, net.member_bias)]
+
+    def _step(self, weights: np.ndarray, grad: np.ndarray, squares: np.ndarray) -> None:
+        squares += (grad * grad).mean(axis=-1) if grad.ndim > squares.ndim else grad * grad
+        scale = self.rate / np.sqrt(squares + np.float32(1))
+        weights += grad * (scale[..., None] if grad.ndim > squares.ndim else scale)
 
     def train(self, ids: np.ndarray, around: np.ndarray) -> None:
-        net, log_k = self.net, np.float32(np.log(self.draws))
+        net, size = self.net, self.net.member.shape[1]
         for a in range(0, len(ids), self.batch):
-            target, ctx = ids[a:a + self.batch], around[a:a + self.batch]
-            draw = np.minimum(np.searchsorted(self.cumulative, self.rng.random(self.draws)),
-                              len(net.bias) - 1)
+            t = ids[a:a + self.batch]
+            order = np.argsort(t // size, kind="stable")
+            t, ctx = t[order], around[a:a + self.batch][order]
+            g, m = t // size, t % size
             vectors, h = net.hidden(ctx)
-            own = net.output[target]
-            good = 1 / (1 + np.exp(-np.clip(np.einsum("nk,nk->n", h, own) + net.bias[target]
-                                            - log_k, -30, 30)))
-            bad = 1 / (1 + np.exp(-np.clip(h @ net.output[draw].T + net.bias[draw] - log_k,
-                                           -30, 30)))
-            up, down = (1 - good)[:, None].astype(np.float32), bad.astype(np.float32)
-            pull = (up * own - down @ net.output[draw]) * (1 - h * h)
-            words = np.concatenate([target, draw])
-            out_grad = np.concatenate([up * h, -(down.T @ h)])
-            bias_grad = np.concatenate([up[:, 0], -down.sum(axis=0)])
-            ctx_grad = (pull[:, None, :] * net.place).reshape(-1, h.shape[1])
-            place_grad = np.einsum("nk,njk->jk", pull, vectors) / np.float32(len(target))
-            _step(words, out_grad, net.output, self.squares[0], self.rate)
-            _step(words, bias_grad, net.bias, self.squares[1], self.rate)
-            _step(ctx.ravel(), ctx_grad, net.context, self.squares[2], self.rate)
-            net.place += np.float32(self.rate) * place_grad
+            off = -np.exp(log_softmax(h @ net.group.T + net.group_bias))
+            off[np.arange(len(t)), g] += 1
+            group_grad, group_bias = off.T @ h, off.sum(axis=0)
+            pull = off @ net.group
+            member_grad, member_bias = np.zeros_like(net.member), np.zeros_like(net.member_bias)
+            for c, i, j in runs(g):
+                off = -np.exp(log_softmax(h[i:j] @ net.member[c].T + net.member_bias[c]))
+                off[np.arange(j - i), m[i:j]] += 1
+                member_grad[c], member_bias[c] = off.T @ h[i:j], off.sum(axis=0)
+                pull[i:j] += off @ net.member[c]
+            pull *= 1 - h * h
+            place_grad = np.einsum("nk,njk->jk", pull, vectors) / np.float32(len(t))
+            context_grad = np.zeros_like(net.context)
+            # Gradients of equal context rows are summed place by place.
+            for j in range(ctx.shape[1]):
+                by_row = np.argsort(ctx[:, j], kind="stable")
+                rows = ctx[by_row, j]
+                first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+                context_grad[rows[first]] += np.add.reduceat(
+                    (pull * net.place[j])[by_row], first, axis=0)
+            self._step(net.group, group_grad, self.squares[1])
+            self._step(net.group_bias, group_bias, self.bias_squares[0])
+            self._step(net.member, member_grad, self.squares[2])
+            self._step(net.member_bias, member_bias, self.bias_squares[1])
+            self._step(net.context, context_grad, self.squares[0])
+            net.place += self.rate * place_grad
 
 
 @dataclass
 class Scorer:
+    """A trained network, the words that travel, and the table of all counts."""
+
     net: Net
-    noise: np.ndarray
+    words: Vocabulary
     reach: int
-    draw: np.ndarray
-
-    def log_likelihood(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        n = len(off) - 1
-        ids, doc = token_ids(buf, off, len(self.noise))
-        around = neighbours(ids, doc, self.reach)
-        got = np.zeros(len(ids))
-        log_noise = np.log(np.maximum(self.noise, 1e-12))
-        for a in range(0, len(ids), 8192):
-            t = ids[a:a + 8192]
-            _, h = self.net.hidden(around[a:a + 8192])
-            s = np.einsum("nk,nk->n", h, self.net.output[t]) + self.net.bias[t]
-            z = np.exp(h @ self.net.output[self.draw].T + self.net.bias[self.draw]).mean(axis=1)
-            got[a:a + 8192] = log_noise[t] + s - np.log(z)
-        return (np.bincount(doc, weights=got, minlength=n),
-                np.bincount(doc, minlength=n).astype(np.int64))
-
-
-def word_counts(docs: DataFrame, buckets: int, text_col: str) -> np.ndarray:
-    """Words of the whole corpus per bucket: counted per task, summed in Spark;
-    ``buckets`` numbers come to the driver."""
-    def run(batches):
-        total = np.zeros(buckets, dtype=np.int64)
-        for b in batches:
-            buf, off = ragged.text_buffer(b.column(0))
-            for i, j in ragged.pieces(off):
-                ids, _ = token_ids(buf[off[i]:off[j]], off[i:j + 1] - off[i], buckets)
-                total += np.bincount(ids, minlength=buckets)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
-    counts = ragged.map_batches(docs.select(docs[text_col].alias("text")), run,
-                                "bucket long, n long")
-    out = np.zeros(buckets)
-    for b, n in counts.groupBy("bucket").agg(F.sum("n")).collect():
-        out[b] = n
-    return out
+    counts: DataFrame
 
 
 _PART = "slice int, task long, weight double, data binary"
@@ -210,32 +328,33 @@ def _average(parts: DataFrame, fan_in: int) -> np.ndarray | None:
     return np.concatenate([np.frombuffer(r.data, dtype=np.float64) for r in rows]) / rows[0].weight
 
 
-def fit(docs: DataFrame, text_col: str = "text", buckets: int = 1 << 14, width: int = 16,
-        reach: int = 2, rounds: int = 2, seed: int = 6, fan_in: int = 64, slices: int = 16,
-        draws: int = 64) -> Scorer:
+def fit(docs: DataFrame, text_col: str = "text", own_words: int = 4032, near_words: int = 1 << 17,
+        width: int = 16, reach: int = 2, rounds: int = 2, seed: int = 6, fan_in: int = 64,
+        slices: int = 16) -> Scorer:
     """Train on every document once; each round takes its share by text hash."""
     spark = docs.sparkSession
-    counts = word_counts(docs, buckets, text_col)
-    noise = (counts + 0.1) / (counts + 0.1).sum()
-    net = Net.fresh(buckets, width, reach, seed)
+    counts = count_words(docs, text_col)
+    words = vocabulary(counts, own_words, max(near_words, own_words))
+    net = Net.fresh(words.first, width, reach, seed)
+    edge = len(words.first)
     for r in range(rounds):
         share = docs.filter(F.pmod(F.xxhash64(F.coalesce(docs[text_col], F.lit(""))),
                                    F.lit(rounds)) == r)
-        start = spark.sparkContext.broadcast((net, noise))
+        start = spark.sparkContext.broadcast((net, words))
 
-        def train(batches, r=r, start=start):
-            begun, q = start.value
+        def train(batches, start=start):
+            begun, known = start.value
             own = begun.filled(begun.flat())
-            trainer, seen, task = None, 0, 0
+            trainer, seen, task = Trainer(own), 0, 0
             for b in batches:
                 if not b.num_rows:
                     continue
                 task = b.column(1)[0].as_py()
-                trainer = trainer or Trainer(own, q, seed * 1_000_003 + task * 31 + r)
                 buf, off = ragged.text_buffer(b.column(0))
                 for i, j in ragged.pieces(off):
-                    ids, doc = token_ids(buf[off[i]:off[j]], off[i:j + 1] - off[i], len(q))
-                    trainer.train(ids, neighbours(ids, doc, reach))
+                    h, shape, doc = tokens(buf[off[i]:off[j]], off[i:j + 1] - off[i])
+                    ids, _, _ = known.find(h, shape)
+                    trainer.train(ids, neighbours(ids, doc, reach, edge))
                     seen += len(ids)
             if seen:
                 for k, part in enumerate(np.array_split(own.flat().astype(np.float64) * seen,
@@ -249,23 +368,82 @@ def fit(docs: DataFrame, text_col: str = "text", buckets: int = 1 << 14, width:
         mean = _average(materialize(ragged.map_batches(sent, train, _PART), "weights"), fan_in)
         if mean is not None:
             net = net.filled(mean)
-    draw = np.searchsorted(np.cumsum(noise), np.random.default_rng(seed).random(draws))
-    return Scorer(net, noise, reach, np.minimum(draw, buckets - 1))
+    return Scorer(net, words, reach, counts)
+
+
+def _unlike(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
 
 
 def score(docs: DataFrame, scorer: Scorer, text_col: str = "text",
           keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns plus n_tokens, log_likelihood and its mean per token."""
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)
-
-    def run(buf, off):
-        total, n = shared.value.log_likelihood(buf, off)
-        return {"n_tokens": n, "log_likelihood": total}
-    out = ragged.map_text(docs, text_col, [T.StructField("n_tokens", T.LongType()),
-                                           T.StructField("log_likelihood", T.DoubleType())],
-                          run, keep)
-    return out.withColumn("mean_log_likelihood", F.when(
-        F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
+    """``keep`` columns (all, if not given) plus n_tokens, log_likelihood and its
+    mean per token.
+
+    A task scores all its tokens by the network and adds the counts of the words
+    that travel; the distinct other words of each text, with how often they
+    occur, meet the table of counts in one shuffled join."""
+    made = ["n_tokens", "log_likelihood", "mean_log_likelihood"]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
+    row, net_part, known_part, far, times, sent_name, rare, met_row = (
+        _unlike(n, keep) for n in ("_row", "_net", "_known", "_far", "_times", "_text", "_rare",
+                                   "_met_row"))
+    schema = T.StructType([docs.schema[c] for c in keep] + [
+        T.StructField("n_tokens", T.LongType()), T.StructField(net_part, T.DoubleType()),
+        T.StructField(known_part, T.LongType()),
+        T.StructField(far, T.ArrayType(T.LongType())),
+        T.StructField(times, T.ArrayType(T.LongType()))])
+    shared = docs.sparkSession.sparkContext.broadcast((scorer.net, scorer.words))
+    reach = scorer.reach
+
+    def piece(buf, off):
+        net, words = shared.value
+        n = len(off) - 1
+        h, shape, doc = tokens(buf, off)
+        ids, log_count, known = words.find(h, shape)
+        got = log_outcome(net, ids, neighbours(ids, doc, reach, len(words.first)))
+        got -= words.shares(ids)
+        # Whole numbers below 2^53 in every step, so that any order gives one sum.
+        counted = np.bincount(doc, weights=log_count, minlength=n).astype(np.int64)
+        h, doc_far = h[~known], doc[~known]
+        order = np.lexsort((h, doc_far))
+        h, doc_far = h[order], doc_far[order]
+        first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (doc_far[1:] != doc_far[:-1]))
+                               ) if len(h) else np.zeros(0, np.int64)
+        often = np.diff(np.append(first, len(h)))
+        ends = np.searchsorted(doc_far[first], np.arange(n + 1)).astype(np.int32)
+        return [pa.array(np.bincount(doc, minlength=n).astype(np.int64)),
+                pa.array(np.bincount(doc, weights=got, minlength=n)), pa.array(counted),
+                pa.ListArray.from_arrays(ends, pa.array(h[first].view(np.int64))),
+                pa.ListArray.from_arrays(ends, pa.array(often.astype(np.int64)))]
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            buf, off = ragged.text_buffer(b.column(b.num_columns - 1))
+            for i, j in ragged.pieces(off):
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(k).slice(i, j - i) for k in range(len(keep))]
+                    + piece(buf[off[i]:off[j]], off[i:j + 1] - off[i]), schema.names)
+
+    sent = docs.select(*[docs[c] for c in keep], docs[text_col].alias(sent_name))
+    out = materialize(ragged.map_batches(sent, run, schema)
+                      .withColumn(row, F.monotonically_increasing_id()), "token-scores")
+    words = out.select(row, F.explode(F.arrays_zip(F.col(far).alias("word"),
+                                                   F.col(times).alias("times"))).alias("w"))
+    # A word that the corpus lacks counts once: log 1 = 0.
+    met = (words.select(F.col(row).alias(met_row), "w.word", "w.times")
+           .join(scorer.counts.select("word", fixed_log(F.col("n")).alias("log_n")), "word")
+           .groupBy(met_row).agg(F.sum(F.col("times") * F.col("log_n")).alias(rare)))
+    out = out.join(met, out[row] == met[met_row], "left")
+    known = F.col(known_part) + F.coalesce(F.col(rare), F.lit(0))
+    out = out.withColumn("log_likelihood", F.col(net_part) + known / F.lit(float(FIXED)))
+    return out.select(*keep, "n_tokens", "log_likelihood", F.when(
+        F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+        .alias("mean_log_likelihood"))
 
 
 def op6_pseudo_likelihood(spark, sf_dir: str) -> DataFrame:

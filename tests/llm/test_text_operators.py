@@ -107,27 +107,119 @@ def test_held_out_documents_score_above_shuffled_ones(spark):
     def mean(df, s):
         return pseudo_likelihood.score(df, s, keep=["doc_id"]).agg(
             F.sum("log_likelihood") / F.sum("n_tokens")).first()[0]
-    plain = pseudo_likelihood.Scorer(pseudo_likelihood.Net.fresh(1 << 14, 16, 2, 0), scorer.noise,
-                                     scorer.reach, scorer.draw)
-    plain.net.output[:] = 0
+    plain = pseudo_likelihood.Scorer(
+        pseudo_likelihood.Net.fresh(scorer.words.first, 16, 2, 0), scorer.words, scorer.reach,
+        scorer.counts)
+    plain.net.group[:] = 0
+    plain.net.member[:] = 0
     assert mean(held, scorer) > mean(held, plain)
     assert mean(held, scorer) > mean(mixed, scorer)
 
 
 def test_scores_of_odd_rows(spark):
-    docs = odd.documents(spark).select("doc_id", "text")
-    scorer = pseudo_likelihood.fit(docs, buckets=256, width=4, fan_in=2)
-    rows = pseudo_likelihood.score(docs, scorer).collect()
+    docs = odd.documents(spark)
+    taken = docs.withColumns({c: F.lit(c) for c in ("_net", "_known", "_far", "_times", "_met_row", "word",
+                                                    "log_likelihood", "mean_log_likelihood")})
+    scorer = pseudo_likelihood.fit(taken, own_words=50, near_words=80, width=4, fan_in=2)
+    out = pseudo_likelihood.score(taken, scorer)
+    assert set(out.columns) == set(taken.columns) and len(out.columns) == len(taken.columns)
+    rows = out.collect()
     assert len(rows) == docs.count()
     for r in rows:
+        assert r["_net"] == "_net" and r["row"] == "row"
         assert r.n_tokens == len(odd.WORD.findall(r.text or ""))
         assert np.isfinite(r.log_likelihood) and (r.n_tokens > 0) == (
             r.mean_log_likelihood is not None)
         assert r.n_tokens > 0 or r.log_likelihood == 0
-    again = pseudo_likelihood.score(docs, scorer).collect()
+    again = pseudo_likelihood.score(taken, scorer).collect()
     assert sorted(map(str, rows)) == sorted(map(str, again))
+    same = {}
+    for r in rows:
+        same.setdefault(r.text, set()).add(round(r.log_likelihood, 6))
+    assert all(len(x) == 1 for x in same.values())
     none = odd.nothing(spark)
-    assert pseudo_likelihood.score(none, pseudo_likelihood.fit(none, buckets=64)).count() == 0
+    empty = pseudo_likelihood.fit(none)
+    assert pseudo_likelihood.score(none, empty).count() == 0
+    assert pseudo_likelihood.score(docs, empty).filter("log_likelihood IS NULL").count() == 0
+
+
+def spelled_model(scorer):
+    """log p(word | words around) from the weights, one word at a time."""
+    net, words = scorer.net, scorer.words
+    n_of = {np.uint64(r.word & (1 << 64) - 1): r.n for r in scorer.counts.collect()}
+    outcome_of = dict(zip(words.hashes.tolist(), words.outcome.tolist()))
+    total = Counter()
+
+    def ids(text):
+        buf, off = ragged.text_buffer(pa.array([text]))
+        h, shape, _ = pseudo_likelihood.tokens(buf, off)
+        return [(x, outcome_of.get(x, words.own + s)) for x, s in zip(h.tolist(), shape.tolist())]
+    own = {h for h, o in outcome_of.items() if o < words.own}
+
+    def learn(spellings):
+        for w in spellings:
+            (h, o), = ids(w)
+            if h not in own:
+                total[o] += n_of[np.uint64(h)]
+
+    def log_p(word, around):
+        k = np.zeros(net.place.shape[1])
+        for j, a in enumerate(around):
+            at = len(words.first) if a is None else ids(a)[0][1]
+            k = k + net.context[at].astype(float) * net.place[j]
+        k = np.tanh(k)
+        (h, o), = ids(word)
+        size = net.member.shape[1]
+        first = net.group @ k + net.group_bias
+        second = net.member[o // size] @ k + net.member_bias[o // size].astype(float)
+        p = (np.exp(first[o // size]) / np.exp(first).sum()
+             * np.exp(second[o % size]) / np.exp(second).sum())
+        if h not in own:
+            p *= n_of.get(np.uint64(h), 1) / (total[o] + 1)
+        return np.log(p)
+    return learn, log_p
+
+
+def test_scores_match_brute_force_and_probabilities_sum_to_one(spark):
+    docs = odd.documents(spark).filter("length(text) < 3000").select("doc_id", "text")
+    texts = [r.text for r in docs.collect()]
+    vocab = sorted({w for t in texts for w in odd.WORD.findall(t)})
+    scorer = pseudo_likelihood.fit(docs, own_words=20, near_words=60, width=4)
+    assert scorer.words.own == 20 and len(vocab) > len(scorer.words.hashes)
+    assert scorer.counts.count() == len(vocab)
+    learn, log_p = spelled_model(scorer)
+    learn(vocab)
+
+    def total(text):
+        w = odd.WORD.findall(text)
+        at = [None, None, *w, None, None]
+        return sum(log_p(x, [at[k], at[k + 1], at[k + 3], at[k + 4]]) for k, x in enumerate(w))
+    more = ["never seen wörds 123 here", vocab[0], f"{vocab[5]} unseen {vocab[5]}"]
+    asked = spark.createDataFrame([(k, t) for k, t in enumerate(texts[:25] + more)],
+                                  "doc_id long, text string")
+    for r in pseudo_likelihood.score(asked, scorer).collect():
+        assert r.log_likelihood == pytest.approx(total(r.text), rel=1e-4, abs=1e-3)
+    # All words of the corpus, and a word it lacks for each shape.
+    some = list(odd.WORD.findall(texts[0]))[:4]
+    shapes = ["a" * n for n in range(1, 17)] + ["é" * (n // 2) + "a" * (n % 2)
+                                                for n in range(2, 17)] + [
+        "-" * n for n in range(1, 17)] + ["7" * n for n in range(1, 17)]
+    lacking = 0.0
+    for w in shapes:
+        spare = w[:-1] + {"a": "q", "-": "=", "7": "9", "é": "ü"}[w[-1]]
+        lacking += np.exp(log_p(spare, some))
+    known = sum(np.exp(log_p(w, some)) for w in vocab)
+    assert lacking < 0.5 and known + lacking == pytest.approx(1, abs=1e-3)
+
+
+def test_which_words_travel_changes_no_score(spark):
+    docs = odd.documents(spark).select("doc_id", "text")
+    got = []
+    for near in (20, 100, 1 << 17):
+        scorer = pseudo_likelihood.fit(docs, own_words=20, near_words=near, width=4)
+        got.append(sorted((str(r.doc_id), r.n_tokens, round(r.log_likelihood, 3))
+                          for r in pseudo_likelihood.score(docs, scorer).collect()))
+    assert got[0] == got[1] == got[2]
 
 
 # -- quality rules ---------------------------------------------------------------------
