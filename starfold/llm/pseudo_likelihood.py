@@ -49,10 +49,12 @@ SHAPES = 4 * LENGTHS            # kinds of words by lengths
 ABSENT = np.float32(-1e4)       # the bias of a place without an outcome: p = 0
 FIXED = 1 << 20                 # logs of counts are added as whole multiples of 1 / FIXED
 
-_DIGIT = np.zeros(256, dtype=bool)
-_DIGIT[ord("0"):ord("9") + 1] = True
-_MARK = np.zeros(256, dtype=bool)
-_MARK[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = True
+# What a byte says of its word: 1 beyond ASCII, 2 a mark, 4 a digit; the highest decides.
+_SAYS = np.zeros(256, dtype=np.uint8)
+_SAYS[0x80:] = 1
+_SAYS[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = 2
+_SAYS[ord("0"):ord("9") + 1] = 4
+_KIND = np.array([0, 1, 2, 2, 3, 3, 3, 3])
 
 
 def tokens(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -61,11 +63,8 @@ def tokens(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     at ``LENGTHS``."""
     s, e = ragged.words(buf, off)
     length = np.minimum(e - s, LENGTHS) - 1
-    kind = np.zeros(len(s), dtype=np.int64)
-    for k, has in ((1, buf >= 0x80), (2, _MARK[buf]), (3, _DIGIT[buf])):
-        total = np.zeros(len(buf) + 1, dtype=np.int32)
-        np.cumsum(has, out=total[1:])
-        kind[total[e] > total[s]] = k
+    # From one word's start to the next's there are but its bytes and white space.
+    kind = _KIND[np.bitwise_or.reduceat(_SAYS[buf], s)] if len(s) else np.zeros(0, np.int64)
     return ragged.span_hash(buf, s, e), kind * LENGTHS + length, ragged.doc_of(off, s)
 
 
@@ -82,11 +81,30 @@ class Vocabulary:
     log_total: np.ndarray
     first: np.ndarray                   # tokens per outcome
 
+    def __post_init__(self):
+        """The leading bits of a hash name a stretch of a few entries."""
+        self.bits = np.uint64(64 - max(1, len(self.hashes).bit_length()))
+        leads = np.arange((1 << int(64 - int(self.bits))) + 1)
+        self.starts = np.searchsorted(self.hashes >> self.bits, leads)
+        self.steps = int(np.diff(self.starts).max(initial=1)) - 1
+
+    def _place(self, h: np.ndarray) -> np.ndarray:
+        """Where the hashes stand, if known: all tokens walk their stretch together."""
+        last = len(self.hashes) - 1
+        at = np.minimum(self.starts[(h >> self.bits).astype(np.int64)], last)
+        todo = np.arange(len(h))
+        for _ in range(self.steps):
+            todo = todo[self.hashes[at[todo]] < h[todo]]
+            if not len(todo):
+                break
+            at[todo] = np.minimum(at[todo] + 1, last)
+        return at
+
     def find(self, h: np.ndarray, shape: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(outcome, log count, known) of each token."""
         if not len(self.hashes):
             return self.own + shape, np.zeros(len(h)), np.zeros(len(h), dtype=bool)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        at = self._place(h)
         known = self.hashes[at] == h
         return (np.where(known, self.outcome[at], self.own + shape),
                 np.where(known, self.log_count[at], 0.0), known)
@@ -193,14 +211,44 @@ class Net:
             at += x.size
         return Net(*out)
 
-    def hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        vectors = self.context[around]
-        return vectors, np.tanh(np.einsum("njk,jk->nk", vectors, self.place))
+    def hidden(self, around: np.ndarray) -> np.ndarray:
+        """What the words around say: the context vectors are scaled once per
+        place, as there are fewer of them than tokens."""
+        h = (self.context * self.place[0])[around[:, 0]]
+        for j in range(1, around.shape[1]):
+            h += (self.context * self.place[j])[around[:, j]]
+        return np.tanh(h, out=h)
+
+
+def with_bias(weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, bool]:
+    """Weights with the bias as a last column, and whether their logits can leave
+    what exp can take: as every entry of h lies in -1 .. 1, a logit is no further
+    from its bias than its weights' absolute sum."""
+    far = np.abs(weights).sum(axis=-1).max() + abs(bias.max()) > 60
+    return np.concatenate([weights, bias[..., None]], axis=-1), bool(far)
+
+
+def with_one(h: np.ndarray) -> np.ndarray:
+    """A column per token, with a last row of ones that meets the bias."""
+    out = np.ones((h.shape[1] + 1, len(h)), h.dtype)
+    out[:-1] = h.T
+    return out
+
+
+def softmax(weights: np.ndarray, far: bool, h: np.ndarray, target: np.ndarray
+            ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(the target's logit, exponentials of all, their sums), a column per token."""
+    x = weights @ h
+    if far:
+        x -= x.max(axis=0)
+    own = x[target, np.arange(len(target))]
+    up = np.exp(x, out=x)
+    return own, up, up.sum(axis=0)
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def short(ids: np.ndarray, n: int) -> np.ndarray:
+    """``ids`` below ``n`` in the narrowest type: two bytes are sorted by radix."""
+    return ids.astype(np.int16 if n < 1 << 15 else np.int64)
 
 
 def runs(sorted_values: np.ndarray) -> list[tuple[int, int, int]]:
@@ -222,19 +270,22 @@ def neighbours(ids: np.ndarray, doc: np.ndarray, reach: int, edge: int) -> np.nd
     return out
 
 
-def log_outcome(net: Net, ids: np.ndarray, around: np.ndarray, batch: int = 16384) -> np.ndarray:
+def log_outcome(net: Net, ids: np.ndarray, around: np.ndarray, batch: int = 8192) -> np.ndarray:
     """log p(outcome | neighbours) of each token, normalised over all outcomes."""
-    got, size = np.zeros(len(ids)), net.member.shape[1]
+    got, (groups, size) = np.zeros(len(ids)), net.member.shape[:2]
+    first, first_far = with_bias(net.group, net.group_bias)
+    second, second_far = with_bias(net.member, net.member_bias)
     for a in range(0, len(ids), batch):
         t = ids[a:a + batch]
-        order = np.argsort(t // size, kind="stable")
+        order = np.argsort(short(t // size, groups), kind="stable")
         t = t[order]
-        _, h = net.hidden(around[a:a + batch][order])
+        h = with_one(net.hidden(around[a:a + batch][order]))
         g, m = t // size, t % size
-        out = log_softmax(h @ net.group.T + net.group_bias)[np.arange(len(t)), g]
+        own, _, total = softmax(first, first_far, h, g)
+        out = own - np.log(total)
         for c, i, j in runs(g):
-            part = log_softmax(h[i:j] @ net.member[c].T + net.member_bias[c])
-            out[i:j] += part[np.arange(j - i), m[i:j]]
+            own, _, total = softmax(second[c], second_far, h[:, i:j], m[i:j])
+            out[i:j] += own - np.log(total)
         got[a + order] = out
     return got
 
@@ -254,37 +305,42 @@ class Trainer:
         weights += grad * (scale[..., None] if grad.ndim > squares.ndim else scale)
 
     def train(self, ids: np.ndarray, around: np.ndarray) -> None:
-        net, size = self.net, self.net.member.shape[1]
+        net, (groups, size) = self.net, self.net.member.shape[:2]
+
+        def pulls(weights, far, h, target):
+            """Gradients by weights and bias, and by h: what is seen less what is expected."""
+            _, off, total = softmax(weights, far, h, target)
+            off /= -total
+            off[target, np.arange(len(target))] += 1
+            return off @ h.T, off.T @ weights[:, :-1]
+
         for a in range(0, len(ids), self.batch):
             t = ids[a:a + self.batch]
-            order = np.argsort(t // size, kind="stable")
+            order = np.argsort(short(t // size, groups), kind="stable")
             t, ctx = t[order], around[a:a + self.batch][order]
             g, m = t // size, t % size
-            vectors, h = net.hidden(ctx)
-            off = -np.exp(log_softmax(h @ net.group.T + net.group_bias))
-            off[np.arange(len(t)), g] += 1
-            group_grad, group_bias = off.T @ h, off.sum(axis=0)
-            pull = off @ net.group
-            member_grad, member_bias = np.zeros_like(net.member), np.zeros_like(net.member_bias)
+            h = net.hidden(ctx)
+            one = with_one(h)
+            group_grad, pull = pulls(*with_bias(net.group, net.group_bias), one, g)
+            second, far = with_bias(net.member, net.member_bias)
+            member_grad = np.zeros_like(second)
             for c, i, j in runs(g):
-                off = -np.exp(log_softmax(h[i:j] @ net.member[c].T + net.member_bias[c]))
-                off[np.arange(j - i), m[i:j]] += 1
-                member_grad[c], member_bias[c] = off.T @ h[i:j], off.sum(axis=0)
-                pull[i:j] += off @ net.member[c]
+                member_grad[c], more = pulls(second[c], far, one[:, i:j], m[i:j])
+                pull[i:j] += more
             pull *= 1 - h * h
-            place_grad = np.einsum("nk,njk->jk", pull, vectors) / np.float32(len(t))
-            context_grad = np.zeros_like(net.context)
+            context_grad, place_grad = np.zeros_like(net.context), np.zeros_like(net.place)
             # Gradients of equal context rows are summed place by place.
             for j in range(ctx.shape[1]):
-                by_row = np.argsort(ctx[:, j], kind="stable")
+                by_row = np.argsort(short(ctx[:, j], len(net.context)), kind="stable")
                 rows = ctx[by_row, j]
                 first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-                context_grad[rows[first]] += np.add.reduceat(
-                    (pull * net.place[j])[by_row], first, axis=0)
-            self._step(net.group, group_grad, self.squares[1])
-            self._step(net.group_bias, group_bias, self.bias_squares[0])
-            self._step(net.member, member_grad, self.squares[2])
-            self._step(net.member_bias, member_bias, self.bias_squares[1])
+                total = np.add.reduceat(pull[by_row], first, axis=0)
+                context_grad[rows[first]] += total * net.place[j]
+                place_grad[j] = (total * net.context[rows[first]]).sum(axis=0) / len(t)
+            self._step(net.group, group_grad[:, :-1], self.squares[1])
+            self._step(net.group_bias, group_grad[:, -1], self.bias_squares[0])
+            self._step(net.member, member_grad[..., :-1], self.squares[2])
+            self._step(net.member_bias, member_grad[..., -1], self.bias_squares[1])
             self._step(net.context, context_grad, self.squares[0])
             net.place += self.rate * place_grad
 
