@@ -5,13 +5,17 @@ forest look at.  ``fit_forest`` grows isolation trees (random feature, random
 cut, subsamples of ``psi`` rows) on the ratios of a bounded sample of the rows
 labelled good.  Cuts are drawn beyond the range of the sample too, in every
 statistic, so that what no label shows, or what never varies among good rows, is
-isolated early.  ``fit_quality_model`` scores *every* labelled row and takes the
-lowest threshold at which no more than ``max_good_loss`` of the good rows are
-lost.  A document is kept if it passes the base rules and its score is not above
-the threshold.
-
-Defined results: a null or empty text has no words and fails the base rule; no
-labels (or fewer than two good ones) means no threshold, and base rules alone decide;
+isolated early.  The good rows are dealt in halves by a hash of their ids, each half
+grows half of the trees, and for the calibration its rows are scored by the other
+half's trees; every row labelled bad is scored by all trees.  Of the thresholds that
+lose no more than ``max_good_loss`` of the good rows, the one is taken that separates
+the classes best (the share of bad rows rejected less the share of good rows lost;
+the lowest of equals).  A document is kept if it passes the base rules and its score
+is not above the threshold.
+
+Defined results: a null or empty text has no words and fails the base rule; fewer
+than two good labels in either half mean no threshold, and base rules alone decide;
+without bad labels no good row is lost in the calibration;
 repeated rows are judged alike; labels repeated for a document count once, with
 the lowest quality; null labels and null ids are no labels.
 """
@@ -161,6 +165,12 @@ class Forest:
         return np.exp2(-total / len(self.path) / max(self.norm, 1e-9))
 
 
+def joined(a: Forest, b: Forest) -> Forest:
+    """The trees of both, of equal depth, each in units of its own expected path."""
+    return Forest(np.concatenate([a.feature, b.feature]), np.concatenate([a.cut, b.cut]),
+                  np.concatenate([a.path / a.norm, b.path / b.norm]), a.depth, 1.0)
+
+
 def fit_forest(x: np.ndarray, trees: int = 100, psi: int = 256, depth: int = 10,
                seed: int = 10, margin: float = 0.0) -> Forest:
     """With a ``margin``, cuts are drawn from the range of a part's rows widened
@@ -230,35 +240,47 @@ def _scored(stats: DataFrame, model: QualityModel, names: list[str]) -> DataFram
     return ragged.map_batches(stats, run, schema)
 
 
+def separating_bin(good: np.ndarray, bad: np.ndarray, max_good_loss: float) -> int:
+    """The highest bin to keep, from counts of both classes per bin."""
+    lost = (good.sum() - np.cumsum(good)) / good.sum()
+    rejected = (bad.sum() - np.cumsum(bad)) / max(bad.sum(), 1)
+    return int(np.argmax(np.where(lost <= max_good_loss, rejected - lost, -np.inf)))
+
+
 def fit_quality_model(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                       quality_col: str = "quality", sample_rows: int = 25_600,
                       max_good_loss: float = 0.005, trees: int = 100,
                       psi: int = 256) -> QualityModel:
     """Fit on at most ``sample_rows`` rows labelled good (the lowest hashes of
-    their ids), calibrate on all labelled rows that pass the base rules."""
+    their ids), calibrate on all labelled rows.  Both take only rows that pass the
+    base rules."""
     lab = (labels.filter(F.col(id_col).isNotNull() & F.col(quality_col).isNotNull())
            .groupBy(F.col(id_col).alias("_lab_id")).agg(F.min(quality_col).alias("_lab_q")))
     known = (stats.join(lab, stats[id_col] == lab["_lab_id"])
              .filter(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
-             .select("_lab_id", "_lab_q", *STATS))
+             .withColumn("_half", F.pmod(F.xxhash64("_lab_id", F.lit("half")), F.lit(2)))
+             .select("_lab_id", "_lab_q", "_half", *STATS))
     known = materialize(known, "quality-labelled")
-    sample = (known.filter("_lab_q = 1").orderBy(F.xxhash64("_lab_id"), "_lab_id", *STATS).limit(sample_rows)
-              .select(*STATS).toArrow())
-    if sample.num_rows < 2:
+    sample = (known.filter("_lab_q = 1").orderBy(F.xxhash64("_lab_id"), "_lab_id", *STATS)
+              .limit(sample_rows).select("_half", *STATS).toArrow())
+    half = sample.column("_half").to_numpy()
+    if min((half == 0).sum(), (half == 1).sum()) < 2:
         return QualityModel(None)
-    stat = {c: sample.column(c).to_numpy() for c in STATS}
-    x = features(stat)
+    x = features({c: sample.column(c).to_numpy() for c in STATS})
     unit = spread(x)
-    model = QualityModel(fit_forest(x / unit, trees, psi, margin=MARGIN), float(SCORE_BINS), unit)
-    # A histogram of the scores of every labelled row: SCORE_BINS rows per class.
-    hist = (_scored(known, model, STATS)
+    grown = [fit_forest(x[half == k] / unit, (trees + 1 - k) // 2, psi, seed=10 + k, margin=MARGIN)
+             for k in (0, 1)]
+    model = QualityModel(joined(*grown), float(SCORE_BINS), unit)
+    # A histogram of the scores of all labelled rows: SCORE_BINS rows per class.
+    parts = [_scored(known.filter((F.col("_lab_q") == 1) & (F.col("_half") == 1 - k)),
+                     QualityModel(grown[k], float(SCORE_BINS), unit), STATS) for k in (0, 1)]
+    parts.append(_scored(known.filter("_lab_q <> 1"), model, STATS))
+    hist = (parts[0].unionByName(parts[1]).unionByName(parts[2])
             .groupBy("_lab_q", F.floor(F.col("score") * SCORE_BINS).alias("bin")).count().collect())
     good, bad = np.zeros(SCORE_BINS + 1), np.zeros(SCORE_BINS + 1)
     for q, b, n in hist:
         (good if q == 1 else bad)[b] += n
-    lost = good.sum() - np.cumsum(good)          # good rows above each bin
-    fits = np.flatnonzero(lost <= max_good_loss * good.sum())
-    model.threshold = float(fits[0])
+    model.threshold = float(separating_bin(good, bad, max_good_loss))
     return model
 
 

@@ -296,6 +296,34 @@ def test_junk_of_a_kind_absent_from_the_labels_goes(spark):
     assert len(rows) == len(junk) and not kept
 
 
+def test_threshold_separates_both_classes():
+    good, bad = np.zeros(10), np.zeros(10)
+    good[[1, 2, 3, 6]] = [50, 100, 49, 1]
+    at = quality_forest.separating_bin
+    assert at(good, bad, 0.005) == 6                       # nothing is known to be bad
+    bad[[5, 8]] = [30, 10]
+    assert at(good, bad, 0.005) == 3                       # one good row for thirty bad ones
+    assert at(good, bad, 0.0) == 6                         # but not beyond the bound
+    bad[5], bad[8] = 0, 40
+    assert at(good, bad, 0.005) == 6
+
+
+def test_bad_labels_move_the_threshold(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    labels = spark.read.parquet(f"{SF01}/labels.parquet")
+    stats = quality_forest.rule_statistics(docs.select("doc_id", "text"), "text", keep=["doc_id"])
+    got = [quality_forest.fit_quality_model(stats, some, max_good_loss=0.2)
+           for some in (labels, labels.filter("quality = 1"),
+                        labels.withColumn("quality", F.when(F.col("doc_id") % 7 == 0, 0)
+                                          .otherwise(F.col("quality"))))]
+    assert got[2].threshold != got[0].threshold or got[1].threshold != got[0].threshold
+    scored = quality_forest._scored(stats.join(labels, "doc_id").select(stats["*"], "quality"),
+                                    got[0], quality_forest.STATS)
+    good = scored.filter("quality = 1").filter(~quality_forest.base_failed(
+        F.col("n_words"), F.col("n_repeat_words")))
+    assert good.filter("NOT kept").count() <= 0.2 * good.count()
+
+
 def test_keep_good_agrees_with_judge(spark):
     docs, lab = odd.documents(spark), odd.labels(spark)
     out = quality_forest.keep_good(docs, lab)
