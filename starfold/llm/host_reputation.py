@@ -1,21 +1,28 @@
 """URL filters by empirical-Bayes host reputation (operator 3).
 
 Labelled pages count, per host, how many turned out bad.  Rates are shrunk
-from the top: the suffix (last label) towards the overall rate, the registered
-domain (last two labels) towards its suffix, the host towards its domain, each
+from the top: the suffix (the longest of a list that ends the host, else its last
+label) towards the overall rate, the registered domain (one label more) towards
+its suffix, the host towards its domain, each
 through a beta-binomial prior whose strength is estimated from the spread of
 the children around their parents.  A page whose host's posterior lower bound
 of the bad rate lies above ``max_bad`` is blocked.  Explicit rules come first.
 
+User and port are no part of a host's domain and suffix.  An IP address is its own
+domain and suffix, and so is a bare suffix.  The list of suffixes is a parameter
+of at most ``MAX_SUFFIXES`` entries.
+
 Defined results: a null url or one without ``://`` has an empty host and path,
 no rule, and is judged by the empty host's own posterior; a host without
 labelled pages takes its domain's posterior, and so on; without any labels the
 prior of the top, one bad in ``prior_total`` pages, decides; labels repeated
-for a page count once, the lowest quality; repeated pages count as pages.
+for a page count once, the lowest quality; repeated pages count as pages; very long
+urls are read whole; extra columns are left out.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +31,16 @@ from pyspark.sql import functions as F
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
          ("block", "net/es/"), ("block", "net/fr/")]
 MAX_RULES = 10_000
+# Public suffixes of two labels, by country.
+SUFFIXES = ("com.ar", "org.ar", "com.au", "net.au", "org.au", "edu.au", "gov.au",
+            "com.br", "net.br", "org.br", "gov.br", "com.cn", "net.cn", "org.cn", "gov.cn",
+            "com.co", "com.hk", "co.id", "or.id", "co.il", "org.il", "co.in", "net.in", "org.in",
+            "co.jp", "ne.jp", "or.jp", "ac.jp", "go.jp", "co.ke", "co.kr", "or.kr", "com.mx",
+            "org.mx", "gob.mx", "com.my", "com.ng", "co.nz", "net.nz", "org.nz", "com.pe",
+            "com.ph", "com.pk", "com.pl", "net.pl", "org.pl", "com.sa", "com.sg", "co.th",
+            "or.th", "com.tr", "org.tr", "com.tw", "org.tw", "com.ua", "co.uk", "org.uk",
+            "ac.uk", "gov.uk", "com.ve", "com.vn", "co.za", "org.za")
+MAX_SUFFIXES = 10_000
 
 
 def url_host(url: Column) -> Column:
@@ -52,12 +69,35 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]
     return rule, verdict
 
 
-def domain_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+def _listed(suffixes: Sequence[str]) -> str:
+    """A pattern of a listed suffix or one label."""
+    if len(suffixes) > MAX_SUFFIXES:
+        raise ValueError(f"more than {MAX_SUFFIXES} suffixes: join them as a table instead")
+    return "|".join([*(re.escape(x.lower()) for x in suffixes), "[^.]*"])
+
+
+def host_name(host: Column) -> Column:
+    """The host without user and port."""
+    return F.regexp_replace(F.regexp_replace(host, r"(?s)^.*@", ""), r":[0-9]*\z", "")
+
+
+def is_address(name: Column) -> Column:
+    return name.rlike(r"^[0-9]+(\.[0-9]+){3}\z|^\[")
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def domain_of(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """The suffix and one label before it; a bare suffix or an address is its own."""
+    name = host_name(host)
+    found = F.regexp_extract(name, rf"(?:^|\.)([^.]*\.(?:{_listed(suffixes)}))\z", 1)
+    own = is_address(name) | (name == suffix_of(host, suffixes)) | (found == "")
+    return F.when(own, name).otherwise(found)
+
+
+def suffix_of(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """The leftmost place from which a listed suffix, or the last label, ends the host."""
+    name = host_name(host)
+    found = F.regexp_extract(name, rf"(?:^|\.)({_listed(suffixes)})\z", 1)
+    return F.when(is_address(name), name).otherwise(found)
 
 
 def _strength(children: DataFrame) -> Column:
@@ -85,13 +125,13 @@ def _shrink(children: DataFrame, parents: DataFrame, key: str, parent: str) -> D
 
 
 def host_reputation(outcomes: DataFrame, prior_bad: float = 1.0, prior_total: float = 10.0,
-                    z: float = 1.645) -> DataFrame:
+                    z: float = 1.645, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """One row per host of ``outcomes`` (host, bad: 1, 0 or null): posterior
     rate and lower bound."""
     host = (outcomes.groupBy("host")
             .agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-            .withColumn("domain", domain_of(F.col("host")))
-            .withColumn("suffix", suffix_of(F.col("host"))))
+            .withColumn("domain", domain_of(F.col("host"), suffixes))
+            .withColumn("suffix", suffix_of(F.col("host"), suffixes)))
     domain = host.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffix = domain.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     top = suffix.agg(((F.sum("bad") + prior_bad) / (F.sum("n") + prior_total)).alias("rate"))
@@ -140,11 +180,21 @@ WITH p AS (
          coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
   FROM pages),
 k AS (SELECT doc_id, 1 - min(quality) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
-h AS (
+h0a AS (
   SELECT host, count(bad) AS n, coalesce(sum(bad), 0)::BIGINT AS bad,
-         array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain,
-         string_split(host, '.')[-1] AS suffix
+         regexp_replace(regexp_replace(host, '^.*@', '', 's'), ':[0-9]*\z', '') AS name
   FROM p LEFT JOIN k ON page_id = doc_id GROUP BY host),
+g AS (
+  SELECT *, regexp_matches(name, '^[0-9]+(\.[0-9]+){3}\z|^\[') AS address,
+         string_split(name, '.')[-1] AS last, string_split(name, '.')[-2] AS second,
+         string_split(name, '.')[-3] AS third FROM h0a),
+h AS (
+  SELECT host, n, bad,
+         CASE WHEN address THEN name WHEN second || '.' || last IN (SUFFIXES) THEN
+              coalesce(third || '.', '') || second || '.' || last
+              ELSE coalesce(second || '.', '') || last END AS domain,
+         CASE WHEN address THEN name WHEN second || '.' || last IN (SUFFIXES)
+              THEN second || '.' || last ELSE last END AS suffix FROM g),
 d AS (SELECT domain, suffix, sum(n)::BIGINT AS n, sum(bad)::BIGINT AS bad FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(n)::BIGINT AS n, sum(bad)::BIGINT AS bad FROM d GROUP BY ALL),
 t AS (SELECT (sum(bad) + 1.0::DOUBLE) / (sum(n) + 10.0::DOUBLE) AS p FROM s),
@@ -176,4 +226,4 @@ SELECT page_id, host, path, rule,
             WHEN greatest(rate - 1.645::DOUBLE * sqrt(rate * (1 - rate) / (total + 1)), 0)
                  > 0.15 THEN 'block' ELSE 'allow' END AS verdict
 FROM r JOIN h1 USING (host)
-"""
+""".replace("SUFFIXES", ", ".join(f"'{x}'" for x in SUFFIXES))
