@@ -5,7 +5,13 @@ documents with equal texts).  All start in the shard their hash names.  In each
 round a link group votes: the shard that holds most of its documents, weighed
 by the room that is left there, attracts the others, and as many of them move
 as the shard's quota admits.  The votes of a group are the exact counts over
-its documents' pairwise links, without listing a pair.
+its documents' pairwise links, without listing a pair.  A group moves in blocks of
+a quarter of a quota at most, so a small one as a whole.
+
+Rounds go on until nobody wishes to move or ``patience`` rounds have not lowered the
+number of cut edges (links between shards); the placement with the fewest is kept.
+``max_rounds`` is a guard only, and a run that it ends warns of the moves left.
+``cut_edges`` counts what a placement cuts.
 
 At the end the quota is made exact: in each shard the documents beyond it,
 unlinked ones first, fill the shards that have room.  Ranks come from counts
@@ -21,6 +27,8 @@ fewer documents than shards some shards stay empty.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +42,26 @@ def _u(*cols) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))
 
 
-def propagate(nodes: DataFrame, n_shards: int, rounds: int = 4) -> DataFrame:
+def cut_edges(placed: DataFrame) -> int:
+    """Links between shards of (key, shard): pairs of a key less pairs of a key
+    and shard.  Counted, not listed."""
+    votes = (placed.filter("key IS NOT NULL").groupBy("key", "shard")
+             .agg(F.count(F.lit(1)).alias("c")))
+    return _cut(votes.groupBy("key").agg(F.sum("c").alias("m"),
+                                         F.sum(_squared("c")).alias("inside")), F.col("inside"))
+
+
+def _squared(c: str) -> Column:
+    wide = F.col(c).cast("decimal(19,0)")
+    return wide * wide
+
+
+def _cut(groups: DataFrame, inside: Column) -> int:
+    return int(groups.agg(F.sum(_squared("m") - inside)).first()[0] or 0) // 2
+
+
+def propagate(nodes: DataFrame, n_shards: int, max_rounds: int = 50, patience: int = 2
+              ) -> DataFrame:
     """``nodes`` has row (unique), key (null: no neighbours); adds shard.
 
     Per round: one aggregate by (key, shard), which combines before the
@@ -49,7 +76,8 @@ def propagate(nodes: DataFrame, n_shards: int, rounds: int = 4) -> DataFrame:
     groups = materialize(linked.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"),
                          "groups")
     linked = materialize(linked.join(groups, "key").select("row", "key", "m", "shard"), "linked")
-    for r in range(rounds):
+    best_cut, best_linked, since = None, linked, 0
+    for r in range(max_rounds + 1):
         load = {s: c for s, c in linked.groupBy("shard").count().collect()}
         room = [quota - load.get(s, 0) for s in range(n_shards)]
         # A shard attracts by its share of the group, less what it is filled.
@@ -57,16 +85,30 @@ def propagate(nodes: DataFrame, n_shards: int, rounds: int = 4) -> DataFrame:
                             F.col("shard") + 1)
         votes = linked.groupBy("key", "shard").agg(F.count(F.lit(1)).alias("c"),
                                                    F.max("m").alias("m"))
-        best = (votes.withColumn("pull", F.col("c") / F.col("m") - 0.5 * fill)
+        best = (votes.withColumn("inside", _squared("c"))
+                .withColumn("pull", F.col("c") / F.col("m") - 0.5 * fill)
                 .groupBy("key").agg(F.max(F.struct("pull", (-F.col("shard")).alias("minus")))
-                                   .alias("b"))
-                .select(F.col("key").alias("_k"), (-F.col("b.minus")).alias("wish")))
+                                   .alias("b"), F.max("m").alias("m"),
+                                    F.sum("inside").alias("inside"))
+                .select(F.col("key").alias("_k"), (-F.col("b.minus")).alias("wish"), "m", "inside"))
         best = materialize(best, "votes")
-        asked = linked.join(best, linked["key"] == best["_k"]).drop("_k")
+        cut = _cut(best, F.col("inside"))
+        if best_cut is None or cut < best_cut:
+            best_cut, best_linked, since = cut, linked, 0
+        else:
+            since += 1
+        if cut == 0 or since >= patience:
+            break
+        wishes = best.select("_k", "wish")
+        asked = linked.join(wishes, linked["key"] == wishes["_k"]).drop("_k")
         asked = materialize(asked, "wishes")
         moves = asked.filter("wish <> shard").groupBy("shard", "wish").count().collect()
         if not moves:
             break
+        if r == max_rounds:
+            left = sum(c for _, _, c in moves)
+            warnings.warn(f"{left} documents still wish to move after {r} rounds", stacklevel=2)
+            break
         leave, enter = [0.0] * n_shards, [0.0] * n_shards
         for a, b, c in moves:
             leave[a] += c
@@ -74,13 +116,13 @@ def propagate(nodes: DataFrame, n_shards: int, rounds: int = 4) -> DataFrame:
         admit = [min(1.0, max(0.0, room[s] + 0.5 * leave[s]) / enter[s]) if enter[s] else 0.0
                  for s in range(n_shards)]
         p = F.element_at(F.array(*[F.lit(float(x)) for x in admit]), F.col("wish") + 1)
-        # Groups that fit move as a whole, larger ones document by document.
-        lot = F.when(F.col("m") * n_shards * 4 <= n, _u(F.lit(r), F.col("key"))).otherwise(
-            _u(F.lit(r), F.col("row")))
+        blocks = F.ceil(F.col("m") / F.lit(quota / 4))
+        lot = _u(F.lit(r), F.col("key"), F.pmod(F.xxhash64("row"), blocks))
         linked = asked.select("row", "key", "m", F.when((F.col("wish") != F.col("shard"))
                                                         & (lot < p), F.col("wish"))
                               .otherwise(F.col("shard")).alias("shard"))
         linked = materialize(linked, "linked")
+    linked = best_linked
     moved = linked.select(F.col("row").alias("_r"), "m", F.col("shard").alias("_shard"))
     return (state.join(moved, state["row"] == F.col("_r"), "left")
             .select("row", "key", F.coalesce("_shard", "shard").alias("shard"),
@@ -134,14 +176,14 @@ def balance(placed: DataFrame, n_shards: int) -> DataFrame:
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id",
-                    text_col: str = "text", rounds: int = 4) -> DataFrame:
+                    text_col: str = "text", **rounds) -> DataFrame:
     """One row per row: id, size, text_crc32, law, shard, slot, grown_shard."""
     text = F.col(text_col)
     base = materialize(docs.select(
         F.col(id_col), (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
         F.sha2(text, 256).alias("key"), F.monotonically_increasing_id().alias("row")), "sharding")
-    placed = materialize(propagate(base.select("row", "key"), n_shards, rounds), "placed")
+    placed = materialize(propagate(base.select("row", "key"), n_shards, **rounds), "placed")
     slots = balance(placed, n_shards).withColumnRenamed("row", "_row")
     return base.join(slots, base["row"] == slots["_row"]).select(
         id_col, "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",

@@ -4,6 +4,7 @@ import os
 import sys
 import zlib
 from collections import Counter, defaultdict
+from itertools import product
 
 import numpy as np
 import public_tokenizers
@@ -59,6 +60,38 @@ def test_groups_stay_together_and_a_huge_one_is_split(spark):
     assert max(largest.values()) >= 90
 
 
+def listed_cut(rows):
+    """Pairs of equal key in different shards, one by one."""
+    return sum(a[0] == b[0] and a[1] != b[1] for k, a in enumerate(rows) for b in rows[:k])
+
+
+@pytest.mark.parametrize("groups", [[4, 4, 4], [6, 5, 1], [5, 4, 3], [9, 2, 1], [3, 3, 2, 2, 2]])
+def test_cut_edges_against_the_best_placement(spark, groups):
+    keys = [f"k{g}" for g, size in enumerate(groups) for _ in range(size)]
+    nodes = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "row long, key string")
+    placed = label_sharding.propagate(nodes, 2)
+    rows = label_sharding.balance(placed, 2).join(nodes, "row").select("key", "shard").collect()
+    half = len(keys) // 2
+    # Every way of dealing the groups to two shards of equal size.
+    best = min(sum(a * (g - a) for a, g in zip(some, groups))
+               for some in product(*[range(g + 1) for g in groups]) if sum(some) == half)
+    hashed = listed_cut([(k, r.shard) for k, r in zip(keys, nodes.select(
+        F.pmod(F.xxhash64("row"), F.lit(2)).alias("shard")).collect())])
+    got = listed_cut(rows)
+    assert best <= got <= max(best, hashed) and got <= best + max(groups)
+    assert label_sharding.cut_edges(placed.select("key", "shard")) == listed_cut(
+        [(r.key, r.shard) for r in placed.collect()])
+
+
+def test_a_run_ended_by_the_guard_says_what_is_left(spark):
+    nodes = spark.createDataFrame([(i, f"k{i % 30}") for i in range(600)], "row long, key string")
+    with pytest.warns(UserWarning, match="still wish to move"):
+        label_sharding.propagate(nodes, 8, max_rounds=0)
+    first = label_sharding.cut_edges(nodes.select("key", F.pmod(F.xxhash64("row"), F.lit(8))
+                                                  .alias("shard")))
+    assert label_sharding.cut_edges(label_sharding.propagate(nodes, 8)) < 0.5 * first
+
+
 # -- URL filters -----------------------------------------------------------------------
 
 PAGES = [(1, "http://www.Example.com/en/x?q#f"), (2, "https://blog.example.com/en/"),
@@ -94,6 +127,41 @@ def test_urls_and_rules(spark):
     assert host_reputation.judge_urls(pages, labels.limit(0)).count() == len(PAGES)
 
 
+def test_domains_and_suffixes(spark):
+    want = [("a.b.co.uk", "b.co.uk", "co.uk"), ("co.uk", "co.uk", "co.uk"), ("com", "com", "com"),
+            ("www.example.com", "example.com", "com"), ("x.com.au:8080", "x.com.au", "com.au"),
+            ("u@y.com.au", "y.com.au", "com.au"), ("10.0.0.1:80", "10.0.0.1", "10.0.0.1"),
+            ("[::1]:80", "[::1]", "[::1]"), ("", "", ""), ("localhost:1", "localhost", "localhost"),
+            ("notco.uk", "notco.uk", "uk"), ("x." * 20_000 + "org", "x.org", "org")]
+    df = spark.createDataFrame([(w[0],) for w in want], "host string")
+    got = df.select("host", host_reputation.domain_of(F.col("host")),
+                    host_reputation.suffix_of(F.col("host"))).collect()
+    assert [tuple(r) for r in got] == want
+    own = df.select(host_reputation.suffix_of(F.col("host"), ["example.com"])).collect()
+    assert own[3][0] == "example.com" and own[0][0] == "uk"
+    with pytest.raises(ValueError):
+        host_reputation.suffix_of(F.col("host"), ["x"] * 10_001)
+
+
+def test_url_verdicts_match_sql_on_odd_hosts(spark):
+    import duckdb
+    import pandas as pd
+    hosts = ["a.b.co.uk", "c.b.co.uk", "x.co.uk", "10.0.0.1", "10.0.0.1:80", "10.0.0.2", "[::1]:80",
+             "u@y.com.au", "y.com.au:1", "a..com", ".com", "foo.", "uk", "", "x.net\n"]
+    pages = pd.DataFrame({"page_id": range(len(hosts) * 9),
+                          "url": [f"http://{h}/x" for h in hosts] * 9})
+    labels = pd.DataFrame({"doc_id": pages.page_id, "quality": [(i * 7 // 5) % 2
+                                                                for i in pages.page_id]})
+    con = duckdb.connect()
+    con.register("pages", pages)
+    con.register("labels", labels)
+    got = host_reputation.judge_urls(spark.createDataFrame(pages), spark.createDataFrame(labels))
+    rows = got.select("page_id", "host", "path", "rule", "verdict").collect()
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, con.execute(
+        host_reputation.OP3_SQL).fetchall()))
+    assert {r.verdict for r in rows} == {"allow", "block"}
+
+
 def test_posteriors_shrink_towards_the_parents(spark):
     rows = [("a.x.com", 0)] * 200 + [("b.x.com", 1)] * 200 + [("new.x.com", None)] * 3
     rows += [("one.y.com", 1)] + [("c.z.org", 0)] * 300
