@@ -15,7 +15,8 @@
    is one component.  Only sets of *different* components are paired after
    that; a pair must share as many prefix shingles as its sizes demand.  So
    the pairs inside a group of copies are never listed, and no link between
-   components is lost.  A list that may be long, because its shingles are in
+   components is lost.  Of two components the likest pair is judged first; all
+   their pairs are listed only if that leaves them apart.  A list that may be long, because its shingles are in
    ``1 << HOT_POWER`` texts or more, is never brought together: its sets are
    cut by size class and salt into blocks of about ``BLOCK``, and each pair of
    blocks is a *cell* of its own.  A pair leaves its cell only if the places of
@@ -55,6 +56,8 @@ HOT_POWER = 10
 BLOCK = 1024
 SMALL_LIST = 64
 LEADERS = 64
+FEW_PAIRS = 1 << 26
+FEW_ROWS = 1 << 16
 # The kind of an entry, and the bit that marks one of a list that may be long.
 SUBSET, LIST, HOT = 0, 1, 2
 BITMAP = [f"bits{k}" for k in range(8)]
@@ -204,16 +207,18 @@ def _mixed(table: pa.Table, least: np.ndarray) -> pa.Table:
 _ENTRIES = "kind byte, key long, sid long, n int, pos int"
 _LISTS = _ENTRIES + ", lead long, lead_n int"
 _MIXED = _ENTRIES + ", label long, size int"
-_PAIRS = "a long, b long, n_a int, n_b int, kind byte, shared int"
+_PAIRS = ("a long, b long, n_a int, n_b int, kind byte, shared int, lo long, hi long, differ long, "
+          "several boolean, met long")
 _ENTRIES_COLUMNS = ["kind", "key", "sid", "n", "pos"]
 _CELL = ["kind", "key", "level", "x", "y"]
 
 
-def _apart(batches, num: int, den: int, boundary: int):
+def _apart(batches, num: int, den: int, boundary: int, nearest: bool = False):
     """Pairs of sets of different components that share a key, with the number
-    of keys they share, as they are found.  The rows come cell by cell, by size
-    within; each set is paired with those from its own size to size / t, and on
-    the other side if the cell has two (``side`` is 0 or 1)."""
+    of keys they share, as they are found; with ``nearest`` the likest pair of
+    each two components.  The rows come cell by cell, by size within; each set is
+    paired with those from its own size to size / t, and on the other side if the
+    cell has two (``side`` is 0 or 1)."""
     held: list[np.ndarray] = []
     rest = None
     for b in batches:
@@ -225,27 +230,40 @@ def _apart(batches, num: int, den: int, boundary: int):
             rest = table
             continue
         rest = table.slice(start[-1])
-        yield from _cells(table.slice(0, start[-1]), num, den, boundary, held)
+        yield from _cells(table.slice(0, start[-1]), num, den, boundary, nearest, held)
     if rest is not None:
-        yield from _cells(rest, num, den, boundary, held)
+        yield from _cells(rest, num, den, boundary, nearest, held)
     if held:
-        yield from _merged(held).to_batches()
+        yield from _pair_table(_merged(held, nearest)).to_batches()
 
 
-def _merged(parts: list[np.ndarray]) -> pa.Table:
-    """The parts as one table, equal pairs once."""
+def _merged(parts: list[np.ndarray], nearest: bool) -> np.ndarray:
+    """The parts as one, equal pairs once; with ``nearest`` equal component pairs
+    once, by the pair that differs least, ``several`` if there was another."""
     rows = np.concatenate(parts)
-    rows = rows[np.lexsort((rows[:, 4], rows[:, 1], rows[:, 0]))]
-    at, _ = _runs(rows[:, 0], rows[:, 1], rows[:, 4])
-    shared = np.add.reduceat(rows[:, 5], at) if len(at) else rows[:, 5]
-    rows = rows[at]
+    a, b, lo, hi, differ = (rows[:, k] for k in (0, 1, 6, 7, 8))
+    rows = rows[np.lexsort((b, a, differ, hi, lo) if nearest else (b, a))]
+    at, length = _runs(*(rows[:, k] for k in ((6, 7) if nearest else (0, 1))))
+    best = np.repeat(at, length)
+    same = (rows[:, 0] == rows[best, 0]) & (rows[:, 1] == rows[best, 1])
+    out = rows[at]
+    out[:, 5] = np.add.reduceat(np.where(same, rows[:, 5], 0), at)
+    out[:, 9] = np.maximum.reduceat(np.where(same, rows[:, 9], 1), at)
+    out[:, 10] = np.add.reduceat(rows[:, 10], at)
+    return out
+
+
+def _pair_table(rows: np.ndarray) -> pa.Table:
     return pa.table({"a": rows[:, 0], "b": rows[:, 1], "n_a": pa.array(rows[:, 2], pa.int32()),
                      "n_b": pa.array(rows[:, 3], pa.int32()),
                      "kind": pa.array(rows[:, 4], pa.int8()),
-                     "shared": pa.array(shared, pa.int32())})
+                     "shared": pa.array(rows[:, 5], pa.int32()), "lo": rows[:, 6],
+                     "hi": rows[:, 7], "differ": rows[:, 8],
+                     "several": pa.array(rows[:, 9] > 0), "met": rows[:, 10]})
 
 
-def _cells(table: pa.Table, num: int, den: int, boundary: int, held: list[np.ndarray]):
+def _cells(table: pa.Table, num: int, den: int, boundary: int, nearest: bool,
+           held: list[np.ndarray]):
     """Pairs of whole cells; what is not yielded yet stays in ``held``."""
     sid, n, pos, label, side = (table.column(c).to_numpy()
                                 for c in ("sid", "n", "pos", "label", "side"))
@@ -279,17 +297,22 @@ def _cells(table: pa.Table, num: int, den: int, boundary: int, held: list[np.nda
             common = -(-num * (n[left] + n[right]) // (num + den))
             ok = (np.minimum(pos[left], pos[right])
                   + np.minimum(n[left] - pos[left], n[right] - pos[right])) >= common
-            ok &= (np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int64)
-                   <= n[left] + n[right] - 2 * common)
-            left, right = left[ok], right[ok]
+            left, right, common = left[ok], right[ok], common[ok]
+            differ = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int64)
+            ok = differ <= n[left] + n[right] - 2 * common
+            left, right, differ = left[ok], right[ok], differ[ok]
             if len(left):
                 swap = sid[left] > sid[right]
                 a, b = np.where(swap, right, left), np.where(swap, left, right)
-                held.append(np.stack([sid[a], sid[b], n[a], n[b], kind[a].astype(np.int64),
-                                      np.ones(len(a), np.int64)], axis=1))
+                one = np.ones(len(a), np.int64)
+                held.append(np.stack([sid[a], sid[b], n[a], n[b], kind[a].astype(np.int64), one,
+                                      np.minimum(label[a], label[b]),
+                                      np.maximum(label[a], label[b]),
+                                      (differ << 20) // (n[a] + n[b]), one - 1, one], axis=1))
             if sum(map(len, held)) > 2 * PAIR_BLOCK:
-                yield from _merged(held).to_batches()
-                held.clear()
+                held[:] = [_merged(held, nearest)]
+                if len(held[0]) > PAIR_BLOCK:
+                    yield from _pair_table(held.pop()).to_batches()
         i = j
 
 
@@ -465,6 +488,13 @@ class Join:
             "lead_n", F.col("_lead.n")).drop("_lead")
         return lists.filter(F.col("kind") < HOT).unionByName(hot)
 
+    def stars(self, lists: DataFrame) -> DataFrame:
+        """(a, b): the sets of each list with its leader, where their sizes fit."""
+        fits = ((F.least("n", "lead_n") * self.den >= F.greatest("n", "lead_n") * self.num)
+                & (F.col("sid") != F.col("lead")))
+        return stored(lists.filter(fits).select(F.col("lead").alias("a"), F.col("sid").alias("b"))
+                      .distinct(), "stars")
+
     def merged(self, lists: DataFrame, links: DataFrame, sets: DataFrame, boundary: int
                ) -> tuple[DataFrame, DataFrame]:
         """(links, labels) after more leaders.  One leader leaves apart what is like
@@ -472,8 +502,9 @@ class Join:
         still hold many pairs of different components, each set of theirs goes to one
         of its lists, drawn by hash, and is verified against the likest, by the bitmaps,
         of up to ``LEADERS`` other sets drawn there: as many comparisons as there are
-        sets.  It ends when the pairs are in proportion to the lists, or a round no
-        longer takes away a tenth of them; what is left is paired exactly afterwards."""
+        sets.  It ends when the pairs are in proportion to the lists or fewer than a
+        round is worth (``FEW_PAIRS``), or a round no longer takes away a tenth of
+        them; what is left is paired exactly afterwards."""
         label, before, turn = components(links), None, 0
         long_ = lists.groupBy("kind", "key").count().filter(F.col("count") > SMALL_LIST)
         rows = stored(lists.join(long_.select("kind", "key"), ["kind", "key"])
@@ -495,7 +526,7 @@ class Join:
             open_ = stored(size.filter(F.col("s") < F.col("t") * F.col("t")), "open-lists")
             held, pairs = open_.agg(F.sum("t"), F.sum((F.col("t") * F.col("t") - F.col("s")) / 2)
                                     ).first()
-            if held is None or pairs <= SMALL_LIST * held or (
+            if held is None or pairs <= max(FEW_PAIRS, SMALL_LIST * held) or (
                     before is not None and pairs > 0.9 * before):
                 return links, label
             before, turn = pairs, turn + 1
@@ -521,14 +552,17 @@ class Join:
             links = links.unionByName(more)
             label = components(links)
 
-    def cells(self, lists: DataFrame, label: DataFrame, sets: DataFrame, shingles: int
-              ) -> DataFrame:
+    def cells(self, lists: DataFrame, label: DataFrame, sets: DataFrame, shingles: int,
+              largest: int, within: DataFrame | None = None) -> DataFrame:
         """The sets of lists with different components, cell by cell: a short
-        list is one cell, a long one has a cell for each pair of blocks."""
+        list is one cell, a long one has a cell for each pair of blocks.  With
+        ``within`` only the sets of those components (column ``label``)."""
         known = lists.join(label, lists["sid"] == label["node"], "left").select(
             "kind", "key", "sid", "n", "pos", F.coalesce("label", "sid").alias("label"))
+        if within is not None:
+            known = known.join(within, "label", "left_semi")
         buckets = max(16, int(shingles * (1 - self.num / self.den) * 0.3) // ROWS_PER_BUCKET)
-        least = size_classes(sets.agg(F.max("n")).first()[0] or 0, self.num, self.den)
+        least = size_classes(largest, self.num, self.den)
 
         def mixed(table):
             return _mixed(table, least)
@@ -604,33 +638,77 @@ class Join:
         return stored(ragged.map_batches(both.select("a", "b", "set_a", "set_b"), judge,
                                          "a long, b long"), "links")
 
-    def run(self) -> DataFrame:
+    def met(self, cells: DataFrame, boundary: int, nearest: bool) -> DataFrame:
+        """Of the cells: the pairs of different components that may link, or with
+        ``nearest`` the likest pair of each two components (lo, hi), whether there
+        are ``several`` of them, and how often any of them ``met``."""
         num, den = self.num, self.den
-        sets = self.sets()
-        shingles = sets.agg(F.sum("n")).first()[0] or 0
-        order, rare = self.order(shingles)
-        boundary = self.boundary(shingles, rare)
-        lists = self.lists(order, boundary, shingles)
-        fits = ((F.least("n", "lead_n") * den >= F.greatest("n", "lead_n") * num)
-                & (F.col("sid") != F.col("lead")))
-        stars = stored(lists.filter(fits).select(F.col("lead").alias("a"), F.col("sid").alias("b"))
-                       .distinct(), "stars")
-        links, label = self.merged(lists, self.verified(stars, sets), sets, boundary)
 
         def apart(batches):
-            return _apart(batches, num, den, boundary)
-        cells = self.cells(lists, label, sets, shingles)
+            return _apart(batches, num, den, boundary, nearest)
         pairs = ragged.map_batches(cells.repartition(*_CELL).sortWithinPartitions(*_CELL, "n", "sid"),
                                    apart, _PAIRS)
         # Of the common shingles at most need - 1 lie behind the prefix of the
         # set whose prefix ends first; the rest must be among the shared ones.
         total = F.ceil((F.col("n_a") + F.col("n_b")) * num / (num + den))
         behind = F.ceil(F.greatest("n_a", "n_b") * num / den) - 1
-        pairs = (pairs.groupBy("a", "b", "n_a", "n_b", "kind").agg(F.sum("shared").alias("shared"))
-                 .filter((F.col("kind") == SUBSET) | (F.col("shared") >= total - behind))
-                 .select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"))
+        enough = (F.col("kind") == SUBSET) | (F.col("shared") >= total - behind)
+        if not nearest:
+            return (pairs.groupBy("a", "b", "n_a", "n_b", "kind").agg(F.sum("shared").alias("shared"))
+                    .filter(enough).select("a", "b").distinct())
+        # The shared shingles of a pair are all counted only where it is the one pair.
+        pair = F.struct("a", "b")
+        return (pairs.groupBy("lo", "hi").agg(
+            F.min(F.struct("differ", "a", "b", "n_a", "n_b", "kind")).alias("best"),
+            F.sum("shared").alias("shared"), F.sum("met").alias("met"),
+            (F.max("several") | (F.min(pair) != F.max(pair))).alias("several"))
+            .select("lo", "hi", "best.*", "shared", "met", "several")
+            .filter(F.col("several") | enough).select("a", "b", "lo", "hi", "met", "several"))
+
+    def paired(self, lists: DataFrame, links: DataFrame, label: DataFrame, stars: DataFrame,
+               sets: DataFrame, boundary: int, shingles: int, largest: int) -> DataFrame:
+        """The labels after all pairs of different components.  Two components need
+        one link to be one, so first the likest pair of each two is judged; all pairs
+        are listed only of those components that stay apart and had several, once
+        they would be few or the likest ones no longer link."""
+        within, before = None, None
+        while True:
+            cells = self.cells(lists, label, sets, shingles, largest, within)
+            near = stored(self.met(cells, boundary, True), "nearest")
+            more = self.verified(stored(near.select("a", "b").join(stars, ["a", "b"], "left_anti"),
+                                        "pairs"), sets)
+            linked = not more.isEmpty()
+            if linked:
+                links = links.unionByName(more)
+                label = components(links)
+            lo = label.select(F.col("node").alias("lo"), F.col("label").alias("_lo"))
+            hi = label.select(F.col("node").alias("hi"), F.col("label").alias("_hi"))
+            apart = stored(near.filter("several").join(lo, "lo", "left").join(hi, "hi", "left")
+                           .select(F.coalesce("_lo", "lo").alias("lo"),
+                                   F.coalesce("_hi", "hi").alias("hi"), "met")
+                           .filter("lo <> hi"), "apart")
+            rows = apart.agg(F.sum("met")).first()[0]
+            if rows is None:
+                return label
+            within = stored(apart.select(F.col("lo").alias("label")).unionByName(
+                apart.select(F.col("hi").alias("label"))).distinct(), "within")
+            if rows <= FEW_ROWS or not linked or (before is not None and rows > 0.9 * before):
+                break
+            before = rows
+        cells = self.cells(lists, label, sets, shingles, largest, within)
+        pairs = self.met(cells, boundary, False).join(stars, ["a", "b"], "left_anti")
         more = self.verified(stored(pairs, "pairs"), sets)
-        label = components(links.unionByName(more))
+        return label if more.isEmpty() else components(links.unionByName(more))
+
+    def run(self) -> DataFrame:
+        sets = self.sets()
+        shingles, largest = (x or 0 for x in sets.agg(F.sum("n"), F.max("n")).first())
+        order, rare = self.order(shingles)
+        boundary = self.boundary(shingles, rare)
+        lists = self.lists(order, boundary, shingles)
+        stars = self.stars(lists)
+        links, label = self.merged(lists, self.verified(stars, sets), sets, boundary)
+        label = self.paired(lists, links, label, stars, sets, boundary, shingles, largest)
         groups = sets.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("id").alias("id"))
         groups = groups.join(label, groups["sid"] == label["node"], "left").select(
             "sid", "id", F.coalesce("label", "sid").alias("label"))

@@ -8,6 +8,7 @@ import sys
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -159,6 +160,42 @@ def test_more_leaders_give_the_same_components(spark, monkeypatch):
     assert run_components(docs) == want and len(rounds) > 2
 
 
+def test_leaders_and_likest_pairs_in_rounds_give_the_same_components(spark, monkeypatch):
+    rows = _template(100, seed=5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_components(rows)
+    for few, value in (("FEW_PAIRS", 0), ("FEW_ROWS", 0)):
+        monkeypatch.setattr(jaccard_join, few, value)
+    monkeypatch.setattr(jaccard_join, "SMALL_LIST", 2)
+    monkeypatch.setattr(jaccard_join, "LEADERS", 8)
+    names, plain = [], jaccard_join.stored
+
+    def stored(df, name):
+        names.append(name)
+        return plain(df, name)
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    assert run_components(docs) == want
+    assert "leader-pairs" in names and "nearest" in names
+
+
+def test_likest_pair_of_two_components():
+    """Two components of 60 sets, all in one list and alike: one pair is made."""
+    n = 120
+    table = {"kind": np.full(n, jaccard_join.LIST, np.int8), "key": np.zeros(n, np.int64),
+             "sid": np.arange(n), "n": np.full(n, 50, np.int32), "pos": np.zeros(n, np.int32),
+             "label": np.arange(n) % 2}
+    table |= {c: np.zeros(n, np.int64) for c in jaccard_join.BITMAP}
+    table |= {"level": np.zeros(n, np.int32), "x": np.zeros(n, np.int32),
+              "y": np.zeros(n, np.int32), "side": np.full(n, -1, np.int32)}
+    table["bits0"][2:] = np.arange(2, n)
+    batch = pa.RecordBatch.from_pydict(table)
+    near = [r for b in jaccard_join._apart([batch], 80, 100, 1, True) for r in b.to_pylist()]
+    assert [(r["a"], r["b"], r["lo"], r["hi"], r["several"], r["met"]) for r in near] == [
+        (0, 1, 0, 1, True, 3600)]
+    every = [r for b in jaccard_join._apart([batch], 80, 100, 1) for r in b.to_pylist()]
+    assert len(every) == 3600
+
+
 def _noted(rounds, plain):
     def verified(self, pairs, sets):
         rounds.append(pairs.count())
