@@ -58,6 +58,7 @@ SMALL_LIST = 64
 LEADERS = 64
 FEW_PAIRS = 1 << 26
 FEW_ROWS = 1 << 16
+WANTED_ROWS = 1 << 18
 # The kind of an entry, and the bit that marks one of a list that may be long.
 SUBSET, LIST, HOT = 0, 1, 2
 BITMAP = [f"bits{k}" for k in range(8)]
@@ -480,20 +481,19 @@ class Join:
             return _entries(h, n, sid, shared.value, boundary, num, den, hot)
         rows = self._map(self.docs.select("text"), entries, _ENTRIES)
         grouped = rows.withColumn("bucket", _bucket(buckets)).groupBy("bucket")
-        lists = stored(ragged.map_groups(grouped, self.spark, _lists_with_leader, _LISTS), "lists")
+        return stored(ragged.map_groups(grouped, self.spark, _lists_with_leader, _LISTS), "lists")
+
+    def stars(self, lists: DataFrame) -> DataFrame:
+        """(a, b): the sets of each list with its leader, where their sizes fit."""
         hot = lists.filter(F.col("kind") >= HOT).drop("lead", "lead_n")
         heads = stored(hot.groupBy("kind", "key").agg(F.min(F.struct("sid", "n")).alias("_lead")),
                        "heads")
         hot = hot.join(heads, ["kind", "key"]).withColumn("lead", F.col("_lead.sid")).withColumn(
             "lead_n", F.col("_lead.n")).drop("_lead")
-        return lists.filter(F.col("kind") < HOT).unionByName(hot)
-
-    def stars(self, lists: DataFrame) -> DataFrame:
-        """(a, b): the sets of each list with its leader, where their sizes fit."""
         fits = ((F.least("n", "lead_n") * self.den >= F.greatest("n", "lead_n") * self.num)
                 & (F.col("sid") != F.col("lead")))
-        return stored(lists.filter(fits).select(F.col("lead").alias("a"), F.col("sid").alias("b"))
-                      .distinct(), "stars")
+        return stored(lists.filter(F.col("kind") < HOT).unionByName(hot).filter(fits)
+                      .select(F.col("lead").alias("a"), F.col("sid").alias("b")).distinct(), "stars")
 
     def merged(self, lists: DataFrame, links: DataFrame, sets: DataFrame, boundary: int
                ) -> tuple[DataFrame, DataFrame]:
@@ -602,9 +602,13 @@ class Join:
         wanted = pairs.select(F.col("a").alias("sid")).unionByName(
             pairs.select(F.col("b").alias("sid"))).distinct()
         # One document for each set that is asked for.
-        one = (sets.join(wanted, "sid", "left_semi").groupBy("sid")
-               .agg(F.min(F.struct("id", "at")).alias("_one"))
-               .select("sid", F.col("_one.id").alias("_id"), F.col("_one.at").alias("_at")))
+        one = stored(sets.join(wanted, "sid", "left_semi").groupBy("sid")
+                     .agg(F.min(F.struct("id", "at")).alias("_one"))
+                     .select("sid", F.col("_one.id").alias("_id"), F.col("_one.at").alias("_at")),
+                     "wanted")
+        # A few of them travel to the texts, so that the texts stay where they are.
+        if one.count() <= WANTED_ROWS:
+            one = F.broadcast(one)
         text = (self.docs.join(one, self.docs["id"].eqNullSafe(one["_id"])
                                & (self.docs["at"] == one["_at"])).select("sid", "text"))
 

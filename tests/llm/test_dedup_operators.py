@@ -168,6 +168,7 @@ def test_leaders_and_likest_pairs_in_rounds_give_the_same_components(spark, monk
         monkeypatch.setattr(jaccard_join, few, value)
     monkeypatch.setattr(jaccard_join, "SMALL_LIST", 2)
     monkeypatch.setattr(jaccard_join, "LEADERS", 8)
+    monkeypatch.setattr(jaccard_join, "WANTED_ROWS", 0)
     names, plain = [], jaccard_join.stored
 
     def stored(df, name):
@@ -196,6 +197,22 @@ def test_likest_pair_of_two_components():
     assert len(every) == 3600
 
 
+def test_lists_are_stored_with_no_join_behind_them(spark, monkeypatch):
+    """Or else every reader of the lists joins the long ones again."""
+    rows = _template(40)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(jaccard_join, "HOT_POWER", 2)
+    plans, plain = [], jaccard_join.Join.lists
+
+    def lists(self, *args):
+        out = plain(self, *args)
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+    monkeypatch.setattr(jaccard_join.Join, "lists", lists)
+    assert run_components(docs) == brute_components(rows)
+    assert "Join" not in plans[0]
+
+
 def _noted(rounds, plain):
     def verified(self, pairs, sets):
         rounds.append(pairs.count())
